@@ -1 +1,280 @@
-"""tmp"""
+"""Zero-phase Butterworth filtering and power spectra.
+
+The recursion is the only part Catalyst cannot express. Records are cut into contiguous valid segments, and
+those into blocks with a border long enough for the filter response to decay below double precision, so one
+task filters one bounded block and the result equals filtering the whole segment.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_blocks, ordered, percentiles
+
+#: Variables that are low-passed when present.
+FILTER_VARS = ("temperature", "salinity", "conductivity", "pressure", "u_velocity", "v_velocity",
+               "eastward_velocity", "northward_velocity")
+
+
+def butterworth(order: int, kind: str, fs: float, fc) -> np.ndarray:
+    """Second-order sections ``[b0 b1 b2 1 a1 a2]`` by the bilinear transform of the analog poles."""
+    k = 2 * fs
+    s = np.exp(1j * np.pi * (2 * np.arange(order) + order + 1) / (2 * order))
+    if kind == "bandstop":
+        w1, w2 = (k * math.tan(math.pi * f / fs) for f in fc)
+        q = (w2 - w1) / s / 2
+        root = np.sqrt(q * q - w1 * w2 + 0j)
+        p = np.concatenate([q + root, q - root])
+        zc = (k + 1j * math.sqrt(w1 * w2)) / (k - 1j * math.sqrt(w1 * w2))
+        num = np.array([1.0, -2 * zc.real, 1.0])
+        at = 1.0
+    else:
+        w = k * math.tan(math.pi * fc / fs)
+        p = w * s if kind == "low" else w / s
+        num = np.array([1.0, 2.0, 1.0]) if kind == "low" else np.array([1.0, -2.0, 1.0])
+        at = 1.0 if kind == "low" else -1.0
+    z = (k + p) / (k - p)
+    sections = [np.array([1.0, -2 * c.real, abs(c) ** 2]) for c in z[z.imag > 1e-12]]
+    real = np.sort(z[np.abs(z.imag) <= 1e-12].real)
+    first = [np.array([1.0, -r, 0.0]) for r in real]
+    if kind == "bandstop":
+        first = [np.array([1.0, -real[i] - real[i + 1], real[i] * real[i + 1]]) for i in range(0, len(real), 2)]
+    out = []
+    for den in sections + first:
+        b = num if den[2] != 0 or kind == "bandstop" else np.array([1.0, num[1] / 2, 0.0])
+        gain = np.polyval(den, at) / np.polyval(b, at)
+        out.append(np.concatenate([b * gain, den]))
+    return np.array(out)
+
+
+def _state_space(sos: np.ndarray):
+    """One linear system for the whole cascade: z' = A z + B x, y = C z + D x."""
+    n = 2 * len(sos)
+    a, b, c, d = np.zeros((n, n)), np.zeros(n), np.zeros(n), 1.0
+    for i, (b0, b1, b2, _, a1, a2) in enumerate(sos):
+        r = slice(2 * i, 2 * i + 2)
+        gain = np.array([b1 - a1 * b0, b2 - a2 * b0])
+        a[r, :] += np.outer(gain, c)
+        a[r, r] += np.array([[-a1, 1.0], [-a2, 0.0]])
+        b[r] = gain * d
+        c = b0 * c
+        c[2 * i] += 1.0
+        d *= b0
+    return a, b, c, d
+
+
+def _run(x: np.ndarray, sys, size: int = 128) -> np.ndarray:
+    """Filter ``x`` from the steady state of its first value, ``size`` samples per matrix product."""
+    a, b, c, d = sys
+    m = len(b)
+    z = np.linalg.solve(np.eye(m) - a, b) * x[0]
+    obs = np.empty((size, m))
+    row = c.copy()
+    for i in range(size):
+        obs[i] = row
+        row = row @ a
+    imp = np.concatenate([[d], obs[:-1] @ b])
+    i, j = np.indices((size, size))
+    toep = np.where(i >= j, imp[np.abs(i - j)], 0.0)
+    ctrl = np.empty((size, m))
+    col = b.copy()
+    for i in range(size - 1, -1, -1):
+        ctrl[i] = col
+        col = a @ col
+    step = np.linalg.matrix_power(a, size)
+    full = len(x) // size * size
+    xb = x[:full].reshape(-1, size)
+    free, push = xb @ toep.T, xb @ ctrl
+    out = np.empty(len(x))
+    for r in range(len(xb)):
+        out[r * size:(r + 1) * size] = free[r] + obs @ z
+        z = step @ z + push[r]
+    rest = x[full:]
+    if len(rest):
+        out[full:] = toep[:len(rest), :len(rest)] @ rest + obs[:len(rest)] @ z
+    return out
+
+
+def zero_phase(x: np.ndarray, sos: np.ndarray, pad: int) -> np.ndarray:
+    """Forward and backward pass with odd extension by ``pad`` samples."""
+    sys = _state_space(sos)
+    ext = np.concatenate([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2:-pad - 2:-1]])
+    y = _run(_run(ext, sys)[::-1], sys)[::-1]
+    return y[pad:len(y) - pad]
+
+
+def pad_length(order: int, kind: str) -> int:
+    return 3 * ((2 if kind == "bandstop" else 1) * order + 1)
+
+
+def halo_periods(order: int) -> float:
+    """Cut-off periods after which the slowest mode has decayed to 1e-16."""
+    return 36.9 / (2 * math.pi * math.sin(math.pi / (2 * order)))
+
+
+def filter_blocks(df: DataFrame, keys: Sequence[str], t: str, value: str, fs: Column, fc, kind: str = "low",
+                  order: int = 6, index: str = "idx", block: int = BLOCK_ROWS) -> DataFrame:
+    """Filter each contiguous, regularly sampled segment named by ``keys``; ``index`` is its position.
+
+    ``fs`` is the sampling frequency column (constant per segment), ``fc`` the cut-off(s) in the same unit.
+    """
+    slow = min(fc) if isinstance(fc, (tuple, list)) else fc
+    if isinstance(fc, (tuple, list)):
+        slow = min(slow, fc[1] - fc[0])
+    half = F.ceil(F.lit(halo_periods(order) / slow) * F.col("__fs")) + pad_length(order, kind)
+    d = df.select(*keys, F.col(t).alias("__t"), F.col(value).alias("__v"), F.col(index).alias("__i"), fs.alias("__fs"))
+    d = d.withColumn("__h", half).withColumn("__size", F.greatest(F.lit(block).cast("long"), 2 * F.col("__h")))
+    d = in_blocks(d, "__i", F.col("__h"), F.col("__size"))
+    pad = pad_length(order, kind)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf["__own"].to_numpy()
+        if not own.any():
+            return pdf.iloc[:0][[*keys, "__t", "__v"]]
+        pdf = pdf.sort_values("__i")
+        own = pdf["__own"].to_numpy()
+        x = pdf["__v"].to_numpy(float)
+        sos = butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc)
+        y = zero_phase(x, sos, pad) if len(x) > pad else x
+        return pdf.assign(__v=y)[own][[*keys, "__t", "__v"]]
+
+    types = dict(df.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"__t {types[t]}", "__v double"])
+    out = d.groupBy(*keys, "__block").applyInPandas(run, schema)
+    return out.withColumnsRenamed({"__t": t, "__v": value})
+
+
+def _long(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    stack = ", ".join(f"'{v}', CAST({v} AS DOUBLE)" for v in values)
+    return df.selectExpr(*keys, f"stack({len(values)}, {stack}) AS (var, v)")
+
+
+def _wide(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.max(F.when(F.col("var") == v, F.col("v"))).alias(v) for v in values])
+
+
+def segments(df: DataFrame, series: Sequence[str], value: str, t: str = "t_us",
+             width: float | None = TIME_CHUNK) -> DataFrame:
+    """Rows of contiguous valid segments: ``seg`` names the segment, ``idx`` the position in it."""
+    ok = F.col(value).isNotNull()
+    d = ordered(df, series, [t], width, index="__i", cum={"__true": ok.cast("long")})
+    d = d.where(ok).withColumn("seg", F.col("__i") - F.col("__true"))
+    ends = d.groupBy(*series, "seg").agg(F.min("__i").alias("__first"), F.count(F.lit(1)).alias("seg_len"))
+    return attach(d, ends, [*series, "seg"]).withColumn("idx", F.col("__i") - F.col("__first")).drop("__i", "__true", "__first")
+
+
+def lowpass(df: DataFrame, series: Sequence[str], values: Sequence[str] | None = None, cutoff_days: float = 2.0,
+            order: int = 6, t: str = "t_us", min_rows: int = 100, min_segment: int = 50, min_valid: float = 0.1,
+            width: float | None = TIME_CHUNK) -> DataFrame:
+    """Gap-aware zero-phase low-pass on the native sampling.
+
+    A record passes unchanged below ``min_rows`` rows, without a valid interval or with the cut-off at or
+    above Nyquist; a variable below the valid share, and a segment of at most ``min_segment`` rows, too.
+    Other columns than keys, time and values are dropped.
+    """
+    values = list(values or [v for v in FILTER_VARS if v in df.columns])
+    series = list(series)
+    fc = 1.0 / (cutoff_days * 86400.0)
+    d = ordered(df.select(*series, t), series, [t], width, lag={"__p": F.col(t)})
+    dt = percentiles(d, series, (F.col(t) - F.col("__p")) / 1e6, {"__dt": 0.5})
+    n = df.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"), *[F.count(v).alias(f"__ok_{v}") for v in values])
+    info = n.join(dt, series, "left")
+    fits = (F.col("__n") >= min_rows) & (F.col("__dt") > 0) & (F.lit(fc) < 0.5 / F.when(F.col("__dt") > 0, F.col("__dt")))
+    share = F.array(*[F.when(F.col(f"__ok_{v}") >= min_valid * F.col("__n"), F.lit(v)) for v in values])
+    info = info.select(*series, "__dt", F.when(F.coalesce(fits, F.lit(False)), share).otherwise(
+        F.array().cast("array<string>")).alias("__use"))
+    long = attach(_long(df, [*series, t], values), info, series)
+    use = F.array_contains(F.array_compact("__use"), F.col("var"))
+    seg = segments(long.where(use), [*series, "var"], "v", t, width)
+    big = F.col("seg_len") > min_segment
+    done = filter_blocks(seg.where(big), [*series, "var", "seg"], t, "v", 1.0 / F.col("__dt"), fc, "low", order)
+    keep = [*series, t, "var", "v"]
+    same = seg.where(~big).select(*keep).unionByName(long.where(~use | F.col("v").isNull()).select(*keep))
+    return _wide(done.select(*keep).unionByName(same), [*series, t], values)
+
+
+def filter_attributes(cutoff_days: float = 2.0, order: int = 6) -> dict[str, str]:
+    """Attributes that record the filtering."""
+    return {"time_filtering_applied": f"butterworth low-pass, {cutoff_days} days, order {order}",
+            "time_filtering_cutoff_days": str(cutoff_days), "time_filtering_order": str(order),
+            "processing_step": "time_filtered"}
+
+
+def apply_filter(df: DataFrame, series: Sequence[str], values: Sequence[str], filter_type: str | None, **kw) -> DataFrame:
+    """Dispatch by type: low-pass and detide filter, any other type leaves the data unchanged."""
+    return lowpass(df, series, values, **kw) if filter_type in ("lowpass", "detide") else df
+
+
+def butter_filter(df: DataFrame, series: Sequence[str], value: str, sr: float, cutoff, kind: str = "low",
+                  order: int = 6, axis: str = "t_us", width: float | None = TIME_CHUNK) -> DataFrame:
+    """Generic zero-phase filter of null-free series at sampling rate ``sr``; low, high or bandstop."""
+    if kind not in ("low", "high", "bandstop"):
+        raise ValueError(f"unknown filter kind {kind!r}")
+    d = ordered(df.select(*series, axis, value), series, [axis], width, index="idx")
+    fc = tuple(cutoff) if kind == "bandstop" else float(cutoff)
+    return filter_blocks(d, list(series), axis, value, F.lit(float(sr)), fc, kind, order)
+
+
+def legacy_lowpass(df: DataFrame, series: Sequence[str], values: Sequence[str], cutoff_days: float = 2.0,
+                   order: int = 6, t: str = "t_us", width: float | None = TIME_CHUNK) -> DataFrame:
+    """Low-pass with the interval of the first two samples.
+
+    Series of at most ``3 * order`` rows stay as they are; one null makes the filtered series null.
+    """
+    series = list(series)
+    fc = 1.0 / (cutoff_days * 86400.0)
+    d = ordered(df.select(*series, t, *values), series, [t], width, index="idx", count="__n",
+                lead={"__tn": F.col(t)}, total={f"__bad_{v}": F.col(v).isNull().cast("long") for v in values})
+    dt = d.where("idx = 0").select(*series, ((F.col("__tn") - F.col(t)) / 1e6).alias("__dt"))
+    d = attach(d, dt, series)
+    bad = F.map_from_arrays(F.array(*[F.lit(v) for v in values]), F.array(*[F.col(f"__bad_{v}") for v in values]))
+    stack = ", ".join(f"'{v}', CAST({v} AS DOUBLE)" for v in values)
+    d = d.withColumn("__bad", bad).selectExpr(*series, t, "idx", "__n", "__dt", "__bad", f"stack({len(values)}, {stack}) AS (var, v)")
+    whole = F.element_at("__bad", F.col("var")) == 0
+    short = F.col("__n") <= 3 * order
+    done = filter_blocks(d.where(whole & ~short), [*series, "var"], t, "v", 1.0 / F.col("__dt"), fc, "low", order)
+    keep = [*series, t, "var", "v"]
+    rest = d.where(~whole | short).withColumn("v", F.when(short, F.col("v")))
+    return _wide(done.select(*keep).unionByName(rest.select(*keep)), [*series, t], values)
+
+
+def power_spectrum(df: DataFrame, series: Sequence[str], value: str, t: str = "t_us", max_segment: int = 256,
+                   min_rows: int = 100, width: float | None = TIME_CHUNK) -> DataFrame:
+    """Welch power spectral density (Hann, half overlap, constant detrend); frequency in cycles per hour.
+
+    Each overlapping segment of at most ``max_segment`` samples is one small group; segments are averaged
+    by a plain aggregate.
+    """
+    series = list(series)
+    d = ordered(df.where(F.col(value).isNotNull()).select(*series, t, value), series, [t], width, index="__i",
+                count="__n", lag={"__p": F.col(t)})
+    d = d.where(F.col("__n") > min_rows)
+    dt = percentiles(d, series, (F.col(t) - F.col("__p")) / 3.6e9, {"__dt": 0.5})
+    d = attach(d, dt, series)
+    d = d.withColumn("__len", F.least(F.lit(max_segment), F.floor(F.col("__n") / 4)).cast("long"))
+    d = d.withColumn("__step", F.col("__len") - F.floor(F.col("__len") / 2))
+    nseg = F.floor((F.col("__n") - F.floor(F.col("__len") / 2)) / F.col("__step"))
+    j0 = F.greatest(F.ceil((F.col("__i") - F.col("__len") + 1) / F.col("__step")), F.lit(0).cast("long"))
+    j1 = F.least(F.floor(F.col("__i") / F.col("__step")), nseg - 1)
+    d = d.where(j0 <= j1).withColumn("__seg", F.explode(F.sequence(j0, j1)))
+
+    def density(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values("__i")[value].to_numpy(float)
+        n, fs = len(x), 1.0 / float(pdf["__dt"].iloc[0])
+        win = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n) / n)
+        p = np.abs(np.fft.rfft((x - x.mean()) * win)) ** 2 / (fs * (win * win).sum())
+        p[1:(None if n % 2 else -1)] *= 2
+        first = {k: pdf[k].iloc[0] for k in series}
+        return pd.DataFrame({**first, "bin": np.arange(len(p)), "freq": np.fft.rfftfreq(n, 1 / fs), "p": p})
+
+    types = dict(df.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in series] + ["bin long", "freq double", "p double"])
+    s = d.groupBy(*series, "__seg").applyInPandas(density, schema)
+    s = s.groupBy(*series, "bin").agg(F.avg("freq").alias("freq_per_hour"), F.avg("p").alias("psd"))
+    return s.withColumn("period_days", F.when(F.col("freq_per_hour") > 0, 1.0 / (F.col("freq_per_hour") * 24)))

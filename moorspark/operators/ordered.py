@@ -150,16 +150,18 @@ def ordered(
     return out.select(*cols)
 
 
-def in_blocks(df: DataFrame, index: str, half: int, block: int = BLOCK_ROWS) -> DataFrame:
+def in_blocks(df: DataFrame, index: str, half: int | Column, block: int | Column = BLOCK_ROWS) -> DataFrame:
     """Copy each row into every block of ``block`` consecutive rows whose rows may look at it.
 
+    ``half`` and ``block`` may be columns that are constant within a series.
+
     Adds ``__block`` and ``__own``; a row is its block's own once and a border copy elsewhere, so a frame
     of ``half`` rows either side is complete inside ``(series, __block)``.
     """
     i = F.col(index)
     return df.withColumn(
         "__block",
-        F.explode(F.sequence(F.floor(F.greatest(i - half, F.lit(0)) / block), F.floor((i + half) / block))),
+        F.explode(F.sequence(F.floor(F.greatest(i - half, F.lit(0).cast("long")) / block), F.floor((i + half) / block))),
     ).withColumn("__own", F.floor(i / block) == F.col("__block"))
 
 

@@ -69,8 +69,8 @@ def prof(spark, sf) -> DataFrame:
         li.join(od, li.l_orderkey == od.o_orderkey)
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
-            F.avg(25 - F.col("l_quantity").cast("double") * 0.4).alias("temp"),
-            F.avg(34 + 20 * F.col("l_discount").cast("double")).alias("salt"),
+            F.round(F.avg(25 - F.col("l_quantity").cast("double") * 0.4), 6).alias("temp"),
+            F.round(F.avg(34 + 20 * F.col("l_discount").cast("double")), 6).alias("salt"),
             F.max("o_orderdate").cast("timestamp_ntz").alias("time"),
             F.max(F.col("o_custkey") % 25).cast("double").alias("lat"),
             F.max(F.col("o_custkey") % 5).cast("long").alias("site"),
@@ -131,7 +131,7 @@ _SQL = {
  CASE WHEN m < 4 THEN TIMESTAMP '2024-01-29 00:00:00' - m * INTERVAL '1' HOUR END AS recovery_time
  FROM (VALUES (0),(1),(2),(3),(4)) v(m)""",
     "prof": """SELECT CAST(l_orderkey AS BIGINT) AS profile_id, CAST(200 * l_linenumber AS DOUBLE) AS pres,
- AVG(25 - CAST(l_quantity AS DOUBLE) * 0.4) AS temp, AVG(34 + 20 * CAST(l_discount AS DOUBLE)) AS salt,
+ round(AVG(25 - CAST(l_quantity AS DOUBLE) * 0.4), 6) AS temp, round(AVG(34 + 20 * CAST(l_discount AS DOUBLE)), 6) AS salt,
  CAST(MAX(o_orderdate) AS TIMESTAMP) AS time, CAST(MAX(o_custkey % 25) AS DOUBLE) AS lat,
  CAST(MAX(o_custkey % 5) AS BIGINT) AS site
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber""",
