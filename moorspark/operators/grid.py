@@ -56,12 +56,14 @@ def interpolate(
     whole_grid: bool = False,
     extrapolate: bool = False,
     min_samples: int = 2,
+    span: str | None = None,
 ) -> DataFrame:
     """Linear interpolation of every value column onto ``grid(on, t0, step_us, n)``.
 
     Each sample generates the grid points up to its successor, so there is neither a range join nor a sort
     of samples with grid points. A null neighbour gives null, an exact hit gives the sample. Points outside
     the record are absent, null (``whole_grid``) or extrapolated from the end segments (``extrapolate``).
+    ``span`` names a column for the distance of the two samples used (0 for an exact hit).
     """
     nxt = {"__tn": F.col(t), **{f"__n_{v}": F.col(v) for v in values}}
     prv = {"__tp": F.col(t), **{f"__p_{v}": F.col(v) for v in values}} if extrapolate else None
@@ -85,6 +87,8 @@ def interpolate(
             back = F.col(v) + (F.col(v) - F.col(f"__p_{v}")) * ((g - x) / (x - F.col("__tp")))
             e = e.when((g < x) & xn.isNotNull(), lin).when((g > x) & last, back)
         out.append(e.alias(v))
+    if span:
+        out.append(F.when(g == x, F.lit(0)).otherwise(xn - x).alias(span))
     return d.select(*out)
 
 

@@ -216,43 +216,43 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: Column, probs: dict[s
     wanted rank are sorted. No task sees more of one key than one bin.
     """
     keys = list(keys)
-    d = df.select(*keys, value.cast("double").alias("__v")).where("__v IS NOT NULL")
+    d = df.select(*keys, value.cast("double").alias("__qv")).where("__qv IS NOT NULL")
     gk = keys
     if not gk:
-        d, gk = d.withColumn("__k", F.lit(1)), ["__k"]
-    v = d.groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    v = v.withColumn("__b", F.floor(F.signum("__v") * F.log1p(F.abs("__v")) * 5909.0).cast("long"))
-    wb = Window.partitionBy(*gk).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+        d, gk = d.withColumn("__qk", F.lit(1)), ["__qk"]
+    v = d.groupBy(*gk, "__qv").agg(F.count(F.lit(1)).alias("__qc"))
+    v = v.withColumn("__qb", F.floor(F.signum("__qv") * F.log1p(F.abs("__qv")) * 5909.0).cast("long"))
+    wb = Window.partitionBy(*gk).orderBy("__qb").rowsBetween(Window.unboundedPreceding, 0)
     bins = (
-        v.groupBy(*gk, "__b").agg(F.sum("__c").alias("__bc"))
-        .withColumn("__hi", F.sum("__bc").over(wb))
-        .withColumn("__n", F.sum("__bc").over(Window.partitionBy(*gk)))
-        .withColumn("__lo", F.col("__hi") - F.col("__bc"))
+        v.groupBy(*gk, "__qb").agg(F.sum("__qc").alias("__qbc"))
+        .withColumn("__qhi", F.sum("__qbc").over(wb))
+        .withColumn("__qn", F.sum("__qbc").over(Window.partitionBy(*gk)))
+        .withColumn("__qlo", F.col("__qhi") - F.col("__qbc"))
     )
-    pos = {n: F.lit(float(p)) * (F.col("__n") - 1) for n, p in probs.items()}
+    pos = {n: F.lit(float(p)) * (F.col("__qn") - 1) for n, p in probs.items()}
     ranks = [f(c) for c in pos.values() for f in (F.floor, F.ceil)]
     hit = None
     for r in ranks:
-        h = (r >= F.col("__lo")) & (r < F.col("__hi"))
+        h = (r >= F.col("__qlo")) & (r < F.col("__qhi"))
         hit = h if hit is None else hit | h
-    need = bins.where(hit).select(*gk, "__b", "__lo", "__n")
-    ws = Window.partitionBy(*gk, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    s = v.join(need, gk + ["__b"]).withColumn("__vhi", F.col("__lo") + F.sum("__c").over(ws))
-    s = s.withColumn("__vlo", F.col("__vhi") - F.col("__c"))
+    need = bins.where(hit).select(*gk, "__qb", "__qlo", "__qn")
+    ws = Window.partitionBy(*gk, "__qb").orderBy("__qv").rowsBetween(Window.unboundedPreceding, 0)
+    s = v.join(need, gk + ["__qb"]).withColumn("__qvhi", F.col("__qlo") + F.sum("__qc").over(ws))
+    s = s.withColumn("__qvlo", F.col("__qvhi") - F.col("__qc"))
 
     def pick(r: Column) -> Column:
-        return F.max(F.when((r >= F.col("__vlo")) & (r < F.col("__vhi")), F.col("__v")))
+        return F.max(F.when((r >= F.col("__qvlo")) & (r < F.col("__qvhi")), F.col("__qv")))
 
-    aggs = [F.max("__n").alias("__n")]
+    aggs = [F.max("__qn").alias("__qn")]
     for n, c in pos.items():
-        aggs += [pick(F.floor(c)).alias(f"__a_{n}"), pick(F.ceil(c)).alias(f"__z_{n}")]
+        aggs += [pick(F.floor(c)).alias(f"__qa_{n}"), pick(F.ceil(c)).alias(f"__qz_{n}")]
     s = s.groupBy(*gk).agg(*aggs)
     out = [F.col(k) for k in keys]
     for n, c in pos.items():
-        a, z = F.col(f"__a_{n}"), F.col(f"__z_{n}")
+        a, z = F.col(f"__qa_{n}"), F.col(f"__qz_{n}")
         out.append((a + (z - a) * (c - F.floor(c))).alias(n))
     if count:
-        out.append(F.col("__n").alias(count))
+        out.append(F.col("__qn").alias(count))
     return s.select(*out)
 
 

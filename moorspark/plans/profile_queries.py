@@ -105,7 +105,7 @@ STD = tuple(200.0 * i for i in range(1, 8))
  pn AS (SELECT profile_id, min(time) AS time FROM prof GROUP BY 1 HAVING count(*) >= 2),
  fg AS (SELECT pn.profile_id, pn.time, p, temp, salt FROM pn CROSS JOIN (SELECT CAST(unnest(range(200, 1600, 200)) AS DOUBLE) AS p)
   LEFT JOIN prof ON prof.profile_id = pn.profile_id AND prof.pres = p),
- ff AS (SELECT profile_id, time, p, coalesce(temp, t0 + (t1 - t0) * (p - x0) / (x1 - x0)) AS temp, coalesce(salt, s0 + (s1 - s0) * (p - x0) / (x1 - x0)) AS salt FROM (SELECT *,
+ ff AS (SELECT profile_id, time, p, coalesce(temp, t0 + (t1 - t0) * ((p - x0) / (x1 - x0))) AS temp, coalesce(salt, s0 + (s1 - s0) * ((p - x0) / (x1 - x0))) AS salt FROM (SELECT *,
   last_value(CASE WHEN temp IS NOT NULL THEN p END IGNORE NULLS) OVER a AS x0, last_value(temp IGNORE NULLS) OVER a AS t0, last_value(salt IGNORE NULLS) OVER a AS s0,
   first_value(CASE WHEN temp IS NOT NULL THEN p END IGNORE NULLS) OVER b AS x1, first_value(temp IGNORE NULLS) OVER b AS t1, first_value(salt IGNORE NULLS) OVER b AS s1
   FROM fg WINDOW a AS (PARTITION BY profile_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
@@ -208,16 +208,6 @@ def _(spark, sf):
     return rounded(d, "profile_id pres", "temp salt sigma0")
 
 
-def holes(spark, sf):
-    """Pressure of three levels per site-year group with partly and fully missing records."""
-    from moorspark.plans.grid_queries import depth_records
-    from moorspark.operators import grid
-
-    lv = grid.levels(instr(spark, sf)).select("serial", "level", "depth")
-    d = depth_records(spark, sf).where("temp IS NOT NULL OR serial % 2 = 0").drop("temp")
-    return d, lv
-
-
 HOLE = """hp AS (SELECT mooring, level, t_us, depth, depth * 1.01 + CAST((t_us // 43200000000) % 13 AS DOUBLE) * (1 + depth / 1000) AS full_pres FROM (SELECT l.mooring, level, depth, t.t_us FROM
  (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) - 1 AS level FROM instr) l JOIN (SELECT DISTINCT mooring, CAST(t_us // 43200000000 * 43200000000 AS BIGINT) AS t_us FROM obs) t ON t.mooring = l.mooring)),
  pm AS (SELECT mooring, level, t_us, depth, CASE WHEN level % 7 = 3 THEN NULL WHEN level % 3 = 1 AND (t_us // 43200000000) % 5 = 2 THEN NULL ELSE full_pres END AS pres FROM hp)"""
