@@ -19,9 +19,9 @@ def from_us(c: Column | str) -> Column:
     return F.timestamp_micros(F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
 
-def shift_clock(obs: DataFrame, instr: DataFrame) -> DataFrame:
-    """Add the instrument's whole-second clock offset (missing: 0) to its sample times."""
-    off = instr.select("serial", F.coalesce(F.col("clock_offset").cast("long"), F.lit(0)).alias("__off"))
+def shift_clock(obs: DataFrame, instr: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Add the instrument's whole-second clock offset (missing: 0) to its sample times; ``keep`` more of its columns."""
+    off = instr.select("serial", *keep, F.coalesce(F.col("clock_offset").cast("long"), F.lit(0)).alias("__off"))
     d = obs.join(off, "serial")
     return d.withColumn("t_us", F.col("t_us") + F.col("__off") * 1_000_000).withColumn(
         "time", F.expr("timestampadd(SECOND, __off, time)")).drop("__off")
@@ -42,8 +42,7 @@ def trim(obs: DataFrame, deploy: DataFrame) -> DataFrame:
 
 def shift_and_trim(obs: DataFrame, instr: DataFrame, deploy: DataFrame) -> DataFrame:
     """Stage 2: attach the instrument's depth and name, shift the clock, then trim."""
-    cfg = instr.select("serial", "depth", "instrument")
-    return trim(shift_clock(obs, instr).join(cfg, "serial"), deploy)
+    return trim(shift_clock(obs, instr, keep=("depth", "instrument")), deploy)
 
 
 def parse_time(text: Column) -> Column:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_blocks
+from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_blocks, spread
 from moorspark.operators.series import every_nth
 
 
@@ -98,7 +98,7 @@ def lag_correlation(pairs: DataFrame, series: Sequence[str], x: str, y: str, ind
     types = dict(pairs.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in series]
                        + ["lag long", "n long", "sx double", "sy double", "sxx double", "syy double", "sxy double"])
-    p = d.groupBy(*series, "__block").applyInPandas(sums, schema)
+    p = spread(d, [*series, "__block"]).groupBy(*series, "__block").applyInPandas(sums, schema)
     s = p.groupBy(*series, "lag").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     n = F.when(F.col("n") >= min_overlap, F.col("n"))
     vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n

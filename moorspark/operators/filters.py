@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_blocks, ordered, percentiles
+from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_blocks, ordered, percentiles, spread
 
 #: Variables that are low-passed when present.
 FILTER_VARS = ("temperature", "salinity", "conductivity", "pressure", "u_velocity", "v_velocity",
@@ -119,15 +119,17 @@ def halo_periods(order: int) -> float:
 
 
 def filter_blocks(df: DataFrame, keys: Sequence[str], t: str, value: str, fs: Column, fc, kind: str = "low",
-                  order: int = 6, index: str = "idx", block: int = BLOCK_ROWS) -> DataFrame:
+                  order: int = 6, index: str = "idx", block: int = BLOCK_ROWS, min_segment: int = 0) -> DataFrame:
     """Filter each contiguous, regularly sampled segment named by ``keys``; ``index`` is its position.
 
     ``fs`` is the sampling frequency column (constant per segment), ``fc`` the cut-off(s) in the same unit.
+    Segments of at most ``min_segment`` rows stay as they are. The border is at least that long, so a block
+    sees a short segment whole and more than ``min_segment`` rows of a long one.
     """
     slow = min(fc) if isinstance(fc, (tuple, list)) else fc
     if isinstance(fc, (tuple, list)):
         slow = min(slow, fc[1] - fc[0])
-    half = F.ceil(F.lit(halo_periods(order) / slow) * F.col("__fs")) + pad_length(order, kind)
+    half = F.ceil(F.lit(halo_periods(order) / slow) * F.col("__fs")) + pad_length(order, kind) + min_segment
     d = df.select(*keys, F.col(t).alias("__t"), F.col(value).alias("__v"), F.col(index).alias("__i"), fs.alias("__fs"))
     d = d.withColumn("__h", half).withColumn("__size", F.greatest(F.lit(block).cast("long"), 2 * F.col("__h")))
     d = in_blocks(d, "__i", F.col("__h"), F.col("__size"))
@@ -141,12 +143,12 @@ def filter_blocks(df: DataFrame, keys: Sequence[str], t: str, value: str, fs: Co
         own = pdf["__own"].to_numpy()
         x = pdf["__v"].to_numpy(float)
         sos = butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc)
-        y = zero_phase(x, sos, pad) if len(x) > pad else x
+        y = zero_phase(x, sos, pad) if len(x) > max(pad, min_segment) else x
         return pdf.assign(__v=y)[own][[*keys, "__t", "__v"]]
 
     types = dict(df.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"__t {types[t]}", "__v double"])
-    out = d.groupBy(*keys, "__block").applyInPandas(run, schema)
+    out = spread(d, [*keys, "__block"]).groupBy(*keys, "__block").applyInPandas(run, schema)
     return out.withColumnsRenamed({"__t": t, "__v": value})
 
 
@@ -191,11 +193,12 @@ def lowpass(df: DataFrame, series: Sequence[str], values: Sequence[str] | None =
         F.array().cast("array<string>")).alias("__use"))
     long = attach(_long(df, [*series, t], values), info, series)
     use = F.array_contains(F.array_compact("__use"), F.col("var"))
-    seg = segments(long.where(use), [*series, "var"], "v", t, width)
-    big = F.col("seg_len") > min_segment
-    done = filter_blocks(seg.where(big), [*series, "var", "seg"], t, "v", 1.0 / F.col("__dt"), fc, "low", order)
+    # a segment is named by the last null before it
+    seg = ordered(long.where(use), [*series, "var"], [t], width, index="idx", last_valid={"seg": (F.col(t), F.col("v").isNull())})
+    seg = seg.where(F.col("v").isNotNull())
+    done = filter_blocks(seg, [*series, "var", "seg"], t, "v", 1.0 / F.col("__dt"), fc, "low", order, min_segment=min_segment)
     keep = [*series, t, "var", "v"]
-    same = seg.where(~big).select(*keep).unionByName(long.where(~use | F.col("v").isNull()).select(*keep))
+    same = long.where(~use | F.col("v").isNull()).select(*keep)
     return _wide(done.select(*keep).unionByName(same), [*series, t], values)
 
 
@@ -275,6 +278,6 @@ def power_spectrum(df: DataFrame, series: Sequence[str], value: str, t: str = "t
 
     types = dict(df.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in series] + ["bin long", "freq double", "p double"])
-    s = d.groupBy(*series, "__seg").applyInPandas(density, schema)
+    s = spread(d, [*series, "__seg"]).groupBy(*series, "__seg").applyInPandas(density, schema)
     s = s.groupBy(*series, "bin").agg(F.avg("freq").alias("freq_per_hour"), F.avg("p").alias("psd"))
     return s.withColumn("period_days", F.when(F.col("freq_per_hour") > 0, 1.0 / (F.col("freq_per_hour") * 24)))

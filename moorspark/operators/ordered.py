@@ -207,20 +207,29 @@ def sorted_median(arr: Column) -> Column:
     return F.when(n > 0, (lo + hi) / 2)
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """``(keys, __qv, __qc)``: how often each value occurs per key; nulls are left out."""
+    d = df.select(*keys, value.cast("double").alias("__qv")).where("__qv IS NOT NULL")
+    return d.groupBy(*keys, "__qv").agg(F.count(F.lit(1)).alias("__qc"))
+
+
 def percentiles(df: DataFrame, keys: Sequence[str], value: Column, probs: dict[str, float],
                 count: str | None = None) -> DataFrame:
-    """Exact linear-interpolated percentiles per key, one row per key that has a value.
+    """Exact linear-interpolated percentiles per key, one row per key that has a value."""
+    return percentiles_of_counts(value_counts(df, keys, value), keys, probs, count)
+
+
+def percentiles_of_counts(v: DataFrame, keys: Sequence[str], probs: dict[str, float], count: str | None = None) -> DataFrame:
+    """Percentiles from pre-aggregated values.
 
-    Values are pre-aggregated to ``(key, value, count)``. A monotone bin of the value (about 1.7e-4 wide,
-    relative above 1 and absolute below) gives per-key cumulative counts, so only the bins that contain a
-    wanted rank are sorted. No task sees more of one key than one bin.
+    A monotone bin of the value (about 1.7e-4 wide, relative above 1 and absolute below) gives per-key
+    cumulative counts, so only the bins that contain a wanted rank are sorted. No task sees more of one key
+    than one bin.
     """
     keys = list(keys)
-    d = df.select(*keys, value.cast("double").alias("__qv")).where("__qv IS NOT NULL")
     gk = keys
     if not gk:
-        d, gk = d.withColumn("__qk", F.lit(1)), ["__qk"]
-    v = d.groupBy(*gk, "__qv").agg(F.count(F.lit(1)).alias("__qc"))
+        v, gk = v.withColumn("__qk", F.lit(1)), ["__qk"]
     v = v.withColumn("__qb", F.floor(F.signum("__qv") * F.log1p(F.abs("__qv")) * 5909.0).cast("long"))
     wb = Window.partitionBy(*gk).orderBy("__qb").rowsBetween(Window.unboundedPreceding, 0)
     bins = (
@@ -266,6 +275,14 @@ def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inn
     return df.join(small, keys, how) if keys else df.crossJoin(small)
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition for a Python kernel into as many tasks as the session's shuffles have.
+
+    Small input would else be coalesced by size into a task or two, although the kernels are bound by CPU.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def explode_range(df: DataFrame, first: Column, last: Column, name: str, step: int = 4096) -> DataFrame:
     """One row per integer of ``[first, last]`` (none when empty), built from short arrays only."""
     d = df.withColumn("__k0", first.cast("long")).withColumn("__k1", last.cast("long"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,88 +142,121 @@ def lookup(arr: Column | str, temp: Column) -> Column:
     return F.when(pos < 0, F.get(a, F.lit(0))).when(pos > BINS - 1, F.get(a, F.lit(BINS - 1))).when(temp.isNotNull(), lin)
 
 
-def _knots(p1: Column, p2: Column, t1, t2, s1, s2, g1, g2, h1, h2, step: float) -> Column:
-    """Array of knots of one sensor pair: the blend of both end lines every ``step`` and at the lower sensor."""
-    n = F.ceil((p2 - p1) / step).cast("int")
-
-    def knot(j: Column) -> Column:
-        p = F.when(j < n, p1 + j * step).otherwise(p2)
-        u = (p - p1) / (p2 - p1)
-        return F.struct(p.alias("p"), ((1 - u) * (t1 + g1 * (p - p1)) + u * (t2 + g2 * (p - p2))).alias("t"),
-                        ((1 - u) * (s1 + h1 * (p - p1)) + u * (s2 + h2 * (p - p2))).alias("s"))
-
-    return F.transform(F.sequence(F.lit(0), n), knot)
-
-
-def _extrapolated(p0: Column, t0: Column, s0: Column, bound: Column, step: float) -> Column:
-    """Array of knots from a boundary sensor to ``bound`` in the direction of integration.
-
-    The temperature path is the Euler recursion with the gradient at the running temperature; the values are
-    the trapezoid integrals of the gradients along that path.
-    """
-    sign = F.signum(bound - p0)
-    n = F.ceil(F.abs(bound - p0) / step).cast("int")
-
-    def advance(state: Column, j: Column) -> Column:
-        dp = F.when(j < n, sign * step).otherwise(bound - (p0 + sign * step * (n - 1)))
-        e1 = state["e"] + state["g"] * dp
-
-        def grads(e: Column) -> Column:
-            return F.struct(e.alias("e"), lookup("gt", e).alias("g"), lookup("gs", e).alias("h"))
-
-        def integrate(x: Column) -> Column:
-            t1 = state["t"] + 0.5 * (state["g"] + x["g"]) * dp
-            s1 = state["s"] + 0.5 * (state["h"] + x["h"]) * dp
-            p1 = F.when(j < n, p0 + sign * step * j).otherwise(bound)
-            knot = F.struct(p1.alias("p"), t1.alias("t"), s1.alias("s"))
-            return F.struct(x["e"].alias("e"), x["g"].alias("g"), x["h"].alias("h"), t1.alias("t"), s1.alias("s"),
-                            F.concat(state["k"], F.array(knot)).alias("k"))
-
-        return F.get(F.transform(F.transform(F.array(e1), grads), integrate), F.lit(0))
+def _ordered_pairs(df: DataFrame, profile: Sequence[str], temp: str, salt: str, pres: str, time: str, width) -> DataFrame:
+    """Valid sensors with their next deeper one; profiles with a single valid sensor are skipped."""
+    d = df.where(F.col(temp).isNotNull() & F.col(pres).isNotNull())
+    d = d.select(*profile, time, F.col(pres).alias("p1"), F.col(temp).alias("t1"), F.col(salt).alias("s1"))
+    nxt = {"p2": F.col("p1"), "t2": F.col("t1"), "s2": F.col("s1")}
+    return ordered(d, profile, ["p1"], width, lead=nxt, index="i", count="n").where("n >= 2")
 
-    first = F.struct(p0.alias("p"), t0.alias("t"), s0.alias("s"))
-    start = F.struct(t0.alias("e"), lookup("gt", t0).alias("g"), lookup("gs", t0).alias("h"), t0.alias("t"), s0.alias("s"),
-                     F.array(first).alias("k"))
-    steps = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, start, advance, lambda s: s["k"])
 
+def _with_end_gradients(d: DataFrame) -> DataFrame:
+    """Gradients of both sensors of a pair, at their temperatures."""
+    return d.select("*", *[lookup(a, F.col(t)).alias(f"{a}{i}") for a in ("gt", "gs") for i, t in ((1, "t1"), (2, "t2"))]).drop("gt", "gs")
 
-def _ordered_pairs(df: DataFrame, profile: Sequence[str], temp: str, salt: str, pres: str, width) -> DataFrame:
-    d = df.where(F.col(temp).isNotNull() & F.col(pres).isNotNull())
-    nxt = {"__pn": F.col(pres), "__tn": F.col(temp), "__sn": F.col(salt)}
-    return ordered(d, profile, [pres], width, lead=nxt, index="__i", count="__n").where("__n >= 2")
 
-
-def _inner_knots(temp: str, salt: str, pres: str, step: float) -> Column:
-    t, s, p = F.col(temp), F.col(salt), F.col(pres)
-    tn, sn, pn = F.col("__tn"), F.col("__sn"), F.col("__pn")
-    return F.when(pn.isNotNull(), _knots(p, pn, t, tn, s, sn, lookup("gt", t), lookup("gt", tn), lookup("gs", t),
-                                         lookup("gs", tn), step))
+def _blend(p: Column, v: str, g: str) -> Column:
+    """Value at ``p`` between two sensors: both end lines, weighted by distance."""
+    u = (p - F.col("p1")) / (F.col("p2") - F.col("p1"))
+    return (1 - u) * (F.col(f"{v}1") + F.col(f"{g}1") * (p - F.col("p1"))) + u * (F.col(f"{v}2") + F.col(f"{g}2") * (p - F.col("p2")))
 
 
 def fill_between(df: DataFrame, clim: DataFrame, profile: Sequence[str], temp: str = "temp", salt: str = "salt",
                  pres: str = "pres", time: str = "time", step: float = 20.0, width: float | None = PRES_CHUNK) -> DataFrame:
     """Knots between neighbouring sensors, every ``step`` from the upper one, and the lowest sensor itself."""
-    d = with_gradients(_ordered_pairs(df, profile, temp, salt, pres, width), clim, time)
-    k = _inner_knots(temp, salt, pres, step)
-    own = F.array(F.struct(F.col(pres).alias("p"), F.col(temp).alias("t"), F.col(salt).alias("s")))
-    k = F.coalesce(F.slice(k, F.lit(1), F.size(k) - 1), own)
-    d = d.withColumn("__k", F.explode(k))
-    return d.select(*profile, F.col("__k.p").alias(pres), F.col("__k.t").alias(temp), F.col("__k.s").alias(salt))
+    d = _with_end_gradients(with_gradients(_ordered_pairs(df, profile, temp, salt, pres, time, width), clim, time))
+    n = F.coalesce(F.ceil((F.col("p2") - F.col("p1")) / step), F.lit(1))
+    d = explode_range(d, F.lit(0), n - 1, "j")
+    p = F.col("p1") + F.col("j") * step
+    first = F.col("j") == 0
+    return d.select(*profile, p.alias(pres), F.when(first, F.col("t1")).otherwise(_blend(p, "t", "gt")).alias(temp),
+                    F.when(first, F.col("s1")).otherwise(_blend(p, "s", "gs")).alias(salt))
+
+
+def collect_gradients(clim: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The gradients as two 12 x 74 arrays: a climatology is 888 rows, whatever it was built from."""
+    c = clim.select("month", "bin", F.col("dtdp").cast("double"), F.col("dsdp").cast("double")).where(
+        F.col("month").between(1, 12) & F.col("bin").between(0, BINS - 1)).toPandas()
+    out = np.full((2, 12, BINS), np.nan)
+    for k, v in enumerate(("dtdp", "dsdp")):
+        out[k, c["month"].to_numpy(int) - 1, c["bin"].to_numpy(int)] = c[v].to_numpy(float)
+    return out[0], out[1]
+
+
+def _at(table: np.ndarray, month: np.ndarray, temp: np.ndarray) -> np.ndarray:
+    """The same lookup as :func:`lookup` on arrays."""
+    pos = (temp - (BIN_EDGE + BIN_WIDTH / 2)) / BIN_WIDTH
+    i = np.clip(np.ceil(np.nan_to_num(pos)).astype(int) - 1, 0, BINS - 2)
+    a, b = table[month, i], table[month, i + 1]
+    v = a + (b - a) * (pos - i)
+    return np.where(pos < 0, table[month, 0], np.where(pos > BINS - 1, table[month, BINS - 1], v))
+
+
+def _integrate(ends: DataFrame, keep: Sequence[str], tables: tuple[np.ndarray, np.ndarray], step: float,
+               p_step: float | None) -> DataFrame:
+    """Integrate from end sensors ``(p1, t1, s1, month, bound)`` to their bounds, many profiles at a time.
+
+    The temperature path is the Euler recursion with the gradient at the running temperature; the values are
+    the trapezoid integrals of the gradients along that path. Gives the knots, or with ``p_step`` the grid
+    points beyond the sensor, linear between knots. Each row is on its own, so any partitioning will do.
+    """
+    gt, gs = tables
+    keep = list(keep)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            start, bound = pdf["p1"].to_numpy(float), pdf["bound"].to_numpy(float)
+            month = pdf["month"].to_numpy(int) - 1
+            sign, n = np.sign(bound - start), np.ceil(np.abs(bound - start) / step).astype(int)
+            t, s = pdf["t1"].to_numpy(float), pdf["s1"].to_numpy(float)
+            p, e, g, h = start, t, _at(gt, month, t), _at(gs, month, t)
+            row = np.arange(len(pdf))
+            pieces = [] if p_step else [(row, p, t, s)]
+            for j in range(1, n.max(initial=0) + 1):
+                on = n[row] >= j
+                row, p, t, s, e, g, h = (x[on] for x in (row, p, t, s, e, g, h))
+                p1 = np.where(j < n[row], start[row] + sign[row] * step * j, bound[row])
+                dp = p1 - p
+                e = e + g * dp
+                g1, h1 = _at(gt, month[row], e), _at(gs, month[row], e)
+                t1, s1 = t + 0.5 * (g + g1) * dp, s + 0.5 * (h + h1) * dp
+                if p_step:
+                    down = dp > 0
+                    k0 = np.where(down, np.floor(p / p_step) + 1, np.ceil(p1 / p_step)).astype(int)
+                    k1 = np.where(down, np.floor(p1 / p_step), np.ceil(p / p_step) - 1).astype(int)
+                    m = np.maximum(k1 - k0 + 1, 0)
+                    r = np.repeat(np.arange(len(row)), m)
+                    q = (np.repeat(k0, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)) * p_step
+                    u = (q - p[r]) / dp[r]
+                    pieces.append((row[r], q, np.where(u == 1, t1[r], t[r] + (t1 - t)[r] * u), np.where(u == 1, s1[r], s[r] + (s1 - s)[r] * u)))
+                else:
+                    pieces.append((row, p1, t1, s1))
+                p, t, s, g, h = p1, t1, s1, g1, h1
+            if pieces:
+                r, p, t, s = (np.concatenate(x) for x in zip(*pieces))
+                yield pdf[keep].iloc[r].assign(p=p, t=t, s=s)
+
+    types = dict(ends.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keep] + ["p double", "t double", "s double"])
+    return ends.select(*keep, "p1", "t1", "s1", "month", "bound").mapInPandas(run, schema)
+
+
+def _ends(pairs: DataFrame, time: str, p_top: float, p_bottom: float) -> DataFrame:
+    """First and last sensor of each profile with the bounds to integrate to."""
+    up = F.when((F.col("i") == 0) & (F.col("p1") > p_top), F.lit(float(p_top)))
+    down = F.when(F.col("p2").isNull() & (F.col("p1") < p_bottom), F.lit(float(p_bottom)))
+    d = pairs.where(up.isNotNull() | down.isNotNull()).withColumn("month", F.month(time))
+    return d.withColumn("bound", F.explode(F.array_compact(F.array(up, down))))
 
 
 def extrapolate_ends(df: DataFrame, clim: DataFrame, profile: Sequence[str], p_top: float = 0.0, p_bottom: float = 4980.0,
                      temp: str = "temp", salt: str = "salt", pres: str = "pres", time: str = "time", step: float = 20.0,
                      width: float | None = PRES_CHUNK) -> DataFrame:
     """Knots above the top and below the bottom sensor (the sensors themselves included)."""
-    d = with_gradients(_ordered_pairs(df, profile, temp, salt, pres, width), clim, time)
-    p, t, s = F.col(pres), F.col(temp), F.col(salt)
-    ends = F.array_compact(F.array(F.when((F.col("__i") == 0) & (p > p_top), F.lit(float(p_top))),
-                                   F.when(F.col("__pn").isNull() & (p < p_bottom), F.lit(float(p_bottom)))))
-    d = d.withColumn("__bound", F.explode(ends))
-    d = d.withColumn("__k", F.explode(_extrapolated(p, t, s, F.col("__bound"), step)))
-    return d.select(*profile, F.when(F.col("__bound") < p, "up").otherwise("down").alias("direction"),
-                    F.col("__k.p").alias(pres), F.col("__k.t").alias(temp), F.col("__k.s").alias(salt))
+    d = _ends(_ordered_pairs(df, profile, temp, salt, pres, time, width), time, p_top, p_bottom)
+    d = d.withColumn("direction", F.when(F.col("bound") < F.col("p1"), "up").otherwise("down"))
+    out = _integrate(d, [*profile, "direction"], collect_gradients(clim), step, None)
+    return out.withColumnsRenamed({"p": pres, "t": temp, "s": salt})
 
 
 def full_profiles(df: DataFrame, clim: DataFrame, profile: Sequence[str], temp: str = "temp", salt: str = "salt",
@@ -229,42 +264,34 @@ def full_profiles(df: DataFrame, clim: DataFrame, profile: Sequence[str], temp:
                   step: float = 20.0, extrapolate: bool = True, width: float | None = PRES_CHUNK) -> DataFrame:
     """Profiles on the grid ``0, p_step .. p_max`` with density; grid points without a value have no row.
 
-    Each sensor row makes the knots down to its successor (the end rows also those to the grid's ends) and
-    generates the grid points between them, so nothing is shuffled after the profile has been ordered.
+    Each sensor row generates the grid points down to its successor, on the chord between the two knots
+    around each point, so nothing is shuffled after the profile has been ordered.
     """
-    d = with_gradients(_ordered_pairs(df, profile, temp, salt, pres, width), clim, time)
-    t, s, p = F.col(temp), F.col(salt), F.col(pres)
-    none = F.array().cast("array<struct<p:double,t:double,s:double>>")
-    own = F.array(F.struct(p.alias("p"), t.alias("t"), s.alias("s")))
-    inner = F.coalesce(_inner_knots(temp, salt, pres, step), own)
-    parts = [inner]
+    tables = collect_gradients(clim)
+    spark = df.sparkSession
+    arrays = spark.createDataFrame(
+        [(m + 1, *[[None if np.isnan(x) else float(x) for x in t[m]] for t in tables]) for m in range(12)],
+        "month int, gt array<double>, gs array<double>")
+    pairs = _ordered_pairs(df, profile, temp, salt, pres, time, width)
+    d = _with_end_gradients(pairs.withColumn("month", F.month(time)).join(F.broadcast(arrays), "month"))
+    top = int(p_max / p_step)
+    hi = F.when(F.col("p2").isNull(), F.floor(F.col("p1") / p_step)).otherwise(F.ceil(F.col("p2") / p_step) - 1)
+    d = explode_range(d, F.ceil(F.col("p1") / p_step), F.least(hi, F.lit(top)), "g")
+    q = F.col("g") * F.lit(float(p_step))
+    lo = F.col("p1") + F.floor((q - F.col("p1")) / step) * step
+    up = F.least(lo + step, F.col("p2"))
+    d = d.select("*", q.alias("q"), lo.alias("lo"), up.alias("hi"))
+
+    def value(v: str, g: str) -> Column:
+        a, b = _blend(F.col("lo"), v, g), _blend(F.col("hi"), v, g)
+        w = (F.col("q") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+        return F.when(F.col("q") == F.col("p1"), F.col(f"{v}1")).when(w == 0, a).otherwise(a + (b - a) * w)
+
+    out = d.select(*profile, time, F.col("q").alias(pres), value("t", "gt").alias(temp), value("s", "gs").alias(salt))
     if extrapolate:
-        up = F.when((F.col("__i") == 0) & (p > 0), _extrapolated(p, t, s, F.lit(0.0), step))
-        down = F.when(F.col("__pn").isNull() & (p < p_max), _extrapolated(p, t, s, F.lit(float(p_max)), step))
-        up = F.coalesce(up, none)
-        down = F.coalesce(down, none)
-        # up comes deepest first; its first knot is the sensor, as is the first one of down
-        parts = [F.reverse(F.slice(up, F.lit(2), F.greatest(F.size(up), F.lit(1)))), inner,
-                 F.slice(down, F.lit(2), F.greatest(F.size(down), F.lit(1)))]
-    knots = F.concat(*parts)
-    d = d.select(*profile, time, F.col("__pn").isNull().alias("__last"), knots.alias("__k"))
-    size = F.size("__k")
-    n_seg = F.when(F.col("__last"), size).otherwise(size - 1)
-    d = d.withColumn("__j", F.explode(F.sequence(F.lit(0), n_seg - 1)))
-    a, b = F.get("__k", F.col("__j")), F.get("__k", F.col("__j") + 1)
-    d = d.select(*profile, time, a.alias("a"), b.alias("b"))
-    lo = F.ceil(F.col("a.p") / p_step)
-    hi = F.when(F.col("b").isNull(), F.floor(F.col("a.p") / p_step)).otherwise(F.ceil(F.col("b.p") / p_step) - 1)
-    d = explode_range(d, lo, F.least(hi, F.lit(int(p_max / p_step))), "__g")
-    g = F.col("__g") * F.lit(float(p_step))
-    u = (g - F.col("a.p")) / (F.col("b.p") - F.col("a.p"))
-
-    def chord(v: str) -> Column:
-        x, y = F.col(f"a.{v}"), F.col(f"b.{v}")
-        return F.when(g == F.col("a.p"), x).otherwise(x + (y - x) * u)
-
-    d = d.select(*profile, time, g.alias(pres), chord("t").alias(temp), chord("s").alias(salt))
-    return d.withColumn("sigma0", sigma0(F.col(salt), F.col(temp)))
+        e = _integrate(_ends(pairs, time, 0.0, p_max), [*profile, time], tables, step, p_step)
+        out = out.unionByName(e.withColumnsRenamed({"p": pres, "t": temp, "s": salt}))
+    return out.withColumn("sigma0", sigma0(F.col(salt), F.col(temp)))
 
 
 def repair_pressure(df: DataFrame, group: str = "mooring", level: str = "level", t: str = "t_us", pres: str = "pres") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import TIME_CHUNK, attach, ordered, percentiles
+from moorspark.operators.ordered import TIME_CHUNK, attach, ordered, percentiles, percentiles_of_counts, value_counts
 
 
 def sampling_stats(obs: DataFrame, series: Sequence[str], t: str = "t_us", width: int = TIME_CHUNK) -> DataFrame:
@@ -15,13 +15,17 @@ def sampling_stats(obs: DataFrame, series: Sequence[str], t: str = "t_us", width
 
     Records with fewer than two samples are skipped.
     """
+    series = list(series)
+    base = obs.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("start_us"), F.max(t).alias("end_us")).where("n > 1")
     d = ordered(obs.select(*series, t), series, [t], width, lag={"__p": F.col(t)})
-    d = d.withColumn("__dt", (F.col(t) - F.col("__p")) / 60e6)
-    basic = d.groupBy(*series).agg(
-        F.count(F.lit(1)).alias("n"), F.min(t).alias("start_us"), F.max(t).alias("end_us"),
-        F.min("__dt").alias("min_dt"), F.max("__dt").alias("max_dt"), F.stddev_pop("__dt").alias("std_dt"))
-    med = percentiles(d, series, F.col("__dt"), {"median_dt": 0.5})
-    return basic.where("n > 1").join(med, list(series))
+    v = value_counts(d, series, (F.col(t) - F.col("__p")) / 60e6)
+    med = percentiles_of_counts(v, series, {"median_dt": 0.5})
+    mean = (F.col("end_us") - F.col("start_us")) / (F.col("n") - 1) / 60e6
+    far = F.col("__qv") - mean
+    spread = v.join(base, series).groupBy(*series, "n", "start_us", "end_us").agg(
+        F.min("__qv").alias("min_dt"), F.max("__qv").alias("max_dt"),
+        F.sqrt(F.sum(F.col("__qc") * far * far) / F.sum("__qc")).alias("std_dt"))
+    return spread.join(med, series)
 
 
 def timing_report(stats: DataFrame, group: str = "mooring") -> DataFrame:

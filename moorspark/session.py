@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # call sites of every column expression cost more driver time than planning itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
