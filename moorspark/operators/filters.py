@@ -8,14 +8,15 @@ task filters one bounded block and the result equals filtering the whole segment
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_blocks, ordered, percentiles, spread
+from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_batches, in_blocks, ordered, percentiles, spread, whole_groups
+from moorspark.session import materialize
 
 #: Variables that are low-passed when present.
 FILTER_VARS = ("temperature", "salinity", "conductivity", "pressure", "u_velocity", "v_velocity",
@@ -69,7 +70,7 @@ def _state_space(sos: np.ndarray):
     return a, b, c, d
 
 
-def _run(x: np.ndarray, sys, size: int = 128) -> np.ndarray:
+def _run(x: np.ndarray, sys, size: int) -> np.ndarray:
     """Filter ``x`` from the steady state of its first value, ``size`` samples per matrix product."""
     a, b, c, d = sys
     m = len(b)
@@ -104,8 +105,9 @@ def _run(x: np.ndarray, sys, size: int = 128) -> np.ndarray:
 def zero_phase(x: np.ndarray, sos: np.ndarray, pad: int) -> np.ndarray:
     """Forward and backward pass with odd extension by ``pad`` samples."""
     sys = _state_space(sos)
+    size = 128 if len(x) > 2000 else 24
     ext = np.concatenate([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2:-pad - 2:-1]])
-    y = _run(_run(ext, sys)[::-1], sys)[::-1]
+    y = _run(_run(ext, sys, size)[::-1], sys, size)[::-1]
     return y[pad:len(y) - pad]
 
 
@@ -135,20 +137,26 @@ def filter_blocks(df: DataFrame, keys: Sequence[str], t: str, value: str, fs: Co
     d = in_blocks(d, "__i", F.col("__h"), F.col("__size"))
     pad = pad_length(order, kind)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["__own"].to_numpy()
-        if not own.any():
-            return pdf.iloc[:0][[*keys, "__t", "__v"]]
-        pdf = pdf.sort_values("__i")
-        own = pdf["__own"].to_numpy()
-        x = pdf["__v"].to_numpy(float)
-        sos = butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc)
-        y = zero_phase(x, sos, pad) if len(x) > max(pad, min_segment) else x
-        return pdf.assign(__v=y)[own][[*keys, "__t", "__v"]]
-
-    types = dict(df.dtypes)
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"__t {types[t]}", "__v double"])
-    out = spread(d, [*keys, "__block"]).groupBy(*keys, "__block").applyInPandas(run, schema)
+    group = [*keys, "__block"]
+
+    def filtered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, group):
+            own = pdf["__own"].to_numpy(bool)
+            if not own.any():
+                continue
+            x = pdf["__v"].to_numpy(float)
+            if len(x) > max(pad, min_segment):
+                x = zero_phase(x, butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc), pad)
+            out = pdf[[*keys, "__t"]].assign(__v=x)
+            yield out if own.all() else out[own]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from in_batches(filtered(batches))
+
+    types = dict(d.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"__t {types['__t']}", "__v double"])
+    # sorted partitions: one Arrow batch holds many short segments, one long block spans many batches
+    out = spread(d, group).sortWithinPartitions(*group, "__i").mapInPandas(run, schema)
     return out.withColumnsRenamed({"__t": t, "__v": value})
 
 
@@ -191,11 +199,13 @@ def lowpass(df: DataFrame, series: Sequence[str], values: Sequence[str] | None =
     share = F.array(*[F.when(F.col(f"__ok_{v}") >= min_valid * F.col("__n"), F.lit(v)) for v in values])
     info = info.select(*series, "__dt", F.when(F.coalesce(fits, F.lit(False)), share).otherwise(
         F.array().cast("array<string>")).alias("__use"))
+    # one row per record, read by three branches of the plan
+    info = materialize(info, "records")
     long = attach(_long(df, [*series, t], values), info, series)
     use = F.array_contains(F.array_compact("__use"), F.col("var"))
     # a segment is named by the last null before it
     seg = ordered(long.where(use), [*series, "var"], [t], width, index="idx", last_valid={"seg": (F.col(t), F.col("v").isNull())})
-    seg = seg.where(F.col("v").isNotNull())
+    seg = seg.where(F.col("v").isNotNull()).withColumn("seg", F.coalesce("seg", F.lit(-1 << 62)))
     done = filter_blocks(seg, [*series, "var", "seg"], t, "v", 1.0 / F.col("__dt"), fc, "low", order, min_segment=min_segment)
     keep = [*series, t, "var", "v"]
     same = long.where(~use | F.col("v").isNull()).select(*keep)

@@ -8,8 +8,10 @@ holds a large share of all rows is spread over as many tasks as it has chunks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ DAY_US = 86_400_000_000
 #: Default chunk of a time axis. A 16-Hz record has 1.4 million samples a day.
 TIME_CHUNK = DAY_US
 #: Default chunk of a pressure axis (dbar).
-PRES_CHUNK = 500.0
+PRES_CHUNK = 1000.0
 #: Rows of one block of :func:`in_blocks`.
 BLOCK_ROWS = 1 << 17
 
@@ -283,6 +285,42 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def whole_groups(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Groups of rows with equal keys from batches sorted by them (a group may span batches)."""
+    pending: list[pd.DataFrame] = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        cols = [pdf[k].to_numpy() for k in keys]
+        cut = np.zeros(len(pdf) - 1, dtype=bool)
+        for c in cols:
+            cut |= c[1:] != c[:-1]
+        edges = [0, *(np.flatnonzero(cut) + 1), len(pdf)]
+        if pending and any(pending[-1][k].iloc[-1] != c[0] for k, c in zip(keys, cols)):
+            yield pd.concat(pending, ignore_index=True)
+            pending = []
+        for a, b in zip(edges[:-2], edges[1:-1]):
+            yield pd.concat([*pending, pdf.iloc[a:b]], ignore_index=True) if pending else pdf.iloc[a:b]
+            pending = []
+        pending.append(pdf.iloc[edges[-2]:])
+    if pending:
+        yield pd.concat(pending, ignore_index=True)
+
+
+def in_batches(frames: Iterator[pd.DataFrame], rows: int = 20_000) -> Iterator[pd.DataFrame]:
+    """Join small frames, so that a task does not send one Arrow batch per group."""
+    held: list[pd.DataFrame] = []
+    n = 0
+    for f in frames:
+        held.append(f)
+        n += len(f)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def explode_range(df: DataFrame, first: Column, last: Column, name: str, step: int = 4096) -> DataFrame:
     """One row per integer of ``[first, last]`` (none when empty), built from short arrays only."""
     d = df.withColumn("__k0", first.cast("long")).withColumn("__k1", last.cast("long"))

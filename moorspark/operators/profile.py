@@ -58,11 +58,15 @@ def hydrographic_subset(df: DataFrame, lat: tuple[float, float], lon: tuple[floa
 
 
 def gradients(df: DataFrame, profile: Sequence[str], values: Sequence[str], axis: str = "pres",
-              width: float | None = PRES_CHUNK) -> DataFrame:
-    """``d<value>``: second-order central difference for uneven spacing, one-sided at the ends."""
+              width: float | None = PRES_CHUNK, min_levels: int = 1) -> DataFrame:
+    """``d<value>``: second-order central difference for uneven spacing, one-sided at the ends.
+
+    Profiles with fewer than ``min_levels`` rows are skipped.
+    """
     vals = {v: F.col(v) for v in values}
     d = ordered(df, profile, [axis], width, lag={"__xp": F.col(axis), **{f"__p_{v}": c for v, c in vals.items()}},
-                lead={"__xn": F.col(axis), **{f"__n_{v}": c for v, c in vals.items()}})
+                lead={"__xn": F.col(axis), **{f"__n_{v}": c for v, c in vals.items()}}, count="__cnt")
+    d = d.where(F.col("__cnt") >= min_levels).drop("__cnt")
     hs, hd = F.col(axis) - F.col("__xp"), F.col("__xn") - F.col(axis)
     for v in values:
         c, p, n = F.col(v), F.col(f"__p_{v}"), F.col(f"__n_{v}")

@@ -6,8 +6,8 @@ from moorspark.operators import clock, grid, stats
 from moorspark.operators.ordered import attach
 from moorspark.plans.grid_queries import LEVELS, SEG
 from moorspark.plans.registry import q6, query, rounded
+from moorspark.plans.standin import instr, obs, oracle, stage2, stored
 from moorspark.session import materialize
-from moorspark.plans.standin import instr, obs, oracle, stage2
 
 TIMES = """lv0 AS (SELECT serial, mooring, row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) - 1 AS level FROM instr),
  tm AS (SELECT l.mooring, l.level, l.serial, min(CASE WHEN temp < 10 THEN t_us END) AS start_us, max(CASE WHEN temp < 10 THEN t_us END) AS end_us
@@ -57,7 +57,7 @@ def _(spark, sf):
 
 
 def gridded(spark, sf):
-    d = stage2(spark, sf)
+    d = stored(stage2, spark, sf)
     st = stats.sampling_stats(d, ["mooring", "serial"])
     g = grid.common_grid(st)
     c = grid.interpolate(d, g, ["serial"], ["mooring"], ["temp"], whole_grid=True)

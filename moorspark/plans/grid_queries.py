@@ -7,7 +7,7 @@ from moorspark.operators.ordered import DAY_US
 from moorspark.plans.clean_queries import HOURLY, hourly
 from moorspark.plans.mooring_step import mooring_step
 from moorspark.plans.registry import q6, query, rounded
-from moorspark.plans.standin import instr, obs, oracle, stage2
+from moorspark.plans.standin import instr, obs, oracle, stage2, stored
 from moorspark.plans.stats_queries import SAMPLING, sampling
 
 GRID = SAMPLING + """,
@@ -44,7 +44,7 @@ def _(spark, sf):
 
 @query("i2_interpolate", oracle("stage2", f"SELECT mooring, serial, k, t_us, {q6('temp', 'cond')} FROM ip", SEG))
 def _(spark, sf):
-    d = stage2(spark, sf)
+    d = stored(stage2, spark, sf)
     g = grid.common_grid(stats.sampling_stats(d, ["mooring", "serial"]))
     d = grid.interpolate(d, g, ["serial"], ["mooring"], ["temp", "cond"])
     return rounded(d, "mooring serial k t_us", "temp cond")
@@ -86,7 +86,7 @@ def _(spark, sf):
 
 def stacked(spark, sf, values=("temp", "cond")):
     """Stage-2 records gridded and stacked, one row per cell of the mooring's time x level matrix."""
-    d, i = stage2(spark, sf), instr(spark, sf)
+    d, i = stored(stage2, spark, sf), instr(spark, sf)
     st = stats.sampling_stats(d, ["mooring", "serial"])
     g = grid.interpolate(d, grid.common_grid(st), ["serial"], ["mooring"], list(values), whole_grid=True)
     return grid.stack_levels(g, grid.levels(i, st), list(values))
@@ -144,5 +144,5 @@ def _(spark, sf):
  codes AS (SELECT mooring, instrument, row_number() OVER (PARTITION BY mooring ORDER BY fl) AS instrument_code FROM fa),
  names AS (SELECT mooring, string_agg(replace(instrument, ' ', '_'), ' ' ORDER BY fl) AS instrument_meanings FROM fa GROUP BY 1)"""))
 def _(spark, sf):
-    d = mooring_step(stage2(spark, sf), instr(spark, sf), ["temp", "cond"])
+    d = mooring_step(stored(stage2, spark, sf), instr(spark, sf), ["temp", "cond"])
     return rounded(d, "mooring t_us level serial nominal_depth clock_offset instrument_code instrument_meanings", "temp cond")

@@ -4,13 +4,21 @@ from pyspark.sql import functions as F
 
 from moorspark.functions import seawater
 from moorspark.operators import profile
-from moorspark.operators.ordered import attach
 from moorspark.plans.profile_views import BIN_SQL, CLIM, CLIM_RAW, GRAD, clim, clim_raw, grads
 from moorspark.plans.registry import q6, query, rounded
-from moorspark.plans.standin import instr, obs, oracle, prof
+from moorspark.plans.standin import instr, obs, oracle, prof, stored
+from moorspark.session import materialize
 
 P = ["profile_id"]
 
+def _tables(spark, sf):
+    """Stored profiles and the stored climatology made from them."""
+    p = stored(prof, spark, sf)
+    g = profile.gradients(p, P, ["temp", "salt"], min_levels=2)
+    c = profile.complete_climatology(profile.smooth_climatology(profile.bin_gradients(g)))
+    return p, materialize(c, "climatology")
+
+
 #: Fixed values of the density polynomial, restated for the checking engine.
 SPV = seawater.SPECVOL0
 
@@ -149,7 +157,7 @@ GT = """cm AS (SELECT month, bin, dtdp, dsdp FROM clim),
 @query("d7_climatology_lookup", oracle("prof", f"SELECT profile_id, pres, {q6('gt', 'gs', digits=8)} FROM (SELECT profile_id, pres, gt, gs FROM prof JOIN gv ON mo = month(time) AND tv = temp)",
                                        CLIM + "," + GT))
 def _(spark, sf):
-    d = profile.with_gradients(prof(spark, sf), clim(spark, sf))
+    d = profile.with_gradients(*_tables(spark, sf))
     d = d.select("profile_id", "pres", profile.lookup("gt", F.col("temp")).alias("a"), profile.lookup("gs", F.col("temp")).alias("b"))
     return rounded(d.withColumnsRenamed({"a": "gt", "b": "gs"}), "profile_id pres", "gt gs", 8)
 
@@ -165,7 +173,7 @@ KNOT = GT + """, pr AS (SELECT s.*, a.gt AS g1, a.gs AS h1, b.gt AS g2, b.gs AS
 
 @query("l8_fill_between", oracle("prof", f"SELECT profile_id, pres, {q6('temp', 'salt')} FROM kn", CLIM + "," + KNOT))
 def _(spark, sf):
-    d = profile.fill_between(prof(spark, sf), clim(spark, sf), P, step=30.0)
+    d = profile.fill_between(*_tables(spark, sf), P, step=30.0)
     return rounded(d, "profile_id pres", "temp salt")
 
 
@@ -186,7 +194,7 @@ EULER = KNOT + """, st0 AS (SELECT profile_id, 'up' AS direction, month(time) AS
 
 @query("l9_extrapolate_ends", oracle("prof", f"SELECT profile_id, direction, pres, {q6('temp', 'salt')} FROM eu", CLIM + "," + EULER))
 def _(spark, sf):
-    d = profile.extrapolate_ends(prof(spark, sf), clim(spark, sf), P, 0.0, 1600.0, step=30.0)
+    d = profile.extrapolate_ends(*_tables(spark, sf), P, 0.0, 1600.0, step=30.0)
     return rounded(d, "profile_id direction pres", "temp salt")
 
 
@@ -198,13 +206,13 @@ CHORD = KNOT + """, ks AS (SELECT *, lead(pres) OVER w AS xn, lead(temp) OVER w
 
 @query("l10_full_profiles_inner", oracle("prof", f"SELECT profile_id, pres, {q6('temp', 'salt', 'sigma0')} FROM (SELECT *, {sigma_sql('salt', 'temp')} AS sigma0 FROM fp0)", CLIM + "," + CHORD))
 def _(spark, sf):
-    d = profile.full_profiles(prof(spark, sf), clim(spark, sf), P, p_max=2000.0, step=30.0, extrapolate=False)
+    d = profile.full_profiles(*_tables(spark, sf), P, p_max=2000.0, step=30.0, extrapolate=False)
     return rounded(d, "profile_id pres", "temp salt sigma0")
 
 
 @query("l10_full_profiles")
 def _(spark, sf):
-    d = profile.full_profiles(prof(spark, sf), clim(spark, sf), P, p_max=2000.0)
+    d = profile.full_profiles(*_tables(spark, sf), P, p_max=2000.0)
     return rounded(d, "profile_id pres", "temp salt sigma0")
 
 

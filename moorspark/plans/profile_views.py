@@ -33,13 +33,7 @@ BIN_SQL = _BIN
 
 
 def grads(spark, sf):
-    from pyspark.sql import functions as F
-
-    from moorspark.operators.ordered import attach
-
-    p = prof(spark, sf)
-    many = p.groupBy("profile_id").agg(F.count(F.lit(1)).alias("__n")).where("__n >= 2").drop("__n")
-    return profile.gradients(attach(p, many, ["profile_id"]), ["profile_id"], ["temp", "salt"])
+    return profile.gradients(prof(spark, sf), ["profile_id"], ["temp", "salt"], min_levels=2)
 
 
 def clim_raw(spark, sf):

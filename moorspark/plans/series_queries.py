@@ -6,7 +6,7 @@ from moorspark.operators import filters, series
 from moorspark.operators.ordered import DAY_US
 from moorspark.plans.profile_views import CLIM_RAW, clim_raw
 from moorspark.plans.registry import q6, query, rounded
-from moorspark.plans.standin import obs, oracle, stage2
+from moorspark.plans.standin import obs, oracle, stage2, stored
 
 S = ["serial"]
 
@@ -91,7 +91,7 @@ def _(spark, sf):
 
 @query("f9_lowpass")
 def _(spark, sf):
-    d = filters.lowpass(stage2(spark, sf), S, ["temp", "cond"], cutoff_days=4.0, min_rows=30)
+    d = filters.lowpass(stored(stage2, spark, sf), S, ["temp", "cond"], cutoff_days=4.0, min_rows=30)
     return rounded(d, "serial t_us", "temp cond")
 
 
@@ -104,7 +104,7 @@ def _(spark, sf):
 
 @query("f10_gap_aware_lowpass")
 def _(spark, sf):
-    d = filters.lowpass(gappy(spark, sf), S, ["v"], cutoff_days=4.0, min_rows=30, min_segment=21)
+    d = filters.lowpass(stored(gappy, spark, sf), S, ["v"], cutoff_days=4.0, min_rows=30, min_segment=21)
     return rounded(d, "serial t_us", "v")
 
 

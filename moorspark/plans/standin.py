@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moorspark.session import materialize
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -117,6 +119,14 @@ def stage2(spark, sf) -> DataFrame:
         "event_id", "mooring", "serial", "t_us", "time", "kind", "temp", "cond", "pres", "depth", "instrument")
 
 
+def stored(view, spark, sf) -> DataFrame:
+    """A view as a stored table, as each processing stage leaves it for the next one.
+
+    Operators read their input more than once; a view with joins would be evaluated each time.
+    """
+    return materialize(view(spark, sf), view.__name__)
+
+
 _SQL = {
     "obs": """SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS serial,
  CAST(user_id % 5 AS BIGINT) AS mooring, epoch_us(ts) AS t_us, ts AS time, event_type AS kind,
