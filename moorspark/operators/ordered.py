@@ -50,6 +50,8 @@ def ordered(
     ``order[0]`` is the numeric axis, further names break ties. ``width=None`` skips the chunking and is
     for groups with a physical bound (the levels of one profile).
 
+    Series keys must not be null.
+
     * ``lag`` / ``lead``: value of the expression at the previous / next row
     * ``index`` / ``count``: 0-based position / number of rows of the series
     * ``cum`` / ``total``: inclusive running sum / sum over the series (nulls count as 0)
@@ -60,7 +62,9 @@ def ordered(
     lag, lead, cum, total = lag or {}, lead or {}, cum or {}, total or {}
     last_valid, next_valid = last_valid or {}, next_valid or {}
     chunked = width is not None
-    d = df.withColumn(_CH, F.floor(F.col(order[0]) / F.lit(width))) if chunked else df
+    # rows without an axis value sort first, as in a plain window
+    chunk = F.coalesce(F.floor(F.col(order[0]) / F.lit(width)), F.lit(-1 << 62))
+    d = df.withColumn(_CH, chunk) if chunked else df
     part = keys + ([_CH] if chunked else [])
     w = Window.partitionBy(*part).orderBy(*order)
     wpre = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -211,7 +215,7 @@ def sorted_median(arr: Column) -> Column:
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
     """``(keys, __qv, __qc)``: how often each value occurs per key; nulls are left out."""
-    d = df.select(*keys, value.cast("double").alias("__qv")).where("__qv IS NOT NULL")
+    d = df.select(*keys, value.cast("double").alias("__qv")).where("__qv IS NOT NULL AND NOT isnan(__qv)")
     return d.groupBy(*keys, "__qv").agg(F.count(F.lit(1)).alias("__qc"))
 
 
@@ -273,8 +277,9 @@ def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inn
     No broadcast hint: the optimizer broadcasts when the measured size is below its threshold, else the
     sort-merge join is split at skewed keys by adaptive execution.
     """
-    keys = list(keys)
-    return df.join(small, keys, how) if keys else df.crossJoin(small)
+    if not keys:
+        raise ValueError("per-key results need a key")
+    return df.join(small, list(keys), how)
 
 
 def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -106,7 +106,7 @@ def _(spark, sf):
 def headers(spark, sf):
     s, m = F.col("serial"), F.col("mooring")
     return instr(spark, sf).select(
-        s.alias("dataset_id"), F.when(m == 0, "solo").otherwise(F.concat(F.lit("wb"), m.cast("string"), F.lit("_9_2024"))).alias("mooring_name"), "serial",
+        s.alias("dataset_id"), F.when(m == 0, "solo").otherwise(F.concat(F.lit("mr"), m.cast("string"), F.lit("_9_2024"))).alias("mooring_name"), "serial",
         (20.0 + m).alias("lat"), (-70.0 - m).alias("lon"), "depth", F.lit("2024/01/02T00:00:00Z").alias("start"), F.lit("2024/01/29T00:00:00Z").alias("end"),
         F.concat(F.lit("r"), F.when(s % 4 == 0, ".raw").when(s % 4 == 1, ".microcat").otherwise(".dat")).alias("source_file"),
         F.when(s % 3 == 0, "Delayed mode").when(s % 3 == 1, "real-time feed").alias("history"))
@@ -115,10 +115,10 @@ def headers(spark, sf):
 MODE = "CASE WHEN serial % 4 = 0 THEN 'P' WHEN serial % 4 = 1 THEN 'D' WHEN serial % 3 = 0 THEN 'D' WHEN serial % 3 = 1 THEN 'R' ELSE 'P' END"
 
 
-@query("b10_dataset_attributes", oracle("instr obs", f"""SELECT serial AS dataset_id, 'Time series from ' || nm || ', instrument ' || serial AS title, '2024-01-02T00:00:00Z' AS time_coverage_start, CASE WHEN mooring = 0 THEN 'solo' ELSE 'wb' || mooring END AS platform_code,
- CASE WHEN mooring = 0 THEN 'unknown' ELSE '9_2024' END AS deployment_code, 'OS_' || CASE WHEN mooring = 0 THEN 'solo_unknown' ELSE 'wb' || mooring || '_9_2024' END || '_' || serial || '_' || {MODE} AS id, {MODE} AS data_mode,
+@query("b10_dataset_attributes", oracle("instr obs", f"""SELECT serial AS dataset_id, 'Time series from ' || nm || ', instrument ' || serial AS title, '2024-01-02T00:00:00Z' AS time_coverage_start, CASE WHEN mooring = 0 THEN 'solo' ELSE 'mr' || mooring END AS platform_code,
+ CASE WHEN mooring = 0 THEN 'unknown' ELSE '9_2024' END AS deployment_code, 'OS_' || CASE WHEN mooring = 0 THEN 'solo_unknown' ELSE 'mr' || mooring || '_9_2024' END || '_' || serial || '_' || {MODE} AS id, {MODE} AS data_mode,
  CASE WHEN dt >= 86400 THEN 'P' || CAST(floor(dt / 86400) AS BIGINT) || 'D' WHEN dt >= 3600 THEN 'PT' || CAST(floor(dt / 3600) AS BIGINT) || 'H' END AS time_coverage_resolution, depth AS geospatial_vertical_min, 'PROJ' AS project
- FROM (SELECT *, CASE WHEN mooring = 0 THEN 'solo' ELSE 'wb' || mooring || '_9_2024' END AS nm FROM instr) i LEFT JOIN (SELECT serial AS s, round_even(quantile_cont(d, 0.5), 0) AS dt FROM (SELECT serial,
+ FROM (SELECT *, CASE WHEN mooring = 0 THEN 'solo' ELSE 'mr' || mooring || '_9_2024' END AS nm FROM instr) i LEFT JOIN (SELECT serial AS s, round_even(quantile_cont(d, 0.5), 0) AS dt FROM (SELECT serial,
  (t_us - lag(t_us) OVER (PARTITION BY serial ORDER BY t_us)) // 1000000 AS d FROM obs) WHERE d > 0 GROUP BY 1) ON s = serial"""))
 def _(spark, sf):
     dt = sampling_interval(obs(spark, sf), ["serial"]).withColumnRenamed("serial", "dataset_id")
