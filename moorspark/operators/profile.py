@@ -151,12 +151,19 @@ def _ordered_pairs(df: DataFrame, profile: Sequence[str], temp: str, salt: str,
     d = df.where(F.col(temp).isNotNull() & F.col(pres).isNotNull())
     d = d.select(*profile, time, F.col(pres).alias("p1"), F.col(temp).alias("t1"), F.col(salt).alias("s1"))
     nxt = {"p2": F.col("p1"), "t2": F.col("t1"), "s2": F.col("s1")}
-    return ordered(d, profile, ["p1"], width, lead=nxt, index="i", count="n").where("n >= 2")
+    return ordered(d, profile, ["p1"], width, lead=nxt, lag={"t0": F.col("t1")}, index="i", count="n").where("n >= 2")
 
 
 def _with_end_gradients(d: DataFrame) -> DataFrame:
-    """Gradients of both sensors of a pair, at their temperatures."""
-    return d.select("*", *[lookup(a, F.col(t)).alias(f"{a}{i}") for a in ("gt", "gs") for i, t in ((1, "t1"), (2, "t2"))]).drop("gt", "gs")
+    """Gradients of both sensors of a pair, at their temperatures, and the values at the upper sensor.
+
+    A missing gradient makes the line from its sensor missing, also where that line has no weight: at a
+    sensor the value is missing with the gradient of the sensor above it (of the one below it at the top).
+    """
+    d = d.select("*", *[lookup(a, F.col(t)).alias(f"{a}{i}") for a in ("gt", "gs") for i, t in ((1, "t1"), (2, "t2"))],
+                 *[lookup(a, F.coalesce("t0", "t2")).alias(f"{a}0") for a in ("gt", "gs")])
+    return d.select("*", F.when(F.col("gt0").isNotNull(), F.col("t1")).alias("town"),
+                    F.when(F.col("gs0").isNotNull(), F.col("s1")).alias("sown")).drop("gt", "gs", "gt0", "gs0")
 
 
 def _blend(p: Column, v: str, g: str) -> Column:
@@ -173,8 +180,8 @@ def fill_between(df: DataFrame, clim: DataFrame, profile: Sequence[str], temp: s
     d = explode_range(d, F.lit(0), n - 1, "j")
     p = F.col("p1") + F.col("j") * step
     first = F.col("j") == 0
-    return d.select(*profile, p.alias(pres), F.when(first, F.col("t1")).otherwise(_blend(p, "t", "gt")).alias(temp),
-                    F.when(first, F.col("s1")).otherwise(_blend(p, "s", "gs")).alias(salt))
+    return d.select(*profile, p.alias(pres), F.when(first, F.col("town")).otherwise(_blend(p, "t", "gt")).alias(temp),
+                    F.when(first, F.col("sown")).otherwise(_blend(p, "s", "gs")).alias(salt))
 
 
 def collect_gradients(clim: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -287,9 +294,11 @@ def full_profiles(df: DataFrame, clim: DataFrame, profile: Sequence[str], temp:
     d = d.select("*", q.alias("q"), lo.alias("lo"), up.alias("hi"))
 
     def value(v: str, g: str) -> Column:
-        a, b = _blend(F.col("lo"), v, g), _blend(F.col("hi"), v, g)
+        a = F.when(F.col("lo") == F.col("p1"), F.col(f"{v}own")).otherwise(_blend(F.col("lo"), v, g))
+        end = F.when(F.col(f"{g}1").isNotNull(), F.col(f"{v}2"))
+        b = F.when(F.col("hi") == F.col("p2"), end).otherwise(_blend(F.col("hi"), v, g))
         w = (F.col("q") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-        return F.when(F.col("q") == F.col("p1"), F.col(f"{v}1")).when(w == 0, a).otherwise(a + (b - a) * w)
+        return F.when(F.col("q") == F.col("lo"), a).otherwise(a + (b - a) * w)
 
     out = d.select(*profile, time, F.col("q").alias(pres), value("t", "gt").alias(temp), value("s", "gs").alias(salt))
     if extrapolate:

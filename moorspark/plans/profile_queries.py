@@ -165,10 +165,11 @@ def _(spark, sf):
 KNOT = GT + """, pr AS (SELECT s.*, a.gt AS g1, a.gs AS h1, b.gt AS g2, b.gs AS h2 FROM (SELECT *, lead(pres) OVER w AS xn, lead(temp) OVER w AS tn,
   lead(salt) OVER w AS sn, row_number() OVER w AS i, count(*) OVER (PARTITION BY profile_id) AS nl FROM prof WINDOW w AS (PARTITION BY profile_id ORDER BY pres)) s
   JOIN gv a ON a.mo = month(s.time) AND a.tv = s.temp LEFT JOIN gv b ON b.mo = month(s.time) AND b.tv = s.tn WHERE nl >= 2),
- kn AS (SELECT profile_id, time, p AS pres, (1 - u) * (temp + g1 * (p - pres)) + u * (tn + g2 * (p - xn)) AS temp,
-  (1 - u) * (salt + h1 * (p - pres)) + u * (sn + h2 * (p - xn)) AS salt FROM (SELECT pr.*, pres + 30 * j AS p, 30 * j / (xn - pres) AS u
-  FROM pr, unnest(range(0, CAST(ceil((xn - pres) / 30) AS BIGINT))) x(j) WHERE xn IS NOT NULL)
-  UNION ALL SELECT profile_id, time, pres, temp, salt FROM pr WHERE xn IS NULL)"""
+ kp AS (SELECT profile_id, i, p, (1 - u) * CASE WHEN j = 0 THEN temp ELSE temp + g1 * (p - pres) END + u * CASE WHEN j = n THEN tn ELSE tn + g2 * (p - xn) END AS temp,
+  (1 - u) * CASE WHEN j = 0 THEN salt ELSE salt + h1 * (p - pres) END + u * CASE WHEN j = n THEN sn ELSE sn + h2 * (p - xn) END AS salt
+  FROM (SELECT *, (p - pres) / (xn - pres) AS u FROM (SELECT pr.*, n, j, CASE WHEN j = n THEN xn ELSE pres + 30 * j END AS p
+  FROM (SELECT *, CAST(ceil((xn - pres) / 30) AS BIGINT) AS n FROM pr WHERE xn IS NOT NULL) pr, unnest(range(0, n + 1)) x(j)))),
+ kn AS (SELECT profile_id, p AS pres, temp, salt FROM (SELECT *, row_number() OVER (PARTITION BY profile_id, p ORDER BY i) AS first FROM kp) WHERE first = 1)"""
 
 
 @query("l8_fill_between", oracle("prof", f"SELECT profile_id, pres, {q6('temp', 'salt')} FROM kn", CLIM + "," + KNOT))
