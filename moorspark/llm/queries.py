@@ -6,7 +6,7 @@ import importlib
 
 from moorspark.llm.registry import ORACLES, QUERIES
 
-_MODULES = ["shard"]
+_MODULES = ["shard", "simhash", "language"]
 
 
 def load():
