@@ -89,14 +89,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P^i and P^-i modulo 2^64 for i < n; kept up to twice the block size."""
     if len(_powers[0]) >= n:
         return _powers[0][:n], _powers[1][:n]
-    size = max(n, BLOCK + 1)
+    size = 1 << max(16, (n - 1).bit_length())
     out = []
     with np.errstate(over="ignore"):
         for base in (_P, _PINV):
             p = np.full(size, np.uint64(base))
             p[0] = 1
             out.append(np.multiply.accumulate(p))
-    if size <= 2 * BLOCK:
+    if size <= 4 * BLOCK:
         _powers[:] = out
     return out[0][:n], out[1][:n]
 

@@ -6,7 +6,7 @@ import importlib
 
 from moorspark.llm.registry import ORACLES, QUERIES
 
-_MODULES = ["shard", "simhash", "language", "tokenfile", "packing"]
+_MODULES = ["shard", "simhash", "language", "tokenfile", "packing", "decontaminate", "quality"]
 
 
 def load():
