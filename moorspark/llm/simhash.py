@@ -87,16 +87,17 @@ def _variants(fps: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     """``a, b``: links of distinct fingerprints whose components are those of all links within two bits."""
+    # size estimates do not see what explode adds, so the joins of exploded rows name their strategy
     v = _variants(fps)
     shared = v.groupBy("slot", "rest").agg(F.count("*").alias("n")).where("n > 1")
-    met = materialize(v.join(shared, ["slot", "rest"]), "variants")
+    met = materialize(v.join(shared.hint("merge"), ["slot", "rest"]), "variants")
     few = met.where(F.col("n") <= dense)
     pairs = (few.select("slot", "rest", F.col("fp").alias("a")).join(few.select("slot", "rest", F.col("fp").alias("b")), ["slot", "rest"])
              .where("a < b AND bit_count(a ^ b) <= 2").select("a", "b").distinct())
     crowd = met.where(F.col("n") > dense).select("fp").distinct()
     points = crowd.select("fp", F.explode(F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")).alias("point"))
     least = points.groupBy("point").agg(F.min("fp").alias("m"), F.count("*").alias("n")).where("n > 1").select("point", "m")
-    hubs = points.join(least, "point").where("fp <> m").select(F.col("m").alias("a"), F.col("fp").alias("b")).distinct()
+    hubs = points.join(least.hint("merge"), "point").where("fp <> m").select(F.col("m").alias("a"), F.col("fp").alias("b")).distinct()
     return pairs.unionByName(hubs)
 
 
