@@ -1,9 +1,11 @@
 """Encoding of whole texts by the tokenizers library, with each distinct word encoded once per worker and cache filling.
 
-A text is cut at single blanks where neither pre-tokenizer rule nor merge can reach across: a piece and the blank before
-it encode alike alone and in place. That fails only where blanks meet other blanks; such texts are cut at blanks between two
-non-blank characters. A text that may hold a special token's string goes to the library whole. The cache is emptied
-at ``CACHE`` pieces; that bounds memory and changes no result.
+A plain text (ASCII without apostrophes, Latin letters and signs that no normalisation touches, single blanks and single
+newlines) consists of parts between which the pre-tokenizer rules of both files always cut: letters, digits, signs, each with
+the blank before it, and newlines. They are found and hashed (64 bits) in numpy, and only distinct parts are encoded. Any other text is cut at single blanks where neither
+rule nor merge can reach across (a piece and the blank before it encode alike alone and in place); that fails only where
+blanks meet other blanks, where it is cut at blanks between two non-blank characters. A text that holds a special token's
+string goes to the library whole. The cache is emptied at ``CACHE`` strings; that bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -13,88 +15,193 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorspark.llm import lex
 
-CACHE = 1 << 19
+CACHE = 1 << 20
 
+_BAD, _LETTER, _DIGIT, _SIGN, _BLANK, _LINE = range(6)
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Class of each byte below 128, and of the two-byte characters from U+0080 to U+017F by code point less 128."""
+    one = np.full(256, _BAD, np.uint8)
+    one[0x21:0x7F] = _SIGN
+    one[0x30:0x3A] = _DIGIT
+    one[0x41:0x5B] = one[0x61:0x7B] = _LETTER
+    one[[0x20, 0x0A, 0x27]] = _BLANK, _LINE, _BAD
+    two = np.full(256, _LETTER, np.uint8)  # Latin letters from U+00C0
+    two[:0x21] = _BAD
+    two[0x21:0x40] = _SIGN
+    two[[0xD7 - 128, 0xF7 - 128]] = _SIGN
+    # letters and numbers among the signs, and the one letter whose lower case is two characters
+    two[[x - 128 for x in (0xAA, 0xBA, 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE, 0x130)]] = _BAD
+    return one, two
+
+
+_ONE, _TWO = _classes()
 _ODD_BLANK = re.compile(r"[^\S\n ]")
 _INNER_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _coders: dict[str, Coder] = {}
 
 
 class Coder:
-    """A tokenizer file with a bounded cache of encoded pieces."""
+    """A tokenizer file with a bounded cache of encoded strings.
+
+    Many parts are encoded in one text: behind newlines where a newline is an id of its own, or between blanks where
+    the ids that end words are known. Pieces are encoded one by one.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self):
-        self.index: dict[str, int] = {}
+        self.index: dict[int | str, int] = {}
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _learn(self, keys: list[str]):
-        """Encode new pieces; a key that begins with a blank is a text's first piece and has none before it."""
+    def _add(self, keys: list, lengths: np.ndarray, ids: np.ndarray):
+        n = len(self.index)
+        self.index.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids: list[int] = []
         lengths = []
-        for a in range(0, len(keys), 8192):
-            part = [k[1:] if k[:1] == " " else " " + k for k in keys[a : a + 8192]]
-            for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
+        for a in range(0, len(texts), 8192):
+            for e in self.tokenizer.encode_batch_fast(texts[a : a + 8192], add_special_tokens=False):
                 ids += (x := e.ids)
                 lengths.append(len(x))
-        n = len(self.index)
-        self.index.update(zip(keys, range(n, n + len(keys)), strict=True))
-        self.lengths = np.concatenate([self.lengths, np.array(lengths, np.int64)])
-        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+        return np.array(lengths, np.int64), np.array(ids, np.uint32)
+
+    def _together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of parts from few texts; where the cuts do not come out as they must, one by one."""
+        if self.line is None and not self.ends.any():
+            return self._one_by_one(parts)
+        texts = ["\n" + "\n".join(parts[a : a + 64]) if self.line is not None else " ".join(parts[a : a + 64]) for a in range(0, len(parts), 64)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        if self.line is not None:
+            cut = np.flatnonzero(ids == self.line)
+            if len(cut) != len(parts) or cut[0]:
+                return self._one_by_one(parts)
+            return np.diff(np.append(cut, len(ids))) - 1, ids[ids != self.line]
+        # letters or signs are one word, digits one each
+        words = np.fromiter((len(p.lstrip(" ")) if p[-1].isdigit() else 1 for p in parts), np.int64, len(parts))
+        end = np.flatnonzero(self.ends[ids]) + 1
+        if len(end) != words.sum() or end[-1] != len(ids):
+            return self._one_by_one(parts)
+        return np.diff(np.concatenate([[0], end[np.cumsum(words) - 1]])), ids
+
+    def _plain(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Classes of all bytes, and which documents are plain."""
+        kind = _ONE[buf]
+        lead = np.flatnonzero((buf >= 0xC2) & (buf <= 0xC5))
+        kind[lead] = kind[lead + 1] = _TWO[(buf[lead].astype(np.int64) - 0xC2) * 64 + buf[lead + 1] - 0x80]
+        gap = kind >= _BLANK
+        bad = kind == _BAD
+        bad[1:] |= gap[1:] & gap[:-1]
+        full = np.diff(off) > 0
+        bad[off[:-1][full]] |= gap[off[:-1][full]]
+        bad[off[1:][full] - 1] |= gap[off[1:][full] - 1]
+        return kind, lex.per_doc(bad.astype(np.int64), off) == 0
+
+    def _parts(self, buf: np.ndarray, kind: np.ndarray, off: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cache rows of all parts of the plain documents and the number of parts per document."""
+        start = np.ones(len(buf), bool)
+        a, b = kind[1:], kind[:-1]
+        start[1:] = (a >= _BLANK) | (b == _LINE) | ((b != _BLANK) & (a != b))
+        start[off[:-1][off[:-1] < len(buf)]] = True
+        inside = np.repeat(plain, np.diff(off))
+        begin = np.flatnonzero(start & inside)
+        stop = np.append(np.flatnonzero(start), len(buf))
+        end = stop[np.searchsorted(stop, begin) + 1]
+        counts = np.diff(np.searchsorted(begin, off))
+        codes, keys = pd.factorize(lex.byte_sums(buf, False).span(begin, end))
+        first = np.empty(len(keys), np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+        keys = keys.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.index]
+        raw = buf.tobytes()
+        texts = [raw[x:y].decode() for x, y in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
+        line = [i for i, t in enumerate(texts) if t == "\n"]
+        words = [i for i, t in enumerate(texts) if t != "\n"]
+        if line:
+            self._add([keys[new[i]] for i in line], *self._one_by_one(["\n"]))
+        if words:
+            self._add([keys[new[i]] for i in words], *self._together([texts[i] for i in words]))
+        rows = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+        return rows[codes] if len(keys) else np.zeros(0, np.int64), counts
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Cache rows of all pieces of other texts and the number of pieces per text."""
+        keys, counts = [], []
+        for t in texts:
+            odd = "  " in t or "\n " in t or " \n" in t or _ODD_BLANK.search(t)
+            p = _INNER_BLANK.split(t) if odd else t.split(" ")
+            p[0] = " " + p[0]  # a key that begins with a blank is a text's first piece and has none before it
+            keys += p
+            counts.append(len(p))
+        new = [k for k in set(keys) if k not in self.index]
+        if new:
+            self._add(new, *self._one_by_one([k[1:] if k[:1] == " " else " " + k for k in new]))
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys)), np.array(counts, np.int64)
 
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by ``end``, and the offsets of the texts."""
+    def encode(self, buf: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a block, each followed by ``end``, and the offsets of the texts."""
         if len(self.index) > CACHE:
             self.clear()
-        pieces: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
+        n = len(off) - 1
+        raw = buf.tobytes()
         whole: dict[int, list[int]] = {}
-        for i, t in enumerate(texts):
-            if any(s in t for s in self.special):
-                whole[i] = self.tokenizer.encode(t, add_special_tokens=False).ids
-                continue
-            if "  " in t or "\n " in t or " \n" in t or _ODD_BLANK.search(t):
-                p = _INNER_BLANK.split(t)
-            else:
-                p = t.split(" ")
-            p[0] = " " + p[0]
-            pieces += p
-            counts[i] = len(p)
-        new = set(pieces).difference(self.index)
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
-        begin = np.concatenate([[0], np.cumsum(self.lengths)])
+        for s in self.special:
+            at = raw.find(s)
+            while at >= 0:
+                d = int(np.searchsorted(off, at, "right")) - 1
+                if at + len(s) <= off[d + 1]:
+                    whole[d] = []
+                at = raw.find(s, at + 1)
+        for d in whole:
+            whole[d] = self.tokenizer.encode(raw[off[d] : off[d + 1]].decode(), add_special_tokens=False).ids
+        kind, plain = self._plain(buf, off)
+        plain[list(whole)] = False
+        other = [d for d in np.flatnonzero(~plain).tolist() if d not in whole]
+        rows, counts = self._parts(buf, kind, off, plain)
+        more, each = self._pieces([raw[off[d] : off[d + 1]].decode() for d in other])
+        counts[other] = each
+        order = np.argsort(np.concatenate([np.repeat(np.arange(n)[plain], counts[plain]), np.repeat(np.array(other, np.int64), each)]), kind="stable") if other else slice(None)
+        at = np.concatenate([rows, more])[order]
+        begin = np.cumsum(self.lengths) - self.lengths
         length = self.lengths[at]
         ends = np.cumsum(length)
         ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[at] - (ends - length), length)]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        n = np.diff(bounds)
-        for i, x in whole.items():
-            n[i] = len(x)
-        off = np.concatenate([[0], np.cumsum(n + 1)])
-        out = np.full(off[-1], end, np.uint32)
-        place = np.ones(off[-1], bool)
-        place[off[1:] - 1] = False
-        for i, x in whole.items():
-            place[off[i] : off[i + 1]] = False
-            out[off[i] : off[i + 1] - 1] = x
+        size = np.diff(bounds)
+        for d, x in whole.items():
+            size[d] = len(x)
+        offsets = np.concatenate([[0], np.cumsum(size + 1)])
+        out = np.full(offsets[-1], end, np.uint32)
+        place = np.ones(offsets[-1], bool)
+        place[offsets[1:] - 1] = False
+        for d, x in whole.items():
+            place[offsets[d] : offsets[d + 1]] = False
+            out[offsets[d] : offsets[d + 1] - 1] = x
         out[place] = ids
-        return out, off
+        return out, offsets
 
 
 def coder(path: str) -> Coder:
@@ -108,9 +215,8 @@ def encode_blocks(batches, path: str, end: int):
     """``(rows, ids, offsets)`` per block of whole documents; a null text is empty."""
     c = coder(path)
     for batch in batches:
-        for rows, _, _ in lex.blocks(batch):
-            ids, off = c.encode([t or "" for t in rows.column("text").to_pylist()], end)
-            yield rows, ids, off
+        for rows, buf, off in lex.blocks(batch):
+            yield rows, *c.encode(buf, off, end)
 
 
 def binaries(data: np.ndarray, off: np.ndarray) -> pa.Array:

@@ -5,8 +5,8 @@ import zlib
 
 import brute
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -199,10 +199,12 @@ def test_cached_encoding_equals_the_library(name, monkeypatch):
     monkeypatch.setattr(tokens, "CACHE", 40)
     own, plain = tokens.Coder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
     rng = np.random.default_rng(2)
-    pool = list("aB'stz19.,!<|é漢") + [" ", " ", " ", "\n", "\t", " ", "\x1c", "́", "'s", "ll "]
-    texts = ["".join(rng.choice(pool, int(n))) for n in rng.integers(0, 60, 400)] + [t or "" for t in _texts()]
+    pool = list("aB'stz19.,!<|é漢İªº²«×Š") + [" ", " ", " ", "\n", "\t", " ", "\x1c", "́", "'s", "ll "]
+    plain_pool = list("aBstz19.,!|éŠ«×ß  \n")
+    texts = ["".join(rng.choice(p, int(n))) for p in (pool, plain_pool) for n in rng.integers(0, 60, 400)] + [t or "" for t in _texts()]
+    texts += [" ".join("".join(rng.choice(list("abÄé19.,|«"), int(n))) for n in rng.integers(1, 9, 12)).replace("b a", "b\na") for _ in range(300)]
     for a in range(0, len(texts), 37):
-        ids, off = own.encode(texts[a: a + 37], 7)
+        ids, off = own.encode(*lex.text_buffers(pa.array(texts[a: a + 37])), 7)
         for t, x, y in zip(texts[a: a + 37], off[:-1], off[1:]):
             assert ids[x:y].tolist() == plain.encode(t, add_special_tokens=False).ids + [7], repr(t)
 
@@ -333,14 +335,12 @@ def test_language_learns_nothing_from_the_held_out_fold(spark):
 
 
 def test_grams_do_not_cross_documents():
-    buf, off = lex.text_buffers(__import__("pyarrow").array(["ab", "", None, "cd e", "f"]))
+    buf, off = lex.text_buffers(pa.array(["ab", "", None, "cd e", "f"]))
     g, ptr = language.grams(buf, off)
     assert [int(x).to_bytes(4, "little") for x in g] == [b" ab ", b" cd "] and ptr.tolist() == [0, 1, 1, 1, 2, 2]
 
 
 def test_blocks_keep_documents_whole():
-    import pyarrow as pa
-
     texts = ["x" * n for n in (5, 0, 30, 2, 2, 2, 9)] + [None]
     parts = list(lex.blocks(pa.record_batch([pa.array(texts)], ["text"]), limit=8))
     assert [t for rows, _, _ in parts for t in rows.column("text").to_pylist()] == texts
