@@ -33,15 +33,17 @@ def linear_drift(df: DataFrame, calib: DataFrame, value: str, series: Sequence[s
     return d.withColumn(value, F.col(value) - F.coalesce(corr, F.lit(0.0))).drop("__t0", "__t1", "pre", "post")
 
 
-def general_trend(calib: DataFrame, limit: float) -> DataFrame:
-    """Fill a missing pre or post offset with the mean trend of the instruments that have both.
+def general_trend(calib: DataFrame, limits: dict[str, float], var: str = "var") -> DataFrame:
+    """Fill a missing pre or post offset with the mean trend of the instruments that have both, per variable.
 
-    Instruments with an offset at or beyond ``limit`` do not count; without any, the trend is 0.
+    Instruments with an offset at or beyond the variable's limit do not count; without any, and for a variable
+    without a limit, the trend is 0.
     """
-    ok = (F.abs("pre") < limit) & (F.abs("post") < limit)
-    trend = calib.agg(F.coalesce(F.avg(F.when(ok, F.col("post"))) - F.avg(F.when(ok, F.col("pre"))), F.lit(0.0)).alias("trend"))
-    t = trend.scalar()
-    d = calib.withColumn("trend", t)
+    limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
+    top = F.try_element_at(limit, F.col(var))
+    ok = (F.abs("pre") < top) & (F.abs("post") < top)
+    trend = calib.groupBy(var).agg(F.coalesce(F.avg(F.when(ok, F.col("post"))) - F.avg(F.when(ok, F.col("pre"))), F.lit(0.0)).alias("trend"))
+    d = attach(calib, trend, [var])
     return d.withColumn("__a", F.coalesce(F.col("pre"), F.col("post") - F.col("trend"))).withColumn(
         "__b", F.coalesce(F.col("post"), F.col("pre") + F.col("trend"))).drop("pre", "post").withColumnsRenamed({"__a": "pre", "__b": "post"})
 

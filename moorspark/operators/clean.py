@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import TIME_CHUNK, attach, explode_range, ordered, percentiles
+from moorspark.operators.ordered import RECORD, TIME_CHUNK, attach, explode_range, ordered, percentiles, unique
 
 #: Fixed values that mark missing data: RODB, the older reader, and after calibration.
 DUMMY_RODB = (-9999.0, -99.999, -999.999)
@@ -21,8 +21,8 @@ def from_us(c: Column | str) -> Column:
 
 def shift_clock(obs: DataFrame, instr: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Add the instrument's whole-second clock offset (missing: 0) to its sample times; ``keep`` more of its columns."""
-    off = instr.select("serial", *keep, F.coalesce(F.col("clock_offset").cast("long"), F.lit(0)).alias("__off"))
-    d = obs.join(off, "serial")
+    off = unique(instr, RECORD, "instrument table").select(*RECORD, *keep, F.coalesce(F.col("clock_offset").cast("long"), F.lit(0)).alias("__off"))
+    d = obs.join(off, list(RECORD))
     return d.withColumn("t_us", F.col("t_us") + F.col("__off") * 1_000_000).withColumn(
         "time", F.expr("timestampadd(SECOND, __off, time)")).drop("__off")
 
@@ -111,7 +111,7 @@ def in_box(df: DataFrame, lat: tuple[float, float], lon: tuple[float, float] | N
 
 def emptied_instruments(instr: DataFrame, used: DataFrame) -> DataFrame:
     """Configured instruments with no sample left after the trim."""
-    return instr.join(used.select("serial").distinct(), "serial", "left_anti")
+    return instr.join(used.select(*RECORD).distinct(), list(RECORD), "left_anti")
 
 
 def variable_stats(df: DataFrame, series: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, in_blocks, spread
+from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, spread
 from moorspark.operators.series import every_nth
 
 
@@ -60,12 +60,27 @@ def suggest_reference(offsets: DataFrame, group: str = "mooring") -> DataFrame:
                     F.when(none, "fallback").otherwise("smallest absolute average timing offset").alias("reason"))
 
 
+def lag_sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Counts and sums ``n, sx, sy, sxx, syy, sxy`` over the pairs ``x[i], y[j]`` for ``i - j`` from ``1 - len(y)`` up; NaN is missing."""
+    size = 1 << max(1, (len(x) + len(y) - 2).bit_length())
+    mx, my = ~np.isnan(x), ~np.isnan(y)
+    x, y = np.where(mx, x, 0.0), np.where(my, y, 0.0)
+    fx = [np.fft.rfft(v, size) for v in (mx.astype(float), x, x * x)]
+    fy = [np.conj(np.fft.rfft(v, size)) for v in (my.astype(float), y, y * y)]
+    out = [np.fft.irfft(fx[i] * fy[j], size) for i, j in ((0, 0), (1, 0), (0, 1), (2, 0), (0, 2), (1, 1))]
+    # negative lags stand at the end of the circle
+    out = [np.concatenate([v[size - len(y) + 1:], v[: len(x)]]) for v in out]
+    out[0] = np.rint(out[0])
+    return np.stack(out, 1)
+
+
 def lag_correlation(pairs: DataFrame, series: Sequence[str], x: str, y: str, index: str, max_lag: str | int,
                     min_overlap: int = 10, block: int = BLOCK_ROWS) -> DataFrame:
     """Pearson correlation of ``x[k]`` with ``y[k - lag]`` for every lag of ``[-max_lag, max_lag]``.
 
-    Null pairs are dropped; fewer than ``min_overlap`` pairs or zero variance give null. Each task turns one
-    block of positions (with a border of ``max_lag``) into partial sums per lag; a plain aggregate adds them.
+    Null pairs are dropped; fewer than ``min_overlap`` pairs or zero variance give null. Positions and lags are tiled: a
+    task correlates one block of x with one block of y by FFT, so it holds twice ``block`` rows whatever the record
+    and the lags; a plain aggregate adds the sums.
     """
     series = list(series)
     lag = F.lit(max_lag).cast("long") if isinstance(max_lag, int) else F.col(max_lag).cast("long")
@@ -73,24 +88,26 @@ def lag_correlation(pairs: DataFrame, series: Sequence[str], x: str, y: str, ind
                      F.col(y).cast("double").alias("__y"), lag.alias("__lag"))
     mean = d.groupBy(*series).agg(F.coalesce(F.avg("__x"), F.lit(0.0)).alias("__mx"), F.coalesce(F.avg("__y"), F.lit(0.0)).alias("__my"))
     d = attach(d, mean, series).withColumn("__x", F.col("__x") - F.col("__mx")).withColumn("__y", F.col("__y") - F.col("__my"))
-    d = in_blocks(d.drop("__mx", "__my"), "__i", F.col("__lag"), F.greatest(F.lit(block).cast("long"), 2 * F.col("__lag")))
+    own = F.floor(F.col("__i") / block)
+    # the other side's blocks that a lag can reach from anywhere in this block
+    reach = F.sequence(own - F.ceil((F.col("__lag") + block - 1) / block) + 1, own + F.ceil((F.col("__lag") + block - 1) / block) - 1)
+    reach = F.when(F.col("__lag") > 0, reach).otherwise(F.array(own))
+    xs = d.select(*series, "__lag", "__i", F.lit(True).alias("__first"), F.col("__x").alias("__v"), own.alias("__bx"), F.explode(reach).alias("__by"))
+    ys = d.select(*series, "__lag", "__i", F.lit(False).alias("__first"), F.col("__y").alias("__v"), own.alias("__by"), F.explode(reach).alias("__bx"))
 
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["__own"].to_numpy()
-        lags = int(pdf["__lag"].iloc[0])
-        pos = pdf["__i"].to_numpy()
-        lo, n = pos.min() - lags, pos.max() - pos.min() + 1 + 2 * lags
-        xs, ys = np.full(n, np.nan), np.full(n, np.nan)
-        xs[pos[own] - lo] = pdf["__x"].to_numpy(float)[own]
-        ys[pos - lo] = pdf["__y"].to_numpy(float)
-        at = np.flatnonzero(~np.isnan(xs))
-        rows = []
-        for k in range(-lags, lags + 1):
-            yy = ys[at - k] if len(at) else at
-            good = ~np.isnan(yy)
-            a, b = xs[at][good], yy[good]
-            rows.append((k, len(a), a.sum(), b.sum(), a @ a, b @ b, a @ b))
-        out = pd.DataFrame(rows, columns=["lag", "n", "sx", "sy", "sxx", "syy", "sxy"])
+        lags, bx, by = (int(pdf[c].iloc[0]) for c in ("__lag", "__bx", "__by"))
+        first, pos, v = pdf["__first"].to_numpy(), pdf["__i"].to_numpy(), pdf["__v"].to_numpy(float)
+        sides = []
+        for side, b in ((first, bx), (~first, by)):
+            base = int(pos[side].min()) if side.any() else b * block
+            z = np.full(int(pos[side].max()) - base + 1 if side.any() else 1, np.nan)
+            z[pos[side] - base] = v[side]
+            sides.append((base, z))
+        (bx0, xs_), (by0, ys_) = sides
+        out = pd.DataFrame(lag_sums(xs_, ys_), columns=["n", "sx", "sy", "sxx", "syy", "sxy"])
+        out.insert(0, "lag", np.arange(len(out)) - (len(ys_) - 1) + bx0 - by0)
+        out = out[out["lag"].abs() <= lags].astype({"n": "int64", "lag": "int64"})
         for c in reversed(series):
             out.insert(0, c, pdf[c].iloc[0])
         return out
@@ -98,8 +115,11 @@ def lag_correlation(pairs: DataFrame, series: Sequence[str], x: str, y: str, ind
     types = dict(pairs.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in series]
                        + ["lag long", "n long", "sx double", "sy double", "sxx double", "syy double", "sxy double"])
-    p = spread(d, [*series, "__block"]).groupBy(*series, "__block").applyInPandas(sums, schema)
-    s = p.groupBy(*series, "lag").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    p = spread(xs.unionByName(ys), [*series, "__bx", "__by"]).groupBy(*series, "__bx", "__by").applyInPandas(sums, schema)
+    # every lag has a row, also where no pair lies
+    every = d.groupBy(*series).agg(F.max("__lag").alias("__lag")).select(*series, F.explode(F.sequence(-F.col("__lag"), F.col("__lag"))).alias("lag"),
+                                                                         F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(c) for c in ("sx", "sy", "sxx", "syy", "sxy")])
+    s = p.unionByName(every).groupBy(*series, "lag").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     n = F.when(F.col("n") >= min_overlap, F.col("n"))
     vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
     scale = F.sqrt(F.when((vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy")), vx * vy))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import DAY_US, TIME_CHUNK, attach, explode_range, ordered
+from moorspark.operators.ordered import DAY_US, RECORD, TIME_CHUNK, attach, explode_range, ordered, unique
 
 
 def common_grid(stats: DataFrame, group: str = "mooring", end: str = "max") -> DataFrame:
@@ -93,9 +93,11 @@ def interpolate(
 
 
 def levels(instr: DataFrame, present: DataFrame | None = None, group: str = "mooring",
-           order: Sequence[str] = ("depth", "serial")) -> DataFrame:
+           order: Sequence[str] = ("position",)) -> DataFrame:
     """0-based level of each instrument in configuration order, only for those ``present``."""
-    d = instr.join(present.select("serial").distinct(), "serial", "left_semi") if present is not None else instr
+    d = unique(instr, RECORD, "instrument table")
+    if present is not None:
+        d = d.join(present.select(*RECORD).distinct(), list(RECORD), "left_semi")
     w = Window.partitionBy(group).orderBy(*order)
     return d.withColumn("level", F.row_number().over(w).cast("long") - 1)
 
@@ -108,9 +110,9 @@ def clock_code(offset: Column, fallback: Column | None = None) -> Column:
 
 def stack_levels(gridded: DataFrame, level_table: DataFrame, values: Sequence[str]) -> DataFrame:
     """Attach the per-level metadata to the gridded records of a mooring."""
-    lv = level_table.select("serial", "level", F.col("depth").alias("nominal_depth"), "instrument",
+    lv = level_table.select(*RECORD, "level", F.col("depth").alias("nominal_depth"), "instrument",
                             clock_code(F.col("clock_offset")).alias("clock_offset"))
-    return gridded.join(lv, "serial").select(
+    return gridded.join(lv, list(RECORD)).select(
         "mooring", "t_us", "level", "serial", "nominal_depth", "instrument", "clock_offset", *values)
 
 
@@ -137,7 +139,7 @@ def stack_by_depth(records: DataFrame, attrs: DataFrame, values: Sequence[str],
     h = F.xxhash64("t_us").cast("decimal(38,0)")
     sig = records.groupBy(group, "serial").agg(
         F.count(F.lit(1)).alias("n"), F.sum(h).alias("s1"), F.sum(F.hash("t_us").cast("long")).alias("s2"))
-    chk = sig.join(attrs.select("serial", "depth", "lat", "lon"), "serial")
+    chk = sig.join(unique(attrs, (group, "serial"), "attribute table").select(group, "serial", "depth", "lat", "lon"), [group, "serial"])
     bad = chk.groupBy(group).agg(
         (F.count_distinct("n", "s1", "s2") > 1).alias("axes"),
         (F.count_distinct("lat", "lon") > 1).alias("place"))

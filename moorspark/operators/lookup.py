@@ -7,19 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import DAY_US, TIME_CHUNK, attach, explode_range, ordered
+from moorspark.operators.ordered import DAY_US, RECORD, TIME_CHUNK, attach, explode_range, ordered, unique
 
 
 def configure_samples(obs: DataFrame, instr: DataFrame, deploy: DataFrame) -> DataFrame:
     """Samples with their instrument and deployment configuration."""
-    d = obs.join(instr.drop("mooring"), "serial")
+    d = obs.join(unique(instr, RECORD, "instrument table"), list(RECORD))
     return d.join(deploy, "mooring")
 
 
 def expected_found(instr: DataFrame, obs: DataFrame, group: str = "mooring") -> DataFrame:
     """Expected and found instruments per group with the list of missing serials."""
-    found = obs.select("serial").distinct().withColumn("__f", F.lit(1))
-    d = instr.join(found, "serial", "left")
+    found = obs.select(*RECORD).distinct().withColumn("__f", F.lit(1))
+    d = instr.join(found, list(RECORD), "left")
     # serials of one mooring's configuration
     lost = F.sort_array(F.collect_list(F.when(F.col("__f").isNull(), F.col("serial"))))
     return d.groupBy(group).agg(
@@ -28,7 +28,7 @@ def expected_found(instr: DataFrame, obs: DataFrame, group: str = "mooring") ->
 
 
 def missing_instruments(instr: DataFrame, obs: DataFrame) -> DataFrame:
-    return instr.join(obs.select("serial").distinct(), "serial", "left_anti")
+    return instr.join(obs.select(*RECORD).distinct(), list(RECORD), "left_anti")
 
 
 def in_intervals(df: DataFrame, intervals: DataFrame, key: str, t: str = "t_us", span: int = DAY_US) -> DataFrame:

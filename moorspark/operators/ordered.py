@@ -23,6 +23,9 @@ PRES_CHUNK = 1000.0
 #: Rows of one block of :func:`in_blocks`.
 BLOCK_ROWS = 1 << 17
 
+#: A record: serials recur, an instrument is deployed again on other moorings.
+RECORD = ("mooring", "serial")
+
 _CH = "__chunk"
 
 
@@ -50,7 +53,7 @@ def ordered(
     ``order[0]`` is the numeric axis, further names break ties. ``width=None`` skips the chunking and is
     for groups with a physical bound (the levels of one profile).
 
-    Series keys must not be null.
+    A null in a series key raises.
 
     * ``lag`` / ``lead``: value of the expression at the previous / next row
     * ``index`` / ``count``: 0-based position / number of rows of the series
@@ -63,8 +66,10 @@ def ordered(
     last_valid, next_valid = last_valid or {}, next_valid or {}
     chunked = width is not None
     # rows without an axis value sort first, as in a plain window
-    chunk = F.coalesce(F.floor(F.col(order[0]) / F.lit(width)), F.lit(-1 << 62))
-    d = df.withColumn(_CH, chunk) if chunked else df
+    if chunked:
+        d = df.withColumn(_CH, F.coalesce(F.floor(F.col(order[0]) / F.lit(width)), F.lit(-1 << 62)))
+    else:
+        d = df
     part = keys + ([_CH] if chunked else [])
     w = Window.partitionBy(*part).orderBy(*order)
     wpre = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -111,7 +116,7 @@ def ordered(
         before = we.rowsBetween(Window.unboundedPreceding, -1)
         after = Window.partitionBy(*keys).orderBy(F.col(_CH).desc()).rowsBetween(Window.unboundedPreceding, -1)
         whole = Window.partitionBy(*keys)
-        sel = [F.col(k) for k in part]
+        sel = [*[F.col(k) for k in part], F.lit(True).alias("__here")]
         if lag:
             sel.append(F.lag("__cl").over(we).alias("__elag"))
         if lead:
@@ -129,30 +134,36 @@ def ordered(
         for n in next_valid:
             sel.append(F.last(f"__cnv_{n}", ignorenulls=True).over(after).alias(f"__env_{n}"))
         edges = d.groupBy(*part).agg(*aggs).select(*sel)
-        out = out.join(edges, part)
+        # an inner join would drop rows with a null key without a word
+        out = out.join(edges, part, "left")
+
+    def known(c: Column) -> Column:
+        if not chunked:
+            return c
+        return F.when(F.col("__here").isNull(), F.raise_error(F.lit(f"null in a series key ({', '.join(keys)})"))).otherwise(c)
 
     cols = [F.col(c) for c in df.columns]
     if lag:
         s = F.coalesce("__lag", "__elag") if chunked else F.col("__lag")
-        cols += [s[n].alias(n) for n in lag]
+        cols += [known(s[n]).alias(n) for n in lag]
     if lead:
         s = F.coalesce("__lead", "__elead") if chunked else F.col("__lead")
-        cols += [s[n].alias(n) for n in lead]
+        cols += [known(s[n]).alias(n) for n in lead]
     if index:
-        cols.append((F.col("__rn") + F.col("__eidx") if chunked else F.col("__rn")).alias(index))
+        cols.append(known(F.col("__rn") + F.col("__eidx") if chunked else F.col("__rn")).alias(index))
     if count:
-        cols.append(F.col("__n").alias(count))
+        cols.append(known(F.col("__n")).alias(count))
     for n in cum:
         c = F.col(f"__cum_{n}")
-        cols.append((c + F.col(f"__ecum_{n}") if chunked else c).alias(n))
+        cols.append(known(c + F.col(f"__ecum_{n}") if chunked else c).alias(n))
     for n in total:
-        cols.append(F.col(f"__tot_{n}").alias(n))
+        cols.append(known(F.col(f"__tot_{n}")).alias(n))
     for n in last_valid:
         s = F.coalesce(f"__lv_{n}", f"__elv_{n}") if chunked else F.col(f"__lv_{n}")
-        cols.append(s["v"].alias(n))
+        cols.append(known(s["v"]).alias(n))
     for n in next_valid:
         s = F.coalesce(f"__nv_{n}", f"__env_{n}") if chunked else F.col(f"__nv_{n}")
-        cols.append(s["v"].alias(n))
+        cols.append(known(s["v"]).alias(n))
     return out.select(*cols)
 
 
@@ -282,6 +293,12 @@ def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inn
     return df.join(small, list(keys), how)
 
 
+def unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """The rows of a configuration table; a key that occurs twice raises, since a join would double its samples."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return df.withColumn(keys[0], F.when(n == 1, F.col(keys[0])).otherwise(F.raise_error(F.lit(f"{what}: key {', '.join(keys)} occurs more than once")).cast(df.schema[keys[0]].dataType)))
+
+
 def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hash-partition for a Python kernel into as many tasks as the session's shuffles have.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import TIME_CHUNK, attach, ordered, percentiles, percentiles_of_counts, value_counts
+from moorspark.operators.ordered import RECORD, TIME_CHUNK, attach, ordered, percentiles, percentiles_of_counts, value_counts
 
 
 def sampling_stats(obs: DataFrame, series: Sequence[str], t: str = "t_us", width: int = TIME_CHUNK) -> DataFrame:
@@ -127,8 +127,8 @@ def flag_summary(df: DataFrame, series: Sequence[str], flag: str) -> DataFrame:
 
 def batch_report(instr: DataFrame, processed: DataFrame, group: str = "mooring") -> DataFrame:
     """Processed and total instruments per mooring; success when any was processed."""
-    ok = processed.select("serial").distinct().withColumn("__ok", F.lit(1))
-    d = instr.join(ok, "serial", "left").groupBy(group).agg(
+    ok = processed.select(*RECORD).distinct().withColumn("__ok", F.lit(1))
+    d = instr.join(ok, list(RECORD), "left").groupBy(group).agg(
         F.count(F.lit(1)).alias("total"), F.sum(F.coalesce("__ok", F.lit(0))).alias("processed"))
     return d.withColumn("success", F.col("processed") > 0)
 
@@ -166,9 +166,9 @@ def sampling_text(median_minutes: Column) -> Column:
 
 def coverage_table(instr: DataFrame, stats: DataFrame, variables: DataFrame) -> DataFrame:
     """One row per configured instrument; those without data are ``MISSING``."""
-    s = stats.select("serial", "n", "start_us", "end_us", "median_dt")
+    s = stats.select(*RECORD, "n", "start_us", "end_us", "median_dt")
     v = variables.groupBy("instrument").agg(F.array_join(F.sort_array(F.collect_set("var")), ", ").alias("vars"))
-    d = instr.join(s, "serial", "left").join(v, "instrument", "left")
+    d = instr.join(s, list(RECORD), "left").join(v, "instrument", "left")
     return d.select(
         "mooring", "serial", "instrument", "depth",
         F.when(F.col("n").isNull(), "MISSING").otherwise("OK").alias("status"),

@@ -30,10 +30,14 @@ def _(spark, sf):
     return rounded(cal.linear_drift(raw(spark, sf), calib(spark, sf), "v"), "serial okey line t_us", "v")
 
 
-@query("k3_general_trend", oracle("calib", f"""SELECT serial, {q6('pre', 'post', 'trend')} FROM (SELECT serial, coalesce(pre, post - trend) AS pre, coalesce(post, pre + trend) AS post, trend FROM pc, (SELECT avg(post) - avg(pre) AS trend FROM pc
- WHERE abs(pre) < 0.08 AND abs(post) < 0.08))""", PART))
+@query("k3_general_trend", oracle("calib", f"""SELECT serial, var, {q6('pre', 'post', 'trend')} FROM (SELECT serial, var, coalesce(pre, post - trend) AS pre, coalesce(post, pre + trend) AS post, trend FROM pv JOIN
+ (SELECT var AS v, coalesce(avg(post) FILTER (ok) - avg(pre) FILTER (ok), 0) AS trend FROM (SELECT *, abs(pre) < CASE var WHEN 'conductivity' THEN 0.08 ELSE 3.0 END AND abs(post) < CASE var WHEN 'conductivity' THEN 0.08 ELSE 3.0 END AS ok FROM pv) GROUP BY 1)
+ ON v = var)""", PART + """,
+ pv AS (SELECT serial, 'conductivity' AS var, pre, post FROM pc UNION ALL SELECT serial, 'pressure', -50 * pre, 50 * post FROM pc)"""))
 def _(spark, sf):
-    return rounded(cal.general_trend(partial_calib(spark, sf), 0.08), "serial", "pre post trend")
+    c = partial_calib(spark, sf)
+    both = c.withColumn("var", F.lit("conductivity")).unionByName(c.select("serial", "applied", (-50 * F.col("pre")).alias("pre"), (50 * F.col("post")).alias("post"), F.lit("pressure").alias("var")))
+    return rounded(cal.general_trend(both, {"conductivity": 0.08, "pressure": 3.0}), "serial var", "pre post trend")
 
 
 @query("k4_pressure_drift", oracle("raw calib", f"""SELECT serial, okey, line, t_us, {q6('v')} FROM (SELECT r.serial, okey, line, r.t_us, r.v - (a + b * x) + CASE WHEN pre IS NULL THEN a + b * x1 WHEN post IS NULL THEN a ELSE m END AS v

@@ -11,7 +11,7 @@ _HOUR = 3_600_000_000
 
 @query("c1_clock_shift", oracle(
     "obs instr", "SELECT event_id, o.serial, t_us + clock_offset * 1000000 AS t_us,"
-    " epoch_us(time + clock_offset * INTERVAL '1' SECOND) AS shifted_us FROM obs o JOIN instr i ON o.serial = i.serial"))
+    " epoch_us(time + clock_offset * INTERVAL '1' SECOND) AS shifted_us FROM obs o JOIN instr i ON o.serial = i.serial AND o.mooring = i.mooring"))
 def _(spark, sf):
     d = clean.shift_clock(obs(spark, sf), instr(spark, sf))
     return d.select("event_id", "serial", "t_us", F.unix_micros(F.col("time").cast("timestamp")).alias("shifted_us"))
@@ -87,7 +87,7 @@ def _(spark, sf):
 
 
 @query("c8_emptied_instruments", oracle("obs instr", """SELECT i.serial, i.mooring FROM instr i WHERE NOT EXISTS
- (SELECT 1 FROM obs o WHERE o.serial = i.serial AND o.time >= TIMESTAMP '2024-01-10 00:00:00'
+ (SELECT 1 FROM obs o WHERE o.serial = i.serial AND o.mooring = i.mooring AND o.time >= TIMESTAMP '2024-01-10 00:00:00'
   AND o.time <= TIMESTAMP '2024-01-10 08:00:00')"""))
 def _(spark, sf):
     win = deploy(spark, sf).select("mooring", F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'").alias("deployment_time"),

@@ -9,9 +9,9 @@ from moorspark.plans.registry import q6, query, rounded
 from moorspark.plans.standin import instr, obs, oracle, stage2, stored
 from moorspark.session import materialize
 
-TIMES = """lv0 AS (SELECT serial, mooring, row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) - 1 AS level FROM instr),
+TIMES = """lv0 AS (SELECT serial, mooring, position AS level FROM instr),
  tm AS (SELECT l.mooring, l.level, l.serial, min(CASE WHEN temp < 10 THEN t_us END) AS start_us, max(CASE WHEN temp < 10 THEN t_us END) AS end_us
- FROM obs o JOIN lv0 l ON l.serial = o.serial GROUP BY 1, 2, 3),
+ FROM obs o JOIN lv0 l ON l.serial = o.serial AND l.mooring = o.mooring GROUP BY 1, 2, 3),
  p0 AS (SELECT *, (start_us - min(start_us) OVER (PARTITION BY mooring)) / 1e6 AS start_off0,
  (end_us - max(end_us) OVER (PARTITION BY mooring)) / 1e6 AS end_off0 FROM tm)"""
 CONS = """pb AS (SELECT *, CAST(floor(start_off0 / 7200.0) AS BIGINT) AS b FROM p0),
@@ -25,9 +25,9 @@ CONS = """pb AS (SELECT *, CAST(floor(start_off0 / 7200.0) AS BIGINT) AS b FROM
 
 def times(spark, sf):
     """First and last cold time per level of each mooring."""
-    lv = grid.levels(instr(spark, sf)).select("serial", "level")
+    lv = grid.levels(instr(spark, sf)).select("mooring", "serial", "level")
     cold = F.when(F.col("temp") < 10, F.col("t_us"))
-    return obs(spark, sf).join(lv, "serial").groupBy("mooring", "level", "serial").agg(
+    return obs(spark, sf).join(lv, ["mooring", "serial"]).groupBy("mooring", "level", "serial").agg(
         F.min(cold).alias("start_us"), F.max(cold).alias("end_us"))
 
 
@@ -60,17 +60,18 @@ def gridded(spark, sf):
     d = stored(stage2, spark, sf)
     st = stats.sampling_stats(d, ["mooring", "serial"])
     g = grid.common_grid(st)
-    c = grid.interpolate(d, g, ["serial"], ["mooring"], ["temp"], whole_grid=True)
+    c = grid.interpolate(d, g, ["mooring", "serial"], ["mooring"], ["temp"], whole_grid=True)
     s = grid.stack_levels(c, grid.levels(instr(spark, sf), st), ["temp"])
     # the gridded product is a stored table: the lag analysis reads it several times
     return materialize(attach(s, g.select("mooring", "step_us"), ["mooring"]), "gridded")
 
 
 PAIRS = """sb AS (SELECT mooring, level, clock_offset, temp, row_number() OVER (PARTITION BY mooring, level ORDER BY t_us) - 1 AS i FROM stk),
- su AS (SELECT mooring, level, clock_offset, temp, i // 5 AS k FROM sb WHERE i % 5 = 0),
+ su AS (SELECT mooring, level, clock_offset, temp, i // 2 AS k FROM sb WHERE i % 2 = 0),
  ns AS (SELECT mooring, (max(k) + 1) // 5 AS ml FROM su GROUP BY 1),
- lc AS (SELECT y.mooring, y.level, x.k - y.k AS lag, count(*) AS n, corr(x.temp, y.temp) AS corr FROM su x JOIN su y ON x.mooring = y.mooring AND x.level = 0
- JOIN ns ON ns.mooring = x.mooring AND abs(x.k - y.k) <= ml WHERE x.temp IS NOT NULL AND y.temp IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) >= 10)"""
+ lc AS (SELECT a.mooring, a.level, a.lag, count(x.temp) AS n, CASE WHEN count(x.temp) >= 10 THEN corr(x.temp, y.temp) END AS corr
+ FROM (SELECT s.mooring, level, lag FROM (SELECT DISTINCT mooring, level FROM su) s JOIN ns ON ns.mooring = s.mooring, unnest(range(-ml, ml + 1)) u(lag)) a
+ LEFT JOIN (su x JOIN su y ON x.mooring = y.mooring AND x.level = 0 AND x.temp IS NOT NULL AND y.temp IS NOT NULL) ON y.mooring = a.mooring AND y.level = a.level AND x.k - y.k = a.lag GROUP BY 1, 2, 3)"""
 
 
 def reference(spark, sf):
@@ -81,21 +82,21 @@ def reference(spark, sf):
 def _(spark, sf):
     from moorspark.operators.series import every_nth
 
-    sub = every_nth(gridded(spark, sf).select("mooring", "level", "t_us", "temp"), ["mooring", "level"], 5, index="k")
+    sub = every_nth(gridded(spark, sf).select("mooring", "level", "t_us", "temp"), ["mooring", "level"], 2, index="k")
     n = sub.groupBy("mooring").agg(F.floor((F.max("k") + 1) / 5).alias("ml"))
     p = clock.pair_with_reference(sub, reference(spark, sf), "temp").join(n, "mooring")
     d = clock.lag_correlation(p, ["mooring", "level"], "x", "y", "k", "ml")
-    return rounded(d.where("n >= 10"), "mooring level lag n", "corr")
+    return rounded(d, "mooring level lag n", "corr")
 
 
-BEST = """bl AS (SELECT lc.mooring, lc.level, arg_max(lag, {'c': round(corr, 12), 'l': -lag}) AS lag, max(corr) AS max_corr FROM lc GROUP BY 1, 2),
- bo AS (SELECT bl.*, lag * 5 * step_us / 1e6 + clock_offset AS recommended_clock_offset FROM bl JOIN g ON g.mooring = bl.mooring
+BEST = """bl AS (SELECT lc.mooring, lc.level, arg_max(lag, {'c': round(corr, 12), 'l': -lag}) AS lag, max(corr) AS max_corr FROM lc WHERE corr IS NOT NULL GROUP BY 1, 2),
+ bo AS (SELECT bl.*, lag * 2 * step_us / 1e6 + clock_offset AS recommended_clock_offset FROM bl JOIN g ON g.mooring = bl.mooring
  JOIN lv ON lv.mooring = bl.mooring AND lv.level = bl.level)"""
 
 
 def best(spark, sf):
     lv = grid.levels(instr(spark, sf)).select("mooring", "level", "clock_offset")
-    return clock.best_lag(gridded(spark, sf), reference(spark, sf), lv, "temp")
+    return clock.best_lag(gridded(spark, sf), reference(spark, sf), lv, "temp", 2)
 
 
 @query("h6_best_lag", oracle("stage2", f"SELECT mooring, level, lag, {q6('max_corr', 'recommended_clock_offset')} FROM bo", ", ".join([SEG, LEVELS, PAIRS, BEST])))

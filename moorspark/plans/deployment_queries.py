@@ -53,7 +53,8 @@ def _(spark, sf):
     f"CASE WHEN rec IS NULL OR dep IS NULL THEN {_SPAN[0]} ELSE dep + {2 * H} END", f"CASE WHEN rec IS NULL OR dep IS NULL THEN {_SPAN[1]} ELSE rec - {2 * H} END")))
 def _(spark, sf):
     b = instr(spark, sf).join(deploy(spark, sf), "mooring").select(
-        "serial", us("deployment_time").alias("deploy_us"), us("recovery_time").alias("recover_us"))
+        "serial", us("deployment_time").alias("deploy_us"), us("recovery_time").alias("recover_us")).groupBy("serial").agg(
+        F.min("deploy_us").alias("deploy_us"), F.min("recover_us").alias("recover_us"))
     return dep.bottom_window(obs(spark, sf), S, "deployment_bounds", bounds=b)
 
 
@@ -79,7 +80,7 @@ def _(spark, sf):
  round(min(m), 6) + 0.0 AS split_value FROM obs o JOIN (SELECT serial, 0.5 + serial % 7 AS m FROM instr) t ON t.serial = o.serial GROUP BY 1""").replace(
     "WITH RECURSIVE obs", "WITH RECURSIVE instr AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS serial FROM events),\nobs"))
 def _(spark, sf):
-    thr = instr(spark, sf).select("serial", (F.lit(0.5) + F.col("serial") % 7).alias("threshold"))
+    thr = instr(spark, sf).select("serial", (F.lit(0.5) + F.col("serial") % 7).alias("threshold")).distinct()
     return rounded(dep.entry_exit(obs(spark, sf), S, "temp", thr), "serial start_us end_us", "split_value")
 
 

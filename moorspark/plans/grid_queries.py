@@ -19,15 +19,15 @@ GRID = SAMPLING + """,
 #: Samples with their successors; a grid point between two of them is interpolated, on one it is copied.
 SEG = GRID + """,
  seg AS (SELECT mooring, serial, t_us, temp, cond, lead(t_us) OVER w AS tn, lead(temp) OVER w AS tempn, lead(cond) OVER w AS condn
-  FROM stage2 WINDOW w AS (PARTITION BY serial ORDER BY t_us)),
+  FROM stage2 WINDOW w AS (PARTITION BY mooring, serial ORDER BY t_us)),
  ip AS (SELECT gp.mooring, s.serial, k, gp.t_us,
   CASE WHEN gp.t_us = s.t_us THEN temp ELSE temp + (tempn - temp) * (CAST(gp.t_us - s.t_us AS DOUBLE) / (tn - s.t_us)) END AS temp,
   CASE WHEN gp.t_us = s.t_us THEN cond ELSE cond + (condn - cond) * (CAST(gp.t_us - s.t_us AS DOUBLE) / (tn - s.t_us)) END AS cond
   FROM gp JOIN seg s ON gp.mooring = s.mooring AND gp.t_us >= s.t_us AND (gp.t_us < tn OR (tn IS NULL AND gp.t_us = s.t_us)))"""
 LEVELS = """lv AS (SELECT serial, mooring, depth, instrument, clock_offset,
- row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) - 1 AS level FROM instr WHERE serial IN (SELECT serial FROM st)),
+ row_number() OVER (PARTITION BY mooring ORDER BY position) - 1 AS level FROM instr WHERE (mooring, serial) IN (SELECT (mooring, serial) FROM st)),
  stk AS (SELECT lv.mooring, gp.t_us, level, lv.serial, depth AS nominal_depth, instrument, clock_offset, temp, cond
- FROM lv JOIN gp ON gp.mooring = lv.mooring LEFT JOIN ip ON ip.serial = lv.serial AND ip.k = gp.k)"""
+ FROM lv JOIN gp ON gp.mooring = lv.mooring LEFT JOIN ip ON ip.serial = lv.serial AND ip.mooring = lv.mooring AND ip.k = gp.k)"""
 
 
 @query("i1_common_grid", oracle("stage2", "SELECT mooring, k, t_us FROM gp", GRID))
@@ -46,7 +46,7 @@ def _(spark, sf):
 def _(spark, sf):
     d = stored(stage2, spark, sf)
     g = grid.common_grid(stats.sampling_stats(d, ["mooring", "serial"]))
-    d = grid.interpolate(d, g, ["serial"], ["mooring"], ["temp", "cond"])
+    d = grid.interpolate(d, g, ["mooring", "serial"], ["mooring"], ["temp", "cond"])
     return rounded(d, "mooring serial k t_us", "temp cond")
 
 
@@ -88,7 +88,7 @@ def stacked(spark, sf, values=("temp", "cond")):
     """Stage-2 records gridded and stacked, one row per cell of the mooring's time x level matrix."""
     d, i = stored(stage2, spark, sf), instr(spark, sf)
     st = stats.sampling_stats(d, ["mooring", "serial"])
-    g = grid.interpolate(d, grid.common_grid(st), ["serial"], ["mooring"], list(values), whole_grid=True)
+    g = grid.interpolate(d, grid.common_grid(st), ["mooring", "serial"], ["mooring"], list(values), whole_grid=True)
     return grid.stack_levels(g, grid.levels(i, st), list(values))
 
 
@@ -98,11 +98,17 @@ def _(spark, sf):
     return rounded(stacked(spark, sf), "mooring t_us level serial nominal_depth instrument clock_offset", "temp cond")
 
 
-@query("i6_wide_levels", oracle("stage2", f"""SELECT mooring, t_us, {q6('temp_0', 'temp_1', 'temp_2')} FROM (SELECT mooring, t_us,
- max(CASE WHEN level = 0 THEN temp END) AS temp_0, max(CASE WHEN level = 1 THEN temp END) AS temp_1,
- max(CASE WHEN level = 2 THEN temp END) AS temp_2 FROM stk GROUP BY 1, 2)""", SEG + "," + LEVELS))
+@query("i6_wide_levels", oracle("stage2", f"""SELECT mooring, t_us, n, {q6('weighted', 'temp_0')} FROM (SELECT mooring, t_us, count(temp) AS n, sum((level + 1) * temp) AS weighted,
+ max(CASE WHEN level = 0 THEN temp END) AS temp_0 FROM stk GROUP BY 1, 2)""", SEG + "," + LEVELS))
 def _(spark, sf):
-    return rounded(grid.wide_levels(stacked(spark, sf), "temp", [0, 1, 2]), "mooring t_us", "temp_0 temp_1 temp_2")
+    # as many columns as the deepest mooring has levels; all of them are checked, by their number and a sum weighted by level
+    s = stacked(spark, sf)
+    top = grid.levels(instr(spark, sf)).agg(F.max("level")).first()[0]
+    wide = grid.wide_levels(s, "temp", range(top + 1))
+    cells = [F.col(f"temp_{i}") for i in range(top + 1)]
+    n = sum((c.isNotNull().cast("long") for c in cells), F.lit(0).cast("long"))
+    weighted = sum(((i + 1) * F.coalesce(c, F.lit(0.0)) for i, c in enumerate(cells)), F.lit(0.0))
+    return rounded(wide.select("mooring", "t_us", n.alias("n"), F.when(n > 0, weighted).alias("weighted"), "temp_0"), "mooring t_us n", "weighted temp_0")
 
 
 def depth_records(spark, sf):
@@ -117,25 +123,25 @@ def depth_records(spark, sf):
 DEPTH = f"""hd AS (SELECT mooring, serial, CAST(t_us // {DAY_US // 2} * {DAY_US // 2} AS BIGINT) AS t_us, avg(temp) AS temp FROM obs GROUP BY 1, 2, 3),
  ax AS (SELECT DISTINCT mooring, t_us FROM hd), dl AS (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) - 1 AS level FROM instr),
  sd AS (SELECT ax.mooring, ax.t_us, level, dl.serial, depth, temp FROM ax JOIN dl ON dl.mooring = ax.mooring
- LEFT JOIN hd ON hd.serial = dl.serial AND hd.t_us = ax.t_us)"""
+ LEFT JOIN hd ON hd.serial = dl.serial AND hd.mooring = dl.mooring AND hd.t_us = ax.t_us)"""
 
 
 @query("i7_stack_by_depth", oracle("obs instr", f"SELECT mooring, t_us, level, serial, depth, 26.5 AS lat, -76.7 AS lon, {q6('temp')} FROM sd", DEPTH)
        .replace("26.5 AS lat, -76.7 AS lon", "CAST(26.5 AS DOUBLE) AS lat, CAST(-76.7 AS DOUBLE) AS lon"))
 def _(spark, sf):
-    attrs = instr(spark, sf).select("serial", "depth", F.lit(26.5).alias("lat"), F.lit(-76.7).alias("lon"))
+    attrs = instr(spark, sf).select("mooring", "serial", "depth", F.lit(26.5).alias("lat"), F.lit(-76.7).alias("lon"))
     d = grid.stack_by_depth(depth_records(spark, sf), attrs, ["temp"])
     return rounded(d, "mooring t_us level serial depth lat lon", "temp")
 
 
 @query("i8_concat_depth", oracle("obs instr", f"SELECT mooring, t_us, serial, depth, level, instrument, {q6('temp')} FROM"
-                                 " (SELECT sd.*, instrument FROM sd JOIN instr i ON i.serial = sd.serial)", DEPTH))
+                                 " (SELECT sd.*, instrument FROM sd JOIN instr i ON i.serial = sd.serial AND i.mooring = sd.mooring)", DEPTH))
 def _(spark, sf):
     d = depth_records(spark, sf)
     parts = [d.where("serial % 2 = 0"), d.where("serial % 2 = 1")]
     u = grid.union_variables(parts, ["temp"], ["mooring", "serial", "t_us"])
-    sensors = grid.levels(instr(spark, sf)).select("serial", "depth", "level", "instrument")
-    return rounded(u.join(sensors, "serial"), "mooring t_us serial depth level instrument", "temp")
+    sensors = grid.levels(instr(spark, sf), order=["depth", "serial"]).select("mooring", "serial", "depth", "level", "instrument")
+    return rounded(u.join(sensors, ["mooring", "serial"]), "mooring t_us serial depth level instrument", "temp")
 
 
 @query("i9_mooring_step", oracle("stage2", f"SELECT mooring, t_us, level, serial, nominal_depth, clock_offset, instrument_code, instrument_meanings, {q6('temp', 'cond')}"

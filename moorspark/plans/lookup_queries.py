@@ -10,7 +10,7 @@ from moorspark.plans.standin import deploy, instr, obs, oracle, stage2, us
 H = 3_600_000_000
 
 
-@query("d1_configure_samples", oracle("obs instr deploy", """SELECT event_id, o.mooring, o.serial, depth, clock_offset, instrument, epoch_us(deployment_time) AS deploy_us FROM obs o JOIN instr i ON i.serial = o.serial
+@query("d1_configure_samples", oracle("obs instr deploy", """SELECT event_id, o.mooring, o.serial, depth, clock_offset, instrument, epoch_us(deployment_time) AS deploy_us FROM obs o JOIN instr i ON i.serial = o.serial AND i.mooring = o.mooring
  JOIN deploy d ON d.mooring = o.mooring"""))
 def _(spark, sf):
     d = lookup.configure_samples(obs(spark, sf), instr(spark, sf), deploy(spark, sf))
@@ -18,7 +18,7 @@ def _(spark, sf):
 
 
 @query("d2_expected_found", oracle("obs instr", """SELECT mooring, count(*) AS expected, count(f) AS found, coalesce(string_agg(CASE WHEN f IS NULL THEN serial END, ',' ORDER BY serial), '') AS missing FROM (SELECT i.*,
- (SELECT max(1) FROM obs o WHERE o.serial = i.serial AND temp > 25) AS f FROM instr i) GROUP BY 1"""))
+ (SELECT max(1) FROM obs o WHERE o.serial = i.serial AND o.mooring = i.mooring AND temp > 25) AS f FROM instr i) GROUP BY 1"""))
 def _(spark, sf):
     return lookup.expected_found(instr(spark, sf), obs(spark, sf).where("temp > 25"))
 
@@ -31,16 +31,16 @@ def _(spark, sf):
     return lookup.in_intervals(o, iv, "serial").select("event_id", "interval_id")
 
 
-@query("d4_around_boundary", oracle("obs instr deploy", """SELECT x.event_id, x.bound, x.i - n.i AS offset_rows FROM x JOIN (SELECT serial, bound, arg_min(i, {'d': d, 'i': i}) AS i FROM x GROUP BY 1, 2) n
- ON n.serial = x.serial AND n.bound = x.bound AND abs(x.i - n.i) <= 3""", """b AS (SELECT i.serial, 'start' AS bound, epoch_us(deployment_time) AS b_us FROM instr i JOIN deploy d ON d.mooring = i.mooring
- UNION ALL SELECT i.serial, 'end', epoch_us(recovery_time) FROM instr i JOIN deploy d ON d.mooring = i.mooring WHERE recovery_time IS NOT NULL),
- x AS (SELECT o.event_id, o.serial, bound, i, abs(t_us - b_us) AS d FROM (SELECT *, row_number() OVER (PARTITION BY serial ORDER BY t_us) - 1 AS i FROM obs) o JOIN b ON b.serial = o.serial)"""))
+@query("d4_around_boundary", oracle("obs instr deploy", """SELECT x.event_id, x.bound, x.i - n.i AS offset_rows FROM x JOIN (SELECT mooring, serial, bound, arg_min(i, {'d': d, 'i': i}) AS i FROM x GROUP BY 1, 2, 3) n
+ ON n.serial = x.serial AND n.mooring = x.mooring AND n.bound = x.bound AND abs(x.i - n.i) <= 3""", """b AS (SELECT i.mooring, i.serial, 'start' AS bound, epoch_us(deployment_time) AS b_us FROM instr i JOIN deploy d ON d.mooring = i.mooring
+ UNION ALL SELECT i.mooring, i.serial, 'end', epoch_us(recovery_time) FROM instr i JOIN deploy d ON d.mooring = i.mooring WHERE recovery_time IS NOT NULL),
+ x AS (SELECT o.event_id, o.mooring, o.serial, bound, i, abs(t_us - b_us) AS d FROM (SELECT *, row_number() OVER (PARTITION BY mooring, serial ORDER BY t_us) - 1 AS i FROM obs) o JOIN b ON b.serial = o.serial AND b.mooring = o.mooring)"""))
 def _(spark, sf):
     c = instr(spark, sf).join(deploy(spark, sf), "mooring")
-    b = c.select("serial", F.explode(F.array(
+    b = c.select("mooring", "serial", F.explode(F.array(
         F.struct(F.lit("start").alias("bound"), us("deployment_time").alias("b_us")),
-        F.struct(F.lit("end").alias("bound"), us("recovery_time").alias("b_us")))).alias("s")).select("serial", "s.bound", "s.b_us")
-    d = lookup.around_boundary(obs(spark, sf).select("event_id", "serial", "t_us"), b, ["serial"], 3)
+        F.struct(F.lit("end").alias("bound"), us("recovery_time").alias("b_us")))).alias("s")).select("mooring", "serial", "s.bound", "s.b_us")
+    d = lookup.around_boundary(obs(spark, sf).select("event_id", "mooring", "serial", "t_us"), b, ["mooring", "serial"], 3)
     return d.select("event_id", "bound", "offset_rows")
 
 

@@ -33,10 +33,10 @@ def _(spark, sf):
     return rounded(d, "site pres t_us", "temp salt")
 
 
-@query("m2_merge_sites", oracle("prof", f"""SELECT site, t_us, pres, row_number() OVER (PARTITION BY t_us ORDER BY pres, site) - 1 AS rank, {q6('temp', 'salt')} FROM (SELECT site, t_us, pres, temp, CASE WHEN site <> 2 THEN salt END AS salt FROM sp WHERE site < 3)""", SITE))
+@query("m2_merge_sites", oracle("prof", f"""SELECT site, t_us, pres, row_number() OVER (PARTITION BY t_us ORDER BY pres, site) - 1 AS rank, {q6('temp', 'salt')} FROM (SELECT site, t_us, pres, temp, CASE WHEN site NOT IN (2, 4) THEN salt END AS salt FROM sp)""", SITE))
 def _(spark, sf):
     d = site_profiles(spark, sf)
-    parts = [d.where("site = 0"), d.where("site = 1"), d.where("site = 2").drop("salt")]
+    parts = [d.where(f"site = {s}") if s not in (2, 4) else d.where(f"site = {s}").drop("salt") for s in range(5)]
     return rounded(merge.merge_sites(parts, ["temp", "salt"]), "site t_us pres rank", "temp salt")
 
 

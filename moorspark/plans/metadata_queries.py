@@ -47,10 +47,10 @@ def _(spark, sf):
 
 
 @query("b5_instrument_metadata", oracle("instr obs deploy", """SELECT event_id, o.serial AS serial_number, coalesce(CASE WHEN o.serial % 3 <> 0 THEN depth END, 0) AS instr_depth, coalesce(CASE WHEN o.serial % 4 <> 0 THEN instrument END, 'Unknown') AS instrument,
- coalesce(CASE WHEN o.serial % 5 <> 0 THEN clock_offset END, 0) AS clock_offset, epoch_us(deployment_time) AS start_us FROM obs o JOIN deploy d ON d.mooring = o.mooring LEFT JOIN instr i ON i.serial = o.serial"""))
+ coalesce(CASE WHEN o.serial % 5 <> 0 THEN clock_offset END, 0) AS clock_offset, epoch_us(deployment_time) AS start_us FROM obs o JOIN deploy d ON d.mooring = o.mooring LEFT JOIN instr i ON i.serial = o.serial AND i.mooring = o.mooring"""))
 def _(spark, sf):
     s = F.col("serial")
-    i = instr(spark, sf).drop("mooring").withColumns({"depth": F.when(s % 3 != 0, F.col("depth")), "instrument": F.when(s % 4 != 0, F.col("instrument")),
+    i = instr(spark, sf).withColumns({"depth": F.when(s % 3 != 0, F.col("depth")), "instrument": F.when(s % 4 != 0, F.col("instrument")),
                                                       "clock_offset": F.when(s % 5 != 0, F.col("clock_offset"))})
     d = meta.with_instrument(obs(spark, sf).join(deploy(spark, sf), "mooring"), i)
     return d.select("event_id", "serial_number", "instr_depth", "instrument", "clock_offset", us("start_time").alias("start_us"))
@@ -71,7 +71,7 @@ def described(spark, sf):
 @query("b6_fill_metadata", oracle("instr", """SELECT serial, coalesce(CASE WHEN serial % 2 = 0 THEN instrument END, CASE WHEN serial % 3 <> 0 THEN 'cfg' END, instrument) AS instrument,
  coalesce(CASE WHEN serial % 4 = 0 THEN serial END, CASE WHEN serial % 5 <> 0 THEN serial + 1000 END, CASE WHEN serial % 6 <> 5 THEN serial END) AS serial_number,
  coalesce(CASE WHEN serial % 2 = 1 THEN depth END, CASE WHEN serial % 3 = 1 THEN 7.0 END, 0) AS instr_depth,
- CASE WHEN serial % 3 = 0 OR serial % 5 = 0 AND serial % 6 <> 5 THEN CASE WHEN serial % 7 = 0 THEN 'earlier; ' ELSE '' END || 'non-standard enrichment of metadata from filename patterns'
+ CASE WHEN serial % 3 = 0 OR serial % 5 = 0 AND serial % 6 <> 5 THEN CASE WHEN serial % 7 = 0 THEN 'earlier; ' ELSE '' END || 'instrument details read from the file name'
  WHEN serial % 7 = 0 THEN 'earlier' END AS history FROM instr"""))
 def _(spark, sf):
     d = meta.fill_metadata(described(spark, sf))
@@ -95,8 +95,14 @@ def _(spark, sf):
                     text.stage_name(F.col("mooring"), s, ft, src).alias("stage1"), text.mooring_name(F.col("mooring"), "_use", "lowpass").alias("step1"))
 
 
+#: Fixed values, restated for the checking engine.
+VOCABULARY = """('TEMP', 'standard_name', 'sea_water_temperature'), ('TEMP', 'units', 'degree_Celsius'), ('TEMP', 'valid_min', '-5'), ('TEMP', 'valid_max', '42'),
+ ('PRES', 'standard_name', 'sea_water_pressure'), ('PRES', 'units', 'dbar'), ('PRES', 'valid_min', '0'), ('PRES', 'valid_max', '11000'),
+ ('CNDC', 'standard_name', 'sea_water_conductivity'), ('CNDC', 'units', 'mS cm-1'), ('CNDC', 'valid_min', '0'), ('CNDC', 'valid_max', '80')"""
+
+
 @query("b9_vocabulary", oracle("obs", """SELECT serial, var, key, value FROM (SELECT DISTINCT serial, CASE kind WHEN 'view' THEN 'TEMP' WHEN 'click' THEN 'PRES' WHEN 'error' THEN 'CNDC' ELSE kind END AS var FROM obs)
- JOIN (VALUES """ + ", ".join(f"('{v}', '{k}', '{x}')" for v, a in meta.VOCABULARY.items() for k, x in a.items()) + ") t(v, key, value) ON v = var"))
+ JOIN (VALUES """ + VOCABULARY + ") t(v, key, value) ON v = var"))
 def _(spark, sf):
     k = F.col("kind")
     v = obs(spark, sf).select("serial", F.when(k == "view", "TEMP").when(k == "click", "PRES").when(k == "error", "CNDC").otherwise(k).alias("var")).distinct()
@@ -246,7 +252,7 @@ def _(spark, sf):
 @query("b23_instrument_codes", oracle("instr", """SELECT serial, row_number() OVER (PARTITION BY mooring ORDER BY fl) AS instrument_code, names AS instrument_names FROM (SELECT mooring, instrument, min(level) AS fl FROM lv GROUP BY 1, 2) f
  JOIN (SELECT mooring AS m, string_agg(instrument, ', ' ORDER BY fl) AS names FROM (SELECT mooring, instrument, min(level) AS fl FROM lv GROUP BY 1, 2) GROUP BY 1) ON m = mooring JOIN lv USING (mooring, instrument)""".replace(
     "row_number() OVER (PARTITION BY mooring ORDER BY fl)", "dense_rank() OVER (PARTITION BY mooring ORDER BY fl)"),
-    "lv AS (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) AS level FROM instr)"))
+    "lv AS (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY position) AS level FROM instr)"))
 def _(spark, sf):
     lv = grid.levels(instr(spark, sf))
     return meta.encode_instruments(lv, lv).select("serial", "instrument_code", "instrument_names")

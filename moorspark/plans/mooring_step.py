@@ -19,7 +19,7 @@ def mooring_step(obs: DataFrame, instr: DataFrame, values: Sequence[str], filter
     if filter_type:
         obs = filters.apply_filter(obs, series, values, filter_type, **filter_args)
     st = stats.sampling_stats(obs, series)
-    g = grid.interpolate(obs, grid.common_grid(st), ["serial"], ["mooring"], values, whole_grid=True)
+    g = grid.interpolate(obs, grid.common_grid(st), series, ["mooring"], values, whole_grid=True)
     lv = grid.levels(instr, st)
     d = grid.stack_levels(g, lv, values)
     return meta.encode_instruments(d, lv)

@@ -19,13 +19,26 @@ def _tables(spark, sf):
     return p, materialize(c, "climatology")
 
 
-#: Fixed values of the density polynomial, restated for the checking engine.
-SPV = seawater.SPECVOL0
+#: Fixed values, restated for the checking engine: specific volume at zero pressure (rows: powers of the salinity root).
+SPV = """
+1.0769995862e-3 -1.5649734675e-5 2.7762106484e-5 -1.6521159259e-5 6.9111322702e-6 -8.0539615540e-7 2.0543094268e-7
+-3.1038981976e-4 3.5009599764e-5 -3.7435842344e-5 2.4141479483e-5 -8.7595873154e-6 -3.3052758900e-7
+6.6928067038e-4 -4.3592678561e-5 3.5907822760e-5 -1.4353633048e-5 4.3703680598e-6
+-8.5047933937e-4 3.4532461828e-5 -1.8698584187e-5 2.2863324556e-6
+5.8086069943e-4 -1.1959409788e-5 3.8595339244e-6
+-2.1092370507e-4 1.3864594581e-6
+3.1932457305e-5"""
+#: Fixed values, restated: practical salinity scale 1978.
+PSS = {"rt": "0.6766097 2.00564e-2 1.104259e-4 -6.9698e-7 1.0031e-9", "a": "0.0080 -0.1692 25.3851 14.0941 -7.0261 2.7081", "b": "0.0005 -0.0056 -0.0066 -0.0375 0.0636 -0.0144"}
+
+
+def _sum(coefficients: str, x: str) -> str:
+    return " + ".join(f"({c}) * pow({x}, {i})" for i, c in enumerate(coefficients.split()))
 
 
 def sigma_sql(s, t):
     xs, ys = f"sqrt(0.0248826675584615 * {s} + 0.5971840214030754)", f"({t} / 40.0)"
-    terms = " + ".join(f"({c!r}) * pow({xs}, {i}) * pow({ys}, {j})" for i, row in enumerate(SPV) for j, c in enumerate(row))
+    terms = " + ".join(f"({_sum(row, ys)}) * pow({xs}, {i})" for i, row in enumerate(SPV.strip().split("\n")))
     return f"(1 / CAST({terms} AS DOUBLE) - 1000)"
 
 
@@ -33,10 +46,9 @@ def salinity_sql(c, t, p):
     t68, r = f"({t} * 1.00024)", f"({c} / 42.9140)"
     rp = (f"(1 + {p} * (2.070e-5 - 6.370e-10 * {p} + 3.989e-15 * {p} * {p}) / (1 + 3.426e-2 * {t68} + 4.464e-4 * {t68} * {t68}"
           f" + (4.215e-1 - 3.107e-3 * {t68}) * {r}))")
-    rt = "(" + " + ".join(f"({c!r}) * pow({t68}, {i})" for i, c in enumerate(seawater.PSS_RT)) + ")"
+    rt = "(" + _sum(PSS["rt"], t68) + ")"
     x = f"sqrt({r} / ({rp} * {rt}))"
-    a = " + ".join(f"({c!r}) * pow({x}, {i})" for i, c in enumerate(seawater.PSS_A))
-    b = " + ".join(f"({c!r}) * pow({x}, {i})" for i, c in enumerate(seawater.PSS_B))
+    a, b = _sum(PSS["a"], x), _sum(PSS["b"], x)
     return f"({a} + ({t68} - 15) / (1 + 0.0162 * ({t68} - 15)) * ({b}))"
 
 
@@ -218,7 +230,7 @@ def _(spark, sf):
 
 
 HOLE = """hp AS (SELECT mooring, level, t_us, depth, depth * 1.01 + CAST((t_us // 43200000000) % 13 AS DOUBLE) * (1 + depth / 1000) AS full_pres FROM (SELECT l.mooring, level, depth, t.t_us FROM
- (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) - 1 AS level FROM instr) l JOIN (SELECT DISTINCT mooring, CAST(t_us // 43200000000 * 43200000000 AS BIGINT) AS t_us FROM obs) t ON t.mooring = l.mooring)),
+ (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY position) - 1 AS level FROM instr) l JOIN (SELECT DISTINCT mooring, CAST(t_us // 43200000000 * 43200000000 AS BIGINT) AS t_us FROM obs) t ON t.mooring = l.mooring)),
  pm AS (SELECT mooring, level, t_us, depth, CASE WHEN level % 7 = 3 THEN NULL WHEN level % 3 = 1 AND (t_us // 43200000000) % 5 = 2 THEN NULL ELSE full_pres END AS pres FROM hp)"""
 
 

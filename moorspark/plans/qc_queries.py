@@ -16,14 +16,14 @@ LV = ["mooring", "level"]
 def cells(spark, sf):
     """Time x level matrix of half-day means with temperature, conductivity, pressure (null where empty)."""
     o = obs(spark, sf).withColumn("t_us", F.floor(F.col("t_us") / H) * H)
-    d = o.groupBy("serial", "t_us").agg(F.avg("temp").alias("temp"), F.avg("cond").alias("cond"), F.avg("pres").alias("pres"))
+    d = o.groupBy("mooring", "serial", "t_us").agg(F.avg("temp").alias("temp"), F.avg("cond").alias("cond"), F.avg("pres").alias("pres"))
     lv = grid.levels(instr(spark, sf)).select("mooring", "level", "serial", "depth")
-    return lv.join(o.select("mooring", "t_us").distinct(), "mooring").join(d, ["serial", "t_us"], "left")
+    return lv.join(o.select("mooring", "t_us").distinct(), "mooring").join(d, ["mooring", "serial", "t_us"], "left")
 
 
-CELLS = f"""hm AS (SELECT serial, CAST(t_us // {H} * {H} AS BIGINT) AS t_us, avg(temp) AS temp, avg(cond) AS cond, avg(pres) AS pres FROM obs GROUP BY 1, 2),
- cl AS (SELECT l.mooring, l.level, l.serial, l.depth, a.t_us, temp, cond, pres FROM (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY depth, serial) - 1 AS level FROM instr) l
- JOIN (SELECT DISTINCT mooring, CAST(t_us // {H} * {H} AS BIGINT) AS t_us FROM obs) a ON a.mooring = l.mooring LEFT JOIN hm ON hm.serial = l.serial AND hm.t_us = a.t_us),
+CELLS = f"""hm AS (SELECT mooring, serial, CAST(t_us // {H} * {H} AS BIGINT) AS t_us, avg(temp) AS temp, avg(cond) AS cond, avg(pres) AS pres FROM obs GROUP BY 1, 2, 3),
+ cl AS (SELECT l.mooring, l.level, l.serial, l.depth, a.t_us, temp, cond, pres FROM (SELECT *, row_number() OVER (PARTITION BY mooring ORDER BY position) - 1 AS level FROM instr) l
+ JOIN (SELECT DISTINCT mooring, CAST(t_us // {H} * {H} AS BIGINT) AS t_us FROM obs) a ON a.mooring = l.mooring LEFT JOIN hm ON hm.serial = l.serial AND hm.mooring = l.mooring AND hm.t_us = a.t_us),
  cs AS (SELECT *, {salinity_sql('cond', 'temp', 'pres')} AS salt FROM cl)"""
 
 
@@ -65,7 +65,7 @@ CLIMF = """CASE WHEN temp IS NULL THEN 9 WHEN time BETWEEN '2024-01-10' AND '202
 SPANS = [{"tspan": ["2024-01-05", "2024-01-15"], "zspan": [100, 250], "vspan": [0.5, 12]},
          {"tspan": ["2024-01-10", "2024-01-20"], "zspan": [100, 150], "vspan": [1, 8]}]
 RATE = "CASE WHEN temp IS NULL THEN 9 WHEN abs(temp - p) / ((t_us - tp) / 1e6) IS NULL THEN 2 WHEN abs(temp - p) / ((t_us - tp) / 1e6) > 0.0002 THEN 3 ELSE 1 END"
-NB = """nb AS (SELECT o.*, depth, lag(temp) OVER w AS p, lead(temp) OVER w AS n, lag(t_us) OVER w AS tp FROM obs o JOIN instr i ON i.serial = o.serial
+NB = """nb AS (SELECT o.*, depth, lag(temp) OVER w AS p, lead(temp) OVER w AS n, lag(t_us) OVER w AS tp FROM obs o JOIN instr i ON i.serial = o.serial AND i.mooring = o.mooring
  WINDOW w AS (PARTITION BY o.serial ORDER BY t_us))"""
 CONFIG = [
     {"test": "gross_range", "var": "temp", "suspect_span": [0.5, 15], "fail_span": [0.1, 25]},
@@ -77,7 +77,7 @@ TESTS = ["temp_gross_range", "temp_spike", "temp_rate_of_change", "temp_climatol
 
 
 def deep(spark, sf):
-    return obs(spark, sf).join(instr(spark, sf).select("serial", "depth"), "serial")
+    return obs(spark, sf).join(instr(spark, sf).select("mooring", "serial", "depth"), ["mooring", "serial"])
 
 
 def tested(spark, sf):

@@ -12,11 +12,11 @@ def record_files(spark, sf):
     """Every record as column text; returns the folder."""
     path = scratch_path(spark, "records") + ".use"
     o = obs(spark, sf).select(F.concat(F.lit("s"), F.col("serial").cast("string")).alias("file"), "time",
-                              F.col("temp").alias("T"), F.col("cond").alias("C"), F.col("pres").alias("P"))
-    h = instr(spark, sf).select(F.concat(F.lit("s"), F.col("serial").cast("string")).alias("file"), F.col("mooring").alias("Mooring"), F.col("serial").alias("SerialNumber"),
+                              F.col("temp").alias("T"), F.col("cond").alias("C"), F.col("pres").alias("P"), (F.col("temp") / 3 - 7).alias("U"), F.lit(-999.0).alias("V"))
+    h = instr(spark, sf).where("depth % 10 = 0").select(F.concat(F.lit("s"), F.col("serial").cast("string")).alias("file"), F.col("mooring").alias("Mooring"), F.col("serial").alias("SerialNumber"),
                                 F.col("depth").cast("int").alias("InstrDepth"), F.lit("2024/01/01").alias("Start_Date"), F.lit("00:00").alias("Start_Time"),
                                 (F.col("mooring") + 20.25).alias("Latitude"), (-F.col("mooring") - 70.5).alias("Longitude"))
-    rodb.write_rodb(o, h, path)
+    rodb.write_rodb(o, h, path, ["T", "C", "P", "U", "V"])
     return path
 
 
@@ -24,13 +24,13 @@ _FRAC = "CAST(printf('%10.5f', hour(time) + minute(time) / CAST(60 AS DOUBLE) +
 
 
 @query("a1_read_text_records", oracle("obs", f"""SELECT 's' || serial AS file, epoch_us(make_timestamp(year(time), month(time), day(time), CAST(floor(h) AS BIGINT), CAST(floor((h - floor(h)) * 60) AS BIGINT), 0)) AS t_us,
- CAST(printf('%9.4f', temp) AS DOUBLE) AS "T", CAST(printf('%9.4f', cond) AS DOUBLE) AS "C" FROM (SELECT *, {_FRAC} AS h FROM obs)"""))
+ CAST(printf('%9.4f', temp) AS DOUBLE) AS "T", CAST(printf('%9.4f', cond) AS DOUBLE) AS "C", CAST(printf('%7.1f', pres) AS DOUBLE) AS "P", CAST(printf('%10.4f', temp / 3 - 7) AS DOUBLE) AS "U", CAST(-999 AS DOUBLE) AS "V" FROM (SELECT *, {_FRAC} AS h FROM obs)"""))
 def _(spark, sf):
-    return rodb.read_rodb(spark, record_files(spark, sf), ["T", "C"]).select("file", "t_us", "T", "C")
+    return rodb.read_rodb(spark, record_files(spark, sf)).drop("time")
 
 
 @query("a10_write_text_records", oracle("instr", """SELECT 's' || serial AS file, CAST(mooring AS VARCHAR) AS mooring, CAST(CAST(depth AS INT) AS VARCHAR) AS depth, epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS start_us,
- mooring + CAST(20.25 AS DOUBLE) AS lat, -mooring - CAST(70.5 AS DOUBLE) AS lon FROM instr"""))
+ mooring + CAST(20.25 AS DOUBLE) AS lat, -mooring - CAST(70.5 AS DOUBLE) AS lon FROM instr WHERE depth % 10 = 0"""))
 def _(spark, sf):
     d = rodb.read_header(spark, record_files(spark, sf))
     return d.select("file", F.element_at("header", "MOORING").alias("mooring"), F.element_at("header", "INSTRDEPTH").alias("depth"),
@@ -38,7 +38,8 @@ def _(spark, sf):
 
 
 @query("a2_read_ctd_text", oracle("obs", f"""SELECT 's' || serial AS file, epoch_us(TIMESTAMP '2024-01-01') + CAST(round((CAST(printf('%.6f', (t_us - epoch_us(TIMESTAMP '2024-01-01')) / CAST(86400000000 AS DOUBLE) + 1) AS DOUBLE) - 1) * 86400000000) AS BIGINT) AS t_us,
- CAST(printf('%.4f', temp) AS DOUBLE) AS temperature, CASE WHEN event_id % 9 <> 0 THEN CAST(printf('%.3f', pres) AS DOUBLE) END AS pressure FROM obs"""))
+ CAST(printf('%.4f', temp) AS DOUBLE) AS temperature, CASE WHEN event_id % 9 <> 0 THEN CAST(printf('%.3f', pres) AS DOUBLE) END AS pressure,
+ round(CAST(printf('%.6f', CASE WHEN serial % 2 = 0 THEN cond ELSE cond / 10 END) AS DOUBLE) * CASE WHEN serial % 2 = 0 THEN 1 ELSE 10 END, 4) AS conductivity, CAST(event_id AS DOUBLE) AS scan FROM obs"""))
 def _(spark, sf):
     path = scratch_path(spark, "ctd") + ".cnv"
     o = obs(spark, sf)
@@ -46,13 +47,27 @@ def _(spark, sf):
     year0 = F.unix_micros(F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").cast("timestamp"))
     day = (F.col("t_us") - year0) / F.lit(86_400_000_000.0) + 1
     p = F.when(F.col("event_id") % 9 != 0, F.format_string("%.3f", "pres")).otherwise("-9.990e-29")
-    rows = o.select(f.alias("file"), F.col("t_us").alias("o"), F.format_string("%10s %10s %11s", F.format_string("%.4f", "temp"), p, F.format_string("%.6f", day)).alias("value"))
+    rows = o.select(f.alias("file"), F.col("t_us").alias("o"), F.format_string("%10s %10s %11s %s %d", F.format_string("%.4f", "temp"), p, F.format_string("%.6f", day),
+                                                                                           F.format_string("%.6f", F.when(F.col("serial") % 2 == 0, F.col("cond")).otherwise(F.col("cond") / 10)), "event_id").alias("value"))
     pre = ["* Sea-Bird SBE37 Data File:", "# name 0 = tv290C: Temperature [ITS-90, deg C]", "# name 1 = prdM: Pressure, Strain Gauge [db]",
-           "# name 2 = timeJV2: Time, Instrument [julian days]", "# bad_flag = -9.990e-29", "# start_time = Jan 01 2024 00:00:00 [Instrument's time stamp, first data scan]", "*END*"]
-    head = o.select(f.alias("file")).distinct().select("file", F.posexplode(F.array(*[F.lit(x) for x in pre])).alias("o", "value"))
+           "# name 2 = timeJV2: Time, Instrument [julian days]", "UNIT", "# name 4 = scan: Scan Count", "# bad_flag = -9.990e-29", "# start_time = Jan 01 2024 00:00:00 [Instrument's time stamp, first data scan]", "*END*"]
+    unit = F.when(F.col("serial") % 2 == 0, "# name 3 = cond0mS/cm: Conductivity [mS/cm]").otherwise("# name 3 = cond0S/m: Conductivity [S/m]")
+    head = o.select(f.alias("file"), "serial").distinct().select("file", F.posexplode(F.array(*[unit if x == "UNIT" else F.lit(x) for x in pre])).alias("o", "value"))
     head = head.select("file", F.col("o").cast("long").alias("o"), "value")
     head.unionByName(rows).repartitionByRange("file", "o").sortWithinPartitions("file", "o").select("file", "value").write.partitionBy("file").text(path)
-    return text_sources.read_cnv(spark, path).select("file", "t_us", "temperature", "pressure")
+    return text_sources.read_cnv(spark, path).select("file", "t_us", "temperature", "pressure", F.round("conductivity", 4).alias("conductivity"), "scan")
+
+
+COLUMNS = {"0": "serial", "3": "temperature", "4": "pressure"}
+
+
+@query("a3_unreadable_lines", oracle("obs", "SELECT serial || ',no date,' || event_id AS line, 'time cannot be read' AS reason FROM obs WHERE event_id % 50 = 0"))
+def _(spark, sf):
+    path = scratch_path(spark, "logger")
+    bad = F.concat_ws(",", F.col("serial").cast("string"), F.lit("no date"), F.col("event_id").cast("string"))
+    good = F.concat_ws(",", F.col("serial").cast("string"), F.date_format(F.col("time").cast("timestamp"), "dd-MM-yyyy"), F.lit("01:02:03"), F.lit("1.5"), F.lit("2"))
+    obs(spark, sf).select(F.when(F.col("event_id") % 50 == 0, bad).otherwise(good).alias("value")).write.text(path)
+    return text_sources.unreadable_lines(spark, path, COLUMNS, ["1", "2"], "dd-MM-yyyy HH:mm:ss", ",", "^#").drop("file")
 
 
 @query("a3_read_delimited", oracle("obs", "SELECT serial, t_us // 1000000 AS t_s, CAST(printf('%.4f', temp) AS DOUBLE) AS temperature, CAST(printf('%.2f', pres) AS DOUBLE) AS pressure FROM obs"))
@@ -61,7 +76,7 @@ def _(spark, sf):
     t = F.col("time").cast("timestamp")
     line = F.concat_ws(",", F.col("serial").cast("string"), F.date_format(t, "dd-MM-yyyy"), F.date_format(t, "HH:mm:ss"), F.format_string("%.4f", "temp"), F.format_string("%.2f", "pres"))
     obs(spark, sf).select(F.when(F.col("event_id") % 500 == 0, F.concat(F.lit("# comment\n"), line)).otherwise(line).alias("value")).write.text(path)
-    d = text_sources.read_delimited(spark, path, {"0": "serial", "3": "temperature", "4": "pressure"}, ["1", "2"], "dd-MM-yyyy HH:mm:ss", ",", "^#")
+    d = text_sources.read_delimited(spark, path, COLUMNS, ["1", "2"], "dd-MM-yyyy HH:mm:ss", ",", "^#")
     return d.select(F.col("serial").cast("long").alias("serial"), F.unix_seconds(F.col("time").cast("timestamp")).alias("t_s"), "temperature", "pressure")
 
 

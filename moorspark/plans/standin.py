@@ -6,7 +6,7 @@ Every view exists twice, as a DataFrame (:func:`views`) and as SQL text for the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moorspark.session import materialize
@@ -26,13 +26,18 @@ def ntz(c):
     return F.timestamp_micros(c).cast("timestamp_ntz")
 
 
+def redeployed():
+    """1 from the day on which every instrument goes to the next mooring, so that serials recur on several."""
+    return F.when(F.col("ts") >= F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"), 1).otherwise(0)
+
+
 def obs(spark, sf) -> DataFrame:
-    v = F.least(F.col("value"), F.lit(300.0))
+    v = F.col("value")
     u = F.col("user_id")
     return table(spark, sf, "events").select(
         F.col("event_id").cast("long").alias("event_id"),
         u.cast("long").alias("serial"),
-        (u % 5).cast("long").alias("mooring"),
+        ((u + redeployed()) % 5).cast("long").alias("mooring"),
         us("ts").alias("t_us"),
         F.col("ts").alias("time"),
         F.col("event_type").alias("kind"),
@@ -43,14 +48,16 @@ def obs(spark, sf) -> DataFrame:
 
 
 def instr(spark, sf) -> DataFrame:
-    u = F.col("serial")
+    u, d = F.col("serial"), F.col("d")
     return (
-        table(spark, sf, "events").select(F.col("user_id").cast("long").alias("serial")).distinct()
+        table(spark, sf, "events").select(F.col("user_id").cast("long").alias("serial"), redeployed().cast("long").alias("d")).distinct()
         .select(
             u,
-            (u % 5).alias("mooring"),
-            (100.0 + 10.0 * F.floor(u / 5.0)).cast("double").alias("depth"),
-            (((u * 37) % 11 - 5) * 60).alias("clock_offset"),
+            ((u + d) % 5).alias("mooring"),
+            # the list runs upwards: position and depth rank are opposite
+            (F.row_number().over(Window.partitionBy((u + d) % 5).orderBy(F.desc("serial"))).cast("long") - 1).alias("position"),
+            (100.0 + 10.0 * F.floor(u / 5.0) + 4 * d).cast("double").alias("depth"),
+            (((u * 37) % 11 - 5) * 60 + 30 * d).alias("clock_offset"),
             F.when(u % 3 == 0, "microcat").when(u % 3 == 1, "sbe56").otherwise("aquadopp").alias("instrument"),
         )
     )
@@ -129,13 +136,15 @@ def stored(view, spark, sf) -> DataFrame:
 
 _SQL = {
     "obs": """SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS serial,
- CAST(user_id % 5 AS BIGINT) AS mooring, epoch_us(ts) AS t_us, ts AS time, event_type AS kind,
- LEAST(value, 300.0) / 10.0 AS temp, 30 + LEAST(value, 300.0) / 20.0 AS cond,
+ CAST((user_id + CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END) % 5 AS BIGINT) AS mooring, epoch_us(ts) AS t_us, ts AS time, event_type AS kind,
+ value / 10.0 AS temp, 30 + value / 20.0 AS cond,
  CAST(100 + 10 * FLOOR(user_id / 5.0) + (event_id % 100) / 10.0 AS DOUBLE) AS pres FROM events""",
-    "instr": """SELECT DISTINCT CAST(user_id AS BIGINT) AS serial, CAST(user_id % 5 AS BIGINT) AS mooring,
- CAST(100 + 10 * FLOOR(user_id / 5.0) AS DOUBLE) AS depth,
- CAST(((user_id * 37) % 11 - 5) * 60 AS BIGINT) AS clock_offset,
- CASE user_id % 3 WHEN 0 THEN 'microcat' WHEN 1 THEN 'sbe56' ELSE 'aquadopp' END AS instrument FROM events""",
+    "instr": """SELECT CAST(user_id AS BIGINT) AS serial, CAST((user_id + d) % 5 AS BIGINT) AS mooring,
+ row_number() OVER (PARTITION BY (user_id + d) % 5 ORDER BY user_id DESC) - 1 AS position,
+ CAST(100 + 10 * FLOOR(user_id / 5.0) + 4 * d AS DOUBLE) AS depth,
+ CAST(((user_id * 37) % 11 - 5) * 60 + 30 * d AS BIGINT) AS clock_offset,
+ CASE user_id % 3 WHEN 0 THEN 'microcat' WHEN 1 THEN 'sbe56' ELSE 'aquadopp' END AS instrument
+ FROM (SELECT DISTINCT user_id, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END AS d FROM events)""",
     "deploy": """SELECT CAST(m AS BIGINT) AS mooring,
  TIMESTAMP '2024-01-02 00:00:00' + m * INTERVAL '1' HOUR AS deployment_time,
  CASE WHEN m < 4 THEN TIMESTAMP '2024-01-29 00:00:00' - m * INTERVAL '1' HOUR END AS recovery_time
@@ -153,7 +162,7 @@ _SQL = {
  CAST(l_extendedprice AS DOUBLE) / 1000 AS v, CAST(l_quantity AS DOUBLE) AS q FROM lineitem""",
     "stage2": """SELECT event_id, o.mooring, o.serial, t_us + clock_offset * 1000000 AS t_us,
  time + clock_offset * INTERVAL '1' SECOND AS time, kind, temp, cond, pres, depth, instrument
- FROM obs o JOIN instr i ON o.serial = i.serial JOIN deploy d ON o.mooring = d.mooring
+ FROM obs o JOIN instr i ON o.serial = i.serial AND o.mooring = i.mooring JOIN deploy d ON o.mooring = d.mooring
  WHERE (deployment_time IS NULL OR time + clock_offset * INTERVAL '1' SECOND >= deployment_time)
  AND (recovery_time IS NULL OR time + clock_offset * INTERVAL '1' SECOND <= recovery_time)""",
 }

@@ -7,7 +7,7 @@ from moorspark.plans.registry import q6, query, rounded
 from moorspark.plans.standin import instr, obs, oracle, stage2, table
 
 SAMPLING = """d AS (SELECT mooring, serial, t_us,
- (t_us - lag(t_us) OVER (PARTITION BY serial ORDER BY t_us)) / 60e6 AS dt FROM stage2),
+ (t_us - lag(t_us) OVER (PARTITION BY mooring, serial ORDER BY t_us)) / 60e6 AS dt FROM stage2),
  st AS (SELECT mooring, serial, count(*) AS n, min(t_us) AS start_us, max(t_us) AS end_us,
  quantile_cont(dt, 0.5) AS median_dt, min(dt) AS min_dt, max(dt) AS max_dt, stddev_pop(dt) AS std_dt
  FROM d GROUP BY 1, 2 HAVING count(*) > 1)"""
@@ -81,7 +81,7 @@ def _(spark, sf):
 @query("e8_climatology_ranges", oracle("obs instr", """SELECT mooring, depth, round(avg(temp) - 3 * stddev_pop(temp), 2) + 0.0 AS vmin,
  round(avg(temp) + 3 * stddev_pop(temp), 2) + 0.0 AS vmax FROM obs JOIN instr USING (serial, mooring) GROUP BY 1, 2"""))
 def _(spark, sf):
-    d = obs(spark, sf).join(instr(spark, sf).select("serial", "depth"), "serial")
+    d = obs(spark, sf).join(instr(spark, sf).select("mooring", "serial", "depth"), ["mooring", "serial"])
     d = stats.climatology_ranges(d, ["mooring", "depth"], "temp")
     return d.select("mooring", "depth", (F.col("vmin") + 0.0).alias("vmin"), (F.col("vmax") + 0.0).alias("vmax"))
 
@@ -96,7 +96,7 @@ def _(spark, sf):
 
 
 @query("e10_batch_report", oracle("obs instr", """SELECT mooring, count(*) AS total, CAST(sum(ok) AS BIGINT) AS processed, sum(ok) > 0 AS success
- FROM (SELECT i.mooring, CASE WHEN EXISTS (SELECT 1 FROM obs o WHERE o.serial = i.serial AND temp > 25) THEN 1 ELSE 0 END AS ok
+ FROM (SELECT i.mooring, CASE WHEN EXISTS (SELECT 1 FROM obs o WHERE o.serial = i.serial AND o.mooring = i.mooring AND temp > 25) THEN 1 ELSE 0 END AS ok
  FROM instr i) GROUP BY 1"""))
 def _(spark, sf):
     return stats.batch_report(instr(spark, sf), obs(spark, sf).where("temp > 25"))
@@ -104,13 +104,13 @@ def _(spark, sf):
 
 def sensor_variables(spark, sf):
     """Variables of each instrument type, from the event kinds its records carry."""
-    return obs(spark, sf).join(instr(spark, sf).select("serial", "instrument"), "serial").select(
+    return obs(spark, sf).join(instr(spark, sf).select("mooring", "serial", "instrument"), ["mooring", "serial"]).select(
         "instrument", F.col("kind").alias("var")).distinct()
 
 
 @query("e11_sensor_map", oracle("obs instr", """SELECT mooring, depth, array_to_string(list_sort(list(DISTINCT kind)), ', ') AS vars,
  array_to_string(list_sort(list(DISTINCT i.serial)), ',') AS serials FROM instr i JOIN (SELECT DISTINCT instrument, kind FROM obs
- JOIN instr USING (serial)) v USING (instrument) GROUP BY 1, 2"""))
+ JOIN instr USING (mooring, serial)) v USING (instrument) GROUP BY 1, 2"""))
 def _(spark, sf):
     return stats.sensor_map(instr(spark, sf), sensor_variables(spark, sf))
 
@@ -130,8 +130,8 @@ def _(spark, sf):
  CASE WHEN st.n IS NULL THEN 'MISSING' ELSE 'OK' END AS status, coalesce(st.n, 0) AS points, start_us, end_us,
  CASE WHEN median_dt > 1 THEN CAST(round(median_dt) AS BIGINT) || ' min'
   WHEN median_dt IS NOT NULL THEN CAST(round(median_dt * 60) AS BIGINT) || ' sec' END AS sampling,
- CASE WHEN st.n IS NOT NULL THEN vars END AS vars FROM instr i LEFT JOIN st ON st.serial = i.serial LEFT JOIN
- (SELECT instrument, array_to_string(list_sort(list(DISTINCT kind)), ', ') AS vars FROM obs JOIN instr USING (serial) GROUP BY 1) v
+ CASE WHEN st.n IS NOT NULL THEN vars END AS vars FROM instr i LEFT JOIN st ON st.serial = i.serial AND st.mooring = i.mooring LEFT JOIN
+ (SELECT instrument, array_to_string(list_sort(list(DISTINCT kind)), ', ') AS vars FROM obs JOIN instr USING (mooring, serial) GROUP BY 1) v
  ON v.instrument = i.instrument""", SAMPLING.replace("FROM stage2", "FROM stage2 WHERE serial % 4 <> 1")))
 def _(spark, sf):
     st = stats.sampling_stats(stage2(spark, sf).where("serial % 4 <> 1"), ["mooring", "serial"])

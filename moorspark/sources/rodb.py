@@ -16,6 +16,7 @@ HEADER_ORDER = ("Mooring", "SerialNumber", "WaterDepth", "InstrDepth", "Start_Da
                 "Latitude", "Longitude", "Columns")
 FORMATS = {"YY": "%4d", "MM": "%4d", "DD": "%4d", "HH": "%10.5f", "T": "%9.4f", "C": "%9.4f", "P": "%7.1f"}
 OTHER_FORMAT = "%10.4f"
+CALENDAR = ("YY", "MM", "DD", "HH")
 
 
 def file_key() -> Column:
@@ -26,18 +27,19 @@ def file_key() -> Column:
 
 
 def _lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """Lines with their order inside a split; a header stands in one."""
     d = spark.read.text(paths)
-    return d.select(file_key().alias("file"), F.trim("value").alias("line")).where("line <> ''")
+    return d.select(file_key().alias("file"), F.trim("value").alias("line"), F.monotonically_increasing_id().alias("at")).where("line <> ''")
 
 
 def read_header(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """One row per record: header map (upper-case keys), start and end time, decimal position."""
     h = _lines(spark, paths).where(F.instr("line", "=") > 0)
     at = F.instr("line", "=")
-    h = h.select("file", F.upper(F.trim(F.substring("line", F.lit(1), at - 1))).alias("k"),
+    h = h.select("file", "at", F.upper(F.trim(F.substring("line", F.lit(1), at - 1))).alias("k"),
                  F.trim(F.substring("line", at + 1, F.length("line"))).alias("v"))
-    # a dozen header lines per record; a repeated key keeps one value
-    m = h.groupBy("file", "k").agg(F.max("v").alias("v")).groupBy("file").agg(
+    # a dozen header lines per record; of a repeated key the last line counts
+    m = h.groupBy("file", "k").agg(F.max_by("v", "at").alias("v")).groupBy("file").agg(
         F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("header"))
 
     def get(k: str) -> Column:
@@ -51,12 +53,20 @@ def read_header(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
                           "longitude": degrees(get("LONGITUDE"))})
 
 
-def read_rodb(spark: SparkSession, paths: Sequence[str] | str, variables: Sequence[str] = ("T", "C", "P")) -> DataFrame:
-    """Data rows of many records: ``file, time, t_us`` and the given columns (null where a record lacks one).
+def column_names(spark: SparkSession, paths: Sequence[str] | str) -> list[str]:
+    """All data columns that any record names, in alphabetical order."""
+    d = read_header(spark, paths).select(F.explode(F.split(F.coalesce(F.try_element_at("header", F.lit("COLUMNS")), F.lit(DEFAULT_COLUMNS)), ":")).alias("c")).distinct()
+    return sorted({r.c.strip() for r in d.collect()} - {"", *CALENDAR})
+
+
+def read_rodb(spark: SparkSession, paths: Sequence[str] | str, variables: Sequence[str] | None = None,
+              dummies: Sequence[float] = DUMMY_RODB) -> DataFrame:
+    """Data rows of many records: ``file, time, t_us`` and all columns, or the given ones (null where a record lacks one).
 
     Lines are classed by content, so a large record may be read by many tasks. Seconds are dropped. A record
     without date columns has null times.
     """
+    variables = column_names(spark, paths) if variables is None else variables
     head = read_header(spark, paths).select(
         "file", F.split(F.coalesce(F.try_element_at("header", F.lit("COLUMNS")), F.lit(DEFAULT_COLUMNS)), ":").alias("__c"))
     d = _lines(spark, paths).where(F.instr("line", "=") == 0).select("file", F.split("line", "\\s+").alias("__v"))
@@ -66,7 +76,7 @@ def read_rodb(spark: SparkSession, paths: Sequence[str] | str, variables: Sequen
     def col(name: str) -> Column:
         i = F.array_position(cols, name)
         v = F.when(i > 0, F.get("__v", i.cast("int") - 1)).try_cast("double")
-        return F.when(~v.isin(list(DUMMY_RODB) + [-999.0]), v)
+        return F.when(~v.isin(list(dummies)), v)
 
     hh = col("HH")
     minute = F.floor((hh - F.floor(hh)) * 60)
@@ -77,8 +87,11 @@ def read_rodb(spark: SparkSession, paths: Sequence[str] | str, variables: Sequen
 
 
 def read_table(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str]) -> DataFrame:
-    """Rows of an information file whose columns are no time series (depth, instrument, serial number, ...)."""
-    return read_rodb(spark, paths, columns).drop("time", "t_us")
+    """Rows of an information file whose columns are no time series (depth, instrument, serial number, ...).
+
+    Only here -999 is missing too.
+    """
+    return read_rodb(spark, paths, columns, (*DUMMY_RODB, -999.0)).drop("time", "t_us")
 
 
 def write_rodb(df: DataFrame, headers: DataFrame, path: str, columns: Sequence[str] = ("T", "C", "P"), time: str = "time") -> None:

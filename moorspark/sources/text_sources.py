@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -18,12 +19,21 @@ CNV_NAMES = {
     "salinity": ("sal00", "sal11"),
 }
 JULIAN = ("timeJV2", "timeJ", "timeJV1")
+#: Factor to the canonical unit (mS/cm) of names in another unit.
+CNV_FACTORS = {"cond0S/m": 10.0, "c0S/m": 10.0}
+
+
+def _column(short: str) -> str:
+    """Column name of a variable without a canonical one."""
+    return re.sub(r"\W+", "_", short).strip("_")
 
 
 def read_cnv(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """CTD text: preamble of ``*`` and ``#`` lines, then columns named by the preamble.
 
-    Time is the day of the year (day 1 = 1 January) in the year of ``start_time``; the bad flag is null.
+    Time is the day of the year (day 1 = 1 January) in the year of ``start_time``; the bad flag is null. Known
+    variables get canonical names and units (conductivity in mS/cm); every other column keeps its short name, with
+    signs as underscores, and is null in the records that lack it.
     """
     d = spark.read.text(paths).select(file_key().alias("file"), F.trim("value").alias("line")).where("line <> ''")
     pre = F.startswith("line", F.lit("*")) | F.startswith("line", F.lit("#"))
@@ -34,17 +44,40 @@ def read_cnv(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
         F.map_from_entries(F.collect_set(F.when(idx.isNotNull(), F.struct(F.trim(short), idx)))).alias("names"),
         F.max(F.nullif(F.regexp_extract("line", r"^# bad_flag = (\S+)", 1), F.lit(""))).try_cast("double").alias("bad"),
         F.max(F.nullif(F.regexp_extract("line", r"^# start_time = \w+ \d+ (\d{4})", 1), F.lit(""))).try_cast("int").alias("year"))
+    known = {s for names in CNV_NAMES.values() for s in names} | set(JULIAN)
+    # the short names of all preambles: some dozens
+    found = h.select(F.explode(F.map_keys("names")).alias("s")).distinct().collect()
+    others = {_column(r.s): [r.s] for r in sorted(found) if r.s not in known}
     d = d.where(~pre).select("file", F.split("line", "\\s+").alias("v")).join(h, "file")
 
+    def one(short: str) -> Column:
+        v = F.get("v", F.try_element_at("names", F.lit(short))).try_cast("double")
+        return F.when(F.col("bad").isNull() | (v != F.col("bad")), v * CNV_FACTORS[short] if short in CNV_FACTORS else v)
+
     def value(shorts: Sequence[str]) -> Column:
-        i = F.coalesce(*[F.try_element_at("names", F.lit(s)) for s in shorts])
-        v = F.get("v", i).try_cast("double")
-        return F.when(F.col("bad").isNull() | (v != F.col("bad")), v)
+        # the first of the names that the record has, even if its value is bad
+        first = F.coalesce(*[F.when(F.try_element_at("names", F.lit(s)).isNotNull(), F.lit(s)) for s in shorts])
+        out = F.lit(None).cast("double")
+        for s in shorts:
+            out = F.when(first == s, one(s)).otherwise(out)
+        return out
 
     us = F.round((value(JULIAN) - 1) * 86_400_000_000).cast("long")
     t0 = F.unix_micros(F.make_timestamp_ntz(F.col("year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("timestamp"))
-    d = d.select("file", (t0 + us).alias("t_us"), *[value(s).alias(n) for n, s in CNV_NAMES.items()])
-    return d.select("file", F.timestamp_micros("t_us").cast("timestamp_ntz").alias("time"), "t_us", *CNV_NAMES)
+    names = {**CNV_NAMES, **others}
+    d = d.select("file", (t0 + us).alias("t_us"), *[value(s).alias(n) for n, s in names.items()])
+    return d.select("file", F.timestamp_micros("t_us").cast("timestamp_ntz").alias("time"), "t_us", *names)
+
+
+def _delimited(spark: SparkSession, paths: Sequence[str] | str, schema_map: dict[str, str], time_columns: Sequence[str],
+               time_format: str, sep: str, header_regex: str | None) -> DataFrame:
+    d = spark.read.text(paths).select(file_key().alias("file"), F.col("value").alias("line")).where("trim(line) <> ''")
+    if header_regex:
+        d = d.where(~F.col("line").rlike(header_regex))
+    d = d.withColumn("v", F.split(F.trim("line"), sep))
+    parts = [F.trim(F.get("v", F.lit(int(c)))) for c in time_columns]
+    time = F.try_to_timestamp(F.concat_ws(" ", *parts), F.lit(time_format)).cast("timestamp_ntz")
+    return d.select("file", "line", time.alias("time"), *[F.trim(F.get("v", F.lit(int(p)))).try_cast("double").alias(n) for p, n in schema_map.items()])
 
 
 def read_delimited(spark: SparkSession, paths: Sequence[str] | str, schema_map: dict[str, str], time_columns: Sequence[str],
@@ -52,17 +85,17 @@ def read_delimited(spark: SparkSession, paths: Sequence[str] | str, schema_map:
     """Logger text with one row per sample.
 
     ``schema_map`` maps 0-based column positions (as text) to canonical names; the time is the joined
-    ``time_columns`` (positions) in ``time_format``. Lines that match ``header_regex`` or whose time cannot
-    be read (headers, comments) are skipped.
+    ``time_columns`` (positions) in ``time_format``. Lines that match ``header_regex`` are headers; those whose time
+    cannot be read are the rows of :func:`unreadable_lines`.
     """
-    d = spark.read.text(paths).select(file_key().alias("file"), "value")
-    if header_regex:
-        d = d.where(~F.col("value").rlike(header_regex))
-    d = d.withColumn("v", F.split(F.trim("value"), sep))
-    parts = [F.trim(F.get("v", F.lit(int(c)))) for c in time_columns]
-    time = F.try_to_timestamp(F.concat_ws(" ", *parts), F.lit(time_format)).cast("timestamp_ntz")
-    d = d.select("file", time.alias("time"), *[F.trim(F.get("v", F.lit(int(p)))).try_cast("double").alias(n) for p, n in schema_map.items()])
-    return d.where("time IS NOT NULL")
+    return _delimited(spark, paths, schema_map, time_columns, time_format, sep, header_regex).where("time IS NOT NULL").drop("line")
+
+
+def unreadable_lines(spark: SparkSession, paths: Sequence[str] | str, schema_map: dict[str, str], time_columns: Sequence[str],
+                     time_format: str, sep: str = ",", header_regex: str | None = None) -> DataFrame:
+    """Quarantine of :func:`read_delimited`: ``file, line, reason`` of the lines that give no sample."""
+    d = _delimited(spark, paths, schema_map, time_columns, time_format, sep, header_regex)
+    return d.where("time IS NULL").select("file", "line", F.lit("time cannot be read").alias("reason"))
 
 
 _INSTRUMENT = ("serial long, instrument string, label string, depth double, file_type string, filename string, clock_offset long, "

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from moorspark.operators import calibration, clean, deployment, lookup, meta
+from moorspark.operators.ordered import ordered
+from moorspark.plans.mooring_step import mooring_step
 
 H = 3_600_000_000
 T0 = datetime(2018, 8, 12, 8)
@@ -13,7 +15,7 @@ def test_shift_then_trim(spark):
     rows = [(1, 7518, T0 + timedelta(minutes=10 * i), float(i), 1.0) for i in range(14 * 144 + 73)]
     o = spark.createDataFrame(rows, "mooring long, serial long, time timestamp_ntz, temperature double, timeS double")
     o = o.withColumn("t_us", F.unix_micros(F.col("time").cast("timestamp")))
-    i = spark.createDataFrame([(7518, 300, 100.0, "microcat")], "serial long, clock_offset long, depth double, instrument string")
+    i = spark.createDataFrame([(1, 7518, 300, 100.0, "microcat")], "mooring long, serial long, clock_offset long, depth double, instrument string")
     lo, hi = datetime(2018, 8, 12, 9), datetime(2018, 8, 26, 19)
     d = spark.createDataFrame([(1, lo, hi)], "mooring long, deployment_time timestamp_ntz, recovery_time timestamp_ntz")
     got = meta.drop_working(clean.shift_and_trim(o, i, d))
@@ -24,12 +26,34 @@ def test_shift_then_trim(spark):
 
 def test_zero_offset_and_open_bounds(spark):
     o = spark.createDataFrame([(1, 5, T0, 0)], "mooring long, serial long, time timestamp_ntz, t_us long")
-    i = spark.createDataFrame([(5, None)], "serial long, clock_offset long")
+    i = spark.createDataFrame([(1, 5, None)], "mooring long, serial long, clock_offset long")
     assert clean.shift_clock(o, i).collect()[0].time == T0
     d = spark.createDataFrame([(1, None, None)], "mooring long, deployment_time timestamp_ntz, recovery_time timestamp_ntz")
     assert clean.trim(o, d).count() == 1
 
 
+def test_one_serial_on_two_moorings(spark):
+    """Each deployment of an instrument has its own clock offset, depth and level."""
+    rows = [(m, 7, T0 + timedelta(hours=i), float(i)) for m in (1, 2) for i in range(24)]
+    o = spark.createDataFrame(rows, "mooring long, serial long, time timestamp_ntz, temperature double").withColumn("t_us", F.unix_micros(F.col("time").cast("timestamp")))
+    i = spark.createDataFrame([(1, 7, 60, 500.0, "a", 0), (2, 7, -60, 90.0, "a", 0), (1, 8, 0, 50.0, "b", 1)],
+                              "mooring long, serial long, clock_offset long, depth double, instrument string, position long")
+    shifted = clean.shift_clock(o, i).collect()
+    assert len(shifted) == 48 and {(r.mooring, r.time.second + 60 * r.time.minute) for r in shifted} == {(1, 60), (2, 59 * 60)}
+    cells = mooring_step(o.unionByName(o.where("mooring = 1").withColumn("serial", F.lit(8).cast("long"))), i, ["temperature"]).collect()
+    assert len([r for r in cells if r.serial == 7]) == 46 and {(r.mooring, r.serial, r.level, r.nominal_depth) for r in cells} == {(1, 7, 0, 500.0), (1, 8, 1, 50.0), (2, 7, 0, 90.0)}
+    found = {r.mooring: (r.expected, r.found, r.missing) for r in lookup.expected_found(i, o.where("mooring = 1")).collect()}
+    assert found == {1: (2, 1, "8"), 2: (1, 0, "7")}
+    with pytest.raises(Exception, match="more than once"):
+        clean.shift_clock(o, i.unionByName(i.limit(1))).collect()
+
+
+def test_null_keys_raise(spark):
+    d = spark.createDataFrame([(1, 0, 1.0), (None, 0, 2.0)], "serial long, t_us long, v double")
+    with pytest.raises(Exception, match="null in a series key"):
+        ordered(d, ["serial"], ["t_us"], 1000, index="i").collect()
+
+
 def test_regularise(spark):
     rows = [(1, 0, 10.0, 35.0), (1, H, 10.5, 35.1), (1, 3 * H, 11.0, 34.9), (1, 4 * H, 11.5, 35.2), (2, 7, 1.0, 2.0)]
     d = spark.createDataFrame(rows, "serial long, t_us long, temp double, cond double")
@@ -63,11 +87,18 @@ def test_linear_drift_has_the_other_sign(spark):
 
 
 def test_general_trend_without_pairs_is_zero(spark):
-    c = spark.createDataFrame([(1, 1.0, None), (2, None, 4.0)], "serial long, pre double, post double")
-    got = {r.serial: (r.pre, r.post) for r in calibration.general_trend(c, 0.02).collect()}
+    c = spark.createDataFrame([(1, 1.0, None), (2, None, 4.0)], "serial long, pre double, post double").withColumn("var", F.lit("p"))
+    got = {r.serial: (r.pre, r.post) for r in calibration.general_trend(c, {"p": 0.02}).collect()}
     assert got == {1: (1.0, 1.0), 2: (4.0, 4.0)}
 
 
+def test_general_trend_is_per_variable(spark):
+    rows = [(1, "c", 0.001, 0.003), (2, "c", None, 0.004), (1, "p", -2.0, -1.0), (2, "p", -3.0, None), (3, "p", 50.0, 90.0), (1, "o", 1.0, None)]
+    c = spark.createDataFrame(rows, "serial long, var string, pre double, post double")
+    got = {(r.serial, r["var"]): (r.pre, r.post, r.trend) for r in calibration.general_trend(c, {"c": 0.02, "p": 20.0}).collect()}
+    assert got[2, "c"] == pytest.approx((0.002, 0.004, 0.002)) and got[2, "p"] == pytest.approx((-3.0, -2.0, 1.0)) and got[1, "o"] == (1.0, 1.0, 0.0)
+
+
 def test_suggested_trim(spark):
     t = [0.0] * 3 + [10.0] * 4 + [0.0] * 3
     rows = [(1, i * H, t[i], t[i] * 1.2, t[i] * 0.8) for i in range(10)]

@@ -24,8 +24,8 @@ def mooring(spark):
         for i, p in enumerate(np.linspace(0, 4 * np.pi, n)):
             rows.append((1, serial, us(T0 + timedelta(minutes=i * minutes)), 15 + 5 * np.sin(p) + 0.1 * r.random()))
     o = spark.createDataFrame([(a, b, c, float(d)) for a, b, c, d in rows], "mooring long, serial long, t_us long, temperature double")
-    i = spark.createDataFrame([(1, 7518, 100.0, "microcat", 300), (1, 7519, 200.0, "microcat", None), (1, 1234, 300.0, "adcp", 0), (1, 99, 400.0, "sbe 56", 0)],
-                              "mooring long, serial long, depth double, instrument string, clock_offset long")
+    i = spark.createDataFrame([(1, 7518, 100.0, "microcat", 300, 0), (1, 7519, 200.0, "microcat", None, 1), (1, 1234, 300.0, "adcp", 0, 2), (1, 99, 400.0, "sbe 56", 0, 3)],
+                              "mooring long, serial long, depth double, instrument string, clock_offset long, position long")
     return o, i, pd.DataFrame(rows, columns=["mooring", "serial", "t", "v"])
 
 
