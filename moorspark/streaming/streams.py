@@ -1,16 +1,23 @@
-"""Streaming quality control and down-sampling on file streams."""
+"""Streaming quality control and down-sampling on file streams.
+
+A micro-batch is worked off by the same distributed operators as a batch job; what has to wait is kept as tables in one folder
+per micro-batch, so a batch that is run again after a failure gives the same files. A row is final once the watermark
+(latest time seen less the allowed delay) has passed it; until then later rows may be ordered in before it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from moorspark.operators.ordered import TIME_CHUNK, ordered
 from moorspark.operators.qc import gross_range
 
+HOUR_US = 3_600_000_000
+_FLUSHED = "flushed"
+
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """Records arriving as Parquet files."""
@@ -20,57 +27,101 @@ def read_stream(spark: SparkSession, path: str, schema, max_files: int | None =
     return r.parquet(path)
 
 
-def stream_qc(df: DataFrame, key: str, value: str, suspect: tuple[float, float], fail: tuple[float, float], spike: float, rate: float,
-              time: str = "time", delay: str = "1 hour") -> DataFrame:
-    """Gross range per row, spike and rate against the previous sample of the series, kept as state.
+def _last_batch(spark: SparkSession, path: str) -> int | None:
+    """Number of the last micro-batch whose state is complete."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/state")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    done = [int(s.getPath().getName()) for s in fs.listStatus(p) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{s.getPath()}/mark/_SUCCESS"))]
+    return max(done, default=None)
+
 
-    Rows later than the watermark are dropped, and so are rows older than the series' last sample. Output:
-    key, ``t_us``, value, ``range_flag``, ``spike``, ``rate_flag``.
+def _work_off(stream: DataFrame, rows: Callable[[DataFrame], DataFrame], step: Callable[[DataFrame, dict[str, DataFrame] | None, int], tuple[DataFrame, dict[str, DataFrame]]],
+              end: str, path: str, checkpoint: str, delay_us: int) -> DataFrame:
+    """Run ``step`` over what is available and return all output rows.
+
+    ``rows`` shapes a batch, ``end`` is the column that the watermark must have passed; ``step`` gets the rows, the
+    tables of the batch before and the watermark, and returns the final rows and the tables to keep. Rows that come
+    after the watermark has passed them go to ``path``/late. At the end of the run everything still open is given out
+    too; that part is written anew by the next run.
     """
-    d = df.select(key, F.col(time).cast("timestamp").alias("__time"), F.col(value).cast("double").alias(value))
-    d = d.withWatermark("__time", delay).withColumn("t_us", F.unix_micros("__time"))
-    d = d.withColumn("range_flag", gross_range(F.col(value), suspect, fail))
-
-    def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_t, last_v = state.get if state.exists else (None, None)
-        pdf = pd.concat(list(batches)).sort_values("t_us")
-        if last_t is not None:
-            pdf = pdf[pdf["t_us"] > last_t]
-        if not len(pdf):
-            return
-        pv, pt = pdf[value].shift(), pdf["t_us"].shift()
-        if last_t is not None:
-            pv.iloc[0], pt.iloc[0] = (float("nan") if last_v is None else last_v), last_t
-        dv = (pdf[value] - pv).abs()
-        r = dv / ((pdf["t_us"] - pt) / 1e6)
-        flag = pd.Series(1, index=pdf.index, dtype="int32")
-        flag[r > rate] = 3
-        flag[r.isna()] = 2
-        flag[pdf[value].isna()] = 9
-        out = pdf[[key, "t_us", value, "range_flag"]].copy()
-        out["spike"] = (dv > spike).fillna(False).astype(bool)
-        out["rate_flag"] = flag.astype("int32")
-        v = pdf[value].iloc[-1]
-        state.update((int(pdf["t_us"].iloc[-1]), None if pd.isna(v) else float(v)))
-        yield out
-
-    kt = dict(df.dtypes)[key]
-    out = f"{key} {kt}, t_us long, {value} double, range_flag int, spike boolean, rate_flag int"
-    return d.drop("__time").groupBy(key).applyInPandasWithState(step, out, "last_t long, last_v double", "append", GroupStateTimeout.NoTimeout)
-
-
-def stream_means(df: DataFrame, keys: Sequence[str], values: Sequence[str], every: str = "12 hours", time: str = "time",
-                 delay: str = "1 hour") -> DataFrame:
-    """Tumbling-window means per series; a window comes out once the watermark has passed it."""
-    d = df.withColumn("__time", F.col(time).cast("timestamp")).withWatermark("__time", delay)
-    w = F.window("__time", every)
-    a = d.groupBy(*keys, w.alias("w")).agg(F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(v) for v in values])
-    return a.select(*keys, F.unix_micros("w.start").alias("t_us"), "n", *values)
-
-
-def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Process what is available into a Parquet table and read it back."""
-    q = (df.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    spark = stream.sparkSession
+
+    def state(n: int | None) -> tuple[dict[str, DataFrame] | None, int]:
+        if n is None:
+            return None, -(1 << 62)
+        mark = spark.read.parquet(f"{path}/state/{n}/mark").first()
+        return {t: spark.read.parquet(f"{path}/state/{n}/{t}") for t in mark["tables"]}, mark["watermark"]
+
+    def batch(new: DataFrame, n: int) -> None:
+        before, passed = state(n - 1 if n else None)
+        rows(new).write.mode("overwrite").parquet(f"{path}/state/{n}/rows")
+        mine = spark.read.parquet(f"{path}/state/{n}/rows")
+        mine.where(F.col(end) <= passed).write.mode("overwrite").parquet(f"{path}/late/batch={n}")
+        top = mine.agg(F.max("t_us")).first()[0]
+        mark = max(passed, top - delay_us) if top is not None else passed
+        out, keep = step(mine.where(F.col(end) > passed), before, mark)
+        out.write.mode("overwrite").parquet(f"{path}/out/batch={n}")
+        for t, d in keep.items():
+            d.write.mode("overwrite").parquet(f"{path}/state/{n}/{t}")
+        spark.createDataFrame([(mark, list(keep))], "watermark long, tables array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}/state/{n}/mark")
+
+    q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before, _ = state(_last_batch(spark, path))
+    none = rows(spark.createDataFrame([], stream.schema))
+    out, _ = step(none, before, 1 << 62)
+    out.write.mode("overwrite").parquet(f"{path}/out/batch={_FLUSHED}")
+    return spark.read.schema(out.schema).option("recursiveFileLookup", "true").parquet(f"{path}/out")
+
+
+def stream_qc(stream: DataFrame, key: str, value: str, suspect: tuple[float, float], fail: tuple[float, float], spike: float, rate: float,
+              path: str, checkpoint: str, time: str = "time", delay_us: int = HOUR_US, width: int = TIME_CHUNK) -> DataFrame:
+    """Gross range per row, spike and rate against the previous sample of the series.
+
+    Kept between batches: rows that the watermark has not passed, and the last final sample of each series. Output: key,
+    ``t_us``, value, ``range_flag``, ``spike``, ``rate_flag``; equal times are ordered by value.
+    """
+    def rows(d: DataFrame) -> DataFrame:
+        return d.select(key, F.unix_micros(F.col(time).cast("timestamp")).alias("t_us"), F.col(value).cast("double").alias(value))
+
+    def step(new: DataFrame, before: dict[str, DataFrame] | None, mark: int) -> tuple[DataFrame, dict[str, DataFrame]]:
+        every = new.unionByName(before["open"]) if before else new
+        final = every.where(F.col("t_us") <= mark)
+        d = final.withColumn("__old", F.lit(False))
+        if before:
+            d = d.unionByName(before["last"].withColumn("__old", F.lit(True)))
+        last = d.groupBy(key).agg(F.max_by(F.struct("t_us", value), F.struct("t_us", value)).alias("l")).select(key, "l.*")
+        d = ordered(d, [key], ["t_us", value], width, lag={"__pt": F.col("t_us"), "__pv": F.col(value)}).where(~F.col("__old"))
+        dv = F.abs(F.col(value) - F.col("__pv"))
+        r = dv / ((F.col("t_us") - F.col("__pt")) / 1e6)
+        flag = F.when(F.col(value).isNull(), 9).when(r.isNull(), 2).when(r > rate, 3).otherwise(1)
+        out = d.select(key, "t_us", value, gross_range(F.col(value), suspect, fail).cast("int").alias("range_flag"),
+                       F.coalesce(dv > spike, F.lit(False)).alias("spike"), flag.cast("int").alias("rate_flag"))
+        return out, {"open": every.where(F.col("t_us") > mark), "last": last}
+
+    return _work_off(stream, rows, step, "t_us", path, checkpoint, delay_us)
+
+
+def stream_means(stream: DataFrame, keys: Sequence[str], values: Sequence[str], path: str, checkpoint: str, every_us: int = 12 * HOUR_US,
+                 time: str = "time", delay_us: int = HOUR_US) -> DataFrame:
+    """Tumbling-window means per series: one row per window, also for those still open when the stream ends.
+
+    Kept between batches: counts and sums of the windows that the watermark has not passed.
+    """
+    sums = [*(f"__s_{v}" for v in values), *(f"__n_{v}" for v in values)]
+
+    def rows(d: DataFrame) -> DataFrame:
+        t = F.unix_micros(F.col(time).cast("timestamp"))
+        start = F.floor(t / every_us).cast("long") * every_us
+        return d.select(*keys, t.alias("t_us"), start.alias("__w"), (start + every_us).alias("__end"), *[F.col(v).cast("double").alias(v) for v in values])
+
+    def step(new: DataFrame, before: dict[str, DataFrame] | None, mark: int) -> tuple[DataFrame, dict[str, DataFrame]]:
+        part = new.groupBy(*keys, "__w", "__end").agg(F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(f"__s_{v}") for v in values], *[F.count(v).alias(f"__n_{v}") for v in values])
+        if before:
+            part = part.unionByName(before["open"]).groupBy(*keys, "__w", "__end").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in sums])
+        out = part.where(F.col("__end") <= mark).select(*keys, F.col("__w").alias("t_us"), "n", *[(F.col(f"__s_{v}") / F.nullif(F.col(f"__n_{v}"), F.lit(0))).alias(v) for v in values])
+        return out, {"open": part.where(F.col("__end") > mark)}
+
+    return _work_off(stream, rows, step, "__end", path, checkpoint, delay_us)
