@@ -105,7 +105,7 @@ def _run(x: np.ndarray, sys, size: int) -> np.ndarray:
 def zero_phase(x: np.ndarray, sos: np.ndarray, pad: int) -> np.ndarray:
     """Forward and backward pass with odd extension by ``pad`` samples."""
     sys = _state_space(sos)
-    size = 128 if len(x) > 2000 else 24
+    size = 64
     ext = np.concatenate([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2:-pad - 2:-1]])
     y = _run(_run(ext, sys, size)[::-1], sys, size)[::-1]
     return y[pad:len(y) - pad]
@@ -277,8 +277,10 @@ def power_spectrum(df: DataFrame, series: Sequence[str], value: str, t: str = "t
     j1 = F.least(F.floor(F.col("__i") / F.col("__step")), nseg - 1)
     d = d.where(j0 <= j1).withColumn("__seg", F.explode(F.sequence(j0, j1)))
 
+    group = [*series, "__seg"]
+
     def density(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("__i")[value].to_numpy(float)
+        x = pdf[value].to_numpy(float)
         n, fs = len(x), 1.0 / float(pdf["__dt"].iloc[0])
         win = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n) / n)
         p = np.abs(np.fft.rfft((x - x.mean()) * win)) ** 2 / (fs * (win * win).sum())
@@ -288,6 +290,11 @@ def power_spectrum(df: DataFrame, series: Sequence[str], value: str, t: str = "t
 
     types = dict(df.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in series] + ["bin long", "freq double", "p double"])
-    s = spread(d, [*series, "__seg"]).groupBy(*series, "__seg").applyInPandas(density, schema)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from in_batches(density(g) for g in whole_groups(batches, group))
+
+    # sorted partitions: one Arrow batch holds many segments
+    s = spread(d, group).sortWithinPartitions(*group, "__i").mapInPandas(run, schema)
     s = s.groupBy(*series, "bin").agg(F.avg("freq").alias("freq_per_hour"), F.avg("p").alias("psd"))
     return s.withColumn("period_days", F.when(F.col("freq_per_hour") > 0, 1.0 / (F.col("freq_per_hour") * 24)))

@@ -151,7 +151,14 @@ def _ordered_pairs(df: DataFrame, profile: Sequence[str], temp: str, salt: str,
     d = df.where(F.col(temp).isNotNull() & F.col(pres).isNotNull())
     d = d.select(*profile, time, F.col(pres).alias("p1"), F.col(temp).alias("t1"), F.col(salt).alias("s1"))
     nxt = {"p2": F.col("p1"), "t2": F.col("t1"), "s2": F.col("s1")}
-    return ordered(d, profile, ["p1"], width, lead=nxt, lag={"t0": F.col("t1")}, index="i", count="n").where("n >= 2")
+    # of sensors at one pressure the warmer one comes last, so a rerun gives the same rows
+    return ordered(d, profile, ["p1", "t1", "s1"], width, lead=nxt, lag={"t0": F.col("t1")}, index="i", count="n").where("n >= 2")
+
+
+def skipped_profiles(df: DataFrame, profile: Sequence[str], temp: str = "temp", pres: str = "pres") -> DataFrame:
+    """Profiles that the filling operators give no rows, since fewer than two of their sensors are valid, with that number."""
+    valid = F.count(F.when(F.col(temp).isNotNull() & F.col(pres).isNotNull(), 1))
+    return df.groupBy(*profile).agg(valid.alias("valid_sensors"), F.count(F.lit(1)).alias("sensors")).where("valid_sensors < 2")
 
 
 def _with_end_gradients(d: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import importlib
 
 _MODULES = ["clean_queries", "lookup_queries", "stats_queries", "series_queries", "deployment_queries",
             "clock_queries", "grid_queries", "qc_queries", "calibration_queries", "profile_queries",
-            "merge_queries", "metadata_queries", "source_queries", "stream_queries"]
+            "merge_queries", "metadata_queries", "source_queries", "stream_queries", "job_queries"]
 
 
 def load_all():

@@ -223,6 +223,11 @@ def _(spark, sf):
     return rounded(d, "profile_id pres", "temp salt sigma0")
 
 
+@query("l10_skipped_profiles", oracle("prof", "SELECT profile_id, count(*) AS valid_sensors, count(*) AS sensors FROM prof GROUP BY 1 HAVING count(*) < 2"))
+def _(spark, sf):
+    return profile.skipped_profiles(prof(spark, sf), P)
+
+
 @query("l10_full_profiles")
 def _(spark, sf):
     d = profile.full_profiles(*_tables(spark, sf), P, p_max=2000.0)

@@ -68,6 +68,7 @@ def test_full_profiles(spark, climate, extrapolate):
     d = spark.createDataFrame(rows, "id long, time timestamp_ntz, pres double, temp double, salt double")
     got = profile.full_profiles(d, cs, ["id"], p_max=1000.0, extrapolate=extrapolate, width=200.0).toPandas()
     assert 99 not in set(got["id"])
+    assert [(r.id, r.valid_sensors, r.sensors) for r in profile.skipped_profiles(d, ["id"]).collect()] == [(99, 1, 1)]
     grid = np.arange(0, 1001, 20.0)
     for k, (m, p, t, s) in profs.items():
         c = cp[cp.month == m].sort_values("bin")

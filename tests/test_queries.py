@@ -53,5 +53,5 @@ def test_every_query_is_named_after_its_operator():
     expected = ({f"a{i}" for i in (1, 2, 3, 4, 5, 8, 9, 10, 11)} | {f"b{i}" for i in range(1, 24) if i != 12} | {f"c{i}" for i in range(1, 11)}
                 | {f"d{i}" for i in range(1, 9)} | {f"e{i}" for i in range(1, 15) if i != 7} | {f"f{i}" for i in range(1, 16) if i != 11} | {f"g{i}" for i in range(1, 10)}
                 | {f"h{i}" for i in range(1, 9)} | {f"i{i}" for i in range(1, 10)} | {f"j{i}" for i in range(1, 19)} | {f"k{i}" for i in range(1, 7)}
-                | {f"l{i}" for i in range(1, 15)} | {f"m{i}" for i in range(1, 7)} | {"n1", "n2", "n3", "o1", "o2"})
+                | {f"l{i}" for i in range(1, 15)} | {f"m{i}" for i in range(1, 7)} | {"n1", "n2", "n3", "o1", "o2", "p1", "p2", "p3"})
     assert ids == expected
