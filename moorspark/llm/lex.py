@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 _G = np.random.default_rng(20240607)
 _R = _G.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

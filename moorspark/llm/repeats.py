@@ -37,8 +37,8 @@ from moorspark.session import materialize
 
 SIZE = 50
 K = 16
-#: bytes of text per bucket of minimizers
-BUCKET = 4 << 20
+#: bytes of text per bucket of minimizers; like the shard it bounds a task's arrays (about 30 times as much)
+BUCKET = 2 << 20
 _LAST = np.iinfo(np.int64).max
 
 
