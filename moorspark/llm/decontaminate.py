@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorspark.llm import lex
-from moorspark.llm.registry import documents, query
+from moorspark.llm.registry import LOWER_SQL, documents, query
 
 WINDOW = 10
 BLOCK_WORDS = 1 << 20
@@ -266,7 +266,19 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), docs.columns, prefix=prefix).where(~F.col(f"{prefix}contaminated")).select(*docs.columns)
 
 
-@query("op9_fm_index_decontamination")
+_WORDS = "regexp_extract_all(" + LOWER_SQL.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SQL = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+ i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+ iw AS (SELECT DISTINCT item, least(len(w), {WINDOW}) AS k, array_to_string(w[s : s + least(len(w), {WINDOW}) - 1], ' ') AS win FROM i, unnest(range(1, greatest(len(w) - {WINDOW}, 0) + 2)) u(s) WHERE len(w) > 0),
+ dw AS (SELECT doc_id, s, k, array_to_string(w[s : s + k - 1], ' ') AS win FROM d, (SELECT DISTINCT k FROM iw) kk, unnest(range(1, len(w) - k + 2)) u(s)),
+ hit AS (SELECT doc_id, s, dw.k, item FROM dw JOIN iw ON iw.k = dw.k AND iw.win = dw.win),
+ n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(s, s + k)) u(p) GROUP BY 1),
+ it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id"""
+
+
+@query("op9_fm_index_decontamination", SQL)
 def op9(spark, sf_dir):
     """Hits of all benchmark items in all documents."""
     return scan(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ["doc_id"]).drop("spans")

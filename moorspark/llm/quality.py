@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorspark.llm import lex
-from moorspark.llm.registry import documents, query
+from moorspark.llm.registry import LOWER_SQL, documents, query
 from moorspark.session import materialize
 
 MOST = 20
@@ -131,7 +131,22 @@ def judge(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (left >= DEPLETED * F.col("word_chars"))).select("doc_id", *COUNTS, "n_boilerplate_chars", "base_failed", "kept")
 
 
-@query("op7_line_frequency_quality")
+_BLACK = r"'[^\x20\x09-\x0D]+'"
+SQL = f"""WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_BLACK}) AS w FROM documents),
+ l AS (SELECT doc_id, host, line, array_to_string(regexp_extract_all({LOWER_SQL.format('line')}, {_BLACK}), ' ') AS norm, list_sum(list_transform(regexp_extract_all(line, {_BLACK}), lambda x: length(x))) AS chars
+  FROM (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, {_BLACK})),
+ size AS (SELECT host, count(*) AS docs FROM d GROUP BY 1),
+ bad AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT doc_id) AS held FROM l GROUP BY 1, 2) JOIN size USING (host) WHERE held > {MOST} AND held > {SHARE} * docs),
+ lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, sum(CASE WHEN bad.norm IS NOT NULL THEN chars ELSE 0 END) AS lost FROM l LEFT JOIN bad ON bad.host = l.host AND bad.norm = l.norm GROUP BY 1),
+ win AS (SELECT doc_id, s, array_to_string(w[s : s + {WINDOW - 1}], ' ') AS x FROM d, unnest(range(1, len(w) - {WINDOW - 2})) u(s)),
+ rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS c FROM win) , unnest(range(s, s + {WINDOW})) u(p) WHERE c > 1 GROUP BY 1),
+ m AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+  coalesce(n, 0) AS n_repeat_words, coalesce(lost, 0) AS lost FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+ NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND word_chars - lost >= {DEPLETED} * word_chars AS kept FROM m"""
+
+
+@query("op7_line_frequency_quality", SQL)
 def op7(spark, sf_dir):
     """Rules for all documents."""
     return judge(documents(spark, sf_dir)).drop("n_boilerplate_chars")

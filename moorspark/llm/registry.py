@@ -16,6 +16,10 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+#: SQL text that lower-cases A-Z alone, for ``{}``.
+LOWER_SQL = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def documents(spark, sf_dir: str):
     """The documents table with the columns the operators read."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
