@@ -10,7 +10,7 @@ from moorspark.sources import rodb, sinks, text_sources
 
 def record_files(spark, sf):
     """Every record as column text; returns the folder."""
-    path = scratch_path(spark, "records") + ".use"
+    path = scratch_path(spark, "records", ".use")
     o = obs(spark, sf).select(F.concat(F.lit("s"), F.col("serial").cast("string")).alias("file"), "time",
                               F.col("temp").alias("T"), F.col("cond").alias("C"), F.col("pres").alias("P"), (F.col("temp") / 3 - 7).alias("U"), F.lit(-999.0).alias("V"))
     h = instr(spark, sf).where("depth % 10 = 0").select(F.concat(F.lit("s"), F.col("serial").cast("string")).alias("file"), F.col("mooring").alias("Mooring"), F.col("serial").alias("SerialNumber"),
@@ -41,7 +41,7 @@ def _(spark, sf):
  CAST(printf('%.4f', temp) AS DOUBLE) AS temperature, CASE WHEN event_id % 9 <> 0 THEN CAST(printf('%.3f', pres) AS DOUBLE) END AS pressure,
  round(CAST(printf('%.6f', CASE WHEN serial % 2 = 0 THEN cond ELSE cond / 10 END) AS DOUBLE) * CASE WHEN serial % 2 = 0 THEN 1 ELSE 10 END, 4) AS conductivity, CAST(event_id AS DOUBLE) AS scan FROM obs"""))
 def _(spark, sf):
-    path = scratch_path(spark, "ctd") + ".cnv"
+    path = scratch_path(spark, "ctd", ".cnv")
     o = obs(spark, sf)
     f = F.concat(F.lit("s"), F.col("serial").cast("string"))
     year0 = F.unix_micros(F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").cast("timestamp"))
@@ -120,9 +120,9 @@ def _(spark, sf):
 @query("a8_load_many", oracle("obs", """SELECT CASE WHEN serial % 2 = 0 THEN 'parquet' ELSE 's' || serial END AS file, CAST(printf('%.4f', temp) AS DOUBLE) AS temperature FROM obs"""))
 def _(spark, sf):
     o = obs(spark, sf)
-    pq = scratch_path(spark, "part") + ".parquet"
+    pq = scratch_path(spark, "part", ".parquet")
     o.where("serial % 2 = 0").select(F.lit("parquet").alias("file"), "time", F.format_string("%.4f", "temp").cast("double").alias("temperature")).write.parquet(pq)
-    use = scratch_path(spark, "part") + ".use"
+    use = scratch_path(spark, "part", ".use")
     odd = o.where("serial % 2 = 1").select(F.concat(F.lit("s"), F.col("serial").cast("string")).alias("file"), "time", F.col("temp").alias("T"))
     rodb.write_rodb(odd, odd.select("file").distinct(), use, ["T"])
     return text_sources.load(spark, [pq, use]).select("file", "temperature")

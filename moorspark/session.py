@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -21,6 +22,10 @@ SETTINGS = {
 }
 
 
+#: Folders that :func:`scratch_path` has named, oldest first.
+_made: list[str] = []
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **extra) -> SparkSession:
     """A session with the engine's settings; on a cluster leave ``master`` to spark-submit."""
     b = SparkSession.builder.appName("moorspark")
@@ -41,7 +46,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, suffix: str = "") -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
     Only a local-mode session may fall back to a temporary folder; a cluster has to name a shared one.
@@ -52,7 +57,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}{suffix}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables this process has made; frames that read them are of no use afterwards."""
+    for path in _made[since:]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    del _made[since:]
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Scratch tables made inside the block are deleted at its end, also after a failure: write or collect results before."""
+    since = len(_made)
+    try:
+        yield
+    finally:
+        clear_scratch(spark, since)
 
 
 def materialize(df, name: str):
