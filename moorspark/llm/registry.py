@@ -20,6 +20,12 @@ def query(name: str, sql: str | None = None):
 LOWER_SQL = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def bounded(spark):
+    """The session with Arrow batches of few rows: texts are long, and a batch stands in memory on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def documents(spark, sf_dir: str):
     """The documents table with the columns the operators read."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/documents.parquet")
