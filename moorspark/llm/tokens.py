@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from moorspark.llm import lex
 
-CACHE = 1 << 20
+CACHE = 1 << 19
+#: bytes of text encoded at once
+BLOCK = 1 << 18
 
 _BAD, _LETTER, _DIGIT, _SIGN, _BLANK, _LINE = range(6)
 
@@ -71,14 +73,19 @@ class Coder:
 
     def clear(self):
         self.index: dict[int | str, int] = {}
-        self.lengths = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.begin = np.zeros(1 << 12, np.int64)  # of string i; the next one's is its end
+        self.flat = np.zeros(1 << 12, np.uint32)
 
     def _add(self, keys: list, lengths: np.ndarray, ids: np.ndarray):
         n = len(self.index)
         self.index.update(zip(keys, range(n, n + len(keys)), strict=True))
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, ids])
+        end = int(self.begin[n])
+        if n + len(keys) >= len(self.begin):
+            self.begin = np.resize(self.begin, 2 * (n + len(keys)))
+        if end + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (end + len(ids)))
+        self.begin[n + 1 : n + len(keys) + 1] = end + np.cumsum(lengths)
+        self.flat[end : end + len(ids)] = ids
 
     def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids: list[int] = []
@@ -185,10 +192,9 @@ class Coder:
         counts[other] = each
         order = np.argsort(np.concatenate([np.repeat(np.arange(n)[plain], counts[plain]), np.repeat(np.array(other, np.int64), each)]), kind="stable") if other else slice(None)
         at = np.concatenate([rows, more])[order]
-        begin = np.cumsum(self.lengths) - self.lengths
-        length = self.lengths[at]
+        length = self.begin[at + 1] - self.begin[at]
         ends = np.cumsum(length)
-        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[at] - (ends - length), length)]
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[at] - (ends - length), length)]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         size = np.diff(bounds)
         for d, x in whole.items():
@@ -215,7 +221,7 @@ def encode_blocks(batches, path: str, end: int):
     """``(rows, ids, offsets)`` per block of whole documents; a null text is empty."""
     c = coder(path)
     for batch in batches:
-        for rows, buf, off in lex.blocks(batch):
+        for rows, buf, off in lex.blocks(batch, limit=BLOCK):
             yield rows, *c.encode(buf, off, end)
 
 
