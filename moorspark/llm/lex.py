@@ -116,6 +116,13 @@ class Sums:
         self.h = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * p[:-1], out=self.h[1:])
 
+    def every(self, size: int) -> np.ndarray:
+        """Hashes of all spans of one size, as :meth:`span` gives them, in few temporaries."""
+        x = self.h[size:] - self.h[:-size]
+        x *= self.inv[: len(x)]
+        x += np.uint64(size * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)
+        return mix(x)
+
     def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.h[end] - self.h[start]) * self.inv[start] + (end - start).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 

@@ -14,7 +14,7 @@ strings, and the work to the minimizers that more than one document holds:
 4. the minima return to the shards, which mark the bytes and hash what is left.
 
 Nothing is sent per document or per occurrence across shards: repeats within a shard are merged before every exchange, so
-a passage in a third of all documents costs one string per shard. Strings are compared by their bytes in step 3; equal
+a passage in a third of all documents costs one string per shard. Windows are compared by their bytes in step 3; equal
 strings of different shards are recognised by two 64-bit hashes, of the minimizer and of the string.
 
 Defined cases: a null text is empty; a null doc_id counts as larger than any other and its rows never remove each other's
@@ -24,6 +24,7 @@ empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 
 import numpy as np
@@ -33,19 +34,19 @@ from pyspark.sql import functions as F
 
 from moorspark.llm import lex
 from moorspark.llm.registry import documents, query
-from moorspark.session import materialize
+from moorspark.session import materialize, scratch_path
 
 SIZE = 50
 K = 16
 #: bytes of text per bucket of minimizers; like the shard it bounds a task's arrays (about 30 times as much)
-BUCKET = 2 << 20
+BUCKET = 1 << 20
 _LAST = np.iinfo(np.int64).max
 
 
-def squeeze(*arrays: np.ndarray) -> bytes:
+def squeeze(*arrays: np.ndarray, level: int = 3) -> bytes:
     """Compressed bytes of some arrays, each with its length before it."""
     raw = b"".join(np.int64(a.nbytes).tobytes() + a.tobytes() for a in arrays)
-    return np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+    return np.int64(len(raw)).tobytes() + pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True)
 
 
 def spread(data: bytes, *kinds: str) -> list[np.ndarray]:
@@ -67,7 +68,7 @@ def shards(docs: DataFrame) -> DataFrame:
             for rows, buf, off in lex.blocks(batch):
                 ids = rows.column("doc_id").cast(pa.int64())
                 known = ids.is_valid().to_numpy(zero_copy_only=False)
-                data = squeeze(ids.fill_null(_LAST).to_numpy(), known.astype(np.uint8), off, buf)
+                data = squeeze(ids.fill_null(_LAST).to_numpy(), known.astype(np.uint8), off, buf, level=9)
                 yield pa.RecordBatch.from_arrays([pa.array(rng.integers(0, _LAST, 1)), pa.array([len(buf)], pa.int64()), pa.array([data], pa.binary())], ["shard", "bytes", "data"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "shard long, bytes long, data binary")
@@ -84,18 +85,20 @@ def _least(a: np.ndarray, w: int) -> np.ndarray:
 
 
 class Strings:
-    """The strings of a shard: first window ``start``, number of ``windows``, ``minimizer`` hash, ``doc``."""
+    """The strings of a shard: first window ``start``, number of ``windows``, ``minimizer`` hash and its place ``at`` in the string, ``doc``."""
 
     def __init__(self, buf: np.ndarray, off: np.ndarray):
         self.sums = lex.byte_sums(buf, False)
         n = len(buf)
         none = np.zeros(0, np.int64)
-        self.start, self.windows, self.minimizer, self.doc = none, none, np.zeros(0, np.uint64), none
+        self.start, self.windows, self.minimizer, self.at, self.doc = none, none, np.zeros(0, np.uint64), none, none
         if n < SIZE:
             return
-        at = np.arange(n - K + 1)
-        h = self.sums.span(at, at + K)
-        best = (_least(h & np.uint64(0xFFFFFFFF00000000) | at.astype(np.uint64), SIZE - K + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        key = self.sums.every(K)
+        key &= np.uint64(0xFFFFFFFF00000000)
+        key |= np.arange(len(key), dtype=np.uint64)
+        best = (_least(key, SIZE - K + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        del key
         first = np.zeros(n - SIZE + 1, bool)
         first[0] = True
         first[1:] = best[1:] != best[:-1]
@@ -111,7 +114,8 @@ class Strings:
         count = np.bincount(group[whole], minlength=len(start))
         keep = (count > 0) & whole[start]
         self.start, self.windows = start[keep], count[keep]
-        self.minimizer = h[best[self.start]]
+        self.at = best[self.start] - self.start
+        self.minimizer = self.sums.span(best[self.start], best[self.start] + K)
         self.doc = np.searchsorted(off, self.start, "right") - 1
         assert (sizes[self.doc] >= SIZE).all()
 
@@ -133,13 +137,13 @@ def _cuts(key: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def minimizers(stored: DataFrame, bits: int) -> DataFrame:
-    """``bucket, shard, run``: each shard's distinct minimizers (48 leading bits, sorted) and whether two of its documents hold them."""
+    """``bucket, shard, run``: each shard's distinct minimizers (the bucket's bits and 32 more, sorted) and whether two of its documents hold them."""
     def run(batches):
         for batch in batches:
             for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data"), strict=True):
                 ids, _, off, buf = _shard(data.as_py())
                 s = Strings(buf, off)
-                key, doc = s.minimizer >> np.uint64(16), ids[s.doc]
+                key, doc = s.minimizer >> np.uint64(32 - bits), ids[s.doc]
                 order = np.lexsort((doc, key))
                 key, doc = key[order], doc[order]
                 head = np.ones(len(key), bool)
@@ -150,7 +154,7 @@ def minimizers(stored: DataFrame, bits: int) -> DataFrame:
                 end = np.append(begin[1:], len(key)) - 1
                 many = doc[begin] != doc[end]
                 key = key[begin]
-                out = [(b, squeeze((key[x:y] & np.uint64(0xFFFFFFFF)).astype("<u4"), (key[x:y] >> np.uint64(32)).astype("<u2"), np.packbits(many[x:y]))) for b, x, y in _cuts(_by_bucket(key << np.uint64(16), bits))]
+                out = [(b, squeeze((key[x:y] & np.uint64(0xFFFFFFFF)).astype("<u4"), np.packbits(many[x:y]))) for b, x, y in _cuts((key >> np.uint64(32)).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([shard] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "shard", "run"])
 
     return stored.select("shard", "data").mapInArrow(run, "bucket int, shard long, run binary")
@@ -161,9 +165,9 @@ def shared(runs: DataFrame) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         keys, several = [], []
         for data in table.column("run"):
-            lo, hi, many = spread(data.as_py(), "<u4", "<u2", "u1")
-            keys.append(lo.astype(np.uint64) | hi.astype(np.uint64) << np.uint64(32))
-            several.append(np.unpackbits(many)[: len(lo)].astype(bool))
+            low, many = spread(data.as_py(), "<u4", "u1")
+            keys.append(low)
+            several.append(np.unpackbits(many)[: len(low)].astype(bool))
         every = np.sort(np.concatenate(keys), kind="stable")
         twice = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *(k[m] for k, m in zip(keys, several, strict=True))]))
         shard, out = [], []
@@ -172,25 +176,29 @@ def shared(runs: DataFrame) -> DataFrame:
             hit = twice[(at < len(k)) & (k[np.minimum(at, len(k) - 1)] == twice)]
             if len(hit):
                 shard.append(s)
-                out.append(squeeze(hit.astype("<u8")))
+                out.append(squeeze(np.array([table.column("bucket")[0].as_py()], "<i8"), hit.astype("<u4")))
         return pa.table([pa.array(shard, pa.int64()), pa.array(out, pa.binary())], ["shard", "found"])
 
     return runs.groupBy("bucket").applyInArrow(merge, "shard long, found binary")
 
 
-def strings(stored: DataFrame, found: DataFrame, bits: int) -> DataFrame:
-    """``bucket, shard, part``: the distinct strings of each shard with a shared minimizer; under bucket -1 where they occur."""
+def strings(stored: DataFrame, found: DataFrame, bits: int, texts: bool = False) -> DataFrame:
+    """``bucket, shard, part``: the distinct strings of each shard with a shared minimizer; under bucket -1 the documents that hold
+    some and where they stand; under bucket -2 the results of the documents that hold none, unless ``texts`` wants all under -1."""
     lists = found.groupBy("shard").agg(F.collect_list("found").alias("found"))  # at most the shard's own minimizers
 
     def run(batches):
         for batch in batches:
             for shard, data, lists_ in zip(batch.column("shard").to_pylist(), batch.column("data"), batch.column("found"), strict=True):
-                ids, _, off, buf = _shard(data.as_py())
+                ids, known, off, buf = _shard(data.as_py())
                 s = Strings(buf, off)
-                hot = np.sort(np.concatenate([spread(x, "<u8")[0] for x in lists_.as_py()]))
-                key = s.minimizer >> np.uint64(16)
-                keep = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
-                start, windows, mini, doc = s.start[keep], s.windows[keep], s.minimizer[keep], ids[s.doc[keep]]
+                pairs = [spread(x, "<i8", "<u4") for x in lists_.as_py() or []]
+                hot = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.uint64(b[0]) << np.uint64(32) | v.astype(np.uint64) for b, v in pairs)]))
+                key = s.minimizer >> np.uint64(32 - bits)
+                keep = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key if len(hot) else np.zeros(len(key), bool)
+                warm = np.full(len(ids), texts)
+                warm[s.doc[keep]] = True
+                start, windows, mini, at, doc = s.start[keep], s.windows[keep], s.minimizer[keep], s.at[keep], ids[s.doc[keep]]
                 length = windows + SIZE - 1
                 whole = s.sums.span(start, start + length)
                 order = np.lexsort((doc, whole, mini))
@@ -202,14 +210,25 @@ def strings(stored: DataFrame, found: DataFrame, bits: int) -> DataFrame:
                 number = np.empty(len(a), np.int64)
                 number[order] = np.cumsum(head) - 1
                 lead = order[begin]
-                rows = [(-1, squeeze(start.astype("<i8"), windows.astype("u1"), number.astype("<i4")))]
+                size = np.diff(off)
+                own = np.concatenate([[0], np.cumsum(size[warm])])
+                moved = start - off[s.doc[keep]] + own[np.cumsum(warm)[s.doc[keep]] - 1]
+                rows = []
+                if warm.any():
+                    rows.append((-1, squeeze(ids[warm], known[warm].astype("u1"), own, buf[np.repeat(warm, size)], np.diff(moved, prepend=0).astype("<u4"), windows.astype("u1"), number.astype("<i4"), level=9)))
+                if not warm.all():
+                    cold = np.flatnonzero(~warm)
+                    digest = b"".join(hashlib.sha256(buf[off[d] : off[d + 1]]).digest() for d in cold.tolist())
+                    rows.append((-2, squeeze(ids[cold], known[cold].astype("u1"), size[cold], np.frombuffer(digest, np.uint8))))
                 for k, x, y in _cuts(_by_bucket(mini[lead], bits)):
                     p, n = start[lead[x:y]], length[lead[x:y]]
                     text = buf[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(p, n)]
-                    rows.append((k, squeeze(mini[lead[x:y]], whole[lead[x:y]], windows[lead[x:y]].astype("u1"), np.arange(x, y).astype("<i4"), doc[order[begin[x:y]]], doc[order[end[x:y]]], text)))
+                    low, high = doc[order[begin[x:y]]], doc[order[end[x:y]]]
+                    # hashes are made again from the text, which compresses better
+                    rows.append((k, squeeze(np.array([x], "<i8"), windows[lead[x:y]].astype("u1"), at[lead[x:y]].astype("u1"), low, high - low, text)))
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([shard] * len(rows), pa.int64()), pa.array([x for _, x in rows], pa.binary())], ["bucket", "shard", "part"])
 
-    return stored.join(lists.hint("merge"), "shard").select("shard", "data", "found").mapInArrow(run, "bucket int, shard long, part binary")
+    return stored.join(lists.hint("merge"), "shard", "left").select("shard", "data", "found").mapInArrow(run, "bucket int, shard long, part binary")
 
 
 def suffix_array(text: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -290,13 +309,17 @@ def smallest(text: np.ndarray, start: np.ndarray, windows: np.ndarray, doc: np.n
 def minima(parts: DataFrame) -> DataFrame:
     """``shard, least``: per shard and bucket the smallest doc_id of the windows of its strings, where it is below one of its documents."""
     def merge(table: pa.Table) -> pa.Table:
-        cols = [spread(x.as_py(), "<u8", "<u8", "u1", "<i4", "<i8", "<i8", "u1") for x in table.column("part")]
-        size = np.array([len(c[0]) for c in cols])
-        mini, whole, windows, number, low, high, text = (np.concatenate([c[i] for c in cols]) for i in range(7))
+        cols = [spread(x.as_py(), "<i8", "u1", "u1", "<i8", "<i8", "u1") for x in table.column("part")]
+        size = np.array([len(c[1]) for c in cols])
+        number = np.concatenate([int(c[0][0]) + np.arange(n, dtype=np.int32) for c, n in zip(cols, size, strict=True)])
+        windows, place, low, more, text = (np.concatenate([c[i] for c in cols]) for i in range(1, 6))
+        high = low + more
         windows = windows.astype(np.int64)
-        source = np.repeat(np.arange(len(cols)), size)
         length = windows + SIZE - 1
         at = np.cumsum(length) - length
+        sums = lex.byte_sums(text, False)
+        mini, whole = sums.span(at + place, at + place + K), sums.span(at, at + length)
+        del sums, cols
         order = np.lexsort((whole, mini))
         a, b = mini[order], whole[order]
         head = np.ones(len(a), bool)
@@ -311,37 +334,35 @@ def minima(parts: DataFrame) -> DataFrame:
         same = np.zeros(len(m) + 1, bool)
         same[1:-1] = m[1:] == m[:-1]
         multi = np.flatnonzero(same[1:] | same[:-1])
-        place = np.full(len(lead), -1, np.int64)
+        where = np.full(len(lead), -1, np.int64)
         detail = np.zeros(0, np.int64)
         if len(multi):
             n = length[lead[multi]]
             first = np.cumsum(n) - n
             body = text[np.arange(n.sum()) - np.repeat(first, n) + np.repeat(at[lead[multi]], n)]
             detail = smallest(body, first, windows[lead[multi]], least[multi])
-            place[multi] = np.cumsum(windows[lead[multi]]) - windows[lead[multi]]
+            where[multi] = np.cumsum(windows[lead[multi]]) - windows[lead[multi]]
         shard, out = [], []
         names = table.column("shard").to_pylist()
         for i, (x, y) in enumerate(zip(np.cumsum(size) - size, np.cumsum(size), strict=True)):
             k = kind[x:y]
-            one = (place[k] < 0) & (least[k] < high[x:y])
-            many = place[k] >= 0
+            one = (where[k] < 0) & (least[k] < high[x:y])
+            many = where[k] >= 0
             w = np.where(many, windows[x:y], 0)
-            values = detail[np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(place[k], w)]
+            values = detail[np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(where[k], w)]
             if one.any() or many.any():
                 shard.append(names[i])
                 out.append(squeeze(number[x:y][one], least[k][one], number[x:y][many], w[many].astype("u1"), values))
-        assert source.size == len(mini)
         return pa.table([pa.array(shard, pa.int64()), pa.array(out, pa.binary())], ["shard", "least"])
 
     return parts.where("bucket >= 0").groupBy("bucket").applyInArrow(merge, "shard long, least binary")
 
 
-def removed(buf: np.ndarray, off: np.ndarray, ids: np.ndarray, part: bytes | None, least: list[bytes]) -> np.ndarray:
-    """Bytes of a shard to remove."""
-    flags = np.zeros(len(buf), bool)
-    if part is None or not least:
-        return flags
-    start, windows, number = spread(part, "<i8", "u1", "<i4")
+def removed(buf: np.ndarray, off: np.ndarray, ids: np.ndarray, start: np.ndarray, windows: np.ndarray, number: np.ndarray, least: list[bytes]) -> np.ndarray:
+    """Bytes of a shard's documents to remove."""
+    if not len(start) or not least:
+        return np.zeros(len(buf), bool)
+    start = np.cumsum(start.astype(np.int64))
     windows = windows.astype(np.int64)
     top = int(number.max()) + 1
     whole, place, table = np.full(top, _LAST), np.full(top, -1, np.int64), []
@@ -369,32 +390,53 @@ def removed(buf: np.ndarray, off: np.ndarray, ids: np.ndarray, part: bytes | Non
     return np.cumsum(change)[:-1] > 0
 
 
+def release(spark, path: str) -> None:
+    """Delete a finished step's table, and let the driver drop what it no longer refers to, with its shuffle files."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clean(docs: DataFrame, texts: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row and, on request, the remaining bytes as ``kept``."""
-    stored = materialize(shards(docs), "shards")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "shards")
+    made = shards(docs)
+    made.write.parquet(path)
+    stored = spark.read.schema(made.schema).parquet(path)
     total = stored.agg(F.sum("bytes")).first()[0] or 0
     bits = min(20, max(2, (total // BUCKET).bit_length()))
-    parts = materialize(strings(stored, shared(minimizers(stored, bits)), bits), "strings")
+    parts = materialize(strings(stored, shared(minimizers(stored, bits)), bits, texts), "strings")
+    release(spark, path)  # the shards and shuffles behind the stored strings would stay beside those to come
     least = minima(parts).groupBy("shard").agg(F.collect_list("least").alias("least"))
-    joined = (stored.join(parts.where("bucket = -1").select("shard", "part").hint("merge"), "shard", "left").join(least.hint("merge"), "shard", "left"))
+    joined = parts.where("bucket = -1").select("shard", "part").join(least.hint("merge"), "shard", "left")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])]
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
 
-    def run(batches):
+    def warm(batches):
         for batch in batches:
-            for data, part, low in zip(batch.column("data"), batch.column("part"), batch.column("least"), strict=True):
-                ids, known, off, buf = _shard(data.as_py())
-                gone = removed(buf, off, ids, part.as_py(), low.as_py() or [])
+            for part, low in zip(batch.column("part"), batch.column("least"), strict=True):
+                ids, known, off, buf, *where = spread(part.as_py(), "<i8", "u1", "<i8", "u1", "<u4", "u1", "<i4")
+                gone = removed(buf, off, ids, *where, low.as_py() or [])
                 n_removed = lex.per_doc(gone.astype(np.int64), off)
                 first = gone.copy()
                 first[1:] &= ~gone[:-1]
-                first[off[:-1][off[:-1] < len(buf)]] = gone[off[:-1][off[:-1] < len(buf)]]
+                head = off[:-1][off[:-1] < len(buf)]
+                first[head] = gone[head]
                 left = [buf[a:b] if not r else buf[a:b][~gone[a:b]] for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), n_removed.tolist(), strict=True)]
-                columns = [pa.array(ids, mask=~known), pa.array(np.diff(off)), pa.array(n_removed), pa.array(lex.per_doc(first.astype(np.int64), off)), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-                if texts:
-                    columns, names = [*columns, pa.array([x.tobytes() for x in left], pa.binary())], [*names, "kept"]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                columns = [pa.array(ids, mask=known == 0), pa.array(np.diff(off)), pa.array(n_removed), pa.array(lex.per_doc(first.astype(np.int64), off)), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, *([pa.array([x.tobytes() for x in left], pa.binary())] if texts else [])], names)
+
+    def cold(batches):
+        for batch in batches:
+            for part in batch.column("part"):
+                ids, known, size, digest = spread(part.as_py(), "<i8", "u1", "<i8", "u1")
+                none = pa.array(np.zeros(len(ids), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=known == 0), pa.array(size), none, none, pa.array([digest[32 * i : 32 * i + 32].tobytes().hex() for i in range(len(ids))], pa.string())], names[:5])
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else ""))
+    out = joined.mapInArrow(warm, schema)
+    return out if texts else out.unionByName(parts.where("bucket = -2").select("part").mapInArrow(cold, schema))
 
 
 @query("op1_suffix_array_repeats")
