@@ -342,12 +342,17 @@ def minima(parts: DataFrame) -> DataFrame:
             body = text[np.arange(n.sum()) - np.repeat(first, n) + np.repeat(at[lead[multi]], n)]
             detail = smallest(body, first, windows[lead[multi]], least[multi])
             where[multi] = np.cumsum(windows[lead[multi]]) - windows[lead[multi]]
+            # strings whose windows all have one minimum need that number alone
+            n = windows[lead[multi]]
+            first = where[multi]
+            lo, hi = np.minimum.reduceat(detail, first), np.maximum.reduceat(detail, first)
+            least[multi], where[multi] = lo, np.where(lo == hi, -1, first)
         shard, out = [], []
         names = table.column("shard").to_pylist()
         for i, (x, y) in enumerate(zip(np.cumsum(size) - size, np.cumsum(size), strict=True)):
             k = kind[x:y]
             one = (where[k] < 0) & (least[k] < high[x:y])
-            many = where[k] >= 0
+            many = (where[k] >= 0) & (least[k] < high[x:y])
             w = np.where(many, windows[x:y], 0)
             values = detail[np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(where[k], w)]
             if one.any() or many.any():
