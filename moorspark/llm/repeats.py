@@ -37,7 +37,7 @@ from moorspark.llm.registry import documents, query
 from moorspark.session import materialize, scratch_path
 
 SIZE = 50
-K = 16
+K = 24
 #: bytes of text per bucket of minimizers; like the shard it bounds a task's arrays (about 30 times as much)
 BUCKET = 1 << 20
 _LAST = np.iinfo(np.int64).max
