@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorspark.llm import lex
+from moorspark.llm import jaccard, lex
 from moorspark.llm.components import connected_components
 from moorspark.llm.registry import documents, query
 from moorspark.session import materialize
@@ -119,9 +119,9 @@ def near_duplicates(docs: DataFrame, dense: int = DENSE, key: str = "doc_id", te
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the least doc_id; of repeated rows with that id one stays.
 
-    Rows with a null doc_id cannot be told apart by id and stay.
+    Groups are those of :mod:`moorspark.llm.jaccard` (five words, similarity 0.8); op6's contract values bind op6 alone. Rows with a null doc_id cannot be told apart by id and stay.
     """
-    found = materialize(near_duplicates(docs), "groups")
+    found = materialize(jaccard.near_copies(docs), "groups")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     many = materialize(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     once = docs.join(gone.unionByName(many), "doc_id", "left_anti")
