@@ -4,19 +4,22 @@ Lines are normalised (words lower-cased, joined by single blanks) and hashed; pe
 of each line are counted. A line is boilerplate if more than ``MOST`` documents of its host and more than ``SHARE`` of
 them hold it. Boilerplate lines are removed, and a document left with less than ``DEPLETED`` of its word characters is rejected.
 
-One pass over the texts gives the rule counts and, per document, its distinct lines; from then on only hashes move:
-distinct (host, line, document) rows, counted with partial sums, and the few boilerplate lines joined back.
+A first pass over the texts gives each document's distinct lines; from then on only hashes move: distinct (host, line,
+document) rows, counted with partial sums, and the few boilerplate lines per document. A second pass gets these joined to
+the texts, removes them (:func:`cleaned`) and counts; the verdict rests on what is left. The text left is the other lines,
+blank ones too, joined by newlines.
 
 Defined cases: a null or blank text has no words and fails the base rules; a null host is a host; rows that share a
 doc_id count once in a line's documents but get a row each; lines without words are never boilerplate; an empty table
-gives no rows; further columns are ignored.
+gives no rows; further columns are ignored; a null text stays null.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moorspark.llm import lex
@@ -46,6 +49,11 @@ def in_doc(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return lex.mix(h + lex.mix(doc.astype(np.uint64) + np.uint64(0x51ED2701)))
 
 
+def word_chars(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Code points in words per document of a block."""
+    return lex.per_doc(((buf & 0xC0) != 0x80) & lex.BLACK[buf], off)
+
+
 def measure(buf: np.ndarray, off: np.ndarray, window: int = WINDOW) -> dict[str, np.ndarray]:
     """Rule counts and normalised lines of a block of documents."""
     n = len(off) - 1
@@ -78,32 +86,50 @@ def measure(buf: np.ndarray, off: np.ndarray, window: int = WINDOW) -> dict[str,
     line_doc = doc[a] if len(a) else line_doc
     order, same = repeats(in_doc(exact.span(start, end), line_doc))
     dup = np.bincount(line_doc[order[same]], minlength=n)
-    cc = np.concatenate([[0], np.cumsum(chars)])
     return {"n_words": w.counts, "word_chars": lex.per_doc(chars, w.ptr), "n_symbols": lex.per_doc(_SYMBOL[buf].astype(np.int64), off), "n_dup_lines": dup,
-            "n_repeat_words": lex.per_doc(repeat.astype(np.int64), w.ptr), "line": lex.Sums(word).span(a, b), "line_doc": line_doc, "line_chars": cc[b] - cc[a]}
+            "n_repeat_words": lex.per_doc(repeat.astype(np.int64), w.ptr), "line": lex.Sums(word).span(a, b), "line_doc": line_doc, "line_start": start, "line_end": end}
+
+
+def without(buf: np.ndarray, off: np.ndarray, m: dict[str, np.ndarray], gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a block without the lines ``gone`` of its measure ``m``."""
+    n = len(buf)
+    start, end, doc = (m[c][gone] for c in ("line_start", "line_end", "line_doc"))
+    last = end == off[doc + 1]
+    keep = ~lex.cover(start, np.where(last, end, end + 1) - start, n)
+    # without its last line a text ends where the last kept line does, before that line's newline
+    kept = np.concatenate([[0], np.cumsum(keep)])
+    at = np.flatnonzero(keep)
+    short = doc[last]
+    short = short[kept[off[short + 1]] > kept[off[short]]]
+    keep[at[kept[off[short + 1]] - 1]] = False
+    return buf[keep], np.concatenate([[0], np.cumsum(keep)])[off]
+
+
+def _content() -> Column:
+    """Equal for rows that have the same lines to lose."""
+    return F.xxhash64("doc_id", "source", F.isnull("source"), "text").alias("content")
+
+
+def _read(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.col("source").cast("string").alias("source")).select("*", _content())
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``uid, doc_id, source``, the counts, and ``lines`` (hash, word characters in all its repeats) per row; to be stored."""
+    """``uid, content, doc_id, source`` and the hashes of the distinct ``lines`` per row; to be stored."""
     def run(batches):
         rng = np.random.default_rng()
         for batch in batches:
             for rows, buf, off in lex.blocks(batch):
                 m = measure(buf, off)
-                key = in_doc(m["line"], m["line_doc"])
-                order, same = repeats(key)
-                at = np.flatnonzero(~same)
-                sums = np.add.reduceat(m["line_chars"][order], at) if len(at) else np.zeros(0, np.int64)
-                lead = order[at]
-                by = np.argsort(m["line_doc"][lead], kind="stable")
-                lead, sums = lead[by], sums[by]
+                order, same = repeats(in_doc(m["line"], m["line_doc"]))
+                lead = order[~same]
+                lead = lead[np.argsort(m["line_doc"][lead], kind="stable")]
                 ptr = np.searchsorted(m["line_doc"][lead], np.arange(rows.num_rows + 1))
-                lines = pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.StructArray.from_arrays([pa.array(m["line"][lead].view(np.int64)), pa.array(sums.astype(np.int64))], ["line", "chars"]))
-                yield pa.RecordBatch.from_arrays([pa.array(rng.integers(-(2**63), 2**63 - 1, rows.num_rows)), rows.column("doc_id"), rows.column("source"),
-                                                  *(pa.array(m[c].astype(np.int64)) for c in COUNTS), lines], ["uid", "doc_id", "source", *COUNTS, "lines"])
+                lines = pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(m["line"][lead].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(rng.integers(-(2**63), 2**63 - 1, rows.num_rows)), rows.column("content"), rows.column("doc_id"), rows.column("source"), lines],
+                                                 ["uid", "content", "doc_id", "source", "lines"])
 
-    schema = f"uid long, doc_id {dict(docs.dtypes)['doc_id']}, source string, {', '.join(f'{c} long' for c in COUNTS)}, lines array<struct<line:long,chars:long>>"
-    return docs.select("doc_id", "text", F.col("source").cast("string").alias("source")).mapInArrow(run, schema)
+    return _read(docs).mapInArrow(run, f"uid long, content long, doc_id {dict(docs.dtypes)['doc_id']}, source string, lines array<long>")
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -113,22 +139,42 @@ def boilerplate(rows: DataFrame) -> DataFrame:
     """``host, line`` of the lines above the limits."""
     host = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("host")
     size = rows.groupBy(host).agg(F.countDistinct(F.coalesce("doc_id", "uid")).alias("docs"))
-    return (rows.select(host, F.coalesce("doc_id", "uid").alias("d"), F.explode("lines").alias("l")).select("host", "d", "l.line").distinct()
+    return (rows.select(host, F.coalesce("doc_id", "uid").alias("d"), F.explode("lines").alias("line")).distinct()
             .groupBy("host", "line").agg(F.count("*").alias("held")).where(F.col("held") > MOST)
             .join(size, "host").where(F.col("held") > SHARE * F.col("docs")).select("host", "line"))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Rule counts, ``n_boilerplate_chars`` and verdicts per row."""
+def cleaned(docs: DataFrame) -> DataFrame:
+    """``doc_id, source, text``, the text without its boilerplate lines, with the rule counts of the whole text and ``n_boilerplate_chars``, per row."""
     rows = materialize(measured(docs), "lines")
     bad = materialize(boilerplate(rows), "boilerplate")
     host = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("host")
-    lost = (rows.select("uid", host, F.explode("lines").alias("l")).select("uid", "host", "l.line", "l.chars").join(bad, ["host", "line"])
-            .groupBy("uid").agg(F.sum("chars").alias("n_boilerplate_chars")))
-    out = rows.drop("lines").join(lost, "uid", "left").withColumn("n_boilerplate_chars", F.coalesce("n_boilerplate_chars", F.lit(0).cast("long")))
+    lost = materialize(rows.select("content", host, F.explode("lines").alias("line")).join(bad, ["host", "line"]).groupBy("content").agg(F.collect_set("line").alias("bad")), "lost")
+
+    def run(batches):
+        for batch in batches:
+            for rows, buf, off in lex.blocks(batch):
+                m = measure(buf, off)
+                bad = rows.column("bad")
+                owner = pc.list_parent_indices(bad).to_numpy(zero_copy_only=False).astype(np.int64)
+                gone = np.isin(in_doc(m["line"], m["line_doc"]), in_doc(bad.flatten().to_numpy(zero_copy_only=False).view(np.uint64), owner))
+                left, at = without(buf, off, m, gone)
+                text = pa.LargeStringArray.from_buffers(rows.num_rows, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(left)).cast(pa.string())
+                text = pc.if_else(pc.is_valid(rows.column("text")), text, pa.scalar(None, pa.string()))
+                lost = m["word_chars"] - word_chars(left, at)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("source"), text, *(pa.array(m[c].astype(np.int64)) for c in COUNTS), pa.array(lost.astype(np.int64))],
+                                                 ["doc_id", "source", "text", *COUNTS, "n_boilerplate_chars"])
+
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, source string, text string, {', '.join(f'{c} long' for c in COUNTS)}, n_boilerplate_chars long"
+    # one plan at every size: the lost lines grow with the texts, so they are merged with them and never broadcast
+    return _read(docs).join(lost.hint("merge"), "content", "left").select("doc_id", "source", "text", "bad").mapInArrow(run, schema)
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """Rule counts, ``n_boilerplate_chars`` and verdicts per row, from the cleaned texts."""
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     left = F.col("word_chars") - F.col("n_boilerplate_chars")
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (left >= DEPLETED * F.col("word_chars"))).select("doc_id", *COUNTS, "n_boilerplate_chars", "base_failed", "kept")
+    return cleaned(docs).withColumn("base_failed", failed).withColumn("kept", ~failed & (left >= DEPLETED * F.col("word_chars"))).select("doc_id", *COUNTS, "n_boilerplate_chars", "base_failed", "kept")
 
 
 _BLACK = r"'[^\x20\x09-\x0D]+'"
