@@ -3,8 +3,8 @@ r"""Personal data by candidate gradient boosting, in DataFrame functions alone.
 The contract's kinds (email, ip, card, phone) are found by their patterns and checks and always stay. High-recall generators
 propose further, overlapping spans: anything with an at sign, any number with separators, any long unbroken token.
 Each gets bits for its format and context. Boosted trees of depth two score the bits; a threshold calibrated on all
-candidates (share of positives among those that score at least as high) selects, and of overlapping selected
-spans the highest score stays.
+candidates (share of positives among those that score at least as high) selects, and overlapping selected
+spans stay by falling score, each unless it overlaps one that stays.
 
 Labels come from the data: a number or address is positive if it passes a contract check, a token if an assignment to a
 credential name stands before it (the trees do not see that name for tokens, so they learn the tokens' format). Training
@@ -66,6 +66,8 @@ def _matches(text: Column, kind: str, order: int, pattern: str) -> Column:
         return F.when(x["m"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out")))
 
     found = F.aggregate(both, empty, step, lambda acc: acc["out"])
+    if kind == "secret":  # letters alone may be a credential
+        return found
     need = F.contains(text, F.lit(_NEEDS[kind])) if kind in _NEEDS else text.rlike("[0-9]")
     return F.when(need, found).otherwise(F.expr(f"CAST(array() AS {_SPAN})"))
 
@@ -210,10 +212,10 @@ def all_spans(docs: DataFrame, model: Boosted, text: str, base: str, spans: str)
     free = F.filter(chosen, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
 
     def best(all_: Column) -> Column:
-        def beaten(c, o):
-            return (o["start"] < c["end"]) & (c["start"] < o["end"]) & ((o["score"] > c["score"]) | ((o["score"] == c["score"]) & (F.struct(o["start"], o["ord"]) < F.struct(c["start"], c["ord"]))))
-
-        return F.filter(all_, lambda c: ~F.exists(all_, lambda o: beaten(c, o)))
+        """By falling score, then place; a span goes only if it overlaps one that stays."""
+        first = F.array_sort(all_, lambda c, o: F.when((c["score"] > o["score"]) | ((c["score"] == o["score"]) & (F.struct(c["start"], c["ord"]) < F.struct(o["start"], o["ord"]))), -1).otherwise(1))
+        none = F.filter(all_, lambda c: F.lit(False))
+        return F.aggregate(first, none, lambda kept, c: F.when(F.exists(kept, lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"])), kept).otherwise(F.concat(kept, F.array(c))))
 
     plain = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end")))
     held = f"{spans}_free"
