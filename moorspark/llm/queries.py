@@ -6,7 +6,7 @@ import importlib
 
 from moorspark.llm.registry import ORACLES, QUERIES
 
-_MODULES = ["shard", "simhash", "language", "tokenfile", "packing", "decontaminate", "quality", "licence", "pii", "repeats"]
+_MODULES = ["shard", "simhash", "language", "tokenfile", "packing", "decontaminate", "quality", "licence", "pii", "repeats", "topk", "importance", "conversation"]
 
 
 def load():

@@ -1,6 +1,8 @@
 """Plain restatements of the contracts, one document at a time."""
 
 import hashlib
+import heapq
+import math
 import re
 import zlib
 from collections import Counter
@@ -138,3 +140,102 @@ def leaks(docs, items, size=10):
 
 def crc_ids(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def nearest(rows, k=5, scale=256):
+    """op11 rows for ``(vec_id, vector)`` pairs."""
+    usable = []
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        usable.append((i, tuple(math.floor(scale * x) for x in v)))
+    out = []
+    for q, v in set(usable):
+        if q % 50 == 0:
+            near = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v))
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(near[:k])]
+    return out
+
+
+def resampled(docs, items, run=1):
+    """op12 rows for ``(doc_id, text)`` and ``(item_id, text)`` pairs; equal rows may swap ranks."""
+    def feats(text):
+        w = ALNUM.findall(lower(text))
+        return len(w), [" ".join(w[i : i + k]) for k in range(1, run + 1) for i in range(len(w) - k + 1)]
+
+    def bucket(f):
+        return zlib.crc32(f.encode()) % 10000
+
+    s, t = Counter(), Counter()
+    for c, rows in ((s, docs), (t, items)):
+        for _, text in rows:
+            c.update(map(bucket, feats(text)[1]))
+    big_s, big_t = sum(s.values()) + 10000, sum(t.values()) + 10000
+    out = []
+    for d, text in docs:
+        n, f = feats(text)
+        weight = sum(math.floor(1000 * math.log(((t[b] + 1) * big_s) / ((s[b] + 1) * big_t))) for b in map(bucket, f))
+        h = int(hashlib.sha256(f"2024:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        out.append((d, n, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((r for r in out if r[1] >= 20), key=lambda r: (-r[4], r[0] is None, r[0] or 0, r[3], r[2], r[1]))
+    rank = {}
+    for i, r in enumerate(able[: len(able) * 10 // 100]):
+        rank.setdefault(r, []).append(i + 1)
+    return [(r[0], r[2], r[3], r[4], rank[r].pop() if rank.get(r) else None) for r in out]
+
+
+def mended(roles_faults):
+    """Cheapest audit by uniform-cost search over whole edit strings, for ``(initial, must_delete, truncated)`` rows."""
+    heap, done = [(0, "", 0, "")], set()
+    while heap:
+        cost, audit, i, out = heapq.heappop(heap)
+        if i == len(roles_faults) and re.fullmatch("(s?(ua)+)?", out):
+            return cost, audit, out
+        if (i, out) in done or len(out) > len(roles_faults) + 3:
+            continue
+        done.add((i, out))
+        nxt = [(3, "I", i, out + x) for x in "ua"]
+        if i < len(roles_faults):
+            initial, must, cut = roles_faults[i]
+            nxt.append((4, "D", i + 1, out))
+            if not must:
+                nxt.append((3 * cut, "K", i + 1, out + initial))
+                nxt += [(3 + 3 * cut, "R", i + 1, out + x) for x in "ua"]
+        for c, letter, j, o in nxt:
+            if re.fullmatch("s?(ua)*u?", o):
+                heapq.heappush(heap, (cost + c, audit + letter, j, o))
+    raise AssertionError
+
+
+def conversations(rows):
+    """op13 rows for ``(conv_id, turn, role, text)`` tuples."""
+    groups = {}
+    for c, turn, role, text in rows:
+        own = groups.setdefault(c, [])
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        own += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    out = []
+    for c, own in groups.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).digest()))
+        faults, seen = [], set()
+        for _, role, text in own:
+            black = re.findall(r"[^\x20\x09-\x0D]", text)
+            faults.append("blank" if not black else "duplicate" if (role, text) in seen else "truncated" if black[-1] not in ".!?" else "")
+            seen.add((role, text))
+        turns = [t for t, _, _ in own if t is not None]
+        initials = [r[:1] or "-" for _, r, _ in own]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit, roles = mended([(i, f in ("blank", "duplicate"), f == "truncated") for i, f in zip(initials, faults)])
+        left, names, lines = iter(own), {"u": "user", "a": "assistant"}, []
+        new = iter(roles)
+        for letter in audit:
+            row = None if letter == "I" else next(left)
+            if letter != "D":
+                x = next(new)
+                lines.append(f"{row[1] if letter == 'K' else names[x]}:{row[2] if row else ''}")
+        out.append((c, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit,
+                    hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return out

@@ -69,7 +69,7 @@ def test_stages(spark, sf_dir):
 def test_run_equals_the_stages_and_every_query_is_registered(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 20
     names = set(load()[0])
-    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 def test_empty_table(spark, sf_dir):
