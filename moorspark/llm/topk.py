@@ -223,9 +223,9 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = TOP, key: str = "v
 
 @query("op11_columnar_bound_topk", sql="""
 WITH v AS (
-  SELECT vec_id, len(embedding) AS d, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, len(embedding) AS d, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) q JOIN v c ON c.vec_id <> q.vec_id AND c.d = q.d),

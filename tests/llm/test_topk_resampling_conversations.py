@@ -134,7 +134,7 @@ def talk():
             rows.append((c, t + (t > 4) * rng.randint(0, 2), rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None, "", "unknown"]), rng.choice(texts)))
     rows += [(c, t, "user" if t % 2 == 0 else "assistant", f"turn {t}.") for c in (500, None) for t in range(7)]
     rows += [(501, None, "user", "Hi."), (501, None, "assistant", "Ho."), (501, 0, "user", "Hi."), (502, 3, "user", "tie."), (502, 3, "user", "tie."), (502, 3, "assistant", "other"), (503, -4, "user", "a."), (503, 9, "assistant", "b.")]
-    rows += [(c, 0, "user", "Once.") for c in range(600, 680)]  # some lose their only row
+    rows += [(c, t, "user", "Once.") for c in range(600, 620) for t in range(90) if zlib.crc32(f"{c}:{t}".encode()) % 20 == 0][:20]  # nothing is left of them
     rows += [(504, t, "assistant", "same.") for t in range(400)]
     return rows
 
