@@ -239,3 +239,22 @@ def conversations(rows):
         out.append((c, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit,
                     hashlib.sha256("\n".join(lines).encode()).hexdigest()))
     return out
+
+
+def alike(docs, size=5):
+    """Least doc_id of the near-copy group of each ``(doc_id, text)``: components of Jaccard 4/5 or more over five-word shingle sets."""
+    sets = {}
+    for d, text in docs:
+        w = BLACK.findall(lower(text))
+        key = frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
+        sets.setdefault(key, set()).add(d)
+    own = list(sets)
+    group = {k: {i} for i, k in enumerate(own)}
+    for i, x in enumerate(own):
+        for y in own[:i]:
+            common = len(x & y)
+            if 5 * common >= 4 * (len(x) + len(y) - common) and group[x] is not group[y]:
+                group[x] |= group[y]
+                for j in group[y]:
+                    group[own[j]] = group[x]
+    return {d: min(min(sets[own[j]]) for j in group[k]) for k, ds in sets.items() for d in ds}
