@@ -5,7 +5,7 @@ import itertools
 import brute
 import numpy as np
 
-from moorspark.llm import simhash
+from moorspark.llm import jaccard, simhash
 
 VOCABULARY = [f"w{i}" for i in range(4000)]
 
@@ -60,3 +60,18 @@ def test_a_large_group_of_near_copies(spark):
     rows += [(1000 + i, " ".join([*base[:120], *rng.choice(VOCABULARY, 80)])) for i in range(40)]  # a common passage, else different
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.stage(spark, docs, "").collect()) == [0, *range(1000, 1040)]
+
+
+def test_sketches_lose_no_pair():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base[:n], n - n // 12, False), rng.integers(0, 2**63, n // 15, dtype=np.uint64)])) for n in (12, 60, 300, 4000) for _ in range(8)] + [base[:0]]
+    ptr = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    words = jaccard.parities(np.concatenate(sets), ptr).view(np.uint64)
+    told_apart = 0
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            differ, apart = int(np.bitwise_count(words[i] ^ words[j]).sum()), len(np.setxor1d(x, y))
+            assert differ <= apart and (apart - differ) % 2 == 0
+            told_apart += 9 * differ > len(x) + len(y)
+    assert told_apart > len(sets)
