@@ -4,11 +4,16 @@ An axis (time in microseconds, pressure, ...) is cut into chunks of fixed width.
 ``(series, chunk)``; a summary with one row per chunk carries the edge rows, counts and sums across chunk
 borders, and is joined back. The result equals the plain window over the whole series, while a series that
 holds a large share of all rows is spread over as many tasks as it has chunks.
+
+The input is computed once: rows and summary read one exchange (:func:`shared`), so that a chain of operators grows by
+one exchange per operator instead of doubling what lies below.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,6 +38,33 @@ def _struct(cols: dict[str, Column]) -> Column:
     return F.struct(*[c.alias(n) for n, c in cols.items()])
 
 
+#: no chunk has this number
+_NO_CHUNK = -(1 << 63) + 1
+
+
+def _whole_row(df: DataFrame, chunk: Column) -> Column:
+    """True, but needs every column of ``df`` as far as the optimizer can see; at run time one comparison a row."""
+    cols = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return (chunk != F.lit(_NO_CHUNK)) | (F.hash(*cols) != 0)
+
+
+def shared(df: DataFrame, part: Sequence[str], chunk: str) -> tuple[DataFrame, DataFrame, Column]:
+    """``df`` dealt by ``part``, for two readers of one exchange: ``(rows, rows to aggregate, aggregate that keeps them alike)``.
+
+    Spark uses an exchange again only if both readers want the same columns and filters of it. So keys are made non-null
+    first (the null test a join adds is then there already), the first frame is to be filtered by the last
+    expression *after* its windows, and the second one has to count it. ``part`` must not hold nulls.
+    """
+    d = df.where(reduce(operator.and_, [F.col(k).isNotNull() for k in part])).repartition(*part)
+    return d, d, _whole_row(df, F.col(chunk))
+
+
+def _no_null(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """Series keys that raise where they are null: an inner join would drop such rows without a word."""
+    lost = F.raise_error(F.lit(f"null in a series key ({', '.join(keys)})"))
+    return {k: F.coalesce(F.col(k), lost.cast(df.schema[k].dataType)) for k in keys}
+
+
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
@@ -67,7 +99,8 @@ def ordered(
     chunked = width is not None
     # rows without an axis value sort first, as in a plain window
     if chunked:
-        d = df.withColumn(_CH, F.coalesce(F.floor(F.col(order[0]) / F.lit(width)), F.lit(-1 << 62)))
+        d = df.withColumns({**_no_null(df, keys), _CH: F.coalesce(F.floor(F.col(order[0]) / F.lit(width)), F.lit(-1 << 62))})
+        d, again, whole_row = shared(d, [*keys, _CH], _CH)
     else:
         d = df
     part = keys + ([_CH] if chunked else [])
@@ -101,7 +134,8 @@ def ordered(
     out = d.select("*", *[c.alias(n) for n, c in inner.items()])
 
     if chunked:
-        aggs = [F.count(F.lit(1)).alias("__cn")]
+        out = out.where(whole_row)
+        aggs = [F.count(F.when(whole_row, True)).alias("__cn")]
         if lag:
             aggs.append(F.max_by(_struct(lag), at).alias("__cl"))
         if lead:
@@ -116,7 +150,7 @@ def ordered(
         before = we.rowsBetween(Window.unboundedPreceding, -1)
         after = Window.partitionBy(*keys).orderBy(F.col(_CH).desc()).rowsBetween(Window.unboundedPreceding, -1)
         whole = Window.partitionBy(*keys)
-        sel = [*[F.col(k) for k in part], F.lit(True).alias("__here")]
+        sel = [F.col(k) for k in part]
         if lag:
             sel.append(F.lag("__cl").over(we).alias("__elag"))
         if lead:
@@ -133,37 +167,31 @@ def ordered(
             sel.append(F.last(f"__clv_{n}", ignorenulls=True).over(before).alias(f"__elv_{n}"))
         for n in next_valid:
             sel.append(F.last(f"__cnv_{n}", ignorenulls=True).over(after).alias(f"__env_{n}"))
-        edges = d.groupBy(*part).agg(*aggs).select(*sel)
-        # an inner join would drop rows with a null key without a word
-        out = out.join(edges, part, "left")
-
-    def known(c: Column) -> Column:
-        if not chunked:
-            return c
-        return F.when(F.col("__here").isNull(), F.raise_error(F.lit(f"null in a series key ({', '.join(keys)})"))).otherwise(c)
+        edges = again.groupBy(*part).agg(*aggs).select(*sel)
+        out = out.join(edges, part)
 
     cols = [F.col(c) for c in df.columns]
     if lag:
         s = F.coalesce("__lag", "__elag") if chunked else F.col("__lag")
-        cols += [known(s[n]).alias(n) for n in lag]
+        cols += [s[n].alias(n) for n in lag]
     if lead:
         s = F.coalesce("__lead", "__elead") if chunked else F.col("__lead")
-        cols += [known(s[n]).alias(n) for n in lead]
+        cols += [s[n].alias(n) for n in lead]
     if index:
-        cols.append(known(F.col("__rn") + F.col("__eidx") if chunked else F.col("__rn")).alias(index))
+        cols.append((F.col("__rn") + F.col("__eidx") if chunked else F.col("__rn")).alias(index))
     if count:
-        cols.append(known(F.col("__n")).alias(count))
+        cols.append(F.col("__n").alias(count))
     for n in cum:
         c = F.col(f"__cum_{n}")
-        cols.append(known(c + F.col(f"__ecum_{n}") if chunked else c).alias(n))
+        cols.append((c + F.col(f"__ecum_{n}") if chunked else c).alias(n))
     for n in total:
-        cols.append(known(F.col(f"__tot_{n}")).alias(n))
+        cols.append(F.col(f"__tot_{n}").alias(n))
     for n in last_valid:
         s = F.coalesce(f"__lv_{n}", f"__elv_{n}") if chunked else F.col(f"__lv_{n}")
-        cols.append(known(s["v"]).alias(n))
+        cols.append(s["v"].alias(n))
     for n in next_valid:
         s = F.coalesce(f"__nv_{n}", f"__env_{n}") if chunked else F.col(f"__nv_{n}")
-        cols.append(known(s["v"]).alias(n))
+        cols.append(s["v"].alias(n))
     return out.select(*cols)
 
 
