@@ -41,10 +41,42 @@ def trim(obs: DataFrame, deploy: DataFrame) -> DataFrame:
 
 
 def shift_and_trim(obs: DataFrame, instr: DataFrame, deploy: DataFrame) -> DataFrame:
-    """Stage 2: attach the instrument's depth and name, shift the clock, then trim."""
+    """Stage 2: attach the instrument's depth and name, shift the clock, then trim.
+
+    Samples without a configured instrument or mooring are not here but in :func:`quarantine`.
+    """
     return trim(shift_clock(obs, instr, keep=("depth", "instrument")), deploy)
 
 
+def quarantine(obs: DataFrame, instr: DataFrame, deploy: DataFrame) -> DataFrame:
+    """The samples that :func:`shift_and_trim` cannot place, with the ``reason``: no instrument or no deployment in the configuration.
+
+    A null mooring or serial is not configured. With the kept and the trimmed samples these are all samples.
+    """
+    known = instr.select(*RECORD).distinct().withColumn("__known", F.lit(True))
+    sent = deploy.select("mooring").distinct().withColumn("__sent", F.lit(True))
+    d = obs.join(known, list(RECORD), "left").join(sent, "mooring", "left")
+    reason = F.when(F.col("__known").isNull(), "no instrument").when(F.col("__sent").isNull(), "no deployment")
+    return d.select(*obs.columns, reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def within_bounds(obs: DataFrame, instr: DataFrame, deploy: DataFrame) -> DataFrame:
+    """``obs`` without samples that no deployment window can hold, by a filter on ``time`` that reaches the scan.
+
+    Two numbers come to the driver: the earliest start less the largest clock offset, and the latest end less the smallest.
+    A mooring without start or end leaves that side open. Samples of moorings that are not configured go too.
+    """
+    offset = F.coalesce(F.col("clock_offset").cast("long"), F.lit(0))
+    o = instr.groupBy("mooring").agg(F.max(offset).alias("__late"), F.min(offset).alias("__early"))
+    d = deploy.join(o, "mooring").select(F.expr("timestampadd(SECOND, -__late, deployment_time)").alias("a"), F.expr("timestampadd(SECOND, -__early, recovery_time)").alias("b"))
+    n, na, nb, lo, hi = d.agg(F.count("*"), F.count("a"), F.count("b"), F.min("a"), F.max("b")).first()
+    if n and na == n:
+        obs = obs.where(F.col("time") >= F.lit(lo))
+    if n and nb == n:
+        obs = obs.where(F.col("time") <= F.lit(hi))
+    return obs
+
+
 def parse_time(text: Column) -> Column:
     """Lenient time parsing: missing, blank or invalid text gives null."""
     return F.trim(text).try_cast("timestamp_ntz")

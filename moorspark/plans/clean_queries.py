@@ -22,6 +22,25 @@ def _(spark, sf):
     return stage2(spark, sf).select("event_id", "serial", "mooring", "t_us", *[r6(c).alias(c) for c in ("temp", "cond", "pres")])
 
 
+_KNOWN = ("ki AS (SELECT * FROM instr WHERE serial % 5 <> 3), kd AS (SELECT * FROM deploy WHERE mooring <> 2)")
+
+
+@query("c2_quarantine", oracle("obs instr deploy", """SELECT event_id, o.serial, o.mooring,
+ CASE WHEN i.serial IS NULL THEN 'no instrument' ELSE 'no deployment' END AS reason FROM obs o LEFT JOIN ki i ON i.serial = o.serial AND i.mooring = o.mooring
+ LEFT JOIN kd d ON d.mooring = o.mooring WHERE i.serial IS NULL OR d.mooring IS NULL""", _KNOWN))
+def _(spark, sf):
+    # all samples, against a configuration with gaps
+    d = clean.quarantine(obs(spark, sf), instr(spark, sf).where("serial % 5 <> 3"), deploy(spark, sf).where("mooring <> 2"))
+    return d.select("event_id", "serial", "mooring", "reason")
+
+
+@query("c2_bounded_trim", oracle("stage2", f"SELECT event_id, serial, mooring, t_us, {q6('temp', 'cond', 'pres')} FROM stage2"))
+def _(spark, sf):
+    i, d = instr(spark, sf), deploy(spark, sf)
+    kept = clean.shift_and_trim(clean.within_bounds(obs(spark, sf), i, d), i, d)
+    return kept.select("event_id", "serial", "mooring", "t_us", *[r6(c).alias(c) for c in ("temp", "cond", "pres")])
+
+
 @query("c3_lenient_time", oracle("obs", """SELECT event_id, epoch_us(TRY_CAST(trim(txt) AS TIMESTAMP)) AS t_us FROM
  (SELECT event_id, CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'N/A' WHEN 2 THEN NULL WHEN 3 THEN ' 2024-13-45 '
   ELSE strftime(time, '%Y-%m-%d %H:%M:%S') END AS txt FROM obs)"""))

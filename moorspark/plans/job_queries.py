@@ -5,22 +5,22 @@ from moorspark.plans import jobs
 from moorspark.plans.grid_queries import LEVELS, SEG
 from moorspark.plans.mooring_step import mooring_step
 from moorspark.plans.registry import q6, query, rounded
-from moorspark.plans.standin import deploy, instr, obs, oracle, stage2, stored
+from moorspark.plans.standin import configured, deploy, instr, obs, oracle, stage2, stored
 from moorspark.session import scratch_path
 
-_COUNTS = """nin AS (SELECT mooring, serial, count(*) AS n_in FROM obs WHERE serial % 7 <> 2 GROUP BY 1, 2),
- nout AS (SELECT mooring, serial, count(*) AS n_out FROM stage2 WHERE serial % 7 <> 2 GROUP BY 1, 2)"""
+_COUNTS = """nin AS (SELECT mooring, serial, count(*) AS n_in FROM obs GROUP BY 1, 2),
+ nout AS (SELECT mooring, serial, count(*) AS n_out FROM stage2 GROUP BY 1, 2)"""
 
 
-@query("p1_stage2_status", oracle("stage2", """SELECT mooring, serial, coalesce(n_in, 0) AS n_in, coalesce(n_out, 0) AS n_out, CASE WHEN n_out > 0 THEN 'ok' WHEN n_in > 0 THEN 'emptied' ELSE 'no data' END AS status
- FROM instr LEFT JOIN nin USING (mooring, serial) LEFT JOIN nout USING (mooring, serial)""", _COUNTS))
+@query("p1_stage2_status", oracle("stage2 configured", """SELECT mooring, serial, coalesce(n_in, 0) AS n_in, coalesce(n_out, 0) AS n_out, CASE WHEN n_out > 0 THEN 'ok' WHEN n_in > 0 THEN 'emptied' ELSE 'no data' END AS status
+ FROM configured LEFT JOIN nin USING (mooring, serial) LEFT JOIN nout USING (mooring, serial)""", _COUNTS))
 def _(spark, sf):
-    return jobs.stage2_step(obs(spark, sf).where("serial % 7 <> 2"), instr(spark, sf), deploy(spark, sf), scratch_path(spark, "stage2"))[1]
+    return jobs.stage2_step(obs(spark, sf), configured(spark, sf), deploy(spark, sf), scratch_path(spark, "stage2"))[1]
 
 
-@query("p1_stage2_report", oracle("stage2", """SELECT mooring, count(*) AS total, count(n_out) AS processed, count(n_out) > 0 AS success FROM instr LEFT JOIN nout USING (mooring, serial) GROUP BY 1""", _COUNTS))
+@query("p1_stage2_report", oracle("stage2 configured", """SELECT mooring, count(*) AS total, count(n_out) AS processed, count(n_out) > 0 AS success FROM configured LEFT JOIN nout USING (mooring, serial) GROUP BY 1""", _COUNTS))
 def _(spark, sf):
-    return jobs.stage2_step(obs(spark, sf).where("serial % 7 <> 2"), instr(spark, sf), deploy(spark, sf))[2]
+    return jobs.stage2_step(obs(spark, sf), configured(spark, sf), deploy(spark, sf))[2]
 
 
 @query("p2_mooring_status", oracle("stage2", """SELECT mooring, serial, count(temp) AS n_temp, count(cond) AS n_cond FROM instr LEFT JOIN (SELECT mooring AS m, serial AS s, temp, cond FROM stk) ON m = mooring AND s = serial GROUP BY 1, 2""", SEG + "," + LEVELS))

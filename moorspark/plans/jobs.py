@@ -14,12 +14,13 @@ from moorspark.sources import sinks
 
 
 def instrument_status(instr: DataFrame, given: DataFrame, result: DataFrame) -> DataFrame:
-    """Samples before and after a step per configured instrument: ``ok``, ``emptied`` or ``no data``."""
+    """Samples before and after a step per instrument: ``ok``, ``emptied`` or ``no data``; ``not configured`` for records that only the samples name."""
     n = given.groupBy(*RECORD).agg(F.count(F.lit(1)).alias("n_in"))
     m = result.groupBy(*RECORD).agg(F.count(F.lit(1)).alias("n_out"))
-    d = instr.select(*RECORD).join(n, list(RECORD), "left").join(m, list(RECORD), "left")
-    d = d.select(*RECORD, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_in", "n_out")])
-    return d.withColumn("status", F.when(F.col("n_out") > 0, "ok").when(F.col("n_in") > 0, "emptied").otherwise("no data"))
+    d = instr.select(*RECORD, F.lit(True).alias("__known")).join(n, list(RECORD), "full").join(m, list(RECORD), "left")
+    d = d.select(*RECORD, "__known", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_in", "n_out")])
+    status = F.when(F.col("__known").isNull(), "not configured").when(F.col("n_out") > 0, "ok").when(F.col("n_in") > 0, "emptied").otherwise("no data")
+    return d.withColumn("status", status).drop("__known")
 
 
 def stage2_step(obs: DataFrame, instr: DataFrame, deploy: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -27,7 +28,7 @@ def stage2_step(obs: DataFrame, instr: DataFrame, deploy: DataFrame, path: str |
 
     With a ``path`` the records replace the partitions there and are read back, so that later steps do not shift them again.
     """
-    d = meta.drop_working(clean.shift_and_trim(obs, instr, deploy))
+    d = meta.drop_working(clean.shift_and_trim(clean.within_bounds(obs, instr, deploy), instr, deploy))
     if path:
         sinks.write_stage(d, path, "replace")
         d = d.sparkSession.read.parquet(path)

@@ -63,6 +63,12 @@ def instr(spark, sf) -> DataFrame:
     )
 
 
+def configured(spark, sf) -> DataFrame:
+    """The instruments and, for each seventh serial, one more in the configuration that has no samples."""
+    i = instr(spark, sf)
+    return i.unionByName(i.where("serial % 7 = 2").withColumns({"serial": F.col("serial") + 1_000_000, "position": F.col("position") + 1_000_000}))
+
+
 def deploy(spark, sf) -> DataFrame:
     return spark.sql(
         "SELECT CAST(m AS BIGINT) AS mooring,"
@@ -145,6 +151,8 @@ _SQL = {
  CAST(((user_id * 37) % 11 - 5) * 60 + 30 * d AS BIGINT) AS clock_offset,
  CASE user_id % 3 WHEN 0 THEN 'microcat' WHEN 1 THEN 'sbe56' ELSE 'aquadopp' END AS instrument
  FROM (SELECT DISTINCT user_id, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END AS d FROM events)""",
+    "configured": """SELECT serial, mooring, position, depth, clock_offset, instrument FROM instr UNION ALL
+ SELECT serial + 1000000, mooring, position + 1000000, depth, clock_offset, instrument FROM instr WHERE serial % 7 = 2""",
     "deploy": """SELECT CAST(m AS BIGINT) AS mooring,
  TIMESTAMP '2024-01-02 00:00:00' + m * INTERVAL '1' HOUR AS deployment_time,
  CASE WHEN m < 4 THEN TIMESTAMP '2024-01-29 00:00:00' - m * INTERVAL '1' HOUR END AS recovery_time
@@ -166,7 +174,7 @@ _SQL = {
  WHERE (deployment_time IS NULL OR time + clock_offset * INTERVAL '1' SECOND >= deployment_time)
  AND (recovery_time IS NULL OR time + clock_offset * INTERVAL '1' SECOND <= recovery_time)""",
 }
-_DEPS = {"stage2": ["obs", "instr", "deploy"]}
+_DEPS = {"stage2": ["obs", "instr", "deploy"], "configured": ["instr"]}
 
 
 def oracle(names: str, select: str, ctes: str = "") -> str:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from moorspark.operators import stats
 from moorspark.plans.registry import q6, query, rounded
-from moorspark.plans.standin import instr, obs, oracle, stage2, table
+from moorspark.plans.standin import configured, instr, obs, oracle, stage2, table
 
 SAMPLING = """d AS (SELECT mooring, serial, t_us,
  (t_us - lag(t_us) OVER (PARTITION BY mooring, serial ORDER BY t_us)) / 60e6 AS dt FROM stage2),
@@ -126,16 +126,16 @@ def _(spark, sf):
     return stats.stacked_attributes(d)
 
 
-@query("e13_coverage_table", oracle("stage2", """SELECT i.mooring, i.serial, i.instrument, i.depth,
+@query("e13_coverage_table", oracle("stage2 configured", """SELECT i.mooring, i.serial, i.instrument, i.depth,
  CASE WHEN st.n IS NULL THEN 'MISSING' ELSE 'OK' END AS status, coalesce(st.n, 0) AS points, start_us, end_us,
  CASE WHEN median_dt > 1 THEN CAST(round(median_dt) AS BIGINT) || ' min'
   WHEN median_dt IS NOT NULL THEN CAST(round(median_dt * 60) AS BIGINT) || ' sec' END AS sampling,
- CASE WHEN st.n IS NOT NULL THEN vars END AS vars FROM instr i LEFT JOIN st ON st.serial = i.serial AND st.mooring = i.mooring LEFT JOIN
+ CASE WHEN st.n IS NOT NULL THEN vars END AS vars FROM configured i LEFT JOIN st ON st.serial = i.serial AND st.mooring = i.mooring LEFT JOIN
  (SELECT instrument, array_to_string(list_sort(list(DISTINCT kind)), ', ') AS vars FROM obs JOIN instr USING (mooring, serial) GROUP BY 1) v
- ON v.instrument = i.instrument""", SAMPLING.replace("FROM stage2", "FROM stage2 WHERE serial % 4 <> 1")))
+ ON v.instrument = i.instrument""", SAMPLING))
 def _(spark, sf):
-    st = stats.sampling_stats(stage2(spark, sf).where("serial % 4 <> 1"), ["mooring", "serial"])
-    return stats.coverage_table(instr(spark, sf), st, sensor_variables(spark, sf))
+    st = stats.sampling_stats(stage2(spark, sf), ["mooring", "serial"])
+    return stats.coverage_table(configured(spark, sf), st, sensor_variables(spark, sf))
 
 
 @query("e14_percentile_limits", oracle("obs", f"SELECT var, {q6('lo', 'hi')} FROM (" + " UNION ALL ".join(

@@ -28,12 +28,26 @@ def _column(short: str) -> str:
     return re.sub(r"\W+", "_", short).strip("_")
 
 
+def _columns(shorts: Sequence[str], taken: Sequence[str]) -> dict[str, str]:
+    """Column name per short name; names that clash when cleaned, or with ``taken`` ones, are numbered in order of the short names."""
+    used, out = {t.lower() for t in taken}, {}
+    for short in shorts:
+        base = _column(short) or "column"
+        name, n = base, 1
+        while name.lower() in used:
+            n += 1
+            name = f"{base}_{n}"
+        used.add(name.lower())
+        out[short] = name
+    return out
+
+
 def read_cnv(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """CTD text: preamble of ``*`` and ``#`` lines, then columns named by the preamble.
 
     Time is the day of the year (day 1 = 1 January) in the year of ``start_time``; the bad flag is null. Known
     variables get canonical names and units (conductivity in mS/cm); every other column keeps its short name, with
-    signs as underscores, and is null in the records that lack it.
+    signs as underscores and numbered where two names become one, and is null in the records that lack it.
     """
     d = spark.read.text(paths).select(file_key().alias("file"), F.trim("value").alias("line")).where("line <> ''")
     pre = F.startswith("line", F.lit("*")) | F.startswith("line", F.lit("#"))
@@ -47,7 +61,7 @@ def read_cnv(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     known = {s for names in CNV_NAMES.values() for s in names} | set(JULIAN)
     # the short names of all preambles: some dozens
     found = h.select(F.explode(F.map_keys("names")).alias("s")).distinct().collect()
-    others = {_column(r.s): [r.s] for r in sorted(found) if r.s not in known}
+    others = {n: [s] for s, n in _columns(sorted(r.s for r in found if r.s not in known), ["file", "time", "t_us", *CNV_NAMES]).items()}
     d = d.where(~pre).select("file", F.split("line", "\\s+").alias("v")).join(h, "file")
 
     def one(short: str) -> Column:

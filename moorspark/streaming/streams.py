@@ -17,6 +17,8 @@ from moorspark.operators.qc import gross_range
 
 HOUR_US = 3_600_000_000
 _FLUSHED = "flushed"
+#: micro-batches after which tables kept by changes are written whole
+WHOLE_EVERY = 64
 
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -38,24 +40,29 @@ def _last_batch(spark: SparkSession, path: str) -> int | None:
 
 
 def _work_off(stream: DataFrame, rows: Callable[[DataFrame], DataFrame], step: Callable[[DataFrame, dict[str, DataFrame] | None, int], tuple[DataFrame, dict[str, DataFrame]]],
-              end: str, path: str, checkpoint: str, delay_us: int) -> DataFrame:
+              end: str, path: str, checkpoint: str, delay_us: int, latest: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
     """Run ``step`` over what is available and return all output rows.
 
     ``rows`` shapes a batch, ``end`` is the column that the watermark must have passed; ``step`` gets the rows, the
     tables of the batch before and the watermark, and returns the final rows and the tables to keep. Rows that come
     after the watermark has passed them go to ``path``/late. At the end of the run everything still open is given out
     too; that part is written anew by the next run.
+
+    A table named in ``latest`` is kept by changes: a batch writes the rows it touched, and ``step`` gets the rows of all
+    batches since the table was last written whole, by the function that leaves the latest row of each key. So what a batch writes grows with the batch.
     """
     spark = stream.sparkSession
+    latest = latest or {}
 
-    def state(n: int | None) -> tuple[dict[str, DataFrame] | None, int]:
+    def state(n: int | None) -> tuple[dict[str, DataFrame] | None, int, int]:
         if n is None:
-            return None, -(1 << 62)
+            return None, -(1 << 62), 0
         mark = spark.read.parquet(f"{path}/state/{n}/mark").first()
-        return {t: spark.read.parquet(f"{path}/state/{n}/{t}") for t in mark["tables"]}, mark["watermark"]
+        since = {t: mark["since"] if t in latest else n for t in mark["tables"]}
+        return {t: spark.read.parquet(*[f"{path}/state/{m}/{t}" for m in range(a, n + 1)]) for t, a in since.items()}, mark["watermark"], mark["since"]
 
     def batch(new: DataFrame, n: int) -> None:
-        before, passed = state(n - 1 if n else None)
+        before, passed, since = state(n - 1 if n else None)
         rows(new).write.mode("overwrite").parquet(f"{path}/state/{n}/rows")
         mine = spark.read.parquet(f"{path}/state/{n}/rows")
         mine.where(F.col(end) <= passed).write.mode("overwrite").parquet(f"{path}/late/batch={n}")
@@ -63,45 +70,55 @@ def _work_off(stream: DataFrame, rows: Callable[[DataFrame], DataFrame], step: C
         mark = max(passed, top - delay_us) if top is not None else passed
         out, keep = step(mine.where(F.col(end) > passed), before, mark)
         out.write.mode("overwrite").parquet(f"{path}/out/batch={n}")
+        whole = n - since >= WHOLE_EVERY
         for t, d in keep.items():
+            if whole and t in latest:
+                d = latest[t](before[t].unionByName(d))
             d.write.mode("overwrite").parquet(f"{path}/state/{n}/{t}")
-        spark.createDataFrame([(mark, list(keep))], "watermark long, tables array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}/state/{n}/mark")
+        spark.createDataFrame([(mark, list(keep), n if whole else since)], "watermark long, tables array<string>, since long").coalesce(1).write.mode("overwrite").parquet(f"{path}/state/{n}/mark")
 
     q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    before, _ = state(_last_batch(spark, path))
+    before, _, _ = state(_last_batch(spark, path))
     none = rows(spark.createDataFrame([], stream.schema))
     out, _ = step(none, before, 1 << 62)
     out.write.mode("overwrite").parquet(f"{path}/out/batch={_FLUSHED}")
     return spark.read.schema(out.schema).option("recursiveFileLookup", "true").parquet(f"{path}/out")
 
 
-def stream_qc(stream: DataFrame, key: str, value: str, suspect: tuple[float, float], fail: tuple[float, float], spike: float, rate: float,
+def stream_qc(stream: DataFrame, keys: Sequence[str] | str, value: str, suspect: tuple[float, float], fail: tuple[float, float], spike: float, rate: float,
               path: str, checkpoint: str, time: str = "time", delay_us: int = HOUR_US, width: int = TIME_CHUNK) -> DataFrame:
     """Gross range per row, spike and rate against the previous sample of the series.
 
-    Kept between batches: rows that the watermark has not passed, and the last final sample of each series. Output: key,
-    ``t_us``, value, ``range_flag``, ``spike``, ``rate_flag``; equal times are ordered by value.
+    A series is named by one or more ``keys``: a serial alone would compare samples across deployments. Kept between batches:
+    rows that the watermark has not passed, and the last final sample of each series, written for the series of the batch alone.
+    Output: keys, ``t_us``, value, ``range_flag``, ``spike``, ``rate_flag``; equal times are ordered by value.
     """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+
+    def newest(d: DataFrame) -> DataFrame:
+        return d.groupBy(*keys).agg(F.max_by(F.struct("t_us", value), F.struct("t_us", value)).alias("l")).select(*keys, "l.*")
+
     def rows(d: DataFrame) -> DataFrame:
-        return d.select(key, F.unix_micros(F.col(time).cast("timestamp")).alias("t_us"), F.col(value).cast("double").alias(value))
+        return d.select(*keys, F.unix_micros(F.col(time).cast("timestamp")).alias("t_us"), F.col(value).cast("double").alias(value))
 
     def step(new: DataFrame, before: dict[str, DataFrame] | None, mark: int) -> tuple[DataFrame, dict[str, DataFrame]]:
         every = new.unionByName(before["open"]) if before else new
         final = every.where(F.col("t_us") <= mark)
         d = final.withColumn("__old", F.lit(False))
         if before:
-            d = d.unionByName(before["last"].withColumn("__old", F.lit(True)))
-        last = d.groupBy(key).agg(F.max_by(F.struct("t_us", value), F.struct("t_us", value)).alias("l")).select(key, "l.*")
-        d = ordered(d, [key], ["t_us", value], width, lag={"__pt": F.col("t_us"), "__pv": F.col(value)}).where(~F.col("__old"))
+            touched = before["last"].join(final.select(*keys).distinct(), keys, "left_semi")
+            d = d.unionByName(newest(touched).withColumn("__old", F.lit(True)))
+        last = newest(d)
+        d = ordered(d, keys, ["t_us", value], width, lag={"__pt": F.col("t_us"), "__pv": F.col(value)}).where(~F.col("__old"))
         dv = F.abs(F.col(value) - F.col("__pv"))
         r = dv / ((F.col("t_us") - F.col("__pt")) / 1e6)
         flag = F.when(F.col(value).isNull(), 9).when(r.isNull(), 2).when(r > rate, 3).otherwise(1)
-        out = d.select(key, "t_us", value, gross_range(F.col(value), suspect, fail).cast("int").alias("range_flag"),
+        out = d.select(*keys, "t_us", value, gross_range(F.col(value), suspect, fail).cast("int").alias("range_flag"),
                        F.coalesce(dv > spike, F.lit(False)).alias("spike"), flag.cast("int").alias("rate_flag"))
         return out, {"open": every.where(F.col("t_us") > mark), "last": last}
 
-    return _work_off(stream, rows, step, "t_us", path, checkpoint, delay_us)
+    return _work_off(stream, rows, step, "t_us", path, checkpoint, delay_us, {"last": newest})
 
 
 def stream_means(stream: DataFrame, keys: Sequence[str], values: Sequence[str], path: str, checkpoint: str, every_us: int = 12 * HOUR_US,

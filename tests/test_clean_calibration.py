@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from moorspark.plans import jobs
 from moorspark.operators import calibration, clean, deployment, lookup, meta
 from moorspark.operators.ordered import ordered
 from moorspark.plans.mooring_step import mooring_step
@@ -113,3 +114,35 @@ def test_difference_and_unequal_axes(spark):
     assert [r.v for r in lookup.difference(a, b, ["t"], ["v"]).collect()] == [0.5, 0.5]
     with pytest.raises(Exception, match="time axes"):
         lookup.difference(a, b.where("t = 0"), ["t"], ["v"]).collect()
+
+
+def _placed(spark):
+    t = "TIMESTAMP_NTZ '2024-03-0"
+    rows = [(1, 10, 1), (1, 10, 5), (1, 10, 9), (1, 99, 5), (2, 20, 5), (3, 30, 5), (None, 10, 5), (1, None, 5)]
+    obs = spark.createDataFrame(rows, "mooring long, serial long, day int").withColumn("time", F.expr("timestampadd(DAY, day - 1, TIMESTAMP_NTZ '2024-03-01 00:00:00')"))
+    obs = obs.withColumn("t_us", F.unix_micros(F.col("time").cast("timestamp")))
+    instr = spark.createDataFrame([(1, 10, 60, 1.0, "a"), (2, 20, None, 2.0, "b"), (3, 30, -60, 3.0, "c")], "mooring long, serial long, clock_offset long, depth double, instrument string")
+    deploy = spark.sql(f"SELECT CAST(m AS BIGINT) AS mooring, {t}2 00:00:00' AS deployment_time, {t}8 00:00:00' AS recovery_time FROM VALUES (1), (3) v(m)")
+    return obs, instr, deploy
+
+
+def test_every_sample_is_kept_trimmed_or_in_quarantine(spark):
+    obs, instr, deploy = _placed(spark)
+    lost = sorted((str(r.mooring), str(r.serial), r.reason) for r in clean.quarantine(obs, instr, deploy).collect())
+    assert lost == [("1", "99", "no instrument"), ("1", "None", "no instrument"), ("2", "20", "no deployment"), ("None", "10", "no instrument")]
+    kept = clean.shift_and_trim(obs, instr, deploy)
+    assert kept.count() == 2 and obs.count() == kept.count() + len(lost) + 2
+    status = {(r.mooring, r.serial): (r.n_in, r.n_out, r.status) for r in jobs.stage2_step(obs, instr, deploy)[1].collect()}
+    assert status[1, 10] == (3, 1, "ok") and status[2, 20] == (1, 0, "emptied") and status[1, 99] == (1, 0, "not configured")
+    assert sum(n for n, *_ in status.values()) == obs.count()
+
+
+def test_bounds_reach_the_scan(spark, tmp_path):
+    obs, instr, deploy = _placed(spark)
+    obs.write.parquet(str(tmp_path / "obs"))
+    stored = spark.read.parquet(str(tmp_path / "obs"))
+    near = clean.within_bounds(stored, instr, deploy)
+    assert "GreaterThanOrEqual(time,2024-03-01T23:59" in near._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, clean.shift_and_trim(near, instr, deploy).collect())) == sorted(map(str, clean.shift_and_trim(stored, instr, deploy).collect()))
+    open_ = deploy.withColumn("recovery_time", F.lit(None).cast("timestamp_ntz"))
+    assert clean.within_bounds(stored, instr, open_).count() == near.count() + 1

@@ -172,3 +172,8 @@ def test_product_sink(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p" / "id=OS_a")).collect()[0].comment == ""
     with pytest.raises(Exception, match="product without id"):
         sinks.write_products(spark.createDataFrame([(None, 1)], "id string, v long"), str(tmp_path / "q"))
+
+
+def test_columns_that_clean_to_one_name_are_numbered():
+    names = text_sources._columns(["AB/C", "ab-c", "ab_c_2", "pressure", "time", "??"], ["file", "time", "t_us", "pressure"])
+    assert names == {"AB/C": "AB_C", "ab-c": "ab_c_2", "ab_c_2": "ab_c_2_2", "pressure": "pressure_2", "time": "time_2", "??": "column"}

@@ -74,3 +74,27 @@ def test_means_give_out_open_windows_at_the_end(spark, tmp_path):
     base = int((T0 - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
     assert {(r.serial, (r.t_us - base) // 43_200_000_000): (r.n, r.temp) for r in got.collect()} == {
         k: (len(v), pytest.approx(np.mean([x for x in v if x is not None]))) for k, v in want.items()}
+
+
+def test_several_keys_and_state_by_changes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "WHOLE_EVERY", 3)
+    rows = [(i % 2, i // 2 % 3, T0 + timedelta(minutes=10 * i), float(i * 11 % 37)) for i in range(60)]
+    schema = "mooring long, serial long, time timestamp_ntz, temp double"
+    src = tmp_path / "in"
+    src.mkdir()
+    for n in range(12):
+        spark.createDataFrame(rows[n * 5: n * 5 + 5], schema).coalesce(1).write.parquet(str(tmp_path / f"w{n}"))
+        f = next(x for x in os.listdir(tmp_path / f"w{n}") if x.endswith(".parquet"))
+        os.rename(tmp_path / f"w{n}" / f, src / f"{n}.parquet")
+        os.utime(src / f"{n}.parquet", (1_700_000_000 + n * 100,) * 2)
+    s = streams.read_stream(spark, str(src), spark.createDataFrame([], schema).schema, max_files=1)
+    out = str(tmp_path / "out")
+    got = streams.stream_qc(s, ["mooring", "serial"], "temp", (0.5, 15), (-1, 25), 10.0, 1.0, out, str(tmp_path / "log"), delay_us=0)
+    want, before = set(), {}
+    for m, k, t, v in rows:
+        p = before.get((m, k))
+        want.add((m, k, v, p is not None and abs(v - p) > 10))
+        before[m, k] = v
+    assert {(r.mooring, r.serial, r.temp, r.spike) for r in got.collect()} == want and got.count() == 60
+    kept = [spark.read.parquet(f"{out}/state/{n}/last").count() for n in range(12)]
+    assert max(kept) <= 6 and min(kept[1:]) < 6  # the touched series, all of them now and then
