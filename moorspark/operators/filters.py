@@ -1,8 +1,10 @@
 """Zero-phase Butterworth filtering and power spectra.
 
 The recursion is the only part Catalyst cannot express. Records are cut into contiguous valid segments, and
-those into blocks with a border long enough for the filter response to decay below double precision, so one
-task filters one bounded block and the result equals filtering the whole segment.
+those into blocks of a fixed number of rows, whatever the sampling rate and the cut-off. A filter is linear: what a
+block does to the state it starts with is one affine map, and such maps compose. So each block of a long segment is first
+run from the zero state; the end states, a few numbers per block, are composed along the segment, forward and
+then backward; and each block is run once more from its true states. The result is that of the whole segment.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ FILTER_VARS = ("temperature", "salinity", "conductivity", "pressure", "u_velocit
                "eastward_velocity", "northward_velocity")
 
 
+#: samples of one matrix product of the recursion
+_PRODUCT = 64
+
+
 def butterworth(order: int, kind: str, fs: float, fc) -> np.ndarray:
     """Second-order sections ``[b0 b1 b2 1 a1 a2]`` by the bilinear transform of the analog poles."""
     k = 2 * fs
@@ -70,11 +76,16 @@ def _state_space(sos: np.ndarray):
     return a, b, c, d
 
 
-def _run(x: np.ndarray, sys, size: int) -> np.ndarray:
-    """Filter ``x`` from the steady state of its first value, ``size`` samples per matrix product."""
+def _steady(sys) -> np.ndarray:
+    """State of a unit input that has settled."""
+    a, b, _, _ = sys
+    return np.linalg.solve(np.eye(len(b)) - a, b)
+
+
+def _run(x: np.ndarray, sys, size: int, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Filter ``x`` from state ``z``, ``size`` samples per matrix product; returns the state after it too."""
     a, b, c, d = sys
     m = len(b)
-    z = np.linalg.solve(np.eye(m) - a, b) * x[0]
     obs = np.empty((size, m))
     row = c.copy()
     for i in range(size):
@@ -99,64 +110,147 @@ def _run(x: np.ndarray, sys, size: int) -> np.ndarray:
     rest = x[full:]
     if len(rest):
         out[full:] = toep[:len(rest), :len(rest)] @ rest + obs[:len(rest)] @ z
-    return out
+        z = np.linalg.matrix_power(a, len(rest)) @ z + rest @ ctrl[size - len(rest):]
+    return out, z
 
 
 def zero_phase(x: np.ndarray, sos: np.ndarray, pad: int) -> np.ndarray:
     """Forward and backward pass with odd extension by ``pad`` samples."""
     sys = _state_space(sos)
-    size = 64
     ext = np.concatenate([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2:-pad - 2:-1]])
-    y = _run(_run(ext, sys, size)[::-1], sys, size)[::-1]
-    return y[pad:len(y) - pad]
+    rest = _steady(sys)
+    y, _ = _run(ext, sys, _PRODUCT, rest * ext[0])
+    y, _ = _run(y[::-1], sys, _PRODUCT, rest * y[-1])
+    return y[::-1][pad:len(y) - pad]
 
 
-def pad_length(order: int, kind: str) -> int:
-    return 3 * ((2 if kind == "bandstop" else 1) * order + 1)
+def _carried(sys, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``A^n``, and the map of a block's first forward state to what it adds to the backward state after ``n`` samples."""
+    a, b, c, _ = sys
+    m = len(b)
+    power, gram = np.eye(m), np.zeros((m, m))
+    for bit in bin(n)[2:]:
+        gram, power = gram + power @ gram @ power, power @ power
+        if bit == "1":
+            gram, power = gram + power @ np.outer(b, c) @ power, a @ power
+    return power, gram
+
+
+class _Piece:
+    """The own rows of a block, extended oddly where it begins or ends its segment."""
+
+    def __init__(self, pdf: pd.DataFrame, pad: int):
+        own = pdf["__own"].to_numpy(bool)
+        x = pdf["__v"].to_numpy(float)
+        a, b = int(own.argmax()), int(own.argmax() + own.sum())
+        self.own, self.x, self.first, self.last = own, x, a == 0, b == len(x)
+        head = 2 * x[0] - x[pad:0:-1] if self.first else x[:0]
+        tail = 2 * x[-1] - x[-2:-pad - 2:-1] if self.last else x[:0]
+        self.ext = np.concatenate([head, x[a:b], tail])
+        self.inner = slice(len(head), len(head) + b - a)
+
+
+def compose_states(pieces: pd.DataFrame, sys) -> tuple[np.ndarray, np.ndarray]:
+    """True first states of the forward and the backward pass of each block of one segment, in order of the blocks.
+
+    ``pieces`` holds per block its length ``n``, first input ``x0``, the end states ``forward`` and ``backward`` of both
+    passes from the zero state, and the last output ``y1`` of the forward one.
+    """
+    maps = [_carried(sys, int(n)) for n in pieces["n"]]
+    rest = _steady(sys)
+    z = rest * pieces["x0"].iloc[0]
+    ahead = []
+    for (power, _), end in zip(maps, pieces["forward"]):
+        ahead.append(z)
+        z = power @ z + np.asarray(end)
+    a, _, c, _ = sys
+    w = rest * (pieces["y1"].iloc[-1] + c @ np.linalg.matrix_power(a, int(pieces["n"].iloc[-1]) - 1) @ ahead[-1])
+    back = []
+    for (power, gram), end, z in zip(maps[::-1], pieces["backward"].iloc[::-1], ahead[::-1]):
+        back.append(w)
+        w = power @ w + np.asarray(end) + gram @ z
+    return np.array(ahead), np.array(back[::-1])
 
 
-def halo_periods(order: int) -> float:
-    """Cut-off periods after which the slowest mode has decayed to 1e-16."""
-    return 36.9 / (2 * math.pi * math.sin(math.pi / (2 * order)))
+def pad_length(order: int, kind: str) -> int:
+    return 3 * ((2 if kind == "bandstop" else 1) * order + 1)
 
 
 def filter_blocks(df: DataFrame, keys: Sequence[str], t: str, value: str, fs: Column, fc, kind: str = "low",
-                  order: int = 6, index: str = "idx", block: int = BLOCK_ROWS, min_segment: int = 0) -> DataFrame:
+                  order: int = 6, index: str = "idx", block: int = BLOCK_ROWS, min_segment: int = 0, longest: int | None = None) -> DataFrame:
     """Filter each contiguous, regularly sampled segment named by ``keys``; ``index`` is its position.
 
     ``fs`` is the sampling frequency column (constant per segment), ``fc`` the cut-off(s) in the same unit.
-    Segments of at most ``min_segment`` rows stay as they are. The border is at least that long, so a block
-    sees a short segment whole and more than ``min_segment`` rows of a long one.
+    Segments of at most ``min_segment`` rows stay as they are. Blocks have ``block`` rows and see a few of the rows
+    around them, for the odd extension at the ends. ``longest`` is a bound of the segments' lengths, if the caller has one:
+    without a segment of more than one block there is nothing to compose.
     """
-    slow = min(fc) if isinstance(fc, (tuple, list)) else fc
-    if isinstance(fc, (tuple, list)):
-        slow = min(slow, fc[1] - fc[0])
-    half = F.ceil(F.lit(halo_periods(order) / slow) * F.col("__fs")) + pad_length(order, kind) + min_segment
-    d = df.select(*keys, F.col(t).alias("__t"), F.col(value).alias("__v"), F.col(index).alias("__i"), fs.alias("__fs"))
-    d = d.withColumn("__h", half).withColumn("__size", F.greatest(F.lit(block).cast("long"), 2 * F.col("__h")))
-    d = in_blocks(d, "__i", F.col("__h"), F.col("__size"))
     pad = pad_length(order, kind)
-
+    edge = max(pad, min_segment)
+    if block <= edge:
+        raise ValueError(f"blocks must have more than {edge} rows")
+    d = df.select(*keys, F.col(t).alias("__t"), F.col(value).alias("__v"), F.col(index).cast("long").alias("__i"), fs.cast("double").alias("__fs"))
     group = [*keys, "__block"]
+    types = dict(d.dtypes)
+    typed = ", ".join(f"`{k}` {types[k]}" for k in keys)
+    rows = f"{typed}, __t {types['__t']}, __v double"
 
-    def filtered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in whole_groups(batches, group):
-            own = pdf["__own"].to_numpy(bool)
-            if not own.any():
-                continue
+    def dealt(x: DataFrame) -> DataFrame:
+        # sorted partitions: one Arrow batch holds many short segments, one long block spans many batches
+        return spread(x, group).sortWithinPartitions(*group, "__i")
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, keys):
             x = pdf["__v"].to_numpy(float)
-            if len(x) > max(pad, min_segment):
+            if len(x) > edge:
                 x = zero_phase(x, butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc), pad)
-            out = pdf[[*keys, "__t"]].assign(__v=x)
-            yield out if own.all() else out[own]
+            yield pdf[[*keys, "__t"]].assign(__v=x)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from in_batches(filtered(batches))
+    def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from in_batches(whole(batches))
 
-    types = dict(d.dtypes)
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"__t {types['__t']}", "__v double"])
-    # sorted partitions: one Arrow batch holds many short segments, one long block spans many batches
-    out = spread(d, group).sortWithinPartitions(*group, "__i").mapInPandas(run, schema)
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, group):
+            if not pdf["__own"].any():
+                continue
+            p = _Piece(pdf, pad)
+            sys = _state_space(butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc))
+            zero = np.zeros(len(sys[1]))
+            y, forward = _run(p.ext, sys, _PRODUCT, zero)
+            _, backward = _run(y[::-1], sys, _PRODUCT, zero)
+            yield pdf[[*group, "__fs"]].iloc[:1].assign(n=len(p.ext), x0=p.ext[0], y1=y[-1], forward=[forward], backward=[backward])
+
+    def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, keys):
+            ahead, back = compose_states(pdf, _state_space(butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc)))
+            yield pdf[group].assign(z=list(ahead), w=list(back))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, group):
+            state, pdf = pdf.iloc[0], pdf.iloc[1:]
+            if state["z"] is None or not pdf["__own"].any():
+                continue  # rows around a block that has no own ones
+            p = _Piece(pdf, pad)
+            sys = _state_space(butterworth(order, kind, float(pdf["__fs"].iloc[0]), fc))
+            y, _ = _run(p.ext, sys, _PRODUCT, np.asarray(state["z"], float))
+            y, _ = _run(y[::-1], sys, _PRODUCT, np.asarray(state["w"], float))
+            yield pdf.loc[p.own, [*keys, "__t"]].assign(__v=y[::-1][p.inner])
+
+    single = d
+    if longest is None or longest > block:
+        long = d.where(F.col("__i") >= block).select(*keys).distinct()
+        single = d.join(long, list(keys), "left_anti")
+    out = spread(single, keys).sortWithinPartitions(*keys, "__i").mapInPandas(short, rows)
+    if longest is None or longest > block:
+        cut = in_blocks(d.join(long, list(keys), "left_semi"), "__i", edge, block)
+        summed = dealt(cut).mapInPandas(ends, f"{typed}, __block long, __fs double, n long, x0 double, y1 double, forward array<double>, backward array<double>")
+        known = spread(summed, keys).sortWithinPartitions(*group).mapInPandas(states, f"{typed}, __block long, z array<double>, w array<double>")
+        none = F.lit(None).cast("array<double>")
+        # a block's states stand before its rows
+        both = cut.select(*group, "__t", "__v", "__i", "__fs", "__own", none.alias("z"), none.alias("w")).unionByName(
+            known.select(*group, F.lit(None).cast(types["__t"]).alias("__t"), F.lit(None).cast("double").alias("__v"), F.lit(-1).cast("long").alias("__i"),
+                         F.lit(None).cast("double").alias("__fs"), F.lit(False).alias("__own"), "z", "w"))
+        out = out.unionByName(dealt(both).mapInPandas(run, rows))
     return out.withColumnsRenamed({"__t": t, "__v": value})
 
 
@@ -197,16 +291,17 @@ def lowpass(df: DataFrame, series: Sequence[str], values: Sequence[str] | None =
     info = n.join(dt, series, "left")
     fits = (F.col("__n") >= min_rows) & (F.col("__dt") > 0) & (F.lit(fc) < 0.5 / F.when(F.col("__dt") > 0, F.col("__dt")))
     share = F.array(*[F.when(F.col(f"__ok_{v}") >= min_valid * F.col("__n"), F.lit(v)) for v in values])
-    info = info.select(*series, "__dt", F.when(F.coalesce(fits, F.lit(False)), share).otherwise(
+    info = info.select(*series, "__n", "__dt", F.when(F.coalesce(fits, F.lit(False)), share).otherwise(
         F.array().cast("array<string>")).alias("__use"))
     # one row per record, read by three branches of the plan
     info = materialize(info, "records")
-    long = attach(_long(df, [*series, t], values), info, series)
+    longest = info.agg(F.max("__n")).first()[0] or 0
+    long = attach(_long(df, [*series, t], values), info.drop("__n"), series)
     use = F.array_contains(F.array_compact("__use"), F.col("var"))
     # a segment is named by the last null before it
     seg = ordered(long.where(use), [*series, "var"], [t], width, index="idx", last_valid={"seg": (F.col(t), F.col("v").isNull())})
     seg = seg.where(F.col("v").isNotNull()).withColumn("seg", F.coalesce("seg", F.lit(-1 << 62)))
-    done = filter_blocks(seg, [*series, "var", "seg"], t, "v", 1.0 / F.col("__dt"), fc, "low", order, min_segment=min_segment)
+    done = filter_blocks(seg, [*series, "var", "seg"], t, "v", 1.0 / F.col("__dt"), fc, "low", order, min_segment=min_segment, longest=longest)
     keep = [*series, t, "var", "v"]
     same = long.where(~use | F.col("v").isNull()).select(*keep)
     return _wide(done.select(*keep).unionByName(same), [*series, t], values)

@@ -86,6 +86,31 @@ def test_blocks_equal_the_whole_segment(spark):
     assert len(one) == len(many) == n and np.abs(one - many).max() < 1e-8
 
 
+@pytest.mark.parametrize("kind,fc,order,block", [("low", 1 / 48, 6, 60), ("low", 1 / 48, 6, 333), ("high", 0.02, 4, 100), ("bandstop", (0.1, 0.12), 3, 50)])
+def test_composed_states_equal_the_recursion(spark, kind, fc, order, block):
+    """Blocks far shorter than the response, with last blocks of one row, of less than the extension, and whole."""
+    r = np.random.default_rng(6)
+    lengths = {1: 10 * block + 1, 2: 7 * block, 3: 3 * block + 5, 4: block, 5: block + 1, 6: 12}
+    d = pd.concat([pd.DataFrame({"k": k, "idx": np.arange(n), "t_us": np.arange(n) * HOUR, "v": np.cumsum(r.normal(0, 1, n)) + 5}) for k, n in lengths.items()])
+    got = filters.filter_blocks(spark.createDataFrame(d), ["k"], "t_us", "v", F.lit(1.0), fc, kind, order, block=block, min_segment=20).toPandas().sort_values(["k", "t_us"])
+    assert len(got) == len(d)
+    sos, pad = filters.butterworth(order, kind, 1.0, fc), filters.pad_length(order, kind)
+    for k, g in got.groupby("k"):
+        x = d.loc[d["k"] == k, "v"].to_numpy()
+        want = brute(x, sos, pad) if len(x) > max(20, pad) else x
+        assert np.abs(g["v"].to_numpy() - want).max() < 1e-7, k
+
+
+def test_block_size_does_not_follow_the_sampling_rate(spark):
+    n = 900  # one sample a second, a cut-off of two days
+    d = pd.DataFrame({"serial": 1, "t_us": np.arange(n) * 1_000_000, "temperature": np.sin(np.arange(n) / 50.0)})
+    d = spark.createDataFrame(d.assign(idx=np.arange(n)))
+    sos = filters.butterworth(6, "low", 1.0, 1 / 172800)
+    got = filters.filter_blocks(d, ["serial"], "t_us", "temperature", F.lit(1.0), 1 / 172800, block=128).toPandas().sort_values("t_us")["temperature"].to_numpy()
+    whole = filters.zero_phase(np.sin(np.arange(n) / 50.0), sos, 21)
+    assert np.abs(got - whole).max() < 1e-6
+
+
 def test_lowpass_guards(spark):
     short = record(99)
     assert np.allclose(filters.lowpass(spark.createDataFrame(short), ["serial"]).toPandas().sort_values("t_us")["temperature"], short["temperature"])
