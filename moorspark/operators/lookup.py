@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import DAY_US, RECORD, TIME_CHUNK, attach, explode_range, ordered, unique
+from moorspark.operators.ordered import DAY_US, RECORD, TIME_CHUNK, attach, ordered, unique
 
 
 def configure_samples(obs: DataFrame, instr: DataFrame, deploy: DataFrame) -> DataFrame:
@@ -34,11 +34,20 @@ def missing_instruments(instr: DataFrame, obs: DataFrame) -> DataFrame:
 def in_intervals(df: DataFrame, intervals: DataFrame, key: str, t: str = "t_us", span: int = DAY_US) -> DataFrame:
     """Samples with every closed interval ``(key, t0, t1, ...)`` that contains them.
 
-    Both sides meet on (key, day): an equality join, whatever the number of intervals or the record length.
+    An interval becomes the least number of dyadic cells (``span`` times a power of two) that make up its days, two per
+    level at most; a sample stands under the cell of each level in use that holds it. Both sides meet on (key, level, cell): an
+    equality join in which a pair meets once, and in which an interval of n days makes about 2 log2(n) rows.
     """
-    iv = explode_range(intervals, F.floor(F.col("t0") / span), F.floor(F.col("t1") / span), "__day")
-    d = df.withColumn("__day", F.floor(F.col(t) / span)).join(iv, [key, "__day"])
-    return d.where(F.col(t).between(F.col("t0"), F.col("t1"))).drop("__day")
+    days = intervals.withColumns({"__a": F.floor(F.col("t0") / span), "__z": F.floor(F.col("t1") / span) + 1}).where("__a < __z")
+    # at level k the days left to cover are those from the k-th l up to r; an odd end cannot wait for the next level
+    iv = days.withColumn("__level", F.explode(F.sequence(F.lit(0), F.ceil(F.log2((F.col("__z") - F.col("__a")).cast("double"))).cast("int"))))
+    iv = iv.withColumns({"__l": F.expr("-shiftright(-__a, __level)"), "__r": F.expr("shiftright(__z, __level)")}).where("__l < __r")
+    odd = F.array(F.when(F.col("__l").bitwiseAND(1) == 1, F.col("__l")), F.when(F.col("__r").bitwiseAND(1) == 1, F.col("__r") - 1))
+    iv = iv.withColumn("__cell", F.explode(F.array_distinct(F.array_compact(odd)))).drop("__a", "__z", "__l", "__r")
+    levels = iv.agg(F.collect_set("__level").alias("levels")).scalar()
+    d = df.withColumn("__level", F.explode(levels)).withColumn("__cell", F.expr(f"shiftright(CAST(floor({t} / {span}) AS BIGINT), __level)"))
+    d = d.join(iv, [key, "__level", "__cell"])
+    return d.where(F.col(t).between(F.col("t0"), F.col("t1"))).drop("__level", "__cell")
 
 
 def around_boundary(df: DataFrame, bounds: DataFrame, series: Sequence[str], n: int, t: str = "t_us",

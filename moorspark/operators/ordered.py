@@ -244,6 +244,26 @@ def trailing(
     return d.where("__own").drop("__block", "__own")
 
 
+def trailing_extremes(df: DataFrame, keys: Sequence[str], axis: str, span: int, value: Column, low: str, high: str) -> DataFrame:
+    """Least and greatest ``value`` over ``[axis - span, axis]`` at a cost per row that does not depend on the frame.
+
+    Buckets are ``span`` wide, so a frame is the beginning of the row's bucket and the end of the one before. Each row is
+    copied into the next bucket, moved by ``span``: running extremes along the axis give the beginning, those against it
+    over the moved rows the end. Both run over one exchange.
+    """
+    if span <= 0:
+        raise ValueError("span must be positive")
+    x, own = F.col(axis), F.col("__own")
+    b = F.floor(x / span)
+    d = df.withColumn("__block", F.explode(F.array(b, b + 1))).withColumn("__own", F.col("__block") == b)
+    d = d.withColumn("__moved", F.when(own, x).otherwise(x + span))
+    ahead = Window.partitionBy(*keys, "__block").orderBy(axis).rangeBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy(*keys, "__block").orderBy(F.col("__moved").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    mine, before = F.when(own, value), F.when(~own, value)
+    d = d.select("*", F.least(F.min(mine).over(ahead), F.min(before).over(back)).alias(low), F.greatest(F.max(mine).over(ahead), F.max(before).over(back)).alias(high))
+    return d.where(own).drop("__block", "__own", "__moved")
+
+
 def sorted_median(arr: Column) -> Column:
     """Median of a sorted array column (mean of the two middles for an even size)."""
     n = F.size(arr)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from moorspark.functions.flags import FAIL, GOOD, MISSING, NOT_EVALUATED, SUSPECT, rollup
 from moorspark.functions.seawater import with_salinity
-from moorspark.operators.ordered import TIME_CHUNK, attach, ordered, percentiles, trailing
+from moorspark.operators.ordered import attach, ordered, percentiles, TIME_CHUNK, trailing_extremes
 from moorspark.operators.stats import normalise
 
 
@@ -88,18 +88,17 @@ def rate_flag(v: Column, prev: Column, dt_seconds: Column, threshold: float) ->
 
 
 def flat_line(df: DataFrame, series: Sequence[str], value: str, tolerance: float, suspect_s: int, fail_s: int,
-              t: str = "t_us", out: str = "flat", width: int | None = None) -> DataFrame:
+              t: str = "t_us", out: str = "flat") -> DataFrame:
     """Range over the trailing duration below the tolerance: suspect, or fail for the longer one.
 
     Windows that reach back beyond the start of the record do not count.
     """
     first = df.groupBy(*series).agg(F.min(t).alias("__t0"))
-    width = width or max(TIME_CHUNK, fail_s * 1_000_000)
     d = attach(df, first, series)
     for name, sec in (("__a", suspect_s), ("__b", fail_s)):
         us = int(sec * 1_000_000)
-        d = trailing(d, series, t, width, us, {name: lambda w: F.max(value).over(w) - F.min(value).over(w)})
-        d = d.withColumn(name, (F.col(name) < tolerance) & (F.col(t) - F.col("__t0") >= us))
+        d = trailing_extremes(d, series, t, us, F.col(value), "__lo", "__hi")
+        d = d.withColumn(name, (F.col("__hi") - F.col("__lo") < tolerance) & (F.col(t) - F.col("__t0") >= us)).drop("__lo", "__hi")
     f = F.when(F.col(value).isNull(), MISSING).when(F.col("__b"), FAIL).when(F.col("__a"), SUSPECT).otherwise(GOOD)
     return d.withColumn(out, f).drop("__t0", "__a", "__b")
 

@@ -146,3 +146,14 @@ def test_bounds_reach_the_scan(spark, tmp_path):
     assert sorted(map(str, clean.shift_and_trim(near, instr, deploy).collect())) == sorted(map(str, clean.shift_and_trim(stored, instr, deploy).collect()))
     open_ = deploy.withColumn("recovery_time", F.lit(None).cast("timestamp_ntz"))
     assert clean.within_bounds(stored, instr, open_).count() == near.count() + 1
+
+
+def test_long_intervals_make_few_rows(spark):
+    day = 86_400_000_000
+    iv = [(1, 0, 10 * 365 * day + 5, "decade"), (1, 3 * day, 3 * day, "instant"), (1, 2 * day - 1, 2 * day, "border"), (2, 7 * day, 6 * day, "empty"), (2, -5 * day, 9 * day + 1, "before the epoch"), (1, 3 * day, 3 * day, "twice")]
+    at = [(k, x) for k in (1, 2, 3) for x in (-6 * day, -5 * day, -1, 0, 2 * day - 2, 2 * day - 1, 2 * day, 3 * day, 9 * day + 1, 9 * day + 2, 10 * 365 * day + 5, 10 * 365 * day + 6)]
+    df = spark.createDataFrame(at, "serial long, t_us long")
+    got = sorted((r.serial, r.t_us, r.name) for r in lookup.in_intervals(df, spark.createDataFrame(iv, "serial long, t0 long, t1 long, name string"), "serial").collect())
+    assert got == sorted((k, x, n) for k, x in at for s, a, b, n in iv if s == k and a <= x <= b)
+    none = spark.createDataFrame([], "serial long, t0 long, t1 long, name string")
+    assert lookup.in_intervals(df, none, "serial").count() == 0

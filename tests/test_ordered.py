@@ -105,3 +105,15 @@ def test_partition_count_does_not_matter(spark):
     b = series.runs(d.repartition(17), ["k"], F.col("v") > 10, ["t"], 300).toPandas()
     c = ["k", "start_idx"]
     assert a.sort_values(c).reset_index(drop=True).equals(b.sort_values(c).reset_index(drop=True))
+
+
+@pytest.mark.parametrize("span", [1, 37, 120, 100_000])
+def test_trailing_extremes_equal_a_plain_frame(spark, span):
+    d = frame(6)
+    d = pd.concat([d, d.iloc[:5].assign(v=99.0)], ignore_index=True)  # repeated axis values
+    got = o.trailing_extremes(spark_frame(spark, d), ["k"], "t", span, F.col("v"), "lo", "hi").toPandas().sort_values(["k", "t", "v"]).reset_index(drop=True)
+    e = d.sort_values(["k", "t", "v"]).reset_index(drop=True)
+    for name, f in (("lo", min), ("hi", max)):
+        want = [f((x for x in e.v[(e.k == k) & (e.t >= t - span) & (e.t <= t)] if x == x), default=None) for k, t in zip(e.k, e.t)]
+        assert same(got[name], [np.nan if w is None else w for w in want])
+    assert len(got) == len(d)
