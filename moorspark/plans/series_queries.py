@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from moorspark.operators import filters, series
 from moorspark.operators.ordered import DAY_US
+from moorspark.plans import filter_sql
+from moorspark.plans.grid_queries import DEPTH, depth_records
 from moorspark.plans.profile_views import CLIM_RAW, clim_raw
 from moorspark.plans.registry import q6, query, rounded
 from moorspark.plans.standin import obs, oracle, stage2, stored
@@ -89,7 +91,19 @@ def _(spark, sf):
     return series.every_nth(obs(spark, sf), S, 5).select("event_id", "serial", "sub_idx")
 
 
-@query("f9_lowpass")
+#: four days as cut-off, prewarped for a median interval ``md`` in seconds
+_TAN = "tan(pi() * md / 345600)"
+RATE = """md AS (SELECT serial, count(*) AS n, quantile_cont(dt, 0.5) AS md FROM (SELECT serial, (t_us - lag(t_us) OVER (PARTITION BY serial ORDER BY t_us)) / 1e6 AS dt FROM {src}) GROUP BY 1),
+ ok AS (SELECT *, n >= 30 AND md > 0 AND 1 / 345600.0 < 0.5 / md AS fits FROM md)"""
+LOWPASS = RATE.format(src="stage2") + f""",
+ lg AS (SELECT *, row_number() OVER (PARTITION BY serial, var ORDER BY t_us) - 1 AS i, serial * 2 + (var = 'cond')::INT AS k FROM (SELECT serial, t_us, 'temp' AS var, temp AS v FROM stage2
+  UNION ALL SELECT serial, t_us, 'cond', cond FROM stage2)),
+ seg AS (SELECT k, i, v FROM lg JOIN ok USING (serial) WHERE fits AND n > 50), rate AS (SELECT DISTINCT k, {_TAN} AS tan FROM lg JOIN ok USING (serial) WHERE fits AND n > 50),
+ """ + filter_sql.zero_phase(6, "low", filter_sql.low_six("tan"))
+
+
+@query("f9_lowpass", oracle("stage2", f"""SELECT serial, t_us, {q6('temp', 'cond')} FROM (SELECT serial, t_us, max(coalesce(y, v)) FILTER (var = 'temp') AS temp,
+ max(coalesce(y, v)) FILTER (var = 'cond') AS cond FROM lg LEFT JOIN flt USING (k, i) GROUP BY 1, 2)""", LOWPASS))
 def _(spark, sf):
     d = filters.lowpass(stored(stage2, spark, sf), S, ["temp", "cond"], cutoff_days=4.0, min_rows=30)
     return rounded(d, "serial t_us", "temp cond")
@@ -102,28 +116,52 @@ def _(spark, sf):
     return filters.segments(gappy(spark, sf), S, "v").select("event_id", "serial", "idx", "seg_len")
 
 
-@query("f10_gap_aware_lowpass")
+GAPLOW = RATE.format(src="gap") + f""",
+ gi AS (SELECT *, row_number() OVER (PARTITION BY serial ORDER BY t_us) - 1 AS r FROM gap), gs AS (SELECT *, r - count(v) OVER (PARTITION BY serial ORDER BY r) AS sg FROM gi),
+ gr AS (SELECT serial, t_us, v, serial || ':' || sg AS k, row_number() OVER (PARTITION BY serial, sg ORDER BY t_us) - 1 AS i, count(*) OVER (PARTITION BY serial, sg) AS len FROM gs WHERE v IS NOT NULL),
+ us AS (SELECT serial, md FROM ok JOIN (SELECT serial, count(v) AS nv FROM gap GROUP BY 1) USING (serial) WHERE fits AND nv >= 0.1 * n),
+ seg AS (SELECT k, i, v FROM gr JOIN us USING (serial) WHERE len > 21), rate AS (SELECT DISTINCT k, {_TAN} AS tan FROM gr JOIN us USING (serial) WHERE len > 21),
+ """ + filter_sql.zero_phase(6, "low", filter_sql.low_six("tan"))
+
+
+@query("f10_gap_aware_lowpass", oracle("obs", f"""SELECT serial, t_us, {q6('v')} FROM (SELECT g.serial, g.t_us, coalesce(y, g.v) AS v FROM gap g LEFT JOIN gr ON gr.serial = g.serial AND gr.t_us = g.t_us
+ LEFT JOIN flt ON flt.k = gr.k AND flt.i = gr.i)""", GAPPY + "," + GAPLOW))
 def _(spark, sf):
     d = filters.lowpass(stored(gappy, spark, sf), S, ["v"], cutoff_days=4.0, min_rows=30, min_segment=21)
     return rounded(d, "serial t_us", "v")
 
 
-@query("f12_butter_highpass")
+def _plain(order, kind, fc):
+    """SQL that filters whole records at one sample per unit."""
+    pad = filters.pad_length(order, kind)
+    ctes = f"""lg AS (SELECT serial AS k, t_us, temp AS v, row_number() OVER (PARTITION BY serial ORDER BY t_us) - 1 AS i, count(*) OVER (PARTITION BY serial) AS n FROM obs),
+ seg AS (SELECT k, i, v FROM lg WHERE n > {pad}), rate AS (SELECT DISTINCT k, 0 AS tan FROM seg), """
+    return oracle("obs", f"SELECT serial, t_us, {q6('temp')} FROM (SELECT k AS serial, t_us, coalesce(y, v) AS temp FROM lg LEFT JOIN flt USING (k, i))",
+                  ctes + filter_sql.zero_phase(order, kind, filter_sql.constant(order, kind, 1.0, fc)))
+
+
+@query("f12_butter_highpass", _plain(4, "high", 0.2))
 def _(spark, sf):
     d = filters.butter_filter(obs(spark, sf), S, "temp", 1.0, 0.2, "high", 4)
     return rounded(d, "serial t_us", "temp")
 
 
-@query("f12_butter_bandstop")
+@query("f12_butter_bandstop", _plain(3, "bandstop", (0.15, 0.25)))
 def _(spark, sf):
     d = filters.butter_filter(obs(spark, sf), S, "temp", 1.0, (0.15, 0.25), "bandstop", 3)
     return rounded(d, "serial t_us", "temp")
 
 
-@query("f13_legacy_lowpass")
-def _(spark, sf):
-    from moorspark.plans.grid_queries import depth_records
+LEGACY = DEPTH + f""",
+ lg AS (SELECT mooring, serial, t_us, temp AS v, mooring || ':' || serial AS k, row_number() OVER w - 1 AS i, lead(t_us) OVER w - t_us AS d, count(*) OVER (PARTITION BY mooring, serial) AS n,
+  count(temp) OVER (PARTITION BY mooring, serial) AS nv FROM sd WINDOW w AS (PARTITION BY mooring, serial ORDER BY t_us)),
+ seg AS (SELECT k, i, v FROM lg WHERE n = nv AND n > 21), rate AS (SELECT k, tan(pi() * (d / 1e6) / 345600) AS tan FROM lg WHERE i = 0 AND n = nv AND n > 21),
+ """ + filter_sql.zero_phase(6, "low", filter_sql.low_six("tan"))
 
+
+@query("f13_legacy_lowpass", oracle("obs instr", f"""SELECT mooring, serial, t_us, {q6('temp')} FROM (SELECT mooring, serial, t_us, CASE WHEN n <= 18 OR n = nv THEN coalesce(y, v) END AS temp
+ FROM lg LEFT JOIN flt USING (k, i))""", LEGACY))
+def _(spark, sf):
     d = filters.legacy_lowpass(depth_records(spark, sf), ["mooring", "serial"], ["temp"], cutoff_days=4.0)
     return rounded(d, "mooring serial t_us", "temp")
 
