@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -53,7 +54,7 @@ def scratch_path(spark: SparkSession, name: str, suffix: str = "") -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(root)

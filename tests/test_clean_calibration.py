@@ -9,19 +9,19 @@ from moorspark.operators.ordered import ordered
 from moorspark.plans.mooring_step import mooring_step
 
 H = 3_600_000_000
-T0 = datetime(2018, 8, 12, 8)
+T0 = datetime(2021, 3, 5, 14)
 
 
 def test_shift_then_trim(spark):
-    rows = [(1, 7518, T0 + timedelta(minutes=10 * i), float(i), 1.0) for i in range(14 * 144 + 73)]
+    rows = [(1, 431, T0 + timedelta(minutes=15 * i), float(i), 1.0) for i in range(700)]
     o = spark.createDataFrame(rows, "mooring long, serial long, time timestamp_ntz, temperature double, timeS double")
     o = o.withColumn("t_us", F.unix_micros(F.col("time").cast("timestamp")))
-    i = spark.createDataFrame([(1, 7518, 300, 100.0, "microcat")], "mooring long, serial long, clock_offset long, depth double, instrument string")
-    lo, hi = datetime(2018, 8, 12, 9), datetime(2018, 8, 26, 19)
+    i = spark.createDataFrame([(1, 431, -137, 62.5, "logger")], "mooring long, serial long, clock_offset long, depth double, instrument string")
+    lo, hi = T0 + timedelta(hours=7, minutes=42), T0 + timedelta(days=5, seconds=-137)
     d = spark.createDataFrame([(1, lo, hi)], "mooring long, deployment_time timestamp_ntz, recovery_time timestamp_ntz")
     got = meta.drop_working(clean.shift_and_trim(o, i, d))
     assert "timeS" not in got.columns
-    exp = [t + timedelta(seconds=300) for _, _, t, _, _ in rows if lo <= t + timedelta(seconds=300) <= hi]
+    exp = [t + timedelta(seconds=-137) for _, _, t, _, _ in rows if lo <= t + timedelta(seconds=-137) <= hi]
     assert sorted(r.time for r in got.select("time").collect()) == exp
 
 
@@ -56,10 +56,13 @@ def test_null_keys_raise(spark):
 
 
 def test_regularise(spark):
-    rows = [(1, 0, 10.0, 35.0), (1, H, 10.5, 35.1), (1, 3 * H, 11.0, 34.9), (1, 4 * H, 11.5, 35.2), (2, 7, 1.0, 2.0)]
+    # a gap of two slots, one sample beside the axis, one record of a single sample
+    rows = [(1, 0, 3.5, 0.25), (1, H, 3.0, 0.5), (1, 2 * H, 2.5, 1.0), (1, 5 * H, 7.0, 2.0), (1, 6 * H + 11, 8.0, 4.0), (1, 7 * H, -1.0, 8.0), (2, 7, 1.0, 2.0)]
     d = spark.createDataFrame(rows, "serial long, t_us long, temp double, cond double")
     got = {(r.serial, r.t_us): (r.temp, r.cond) for r in clean.regularise(d, ["serial"], ["temp", "cond"]).collect()}
-    assert got == {(1, 0): (10.0, 35.0), (1, H): (10.5, 35.1), (1, 2 * H): (None, None), (1, 3 * H): (11.0, 34.9), (1, 4 * H): (11.5, 35.2), (2, 7): (1.0, 2.0)}
+    none = (None, None)
+    assert got == {(1, 0): (3.5, 0.25), (1, H): (3.0, 0.5), (1, 2 * H): (2.5, 1.0), (1, 3 * H): none, (1, 4 * H): none, (1, 5 * H): (7.0, 2.0), (1, 6 * H): none,
+                   (1, 7 * H): (-1.0, 8.0), (2, 7): (1.0, 2.0)}
 
 
 def test_overlapping_intervals_null_once(spark):
@@ -75,10 +78,10 @@ def test_dummies_and_nan(spark):
 
 
 def test_average_offset_by_flag(spark):
-    c = spark.createDataFrame([(1, "C", 1.0, 2.0, True), (1, "T", -0.5, 0.5, True), (1, "P", 0.0, 1.0, False)], "serial long, var string, pre double, post double, applied boolean")
-    d = spark.createDataFrame([(1, v, x) for v, x in (("C", 35.0), ("C", 35.1), ("T", 10.0), ("P", 1000.0), ("P", -9999.0))], "serial long, var string, v double")
+    c = spark.createDataFrame([(1, "C", 0.25, 0.75, True), (1, "T", -3.0, 1.0, True), (1, "P", 6.0, 8.0, False), (2, "P", 6.0, 8.0, True)], "serial long, var string, pre double, post double, applied boolean")
+    d = spark.createDataFrame([(k, v, x) for k, v, x in ((1, "C", 28.0), (1, "C", 29.5), (1, "T", 4.0), (1, "P", 310.0), (1, "P", -9999.0), (2, "P", 310.0))], "serial long, var string, v double")
     got = sorted((r["var"], r.v) for r in calibration.average_offset(d, c, "v", ["serial", "var"]).where("v IS NOT NULL").collect())
-    assert got == [("C", 36.5), ("C", 36.6), ("P", 1000.0), ("T", 10.0)]
+    assert got == [("C", 28.5), ("C", 30.0), ("P", 310.0), ("P", 317.0), ("T", 3.0)]
 
 
 def test_linear_drift_has_the_other_sign(spark):

@@ -25,11 +25,11 @@ def test_salinity_kept_when_present(spark):
 
 
 def test_positions(spark):
-    assert one(spark, text.degrees(F.lit("12 30 S"))) == -12.5
-    assert one(spark, text.degrees(F.lit("45 15 W"))) == -45.25
-    for v, t in ((45.5, "45 30.000 N"), (-45.5, "45 30.000 S")):
+    assert one(spark, text.degrees(F.lit("7 12 S"))) == -7.2
+    assert one(spark, text.degrees(F.lit("101 36 W"))) == -101.6
+    for v, t in ((3.125, "03 07.500 N"), (-61.9, "61 54.000 S")):
         assert one(spark, text.degree_text(F.lit(v), "lat")) == t
-    for v, t in ((123.75, "123 45.000 E"), (-123.75, "123 45.000 W")):
+    for v, t in ((9.05, "009 03.000 E"), (-170.2, "170 12.000 W")):
         assert one(spark, text.degree_text(F.lit(v), "lon")) == t
 
 
