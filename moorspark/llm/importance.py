@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from moorspark.llm import lex
 from moorspark.llm.numbering import numbered
-from moorspark.llm.registry import documents, query
+from moorspark.llm.registry import LOWER_SQL, documents, query
 from moorspark.session import materialize
 
 RUN = 1
@@ -207,7 +207,30 @@ def resample(docs: DataFrame, target: DataFrame, run: int = RUN, buckets: int =
     return placed.withColumn("rank", rank).drop("position").unionByName(rest)
 
 
-@query("op12_interned_importance_resampling")
+def _words_sql(table: str, key: str) -> str:
+    return f"""SELECT r, {key}, unnest(regexp_extract_all({LOWER_SQL.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM {table}"""
+
+
+#: the query's constants, restated
+SQL = f"""WITH RECURSIVE dr AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents), br AS (SELECT 0 AS r, item_id, text FROM benchmark),
+ dw AS MATERIALIZED ({_words_sql('dr', 'doc_id')}), bw AS MATERIALIZED ({_words_sql('br', 'item_id')}),
+ step(n, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT n, xor(c >> 1, (c & 1) * 3988292384), k + 1 FROM step WHERE k < 8),
+ tab AS (SELECT list(c ORDER BY n) AS t FROM step WHERE k = 8),
+ hx AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+ bs AS (SELECT w, list_transform(range(1, length(h) // 2 + 1), lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT)) AS b FROM hx),
+ cr AS MATERIALIZED (SELECT w, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) % 10000 AS k FROM bs, tab),
+ sk AS (SELECT k, count(*) AS s FROM dw JOIN cr USING (w) GROUP BY 1), tk AS (SELECT k, count(*) AS t FROM bw JOIN cr USING (w) GROUP BY 1),
+ al AS (SELECT (SELECT coalesce(sum(s), 0) FROM sk)::DOUBLE AS big_s, (SELECT coalesce(sum(t), 0) FROM tk)::DOUBLE AS big_t),
+ ga AS MATERIALIZED (SELECT k, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (big_s + 10000)) / ((s + 1)::DOUBLE * (big_t + 10000)))) AS BIGINT) AS g
+  FROM sk LEFT JOIN tk USING (k), al),
+ fe AS (SELECT r, count(*) AS n, sum(g) AS weight FROM dw JOIN cr USING (w) JOIN ga USING (k) GROUP BY 1),
+ sc AS (SELECT r, doc_id, coalesce(n, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8) AS BIGINT) AS h FROM dr LEFT JOIN fe USING (r)),
+ so AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM sc),
+ ra AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank, count(*) OVER () AS able FROM so WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= able * 10 // 100 THEN rank END AS rank FROM so LEFT JOIN ra USING (r)"""
+
+
+@query("op12_interned_importance_resampling", SQL)
 def op12(spark, sf_dir):
     """Weights and draw of all documents towards the benchmark."""
     docs = documents(spark, sf_dir)
