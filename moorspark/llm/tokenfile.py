@@ -5,6 +5,8 @@ ascending doc_id order: a header, document ids and lengths, then control bytes (
 values a byte), then the values' bytes. Blocks are the rows of Parquet files, numbered by file and place; the rank table
 (one row per id of the vocabulary) is stored beside them. Decoding looks up lengths in a 256-row table per control byte.
 
+The pass that encodes the texts counts the ids too, so the ids are read once more only, to be sorted by document and written.
+
 Defined cases: a null or empty text has the end id alone; rows with a null doc_id come first; repeated ids stand side by
 side in order of a hash of their ids; an empty table gives no rows; further columns are ignored.
 """
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from moorspark.llm import tokens
 from moorspark.llm.registry import documents, query
@@ -40,8 +43,14 @@ def pack(values: np.ndarray) -> bytes:
     code[: len(v)] = size - 1
     code = code.reshape(-1, 4)
     control = code[:, 0] | code[:, 1] << 2 | code[:, 2] << 4 | code[:, 3] << 6
-    keep = np.arange(4) < size[:, None]
-    return control.tobytes() + v.view(np.uint8).reshape(-1, 4)[keep].tobytes()
+    stop = np.cumsum(size, dtype=np.int32)
+    at = stop - size
+    data = np.empty(int(stop[-1]) if len(v) else 0, np.uint8)
+    data[at] = v.astype(np.uint8)
+    for i in range(1, int(size.max(initial=0))):
+        long = np.flatnonzero(size > i)
+        data[at[long] + i] = v[long] >> np.uint32(8 * i)
+    return control.tobytes() + data.tobytes()
 
 
 def unpack(data: bytes | memoryview, n: int) -> tuple[np.ndarray, int]:
@@ -49,10 +58,13 @@ def unpack(data: bytes | memoryview, n: int) -> tuple[np.ndarray, int]:
     raw = np.frombuffer(data, np.uint8)
     controls = -(-n // 4)
     size = _LENGTHS[raw[:controls]].reshape(-1)[:n]
-    total = int(size.sum(dtype=np.int64))
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) < size[:, None]] = raw[controls : controls + total]
-    return out.view("<u4")[:, 0], controls + total
+    stop = np.cumsum(size, dtype=np.int32) + np.int32(controls)
+    at = stop - size
+    out = raw[at].astype(np.uint32)
+    for i in range(1, int(size.max(initial=0))):
+        long = np.flatnonzero(size > i)
+        out[long] |= raw[at[long] + i].astype(np.uint32) << np.uint32(8 * i)
+    return out, int(stop[-1]) if n else controls
 
 
 def encode_block(doc_ids: list, counts: np.ndarray, ranks: np.ndarray) -> bytes:
@@ -78,19 +90,52 @@ def decode_block(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [int(i) if k else None for i, k in zip(ids, known, strict=True)], counts.astype(np.int64), ranks
 
 
+def counted(docs: DataFrame, path: str, end: int, vocabulary: int) -> DataFrame:
+    """``doc_id, ids`` as :func:`tokens.encoded` gives them, and per task one more row with its counts per id in ``seen``; to be stored."""
+    def run(batches):
+        total = np.zeros(vocabulary, np.int64)
+        for rows, ids, off in tokens.encode_blocks(batches, path, end):
+            if ids.max() > 0xFFFF:
+                raise ValueError("ids beyond 16 bits")
+            total += np.bincount(ids, minlength=vocabulary)
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), tokens.binaries(ids.astype("<u2"), off), pa.nulls(rows.num_rows, pa.binary())], ["doc_id", "ids", "seen"])
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["doc_id", "ids", "seen"])
+
+    name = dict(docs.dtypes)["doc_id"]
+    kind = to_arrow_type(docs.schema["doc_id"].dataType)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {name}, ids binary, seen binary")
+
+
+def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """16-bit ids of a binary column and their offsets per row."""
+    column = column.cast(pa.large_binary())
+    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[off[0] : off[-1]].view("<u2") if data is not None else np.zeros(0, "<u2")
+    return flat, (off - off[0]) // 2
+
+
 def rank_table(ids: DataFrame, vocabulary: int) -> np.ndarray:
-    """Rank of each id by falling corpus frequency, ties by id. Its size is the vocabulary's, whatever the corpus."""
+    """Rank of each id by falling corpus frequency, ties by id. Its size is the vocabulary's, whatever the corpus.
+
+    Counts of :func:`counted` are summed; without them the ids are counted.
+    """
+    has = "seen" in ids.columns
+
     def run(batches):
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            column = batch.column("ids")
-            off = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-            if len(column) and column.buffers()[2] is not None:
-                total += np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[off[0] : off[-1]].view("<u2"), minlength=vocabulary)
+            if has:
+                for x in batch.column("seen"):
+                    total += np.frombuffer(x.as_buffer(), "<i8")
+            elif batch.num_rows:
+                total += np.bincount(_spans(batch.column("ids"))[0], minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
 
-    got = ids.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = ids.where("seen IS NOT NULL").select("seen") if has else ids.select("ids")
+    got = rows.mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     n = np.zeros(vocabulary, np.int64)
     n[[r["id"] for r in got]] = [r["n"] for r in got]
     rank = np.empty(vocabulary, np.uint32)
@@ -98,36 +143,47 @@ def rank_table(ids: DataFrame, vocabulary: int) -> np.ndarray:
     return rank
 
 
+def in_blocks(rows, limit: int):
+    """``(doc_ids, counts, ids)`` per block, from ``(doc_ids, ids, offsets)`` in order."""
+    held, counts, values = [], [], []
+    size = 0
+    for docs, ids, off in rows:
+        a = 0
+        while a < len(docs):
+            # as many whole documents as fit, at least one in an empty block
+            b = int(np.searchsorted(off, off[a] + limit - size, "right")) - 1
+            if b <= a and held:
+                yield held, np.array(counts, np.int64), np.concatenate(values)
+                held, counts, values = [], [], []
+                size = 0
+                continue
+            b = max(b, a + 1)
+            held += docs[a:b]
+            counts += np.diff(off[a : b + 1]).tolist()
+            values.append(ids[off[a] : off[b]])
+            size += int(off[b] - off[a])
+            a = b
+    if held:
+        yield held, np.array(counts, np.int64), np.concatenate(values)
+
+
 def write(spark: SparkSession, ids: DataFrame, path: str, vocabulary: int) -> None:
-    """Write the blocks below ``path``/blocks in ascending doc_id order and the rank table below ``path``/ranks."""
+    """Write the blocks below ``path``/blocks in ascending doc_id order and the rank table below ``path``/ranks.
+
+    ``ids`` is a stored table of :func:`counted` or :func:`tokens.encoded`.
+    """
     rank = rank_table(ids, vocabulary)
     spark.createDataFrame([(int(r), i) for i, r in enumerate(rank.tolist())], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
 
     def run(batches):
-        part, block = TaskContext.get().partitionId(), 0
-        held, counts, values = [], [], []
-
-        def close():
-            flat = np.concatenate(values)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([len(flat)], pa.int64()),
-                                               pa.array([encode_block(held, np.array(counts, np.int64), rank[flat])], pa.binary())], ["part", "block", "tokens", "payload"])
-
-        size = 0
-        for batch in batches:
-            for d, x in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                v = np.frombuffer(x.as_buffer(), "<u2")
-                if held and size + len(v) > BLOCK:
-                    yield close()
-                    block, size = block + 1, 0
-                    held, counts, values = [], [], []
-                held.append(d)
-                counts.append(len(v))
-                values.append(v)
-                size += len(v)
-        if held:
-            yield close()
-
-    sorted_ = ids.withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+        part = TaskContext.get().partitionId()
+        rows = ((batch.column("doc_id").to_pylist(), *_spans(batch.column("ids"))) for batch in batches if batch.num_rows)
+        for block, (held, counts, flat) in enumerate(in_blocks(rows, BLOCK)):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([len(flat)], pa.int64()),
+                                              pa.array([encode_block(held, counts, rank[flat])], pa.binary())], ["part", "block", "tokens", "payload"])
+
+    rows = ids.where("seen IS NULL") if "seen" in ids.columns else ids
+    sorted_ = rows.select("doc_id", "ids", F.xxhash64("ids").alias("tie")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     sorted_.select("doc_id", "ids").mapInArrow(run, "part int, block int, tokens long, payload binary").write.parquet(f"{path}/blocks")
 
 
@@ -158,7 +214,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def op5(spark, sf_dir):
     """Encode all documents, write the files, read them back."""
     path = public_tokenizers.path(TOKENIZER)
-    ids = materialize(tokens.encoded(documents(spark, sf_dir), path, END), "ids")
+    vocabulary = tokens.coder(path).tokenizer.get_vocab_size()
+    ids = materialize(counted(documents(spark, sf_dir), path, END, vocabulary), "ids")
     out = scratch_path(spark, "tokens")
-    write(spark, ids, out, tokens.coder(path).tokenizer.get_vocab_size())
+    write(spark, ids, out, vocabulary)
     return read(spark, out)

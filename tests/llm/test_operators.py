@@ -185,6 +185,39 @@ def test_token_files(spark, docs, rows, empty):
     assert run(empty).count() == 0
 
 
+def test_token_files_with_counts_of_the_encoding(spark, docs, rows, empty):
+    """Counts taken while encoding rank the ids as counting them afterwards does, and the files hold the same documents."""
+    path = public_tokenizers.path(tokenfile.TOKENIZER)
+    size = tokens.coder(path).tokenizer.get_vocab_size()
+
+    def run(df):
+        ids = materialize(tokenfile.counted(df, path, 2, size), "ids")
+        out = scratch_path(spark, "tokens")
+        tokenfile.write(spark, ids, out, size)
+        return ids, tokenfile.read(spark, out)
+
+    coder = Tokenizer.from_file(path)
+    ids, got = run(docs)
+    out = got.toPandas().sort_values("start")
+    want = [(r[0], (x := coder.encode(r[1] or "", add_special_tokens=False).ids + [2]), len(x), brute.crc_ids(x)) for r in rows]
+    assert expect(out[["doc_id", "n_tokens", "ids_crc32"]].itertuples(index=False)) == expect((d, n, c) for d, _, n, c in want)
+    assert out.doc_id.is_monotonic_increasing and (out.start == out.n_tokens.cumsum() - out.n_tokens).all()
+    times = np.bincount(np.concatenate([w[1] for w in want]), minlength=size)
+    assert tokenfile.rank_table(ids, size).tolist() == np.argsort(np.lexsort((np.arange(size), -times))).tolist()
+    assert tokenfile.rank_table(ids.where("seen IS NULL").drop("seen"), size).tolist() == tokenfile.rank_table(ids, size).tolist()
+    assert run(empty)[1].count() == 0
+
+
+def test_blocks_hold_whole_documents():
+    sizes = [4, 6, 1, 25, 10, 1, 9, 9]
+    off = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.arange(off[-1]) % 50
+    cut = [(0, 3), (3, 3), (3, 6), (6, 8)]
+    got = list(tokenfile.in_blocks(((list(range(a, b)), ids[off[a]: off[b]], off[a: b + 1] - off[a]) for a, b in cut), 10))
+    assert [(d, c.tolist()) for d, c, _ in got] == [([0, 1], [4, 6]), ([2], [1]), ([3], [25]), ([4], [10]), ([5, 6], [1, 9]), ([7], [9])]
+    assert np.concatenate([x for _, _, x in got]).tolist() == ids.tolist()
+
+
 def test_variable_length_coding_round_trip():
     v = np.array([0, 1, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1], np.uint32)
     for n in range(len(v) + 1):
