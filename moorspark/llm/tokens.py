@@ -22,9 +22,13 @@ from pyspark.sql import functions as F
 
 from moorspark.llm import lex
 
-CACHE = 1 << 19
+CACHE = 1 << 21
 #: bytes of text encoded at once
 BLOCK = 1 << 18
+#: new parts that one text carries to the library
+TOGETHER = 256
+#: such texts in one call; the library's results take some hundred bytes an id
+CALL = 8
 
 _BAD, _LETTER, _DIGIT, _SIGN, _BLANK, _LINE = range(6)
 
@@ -72,20 +76,24 @@ class Coder:
         self.clear()
 
     def clear(self):
-        self.index: dict[int | str, int] = {}
+        self.size = 0
+        self.index: dict[str, int] = {}  # pieces of other texts
+        self.known = np.zeros(0, np.uint64)  # hashes of parts, ascending, with the strings they stand for in ``row``
+        self.row = np.zeros(0, np.int64)
         self.begin = np.zeros(1 << 12, np.int64)  # of string i; the next one's is its end
         self.flat = np.zeros(1 << 12, np.uint32)
 
-    def _add(self, keys: list, lengths: np.ndarray, ids: np.ndarray):
-        n = len(self.index)
-        self.index.update(zip(keys, range(n, n + len(keys)), strict=True))
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Store encoded strings; their numbers."""
+        n, self.size = self.size, self.size + len(lengths)
         end = int(self.begin[n])
-        if n + len(keys) >= len(self.begin):
-            self.begin = np.resize(self.begin, 2 * (n + len(keys)))
+        if self.size >= len(self.begin):
+            self.begin = np.resize(self.begin, 2 * self.size)
         if end + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * (end + len(ids)))
-        self.begin[n + 1 : n + len(keys) + 1] = end + np.cumsum(lengths)
+        self.begin[n + 1 : self.size + 1] = end + np.cumsum(lengths)
         self.flat[end : end + len(ids)] = ids
+        return np.arange(n, self.size)
 
     def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids: list[int] = []
@@ -96,23 +104,39 @@ class Coder:
                 lengths.append(len(x))
         return np.array(lengths, np.int64), np.array(ids, np.uint32)
 
-    def _together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids of parts from few texts; where the cuts do not come out as they must, one by one."""
+    def _together(self, buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of the parts ``buf[begin:end]`` from few texts; where the cuts do not come out as they must, one by one."""
+        def singly():
+            return self._one_by_one([bytes(buf[x:y]).decode() for x, y in zip(begin.tolist(), end.tolist(), strict=True)])
+
         if self.line is None and not self.ends.any():
-            return self._one_by_one(parts)
-        texts = ["\n" + "\n".join(parts[a : a + 64]) if self.line is not None else " ".join(parts[a : a + 64]) for a in range(0, len(parts), 64)]
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            return singly()
+        size = end - begin
+        stop = np.cumsum(size + 1)  # each part behind its newline or blank
+        joined = np.full(stop[-1], 10 if self.line is not None else 32, np.uint8)
+        gap = np.zeros(stop[-1], bool)
+        gap[stop - size - 1] = True
+        joined[~gap] = buf[np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)]
+        raw, skip = joined.tobytes(), int(self.line is None)
+        edges = [*(stop[TOGETHER - 1 :: TOGETHER]).tolist()]
+        edges = [0, *edges] if edges and edges[-1] == stop[-1] else [0, *edges, int(stop[-1])]
+        found = []
+        for i in range(0, len(edges) - 1, CALL):
+            texts = [raw[x + skip : y].decode() for x, y in zip(edges[i : i + CALL], edges[i + 1 : i + CALL + 1])]  # the last edge is an end alone
+            found += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(found)
         if self.line is not None:
             cut = np.flatnonzero(ids == self.line)
-            if len(cut) != len(parts) or cut[0]:
-                return self._one_by_one(parts)
+            if len(cut) != len(size) or cut[0]:
+                return singly()
             return np.diff(np.append(cut, len(ids))) - 1, ids[ids != self.line]
         # letters or signs are one word, digits one each
-        words = np.fromiter((len(p.lstrip(" ")) if p[-1].isdigit() else 1 for p in parts), np.int64, len(parts))
-        end = np.flatnonzero(self.ends[ids]) + 1
-        if len(end) != words.sum() or end[-1] != len(ids):
-            return self._one_by_one(parts)
-        return np.diff(np.concatenate([[0], end[np.cumsum(words) - 1]])), ids
+        last = buf[end - 1]
+        words = np.where((last >= 0x30) & (last < 0x3A), size - (buf[begin] == 32), 1)
+        done = np.flatnonzero(self.ends[ids]) + 1
+        if len(done) != words.sum() or done[-1] != len(ids):
+            return singly()
+        return np.diff(np.concatenate([[0], done[np.cumsum(words) - 1]])), ids
 
     def _plain(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all bytes, and which documents are plain."""
@@ -141,18 +165,27 @@ class Coder:
         codes, keys = pd.factorize(lex.byte_sums(buf, False).span(begin, end))
         first = np.empty(len(keys), np.int64)
         first[codes[::-1]] = np.arange(len(codes))[::-1]
-        keys = keys.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.index]
-        raw = buf.tobytes()
-        texts = [raw[x:y].decode() for x, y in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
-        line = [i for i, t in enumerate(texts) if t == "\n"]
-        words = [i for i, t in enumerate(texts) if t != "\n"]
-        if line:
-            self._add([keys[new[i]] for i in line], *self._one_by_one(["\n"]))
-        if words:
-            self._add([keys[new[i]] for i in words], *self._together([texts[i] for i in words]))
-        rows = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
-        return rows[codes] if len(keys) else np.zeros(0, np.int64), counts
+        order = np.argsort(keys)
+        keys = keys[order]
+        at = np.searchsorted(self.known, keys)
+        new = np.ones(len(keys), bool)
+        inner = at < len(self.known)
+        new[inner] = self.known[at[inner]] != keys[inner]
+        rows = np.empty(len(keys), np.int64)
+        rows[~new] = self.row[at[~new]]
+        a, b = begin[first[order[new]]], end[first[order[new]]]
+        if len(a):
+            line = buf[a] == 10
+            fresh = np.empty(len(a), np.int64)
+            if line.any():
+                fresh[line] = self._add(*self._one_by_one(["\n"]))
+            if not line.all():
+                fresh[~line] = self._add(*self._together(buf, a[~line], b[~line]))
+            rows[new] = fresh
+            self.known, self.row = np.insert(self.known, at[new], keys[new]), np.insert(self.row, at[new], fresh)
+        back = np.empty(len(keys), np.int64)
+        back[order] = rows
+        return back[codes], counts
 
     def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cache rows of all pieces of other texts and the number of pieces per text."""
@@ -165,12 +198,13 @@ class Coder:
             counts.append(len(p))
         new = [k for k in set(keys) if k not in self.index]
         if new:
-            self._add(new, *self._one_by_one([k[1:] if k[:1] == " " else " " + k for k in new]))
+            more = self._add(*self._one_by_one([k[1:] if k[:1] == " " else " " + k for k in new]))
+            self.index.update(zip(new, more.tolist(), strict=True))
         return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys)), np.array(counts, np.int64)
 
     def encode(self, buf: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block, each followed by ``end``, and the offsets of the texts."""
-        if len(self.index) > CACHE:
+        if self.size > CACHE:
             self.clear()
         n = len(off) - 1
         raw = buf.tobytes()
