@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised (words lower-cased, joined by single blanks) and hashed; per host (``source``) the distinct documents
-of each line are counted. A line is boilerplate if more than ``MOST`` documents of its host and more than ``SHARE`` of
-them hold it. Boilerplate lines are removed, and a document left with less than ``DEPLETED`` of its word characters is rejected.
+of each line are counted. A line is boilerplate if more than ``MOST`` documents of its host hold it, however many the host
+has. Boilerplate lines are removed, and a document left with less than ``DEPLETED`` of its word characters is rejected.
 
 A first pass over the texts gives each document's distinct lines; from then on only hashes move: distinct (host, line,
 document) rows, counted with partial sums, and the few boilerplate lines per document. A second pass gets these joined to
@@ -27,7 +27,6 @@ from moorspark.llm.registry import LOWER_SQL, documents, query
 from moorspark.session import materialize
 
 MOST = 20
-SHARE = 0.005
 DEPLETED = 0.3
 WINDOW = 8
 
@@ -136,12 +135,10 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def boilerplate(rows: DataFrame) -> DataFrame:
-    """``host, line`` of the lines above the limits."""
+    """``host, line`` of the lines above the limit."""
     host = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("host")
-    size = rows.groupBy(host).agg(F.countDistinct(F.coalesce("doc_id", "uid")).alias("docs"))
     return (rows.select(host, F.coalesce("doc_id", "uid").alias("d"), F.explode("lines").alias("line")).distinct()
-            .groupBy("host", "line").agg(F.count("*").alias("held")).where(F.col("held") > MOST)
-            .join(size, "host").where(F.col("held") > SHARE * F.col("docs")).select("host", "line"))
+            .groupBy("host", "line").agg(F.count("*").alias("held")).where(F.col("held") > MOST).select("host", "line"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -181,8 +178,7 @@ _BLACK = r"'[^\x20\x09-\x0D]+'"
 SQL = f"""WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_BLACK}) AS w FROM documents),
  l AS (SELECT doc_id, host, line, array_to_string(regexp_extract_all({LOWER_SQL.format('line')}, {_BLACK}), ' ') AS norm, list_sum(list_transform(regexp_extract_all(line, {_BLACK}), lambda x: length(x))) AS chars
   FROM (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, {_BLACK})),
- size AS (SELECT host, count(*) AS docs FROM d GROUP BY 1),
- bad AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT doc_id) AS held FROM l GROUP BY 1, 2) JOIN size USING (host) WHERE held > {MOST} AND held > {SHARE} * docs),
+ bad AS (SELECT host, norm FROM l GROUP BY 1, 2 HAVING count(DISTINCT doc_id) > {MOST}),
  lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, sum(CASE WHEN bad.norm IS NOT NULL THEN chars ELSE 0 END) AS lost FROM l LEFT JOIN bad ON bad.host = l.host AND bad.norm = l.norm GROUP BY 1),
  win AS (SELECT doc_id, s, array_to_string(w[s : s + {WINDOW - 1}], ' ') AS x FROM d, unnest(range(1, len(w) - {WINDOW - 2})) u(s)),
  rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS c FROM win) , unnest(range(s, s + {WINDOW})) u(p) WHERE c > 1 GROUP BY 1),

@@ -3,6 +3,7 @@
 import collections
 
 import brute
+from pyspark.sql import functions as F
 from test_operators import SCHEMA, _texts
 
 from moorspark.llm import quality
@@ -34,3 +35,13 @@ def test_texts_lose_their_boilerplate_lines_and_no_other(spark):
     for r in out:
         if r.doc_id is not None:
             assert r.n_boilerplate_chars == sum(len("".join(brute.BLACK.findall(x))) * n for x, n in ((whole[r.doc_id], 1), (r.text or "", -1)))
+
+
+def test_the_limit_of_a_line_does_not_grow_with_its_host(spark):
+    """Line -1 is in 21 documents of a large and of a small host, line -2 in 20 of each."""
+    i = F.col("id")
+    host = F.when(i < 20_000, "large").otherwise("small")
+    place = F.when(i < 20_000, i).otherwise(i - 20_000)
+    lines = F.filter(F.array(i, F.when(place < 21, -1), F.when(place < 20, -2)), lambda x: x.isNotNull())
+    rows = spark.range(20_030).select(i.alias("uid"), i.alias("content"), i.alias("doc_id"), host.alias("source"), lines.alias("lines"))
+    assert sorted(tuple(r) for r in quality.boilerplate(rows).collect()) == [("=large", -1), ("=small", -1)]
