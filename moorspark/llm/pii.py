@@ -29,8 +29,6 @@ from moorspark.llm.registry import documents, query
 TREES = 12
 RATE = 0.5
 PRECISION = 0.98
-#: candidates a combination of bits must have been seen with at least, so that chance does not select
-SEEN = 5
 CONTEXT = 24
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -168,10 +166,10 @@ class Boosted:
                     for k in own:
                         score[k] += leaves[-1]
             self.trees.append((root, below[0], below[1], leaves))
-        # calibration: the lowest score down to which the positives' share stays high, among combinations seen often enough
+        # calibration: the lowest score down to which the positives' share stays high; rare combinations count as others do
         self.threshold = {}
         for kind in self.kinds:
-            own = sorted(((round(s, 9), c[2], c[3]) for s, c in zip(score, sorted(cells), strict=True) if c[0] == kind and c[2] >= SEEN), reverse=True)
+            own = sorted(((round(s, 9), c[2], c[3]) for s, c in zip(score, sorted(cells), strict=True) if c[0] == kind), reverse=True)
             n = p = 0
             for s, a, b in own:
                 n, p = n + a, p + b

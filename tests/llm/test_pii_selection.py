@@ -1,5 +1,6 @@
 """Credentials without digits, and chains of overlapping spans."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from moorspark.llm import pii
@@ -12,6 +13,13 @@ def test_a_credential_of_letters_needs_no_digit_elsewhere(spark):
     assert all(r.s == "secret:19:51" for r in out)
 
 
+@pytest.mark.parametrize("n", [1, 3, 5])
+def test_a_rare_credential_is_found_like_a_common_one(spark, n):
+    d = spark.createDataFrame([(i, f"words here token = {'abcdefghij' * 2}{chr(97 + i) * 12} end") for i in range(n)] + [(9, "a plain text")], "doc_id long, text string")
+    out = pii.stage(spark, d, "").orderBy("doc_id").collect()
+    assert [r.text for r in out] == ["words here token = [SECRET] end"] * n + ["a plain text"]
+
+
 class _Scores:
     """Higher for an address than for a number, between them for a secret: A (number) < B (secret) < C (address)."""
 
