@@ -29,6 +29,8 @@ from moorspark.llm.registry import documents, query
 TREES = 12
 RATE = 0.5
 PRECISION = 0.98
+#: the calibration goes through combinations of bits seen this often first, so that a rare one cannot undo their threshold
+SEEN = 5
 CONTEXT = 24
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -166,16 +168,20 @@ class Boosted:
                     for k in own:
                         score[k] += leaves[-1]
             self.trees.append((root, below[0], below[1], leaves))
-        # calibration: the lowest score down to which the positives' share stays high; rare combinations count as others do
+        # calibration: the lowest score down to which the positives' share stays high, among combinations seen often, then
+        # further down (from the top where those give none) among all
         self.threshold = {}
         for kind in self.kinds:
             own = sorted(((round(s, 9), c[2], c[3]) for s, c in zip(score, sorted(cells), strict=True) if c[0] == kind), reverse=True)
             n = p = 0
-            for s, a, b in own:
-                n, p = n + a, p + b
-                if p < PRECISION * n:
-                    break
-                self.threshold[kind] = s
+            for often in (True, False):
+                for s, a, b in own:
+                    if (often and a < SEEN) or s >= self.threshold.get(kind, math.inf):
+                        continue
+                    if p + b < PRECISION * (n + a):
+                        break
+                    n, p = n + a, p + b
+                    self.threshold[kind] = s
 
     def score(self, code: Column, kind: Column) -> Column:
         def bit(i: int) -> Column:

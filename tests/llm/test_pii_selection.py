@@ -20,6 +20,15 @@ def test_a_rare_credential_is_found_like_a_common_one(spark, n):
     assert [r.text for r in out] == ["words here token = [SECRET] end"] * n + ["a plain text"]
 
 
+def test_a_rare_combination_undoes_no_threshold():
+    """Numbers with the bits 1 are personal data 40 times of 40; one with the bits 3, which score as high or higher, is not."""
+    common = [("number", 1, 40, 40), ("number", 0, 60, 0)]
+    low = pii.Boosted(common).threshold["number"]
+    model = pii.Boosted([*common, ("number", 3, 1, 0)])
+    assert model.threshold.keys() == {"number"} and abs(model.threshold["number"] - low) < 1
+    assert "number" not in pii.Boosted([("number", 1, 3, 1), ("number", 0, 2, 0)]).threshold
+
+
 class _Scores:
     """Higher for an address than for a number, between them for a secret: A (number) < B (secret) < C (address)."""
 
