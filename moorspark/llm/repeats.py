@@ -4,7 +4,8 @@ Equal windows have equal minimizers (the least hashed ``K`` bytes inside, the le
 same minimizer occurrence form one string of at most 2 ``SIZE`` - ``K`` bytes. So the suffixes to sort shrink to those
 strings, and the work to the minimizers that more than one document holds:
 
-1. documents are packed into shards of ``lex.BLOCK`` bytes, stored once, compressed;
+1. documents are packed into shards of ``SHARD`` bytes, stored once, compressed, in a table bucketed by shard, so that later
+   steps bring their small lists to the shards and never move a text;
 2. every shard sends its sorted minimizers to buckets by their leading bits; the sorted runs of all shards are merged and
    each run finds the shared ones by binary search;
 3. every shard sends its distinct strings with a shared minimizer to the buckets. A bucket is the shard of the suffix
@@ -24,8 +25,8 @@ empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,10 @@ from moorspark.session import materialize, scratch_path
 
 SIZE = 50
 K = 24
-#: bytes of text per bucket of minimizers; like the shard it bounds a task's arrays (about 30 times as much)
+#: bytes of text per shard and per bucket of minimizers, and of strings in one suffix array, which takes about 60 times as much
+SHARD = 1 << 21
 BUCKET = 1 << 20
+ARRAY = 1 << 19
 _LAST = np.iinfo(np.int64).max
 
 
@@ -65,7 +68,7 @@ def shards(docs: DataFrame) -> DataFrame:
     def run(batches):
         rng = np.random.default_rng()
         for batch in batches:
-            for rows, buf, off in lex.blocks(batch):
+            for rows, buf, off in lex.blocks(batch, limit=SHARD):
                 ids = rows.column("doc_id").cast(pa.int64())
                 known = ids.is_valid().to_numpy(zero_copy_only=False)
                 data = squeeze(ids.fill_null(_LAST).to_numpy(), known.astype(np.uint8), off, buf, level=9)
@@ -182,22 +185,19 @@ def shared(runs: DataFrame) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(merge, "shard long, found binary")
 
 
-def strings(stored: DataFrame, found: DataFrame, bits: int, texts: bool = False) -> DataFrame:
-    """``bucket, shard, part``: the distinct strings of each shard with a shared minimizer; under bucket -1 the documents that hold
-    some and where they stand; under bucket -2 the results of the documents that hold none, unless ``texts`` wants all under -1."""
+def strings(stored: DataFrame, found: DataFrame, bits: int) -> DataFrame:
+    """``bucket, shard, part``: the distinct strings of each shard with a shared minimizer; under bucket -1 where they stand."""
     lists = found.groupBy("shard").agg(F.collect_list("found").alias("found"))  # at most the shard's own minimizers
 
     def run(batches):
         for batch in batches:
             for shard, data, lists_ in zip(batch.column("shard").to_pylist(), batch.column("data"), batch.column("found"), strict=True):
-                ids, known, off, buf = _shard(data.as_py())
+                ids, _, off, buf = _shard(data.as_py())
                 s = Strings(buf, off)
-                pairs = [spread(x, "<i8", "<u4") for x in lists_.as_py() or []]
-                hot = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.uint64(b[0]) << np.uint64(32) | v.astype(np.uint64) for b, v in pairs)]))
+                pairs = [spread(x, "<i8", "<u4") for x in lists_.as_py()]
+                hot = np.sort(np.concatenate([np.uint64(b[0]) << np.uint64(32) | v.astype(np.uint64) for b, v in pairs]))
                 key = s.minimizer >> np.uint64(32 - bits)
-                keep = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key if len(hot) else np.zeros(len(key), bool)
-                warm = np.full(len(ids), texts)
-                warm[s.doc[keep]] = True
+                keep = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
                 start, windows, mini, at, doc = s.start[keep], s.windows[keep], s.minimizer[keep], s.at[keep], ids[s.doc[keep]]
                 length = windows + SIZE - 1
                 whole = s.sums.span(start, start + length)
@@ -210,16 +210,7 @@ def strings(stored: DataFrame, found: DataFrame, bits: int, texts: bool = False)
                 number = np.empty(len(a), np.int64)
                 number[order] = np.cumsum(head) - 1
                 lead = order[begin]
-                size = np.diff(off)
-                own = np.concatenate([[0], np.cumsum(size[warm])])
-                moved = start - off[s.doc[keep]] + own[np.cumsum(warm)[s.doc[keep]] - 1]
-                rows = []
-                if warm.any():
-                    rows.append((-1, squeeze(ids[warm], known[warm].astype("u1"), own, buf[np.repeat(warm, size)], np.diff(moved, prepend=0).astype("<u4"), windows.astype("u1"), number.astype("<i4"), level=9)))
-                if not warm.all():
-                    cold = np.flatnonzero(~warm)
-                    digest = b"".join(hashlib.sha256(buf[off[d] : off[d + 1]]).digest() for d in cold.tolist())
-                    rows.append((-2, squeeze(ids[cold], known[cold].astype("u1"), size[cold], np.frombuffer(digest, np.uint8))))
+                rows = [(-1, squeeze(np.diff(start, prepend=0).astype("<u4"), windows.astype("u1"), number.astype("<i4")))]
                 for k, x, y in _cuts(_by_bucket(mini[lead], bits)):
                     p, n = start[lead[x:y]], length[lead[x:y]]
                     text = buf[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(p, n)]
@@ -228,7 +219,7 @@ def strings(stored: DataFrame, found: DataFrame, bits: int, texts: bool = False)
                     rows.append((k, squeeze(np.array([x], "<i8"), windows[lead[x:y]].astype("u1"), at[lead[x:y]].astype("u1"), low, high - low, text)))
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([shard] * len(rows), pa.int64()), pa.array([x for _, x in rows], pa.binary())], ["bucket", "shard", "part"])
 
-    return stored.join(lists.hint("merge"), "shard", "left").select("shard", "data", "found").mapInArrow(run, "bucket int, shard long, part binary")
+    return stored.join(lists.hint("merge"), "shard").select("shard", "data", "found").mapInArrow(run, "bucket int, shard long, part binary")
 
 
 def suffix_array(text: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -306,6 +297,18 @@ def smallest(text: np.ndarray, start: np.ndarray, windows: np.ndarray, doc: np.n
     return out[w]
 
 
+def _pieces(key: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of about ``ARRAY`` bytes that keep equal keys (sorted) together: windows with other minimizers differ anyway."""
+    edge = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key))
+    total = np.concatenate([[0], np.cumsum(size)])[edge]
+    out, a = [], 0
+    while a < len(edge) - 1:
+        b = max(a + 1, int(np.searchsorted(total, total[a] + ARRAY, "right")) - 1)
+        out.append((int(edge[a]), int(edge[b])))
+        a = b
+    return out
+
+
 def minima(parts: DataFrame) -> DataFrame:
     """``shard, least``: per shard and bucket the smallest doc_id of the windows of its strings, where it is below one of its documents."""
     def merge(table: pa.Table) -> pa.Table:
@@ -337,10 +340,14 @@ def minima(parts: DataFrame) -> DataFrame:
         where = np.full(len(lead), -1, np.int64)
         detail = np.zeros(0, np.int64)
         if len(multi):
-            n = length[lead[multi]]
-            first = np.cumsum(n) - n
-            body = text[np.arange(n.sum()) - np.repeat(first, n) + np.repeat(at[lead[multi]], n)]
-            detail = smallest(body, first, windows[lead[multi]], least[multi])
+            found = []
+            for x, y in _pieces(m[multi], length[lead[multi]]):
+                own = multi[x:y]
+                n = length[lead[own]]
+                first = np.cumsum(n) - n
+                body = text[np.arange(n.sum()) - np.repeat(first, n) + np.repeat(at[lead[own]], n)]
+                found.append(smallest(body, first, windows[lead[own]], least[own]))
+            detail = np.concatenate(found)
             where[multi] = np.cumsum(windows[lead[multi]]) - windows[lead[multi]]
             # strings whose windows all have one minimum need that number alone
             n = windows[lead[multi]]
@@ -395,53 +402,53 @@ def removed(buf: np.ndarray, off: np.ndarray, ids: np.ndarray, start: np.ndarray
     return np.cumsum(change)[:-1] > 0
 
 
-def release(spark, path: str) -> None:
-    """Delete a finished step's table, and let the driver drop what it no longer refers to, with its shuffle files."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    gc.collect()
-    spark._jvm.System.gc()
+class Stored:
+    """The shards as a table bucketed by ``shard`` in the scratch folder, dropped with its files at the end of the block."""
+
+    def __init__(self, made: DataFrame):
+        self.made, self.spark = made, made.sparkSession
+        self.name = f"shards_{uuid.uuid4().hex}"
+        self.path = scratch_path(self.spark, "shards")
+
+    def __enter__(self) -> DataFrame:
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # as the lists' exchanges, so that joins find equal partitions
+        # dealt before the write: one file per bucket, however many tasks made the shards
+        self.made.repartition(n, "shard").write.format("parquet").bucketBy(n, "shard").option("path", self.path).saveAsTable(self.name)
+        return self.spark.table(self.name)
+
+    def __exit__(self, *_):
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def clean(docs: DataFrame, texts: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row and, on request, the remaining bytes as ``kept``."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "shards")
-    made = shards(docs)
-    made.write.parquet(path)
-    stored = spark.read.schema(made.schema).parquet(path)
-    total = stored.agg(F.sum("bytes")).first()[0] or 0
-    bits = min(20, max(2, (total // BUCKET).bit_length()))
-    parts = materialize(strings(stored, shared(minimizers(stored, bits)), bits, texts), "strings")
-    release(spark, path)  # the shards and shuffles behind the stored strings would stay beside those to come
-    least = minima(parts).groupBy("shard").agg(F.collect_list("least").alias("least"))
-    joined = parts.where("bucket = -1").select("shard", "part").join(least.hint("merge"), "shard", "left")
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row and, on request, the remaining bytes as ``kept``; a stored table."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])]
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
 
-    def warm(batches):
+    def finish(batches):
         for batch in batches:
-            for part, low in zip(batch.column("part"), batch.column("least"), strict=True):
-                ids, known, off, buf, *where = spread(part.as_py(), "<i8", "u1", "<i8", "u1", "<u4", "u1", "<i4")
-                gone = removed(buf, off, ids, *where, low.as_py() or [])
+            for data, part, low in zip(batch.column("data"), batch.column("part"), batch.column("least"), strict=True):
+                ids, known, off, buf = _shard(data.as_py())
+                gone = removed(buf, off, ids, *spread(part.as_py(), "<u4", "u1", "<i4"), low.as_py()) if part.is_valid and low.is_valid else np.zeros(len(buf), bool)
                 n_removed = lex.per_doc(gone.astype(np.int64), off)
                 first = gone.copy()
                 first[1:] &= ~gone[:-1]
                 head = off[:-1][off[:-1] < len(buf)]
                 first[head] = gone[head]
                 left = [buf[a:b] if not r else buf[a:b][~gone[a:b]] for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), n_removed.tolist(), strict=True)]
-                columns = [pa.array(ids, mask=known == 0), pa.array(np.diff(off)), pa.array(n_removed), pa.array(lex.per_doc(first.astype(np.int64), off)), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
+                columns = [pa.array(ids, mask=~known), pa.array(np.diff(off)), pa.array(n_removed), pa.array(lex.per_doc(first.astype(np.int64), off)), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array([x.tobytes() for x in left], pa.binary())] if texts else [])], names)
 
-    def cold(batches):
-        for batch in batches:
-            for part in batch.column("part"):
-                ids, known, size, digest = spread(part.as_py(), "<i8", "u1", "<i8", "u1")
-                none = pa.array(np.zeros(len(ids), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=known == 0), pa.array(size), none, none, pa.array([digest[32 * i : 32 * i + 32].tobytes().hex() for i in range(len(ids))], pa.string())], names[:5])
-
-    out = joined.mapInArrow(warm, schema)
-    return out if texts else out.unionByName(parts.where("bucket = -2").select("part").mapInArrow(cold, schema))
+    with Stored(shards(docs)) as stored:
+        total = stored.agg(F.sum("bytes")).first()[0] or 0
+        bits = max(2, (total // BUCKET).bit_length())
+        parts = materialize(strings(stored, shared(minimizers(stored, bits)), bits), "strings")
+        least = minima(parts).groupBy("shard").agg(F.collect_list("least").alias("least"))
+        where = parts.where("bucket = -1").select("shard", "part")
+        joined = stored.join(where.hint("merge"), "shard", "left").join(least.hint("merge"), "shard", "left")
+        return materialize(joined.select("data", "part", "least").mapInArrow(finish, schema), "repeats")
 
 
 @query("op1_suffix_array_repeats")
