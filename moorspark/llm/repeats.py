@@ -40,7 +40,7 @@ from moorspark.session import materialize, scratch_path
 SIZE = 50
 K = 24
 #: bytes of text per shard and per bucket of minimizers, and of strings in one suffix array, which takes about 60 times as much
-SHARD = 1 << 21
+SHARD = 1 << 20
 BUCKET = 1 << 20
 ARRAY = 1 << 19
 _LAST = np.iinfo(np.int64).max
