@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorspark.sources.rodb import file_key, read_rodb
+from moorspark.sources.rodb import file_key, read_rodb, text_lines
 
 #: Short names of the format and the canonical variables.
 CNV_NAMES = {
@@ -49,7 +49,7 @@ def read_cnv(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     variables get canonical names and units (conductivity in mS/cm); every other column keeps its short name, with
     signs as underscores and numbered where two names become one, and is null in the records that lack it.
     """
-    d = spark.read.text(paths).select(file_key().alias("file"), F.trim("value").alias("line")).where("line <> ''")
+    d = text_lines(spark, paths).select("file", F.trim("value").alias("line")).where("line <> ''")
     pre = F.startswith("line", F.lit("*")) | F.startswith("line", F.lit("#"))
     h = d.where(pre)
     idx = F.regexp_extract("line", r"^# name (\d+) = ", 1).try_cast("int")
@@ -169,7 +169,7 @@ def read_config(spark: SparkSession, paths: Sequence[str] | str) -> tuple[DataFr
 
 def read_calibration_log(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """Calibration logs to ``(file, var, pre, post, applied)``; absent offsets are null, absent flags false."""
-    d = spark.read.text(paths).select(file_key().alias("file"), F.lower(F.trim("value")).alias("line"))
+    d = text_lines(spark, paths).select("file", F.lower(F.trim("value")).alias("line"))
     var = F.regexp_extract("line", r"^(conductivity|temperature|pressure)\b[^:]*:", 1)
     nums = F.regexp_extract("line", r":\s*(\S+)\s+(\S+)", 1), F.regexp_extract("line", r":\s*(\S+)\s+(\S+)", 2)
     flag = F.regexp_extract("line", r"^average (conductivity|temperature|pressure) applied\?\s*([yn])", 1)

@@ -177,3 +177,17 @@ def test_product_sink(spark, tmp_path):
 def test_columns_that_clean_to_one_name_are_numbered():
     names = text_sources._columns(["AB/C", "ab-c", "ab_c_2", "pressure", "time", "??"], ["file", "time", "t_us", "pressure"])
     assert names == {"AB/C": "AB_C", "ab-c": "ab_c_2", "ab_c_2": "ab_c_2_2", "pressure": "pressure_2", "time": "time_2", "??": "column"}
+
+
+def test_calibration_logs_in_a_bundle_give_what_their_files_give(spark, tmp_path):
+    logs = {"a": LOG, "b": LOG.replace("0.7500", "-3.5"), "c d": "Temperature [C]: 0.1 0.2\n"}
+    for name, body in logs.items():
+        (tmp_path / "plain" / f"file={name}").mkdir(parents=True)
+        put(tmp_path / "plain" / f"file={name}", "log.txt", body)
+    p = str(tmp_path / "bundle")
+    rodb.write_lines(spark.createDataFrame(list(logs.items()), "file string, value string").coalesce(1), p)
+    got = [sorted(tuple(r) for r in text_sources.read_calibration_log(spark, x).collect()) for x in (p, str(tmp_path / "plain" / "file=a"))]
+    assert [r for r in got[0] if r[0] == "a"] == got[1]
+    assert {r[0] for r in got[0]} == set(logs) and ("c d", "temperature", 0.1, 0.2, False) in got[0]
+    # files grow with the text, not with the records
+    assert len(list((tmp_path / "bundle").glob("part-*"))) == 1
