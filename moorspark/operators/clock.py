@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, spread
+from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, changes, spread, whole_batches
 from moorspark.operators.series import every_nth
 
 
@@ -61,17 +61,67 @@ def suggest_reference(offsets: DataFrame, group: str = "mooring") -> DataFrame:
 
 
 def lag_sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Counts and sums ``n, sx, sy, sxx, syy, sxy`` over the pairs ``x[i], y[j]`` for ``i - j`` from ``1 - len(y)`` up; NaN is missing."""
-    size = 1 << max(1, (len(x) + len(y) - 2).bit_length())
+    """Counts and sums ``n, sx, sy, sxx, syy, sxy`` over the pairs ``x[i], y[j]`` for ``i - j`` from ``1 - len(y)`` up; NaN is missing.
+
+    Records stand along the last axis, any number of them beside each other.
+    """
+    nx, ny = x.shape[-1], y.shape[-1]
+    size = 1 << max(1, (nx + ny - 2).bit_length())
     mx, my = ~np.isnan(x), ~np.isnan(y)
     x, y = np.where(mx, x, 0.0), np.where(my, y, 0.0)
     fx = [np.fft.rfft(v, size) for v in (mx.astype(float), x, x * x)]
     fy = [np.conj(np.fft.rfft(v, size)) for v in (my.astype(float), y, y * y)]
     out = [np.fft.irfft(fx[i] * fy[j], size) for i, j in ((0, 0), (1, 0), (0, 1), (2, 0), (0, 2), (1, 1))]
     # negative lags stand at the end of the circle
-    out = [np.concatenate([v[size - len(y) + 1:], v[: len(x)]]) for v in out]
+    out = [np.concatenate([v[..., size - ny + 1:], v[..., :nx]], -1) for v in out]
     out[0] = np.rint(out[0])
-    return np.stack(out, 1)
+    return np.stack(out, -1)
+
+
+#: padded cells of the records that are transformed at once
+_CELLS = 1 << 18
+
+
+def _tile_sums(pdf: pd.DataFrame, series: Sequence[str], names: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """:func:`lag_sums` of each tile ``(series, __bx, __by)`` of a frame sorted by them; tiles of like length go together."""
+    keys = [*series, "__bx", "__by"]
+    new = changes(pdf, keys)
+    start = np.flatnonzero(new)
+    tile = np.cumsum(new) - 1
+    first, pos, v = pdf["__first"].to_numpy(bool), pdf["__i"].to_numpy(np.int64), pdf["__v"].to_numpy(float)
+    base, long = [], []
+    for side in (first, ~first):
+        lo, hi = np.full(len(start), np.iinfo(np.int64).max), np.full(len(start), np.iinfo(np.int64).min)
+        np.minimum.at(lo, tile[side], pos[side])
+        np.maximum.at(hi, tile[side], pos[side])
+        base.append(lo)
+        long.append(np.where(lo <= hi, hi - lo + 1, 0))
+    lags = pdf["__lag"].to_numpy(np.int64)[start]
+    # a tile with one side alone has no pairs
+    both = (long[0] > 0) & (long[1] > 0)
+    width = np.ceil(np.log2(np.maximum(np.maximum(*long), 1))).astype(int)
+    for w in np.unique(width[both]):
+        of = np.flatnonzero(both & (width == w))
+        per = max(1, _CELLS >> int(w))
+        for a in range(0, len(of), per):
+            some = of[a: a + per]
+            at = np.full(len(start), -1)
+            at[some] = np.arange(len(some))
+            sides = []
+            for side, lo in zip((first, ~first), base):
+                z = np.full((len(some), 1 << int(w)), np.nan)
+                r = np.flatnonzero(side & (at[tile] >= 0))
+                z[at[tile[r]], pos[r] - lo[tile[r]]] = v[r]
+                sides.append(z)
+            sums = lag_sums(*sides)
+            lag = np.arange(sums.shape[1]) - (1 << int(w)) + 1
+            shift = (base[0] - base[1])[some][:, None]
+            ok = (lag > -long[1][some][:, None]) & (lag < long[0][some][:, None]) & (np.abs(lag + shift) <= lags[some][:, None])
+            g, c = np.nonzero(ok)
+            out = {k: pdf[k].to_numpy()[start[some]][g] for k in series}
+            out["lag"] = lag[c] + shift[g, 0]
+            out.update({n: sums[g, c, i] for i, n in enumerate(names)})
+            yield pd.DataFrame(out).astype({"lag": "int64", "n": "int64"})
 
 
 def lag_correlation(pairs: DataFrame, series: Sequence[str], x: str, y: str, index: str, max_lag: str | int,
@@ -95,31 +145,21 @@ def lag_correlation(pairs: DataFrame, series: Sequence[str], x: str, y: str, ind
     xs = d.select(*series, "__lag", "__i", F.lit(True).alias("__first"), F.col("__x").alias("__v"), own.alias("__bx"), F.explode(reach).alias("__by"))
     ys = d.select(*series, "__lag", "__i", F.lit(False).alias("__first"), F.col("__y").alias("__v"), own.alias("__by"), F.explode(reach).alias("__bx"))
 
-    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        lags, bx, by = (int(pdf[c].iloc[0]) for c in ("__lag", "__bx", "__by"))
-        first, pos, v = pdf["__first"].to_numpy(), pdf["__i"].to_numpy(), pdf["__v"].to_numpy(float)
-        sides = []
-        for side, b in ((first, bx), (~first, by)):
-            base = int(pos[side].min()) if side.any() else b * block
-            z = np.full(int(pos[side].max()) - base + 1 if side.any() else 1, np.nan)
-            z[pos[side] - base] = v[side]
-            sides.append((base, z))
-        (bx0, xs_), (by0, ys_) = sides
-        out = pd.DataFrame(lag_sums(xs_, ys_), columns=["n", "sx", "sy", "sxx", "syy", "sxy"])
-        out.insert(0, "lag", np.arange(len(out)) - (len(ys_) - 1) + bx0 - by0)
-        out = out[out["lag"].abs() <= lags].astype({"n": "int64", "lag": "int64"})
-        for c in reversed(series):
-            out.insert(0, c, pdf[c].iloc[0])
-        return out
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_batches(batches, [*series, "__bx", "__by"]):
+            yield from _tile_sums(pdf, series, names)
 
     types = dict(pairs.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in series]
                        + ["lag long", "n long", "sx double", "sy double", "sxx double", "syy double", "sxy double"])
-    p = spread(xs.unionByName(ys), [*series, "__bx", "__by"]).groupBy(*series, "__bx", "__by").applyInPandas(sums, schema)
+    tile = [*series, "__bx", "__by"]
+    p = spread(xs.unionByName(ys), tile).sortWithinPartitions(*tile).mapInPandas(sums, schema)
     # every lag has a row, also where no pair lies
     every = d.groupBy(*series).agg(F.max("__lag").alias("__lag")).select(*series, F.explode(F.sequence(-F.col("__lag"), F.col("__lag"))).alias("lag"),
-                                                                         F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(c) for c in ("sx", "sy", "sxx", "syy", "sxy")])
-    s = p.unionByName(every).groupBy(*series, "lag").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+                                                                         F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(c) for c in names[1:]])
+    s = p.unionByName(every).groupBy(*series, "lag").agg(*[F.sum(c).alias(c) for c in names])
     n = F.when(F.col("n") >= min_overlap, F.col("n"))
     vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
     scale = F.sqrt(F.when((vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy")), vx * vy))

@@ -145,3 +145,25 @@ def test_iterative_despike_equals_loop(spark):
         badt = np.abs(T - np.nanmean(T)) > 3 * np.nanstd(T)
         S[bad], T[bad | badt] = np.nan, np.nan
     assert np.allclose(got["s"], S, equal_nan=True) and np.allclose(got["t"], T, equal_nan=True)
+
+
+def test_many_short_records_are_correlated_together(spark):
+    rng = np.random.default_rng(5)
+    rows = [(m, k, float(rng.normal()) if rng.random() > 0.1 else None, float(rng.normal())) for m in range(40) for k in range(int(rng.integers(1, 30)))]
+    # batches smaller than a record
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        d = clock.lag_correlation(spark.createDataFrame(rows, "m long, k long, x double, y double"), ["m"], "x", "y", "k", 4, block=8)
+        got = {(r.m, r.lag): (r.n, r.corr) for r in d.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    # one call of Python per tile costs more than its sums
+    assert "FlatMapGroupsInPandas" not in d._jdf.queryExecution().executedPlan().toString()
+    for m in range(40):
+        x, y = ({r[1]: r[c] for r in rows if r[0] == m and r[c] is not None} for c in (2, 3))
+        for lag in range(-4, 5):
+            a, b = np.array([(x[k], y[k - lag]) for k in x if k - lag in y]).reshape(-1, 2).T
+            n, corr = got[m, lag]
+            assert n == len(a)
+            assert corr is None if n < 10 else corr == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9)
