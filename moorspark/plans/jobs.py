@@ -26,12 +26,12 @@ def instrument_status(instr: DataFrame, given: DataFrame, result: DataFrame) ->
 def stage2_step(obs: DataFrame, instr: DataFrame, deploy: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw records of many moorings to clock-corrected, trimmed ones: ``(records, status, report per mooring)``.
 
-    With a ``path`` the records replace the partitions there and are read back, so that later steps do not shift them again.
+    With a ``path`` the records replace those of their series there and are read back, so that later steps do not shift them again.
     """
     d = meta.drop_working(clean.shift_and_trim(clean.within_bounds(obs, instr, deploy), instr, deploy))
     if path:
         sinks.write_stage(d, path, "replace")
-        d = d.sparkSession.read.parquet(path)
+        d = sinks.read_stage(d.sparkSession, path)
     return d, instrument_status(instr, obs, d), stats.batch_report(instr, d)
 
 

@@ -191,3 +191,23 @@ def test_calibration_logs_in_a_bundle_give_what_their_files_give(spark, tmp_path
     assert {r[0] for r in got[0]} == set(logs) and ("c d", "temperature", 0.1, 0.2, False) in got[0]
     # files grow with the text, not with the records
     assert len(list((tmp_path / "bundle").glob("part-*"))) == 1
+
+
+def test_many_products_share_files(spark, tmp_path):
+    p = str(tmp_path / "p")
+    d = spark.range(600).select(F.concat(F.lit("OS_"), (F.col("id") % 300).cast("string")).alias("id"), F.col("id").alias("v"), F.lit(None).cast("string").alias("comment"))
+    sinks.write_products(d, p, text_columns=["comment"], folders=False)
+    assert len(list((tmp_path / "p").glob("*/part-*"))) <= sinks.BUCKETS + 4
+    sinks.write_products(d.where("v = 7 OR v = 1000").withColumn("v", F.lit(-1).cast("long")), p, text_columns=["comment"], folders=False)
+    got = sorted((r.id, r.v, r.comment) for r in spark.read.parquet(p).collect())
+    assert got == sorted([(f"OS_{v % 300}", v, "") for v in range(600) if v % 300 != 7] + [("OS_7", -1, "")])
+
+
+def test_a_stage_of_many_series_has_few_files(spark, tmp_path):
+    p = str(tmp_path / "stage")
+    d = spark.range(500).select((F.col("id") % 2).alias("mooring"), F.when(F.col("id") < 499, F.col("id")).alias("serial"), F.lit(datetime(2020, 1, 1)).cast("timestamp_ntz").alias("time"), F.col("id").alias("v"))
+    sinks.write_stage(d, p)
+    assert len(list((tmp_path / "stage").glob("*/part-*"))) <= sinks.BUCKETS + 4
+    sinks.write_stage(d.where("v IN (3, 499)").withColumn("v", -F.col("v")), p, "replace")
+    assert sorted(r.v for r in sinks.read_stage(spark, p).collect()) == sorted([v for v in range(500) if v not in (3, 499)] + [-3, -499])
+    assert set(sinks.read_stage(spark, p).columns) == {"mooring", "serial", "time", "v"}
