@@ -116,8 +116,21 @@ def stack_levels(gridded: DataFrame, level_table: DataFrame, values: Sequence[st
         "mooring", "t_us", "level", "serial", "nominal_depth", "instrument", "clock_offset", *values)
 
 
+def level_arrays(stacked: DataFrame, value: str) -> DataFrame:
+    """``mooring, t_us, <value>``: one array per grid time with the value of each level at the level's place, null where it has none.
+
+    The wide table for any number of levels: thousands of columns would not make a plan.
+    """
+    cells = F.array_sort(F.collect_list(F.struct("level", F.col(value).alias("v"))))
+    d = stacked.groupBy("mooring", "t_us").agg(F.max("level").alias("__top"), cells.alias("__c"))
+    at = F.map_from_entries("__c")
+    whole = F.size("__c") == F.col("__top") + 1  # the usual case: every level has a row
+    filled = F.transform(F.sequence(F.lit(0).cast("long"), "__top"), lambda i: F.try_element_at(at, i))
+    return d.select("mooring", "t_us", F.when(whole, F.transform("__c", lambda c: c["v"])).otherwise(filled).alias(value))
+
+
 def wide_levels(stacked: DataFrame, value: str, level_numbers: Sequence[int]) -> DataFrame:
-    """One column per level for the given level numbers."""
+    """One column per level for the given level numbers, some hundreds at most; :func:`level_arrays` takes any number."""
     d = stacked.where(F.col("level").isin(list(level_numbers)))
     p = d.groupBy("mooring", "t_us").pivot("level", list(level_numbers)).agg(F.max(value))
     return p.withColumnsRenamed({str(n): f"{value}_{n}" for n in level_numbers})

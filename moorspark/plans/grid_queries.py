@@ -101,14 +101,12 @@ def _(spark, sf):
 @query("i6_wide_levels", oracle("stage2", f"""SELECT mooring, t_us, n, {q6('weighted', 'temp_0')} FROM (SELECT mooring, t_us, count(temp) AS n, sum((level + 1) * temp) AS weighted,
  max(CASE WHEN level = 0 THEN temp END) AS temp_0 FROM stk GROUP BY 1, 2)""", SEG + "," + LEVELS))
 def _(spark, sf):
-    # as many columns as the deepest mooring has levels; all of them are checked, by their number and a sum weighted by level
-    s = stacked(spark, sf)
-    top = grid.levels(instr(spark, sf)).agg(F.max("level")).first()[0]
-    wide = grid.wide_levels(s, "temp", range(top + 1))
-    cells = [F.col(f"temp_{i}") for i in range(top + 1)]
-    n = sum((c.isNotNull().cast("long") for c in cells), F.lit(0).cast("long"))
-    weighted = sum(((i + 1) * F.coalesce(c, F.lit(0.0)) for i, c in enumerate(cells)), F.lit(0.0))
-    return rounded(wide.select("mooring", "t_us", n.alias("n"), F.when(n > 0, weighted).alias("weighted"), "temp_0"), "mooring t_us n", "weighted temp_0")
+    # as many places as the mooring has levels; all of them are checked, by their number and a sum weighted by level
+    wide = grid.level_arrays(stacked(spark, sf), "temp")
+    n = F.size(F.filter("temp", lambda v: v.isNotNull())).cast("long")
+    weighted = F.aggregate(F.transform("temp", lambda v, i: (i + 1) * F.coalesce(v, F.lit(0.0))), F.lit(0.0), lambda a, v: a + v)
+    d = wide.select("mooring", "t_us", n.alias("n"), F.when(n > 0, weighted).alias("weighted"), F.get("temp", F.lit(0)).alias("temp_0"))
+    return rounded(d, "mooring t_us n", "weighted temp_0")
 
 
 def depth_records(spark, sf):

@@ -110,3 +110,10 @@ def test_missing_oxygen_and_common_attributes(spark):
     at = [(1, s, k, v) for s in "abc" for k, v in (("mooring", "M123"), ("water_depth", "4000"), ("serial", s))]
     c = meta.common_attributes(spark.createDataFrame(at, "g long, dataset_id string, key string, value string"), ["g"])
     assert {(r.key, r.value) for r in c.collect()} == {("mooring", "M123"), ("water_depth", "4000")}
+
+
+def test_thousands_of_levels_in_one_array(spark):
+    d = spark.range(12000).select(F.lit(1).alias("mooring"), (F.col("id") % 2).alias("t_us"), F.floor(F.col("id") / 2).alias("level"),
+                                  F.when(F.col("id") % 3 > 0, F.col("id").cast("double")).alias("temp"))
+    got = {r.t_us: r.temp for r in grid.level_arrays(d.where("level <> 5 OR t_us = 0"), "temp").collect()}
+    assert got == {t: [None if (2 * i + t) % 3 == 0 or (i == 5 and t == 1) else float(2 * i + t) for i in range(6000)] for t in (0, 1)}
