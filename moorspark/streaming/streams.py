@@ -92,7 +92,8 @@ def stream_qc(stream: DataFrame, keys: Sequence[str] | str, value: str, suspect:
 
     A series is named by one or more ``keys``: a serial alone would compare samples across deployments. Kept between batches:
     rows that the watermark has not passed, and the last final sample of each series, written for the series of the batch alone.
-    Output: keys, ``t_us``, value, ``range_flag``, ``spike``, ``rate_flag``; equal times are ordered by value.
+    Output: keys, ``t_us``, value, ``range_flag``, ``spike``, ``rate_flag``; equal times are ordered by value,
+    and there is no rate between them.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
 
@@ -112,7 +113,7 @@ def stream_qc(stream: DataFrame, keys: Sequence[str] | str, value: str, suspect:
         last = newest(d)
         d = ordered(d, keys, ["t_us", value], width, lag={"__pt": F.col("t_us"), "__pv": F.col(value)}).where(~F.col("__old"))
         dv = F.abs(F.col(value) - F.col("__pv"))
-        r = dv / ((F.col("t_us") - F.col("__pt")) / 1e6)
+        r = dv / (F.nullif(F.col("t_us") - F.col("__pt"), F.lit(0)) / 1e6)
         flag = F.when(F.col(value).isNull(), 9).when(r.isNull(), 2).when(r > rate, 3).otherwise(1)
         out = d.select(*keys, "t_us", value, gross_range(F.col(value), suspect, fail).cast("int").alias("range_flag"),
                        F.coalesce(dv > spike, F.lit(False)).alias("spike"), flag.cast("int").alias("rate_flag"))

@@ -98,3 +98,22 @@ def test_several_keys_and_state_by_changes(spark, tmp_path, monkeypatch):
     assert {(r.mooring, r.serial, r.temp, r.spike) for r in got.collect()} == want and got.count() == 60
     kept = [spark.read.parquet(f"{out}/state/{n}/last").count() for n in range(12)]
     assert max(kept) <= 6 and min(kept[1:]) < 6  # the touched series, all of them now and then
+
+
+def test_equal_times_are_ordered_by_value_and_have_no_rate(spark, tmp_path):
+    rows = [(1, T0, 3.0), (1, T0, 1.0), (1, T0, None), (1, T0 + timedelta(seconds=1), 3.5)]
+    got = run(spark, tmp_path, put(spark, tmp_path, [rows]), 1).collect()
+    assert sorted((r.t_us, r.temp or 0, r.rate_flag) for r in got) == sorted([(r.t_us, r.temp or 0, f) for r, f in zip(sorted(got, key=lambda r: (r.t_us, r.temp or 0)), (9, 2, 2, 1))])
+
+
+def test_files_of_the_stand_in_stream_arrive_in_the_order_of_time(spark, tmp_path):
+    from moorspark.plans.stream_queries import in_name_order
+
+    p = tmp_path / "arrivals"
+    spark.range(100).repartitionByRange(5, "id").write.parquet(str(p))
+    files = sorted(p.glob("part-*"))
+    for n, f in enumerate(files):  # the tasks ended the other way round
+        os.utime(f, (1_700_000_000 - n,) * 2)
+    in_name_order(spark, str(p))
+    when = [f.stat().st_mtime for f in files]
+    assert len(files) == 5 and when == sorted(set(when))
