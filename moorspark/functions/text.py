@@ -79,3 +79,12 @@ def path_metadata(path: Column, mooring: Column) -> tuple[Column, Column]:
     rest = F.substring(stem, F.length(prefix) + 1, F.length(stem))
     serial = F.when(F.startswith(stem, prefix), rest.try_cast("long"))
     return F.try_element_at(p, F.lit(-2)), serial
+
+
+def fixed(c: Column | str, digits: int, sign: bool = False) -> Column:
+    """A double with so many decimals, rounded by its exact value as ``printf`` does, ties to even.
+
+    ``format_string`` rounds the shortest decimal text of the double instead, so 0.15 (in binary a little less) becomes 0.2.
+    """
+    p = "0." + "0" * digits
+    return F.call_function("format_number", F.col(c) if isinstance(c, str) else c, F.lit(f"+{p};-{p}" if sign else p))

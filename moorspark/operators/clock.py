@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from moorspark.functions.text import fixed
 from moorspark.operators.ordered import BLOCK_ROWS, TIME_CHUNK, attach, changes, spread, whole_batches
 from moorspark.operators.series import every_nth
 
@@ -196,8 +197,8 @@ def offset_summary(offsets: DataFrame) -> DataFrame:
     """One text line per level; consensus members carry ``REF``. The entry to add to a clock is negated."""
     return offsets.withColumn("recommended_clock_offset", -F.col("avg_offset")).withColumn(
         "summary", F.format_string(
-            "Level %d (#%d): start %+.1fs end %+.1fs avg %+.1fs diff %+.1fs drift %+.3fs/day%s", F.col("level") + 1, "serial",
-            "start_offset", "end_offset", "avg_offset", "diff_offset", "drift_per_day",
+            "Level %d (#%d): start %ss end %ss avg %ss diff %ss drift %ss/day%s", F.col("level") + 1, "serial",
+            *[fixed(c, 1, sign=True) for c in ("start_offset", "end_offset", "avg_offset", "diff_offset")], fixed("drift_per_day", 3, sign=True),
             F.when(F.col("in_consensus"), " REF").otherwise("")))
 
 

@@ -62,3 +62,12 @@ def test_random_salinity_is_finite(spark):
     r = np.random.default_rng(0)
     d = spark.createDataFrame([tuple(map(float, x)) for x in np.c_[r.uniform(25, 60, 50), r.uniform(-1, 30, 50), r.uniform(0, 5000, 50)]], "c double, t double, p double")
     assert d.select(seawater.practical_salinity(F.col("c"), F.col("t"), F.col("p")).alias("s")).where("s IS NULL OR isnan(s)").count() == 0
+
+
+def test_fixed_decimals_round_the_exact_value(spark):
+    from moorspark.functions.text import fixed
+
+    xs = [0.15, 0.25, 0.35, -0.04, 0.0, 2.5, 1234567.05, 18.1234565, 12.0000005, -3.65, None]
+    d = spark.createDataFrame([(x,) for x in xs], "x double").select("x", fixed("x", 1).alias("a"), fixed("x", 6).alias("b"), fixed("x", 1, sign=True).alias("c"))
+    for r in d.collect():
+        assert (r.a, r.b, r.c) == ((None,) * 3 if r.x is None else ("%.1f" % r.x, "%.6f" % r.x, "%+.1f" % r.x))
