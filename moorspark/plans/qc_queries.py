@@ -13,10 +13,15 @@ H = DAY_US // 2
 LV = ["mooring", "level"]
 
 
-def cells(spark, sf):
-    """Time x level matrix of half-day means with temperature, conductivity, pressure (null where empty)."""
+def cells(spark, sf, digits=None):
+    """Time x level matrix of half-day means with temperature, conductivity, pressure (null where empty).
+
+    The last bits of a mean depend on the order of addition; means rounded to ``digits`` decimals do not, so that a test
+    of them against a limit they may meet exactly is the same in every run.
+    """
     o = obs(spark, sf).withColumn("t_us", F.floor(F.col("t_us") / H) * H)
-    d = o.groupBy("mooring", "serial", "t_us").agg(F.avg("temp").alias("temp"), F.avg("cond").alias("cond"), F.avg("pres").alias("pres"))
+    means = {c: F.avg(c) if digits is None else F.round(F.avg(c), digits) for c in ("temp", "cond", "pres")}
+    d = o.groupBy("mooring", "serial", "t_us").agg(*[m.alias(c) for c, m in means.items()])
     lv = grid.levels(instr(spark, sf)).select("mooring", "level", "serial", "depth")
     return lv.join(o.select("mooring", "t_us").distinct(), "mooring").join(d, ["mooring", "serial", "t_us"], "left")
 
@@ -26,11 +31,17 @@ CELLS = f"""hm AS (SELECT mooring, serial, CAST(t_us // {H} * {H} AS BIGINT) AS
  JOIN (SELECT DISTINCT mooring, CAST(t_us // {H} * {H} AS BIGINT) AS t_us FROM obs) a ON a.mooring = l.mooring LEFT JOIN hm ON hm.serial = l.serial AND hm.mooring = l.mooring AND hm.t_us = a.t_us),
  cs AS (SELECT *, {salinity_sql('cond', 'temp', 'pres')} AS salt FROM cl)"""
 
+#: The same with the means rounded as in ``cells(..., MEAN_DIGITS)``.
+MEAN_DIGITS = 9
+EXACT_CELLS = CELLS
+for _c in ("temp", "cond", "pres"):
+    EXACT_CELLS = EXACT_CELLS.replace(f"avg({_c}) AS {_c}", f"round(avg({_c}), {MEAN_DIGITS}) AS {_c}")
+
 
-def salty(spark, sf):
+def salty(spark, sf, digits=None):
     from moorspark.functions.seawater import with_salinity
 
-    return with_salinity(cells(spark, sf), "cond", "temp", "pres", "salt")
+    return with_salinity(cells(spark, sf, digits), "cond", "temp", "pres", "salt")
 
 
 @query("j1_salinity_outlier", oracle("obs instr", """SELECT mooring, level, t_us, coalesce(abs(salt - avg(salt) OVER w) > 2 * stddev_pop(salt) OVER w, false) AS outlier
@@ -52,9 +63,9 @@ def _(spark, sf):
 @query("j4_combined_qc", oracle("obs instr", """SELECT mooring, level, t_us, CAST(coalesce(abs(salt - m) > 3 * s, false) OR sp AS INT) AS cond_qc FROM (SELECT *,
  avg(salt) FILTER (NOT f) OVER w AS m, stddev_pop(salt) FILTER (NOT f) OVER w AS s FROM (SELECT *, sp OR coalesce(abs(salt - avg(salt) OVER w) > 6 * stddev_pop(salt) OVER w, false) AS f
  FROM (SELECT *, coalesce(abs(cond - lag(cond) OVER (PARTITION BY mooring, level ORDER BY t_us)) > 5, false) AS sp FROM cs) WINDOW w AS (PARTITION BY mooring, level))
- WINDOW w AS (PARTITION BY mooring, level))""", CELLS))
+ WINDOW w AS (PARTITION BY mooring, level))""", EXACT_CELLS))
 def _(spark, sf):
-    d = qc.combined_qc(cells(spark, sf), LV, "cond", "temp", "pres", "salt")
+    d = qc.combined_qc(cells(spark, sf, MEAN_DIGITS), LV, "cond", "temp", "pres", "salt")
     return d.select(*LV, "t_us", "cond_qc")
 
 
@@ -172,12 +183,13 @@ def _(spark, sf):
 
 
 @query("j15_class_despike", oracle("obs instr", f"""SELECT mooring, level, t_us, {q6('salt')} FROM (SELECT x.mooring, x.level, x.t_us, CASE WHEN abs(salt - med) > 1.2 * use THEN NULL ELSE salt END AS salt FROM x LEFT JOIN kx
- ON kx.mooring = x.mooring AND kx.level = x.level AND kx.c = x.c)""", CELLS + """,
- x AS (SELECT mooring, level, t_us, temp, salt, CASE WHEN salt IS NOT NULL THEN CAST(least(floor((temp - min(temp) OVER w) / ((max(temp) OVER w - min(temp) OVER w) / 14)), 13) AS INT) END AS c FROM cs WINDOW w AS (PARTITION BY mooring, level)),
+ ON kx.mooring = x.mooring AND kx.level = x.level AND kx.c = x.c)""", EXACT_CELLS + """,
+ x0 AS (SELECT *, min(temp) FILTER (salt IS NOT NULL) OVER w AS lo, max(temp) FILTER (salt IS NOT NULL) OVER w AS hi FROM cs WINDOW w AS (PARTITION BY mooring, level)),
+ x AS (SELECT mooring, level, t_us, temp, salt, CASE WHEN salt IS NOT NULL THEN CASE WHEN hi > lo THEN CAST(least(floor((temp - lo) / ((hi - lo) / 14)), 13) AS INT) ELSE 0 END END AS c FROM x0),
  kc AS (SELECT mooring, level, c, median(salt) AS med, stddev_samp(salt) AS sd, count(*) AS n FROM x WHERE salt IS NOT NULL GROUP BY 1, 2, 3),
  kx AS (SELECT mooring, level, c, med, last_value(CASE WHEN n >= 3 THEN sd END IGNORE NULLS) OVER (PARTITION BY mooring, level ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS use FROM kc)"""))
 def _(spark, sf):
-    d = qc.class_despike(salty(spark, sf), LV, "temp", "salt", k=1.2)
+    d = qc.class_despike(salty(spark, sf, MEAN_DIGITS), LV, "temp", "salt", k=1.2)
     return rounded(d, "mooring level t_us", "salt")
 
 

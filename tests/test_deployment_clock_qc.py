@@ -167,3 +167,16 @@ def test_many_short_records_are_correlated_together(spark):
             n, corr = got[m, lag]
             assert n == len(a)
             assert corr is None if n < 10 else corr == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9)
+
+
+def test_rounded_cell_means_do_not_depend_on_the_order_of_addition(spark, tmp_path):
+    from moorspark.plans.qc_queries import MEAN_DIGITS, cells
+
+    got = {}
+    for name, values in (("up", [1.1, 2.2, 3.3, 700.7]), ("down", [700.7, 3.3, 2.2, 1.1])):
+        rows = [(i, pd.Timestamp("2024-01-02") + pd.Timedelta(hours=i), 5, "a", v) for i, v in enumerate(values)]
+        d = spark.createDataFrame(pd.DataFrame(rows, columns="event_id ts user_id event_type value".split()))
+        d.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(str(tmp_path / name / "events.parquet"))
+        got[name] = [[(r.temp, r.cond) for r in cells(spark, str(tmp_path / name), n).collect()] for n in (None, MEAN_DIGITS)]
+    assert got["up"][0] != got["down"][0]
+    assert got["up"][1] == got["down"][1] == [(17.6825, 38.84125)]
