@@ -1,7 +1,10 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash bands propose, the shingle sets decide.
+"""Near copies by Jaccard similarity of word shingles: SimHash links and MinHash bands propose, the shingle sets decide.
 
 Two texts are linked if their sets of ``SHINGLE``-word shingles have a Jaccard similarity of ``ALIKE`` at least; groups are
-the components of these links. Equal sets are one set from the start. Each distinct set is put under ``BANDS`` keys of
+the components of these links. Equal sets are one set from the start. Each distinct set has a SimHash fingerprint; the least
+sets of fingerprints that deletion variants link (:mod:`moorspark.llm.variants`), and sets of one fingerprint with the least
+of them, are pairs to verify. Two bits see most close copies but few pairs near 0.8 (they differ in some ten bits), so
+MinHash bands propose the rest. Each distinct set is put under ``BANDS`` keys of
 ``ROWS`` minima each; a pair at 0.8 shares no key with probability (1 - 0.8^4)^28 = 4e-7. Within a key all sets are
 compared with its least and greatest one; then, with the components of these links, only sets of different components,
 so that a large group of near copies costs few comparisons per member and no pair that could join two groups is left out.
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from moorspark.llm import lex
 from moorspark.llm.components import connected_components
+from moorspark.llm.variants import fingerprints, links
 from moorspark.session import materialize
 
 SHINGLE = 5
@@ -87,15 +91,16 @@ def _lists(x: np.ndarray) -> pa.Array:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, s, n, keys, odd``: set, its size, its band keys and its parity sketch per row."""
+    """``doc_id, s, n, fp, keys, odd``: set, its size, its fingerprint, its band keys and its parity sketch per row."""
     def run(batches):
         for batch in batches:
             for rows, buf, off in lex.blocks(batch):
                 h, ptr = shingle_sets(buf, off)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(set_ids(h, ptr).view(np.int64)), pa.array(np.diff(ptr)), _lists(band_keys(h, ptr).view(np.int64)), _lists(parities(h, ptr))],
-                                                 ["doc_id", "s", "n", "keys", "odd"])
+                fp = fingerprints(lex.mix(h), ptr).view(np.int64)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(set_ids(h, ptr).view(np.int64)), pa.array(np.diff(ptr)), pa.array(fp), _lists(band_keys(h, ptr).view(np.int64)), _lists(parities(h, ptr))],
+                                                 ["doc_id", "s", "n", "fp", "keys", "odd"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, s long, n long, keys array<long>, odd array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, s long, n long, fp long, keys array<long>, odd array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -127,24 +132,34 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common * sum(ALIKE) >= (F.size("ha") + F.size("hb")) * ALIKE[0]).select("a", "b")
 
 
+def _fingerprint_pairs(distinct: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of sets to verify: the least sets of linked fingerprints, and each set with the least one of its fingerprint."""
+    full = distinct.where("n > 0").select("s", "fp")
+    least = materialize(full.groupBy("fp").agg(F.min("s").alias("t")), "prints")
+    same = full.join(least, "fp").where("s <> t").select("s", "t")
+    near = links(least.select("fp")).join(least.select(F.col("fp").alias("a"), F.col("t").alias("s")), "a").join(least.select(F.col("fp").alias("b"), "t"), "b")
+    return same.unionByName(near.select("s", "t")).select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """``doc_id, component_id`` of every row with a doc_id."""
     docs = docs.where("doc_id IS NOT NULL")
     rows = materialize(_signatures(docs), "signatures")
-    distinct = materialize(rows.groupBy("s").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.max("keys").alias("keys"), F.max("odd").alias("odd")), "distinct")
+    distinct = materialize(rows.groupBy("s").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.max("fp").alias("fp"), F.max("keys").alias("keys"), F.max("odd").alias("odd")), "distinct")
+    proposed = materialize(_fingerprint_pairs(distinct), "proposed")
     # size estimates do not see what explode adds, so the joins of exploded rows name their strategy
     bands = distinct.where("n > 0").select("s", "n", F.posexplode("keys").alias("slot", "key")).withColumn("slot", F.col("slot").cast("byte"))
     one = F.struct("s", "n")
     shared = bands.groupBy("slot", "key").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo.s <> hi.s")
     met = materialize(bands.join(shared.hint("merge"), ["slot", "key"]), "bands")
-    wanted = materialize(met.select("s").distinct().join(distinct.select("s", "least"), "s").select(F.col("least").alias("doc_id")).distinct(), "wanted")
-    sets = materialize(_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).join(met.select("s").distinct(), "s", "left_semi").dropDuplicates(["s"]), "sets")
+    members = materialize(met.select("s").unionByName(proposed.select(F.explode(F.array("a", "b")).alias("s"))).distinct(), "members")
+    wanted = materialize(members.join(distinct.select("s", "least"), "s").select(F.col("least").alias("doc_id")).distinct(), "wanted")
+    sets = materialize(_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).join(members, "s", "left_semi").dropDuplicates(["s"]), "sets")
     pair = [F.least("s", "t.s").alias("a"), F.greatest("s", "t.s").alias("b")]
-    sketch = distinct.select("s", "n", "odd").join(met.select("s").distinct(), "s", "left_semi")
-    sketch = materialize(sketch, "sketches")
-    stars = met.select("s", "n", F.explode(F.array("lo", "hi")).alias("t")).where(F.col("s") != F.col("t.s")).where(_sizes_allow(F.col("n"), F.col("t.n"))).select(*pair).distinct()
+    sketch = materialize(distinct.select("s", "n", "odd").join(members, "s", "left_semi"), "sketches")
+    stars = met.select("s", "n", F.explode(F.array("lo", "hi")).alias("t")).where(F.col("s") != F.col("t.s")).where(_sizes_allow(F.col("n"), F.col("t.n"))).select(*pair).unionByName(proposed).distinct()
     stars = stars.join(sketch.select(F.col("s").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), "a").join(sketch.select(F.col("s").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob")), "b")
-    stars = materialize(stars.where(_parities_allow("oa", "ob", F.col("na") + F.col("nb"))).select("a", "b"), "stars")
+    stars = materialize(stars.where(_sizes_allow(F.col("na"), F.col("nb")) & _parities_allow("oa", "ob", F.col("na") + F.col("nb"))).select("a", "b"), "stars")
     near = materialize(_verified(stars, sets), "near")
     roots = connected_components(near)
     held = met.select("s", "n", "slot", "key").join(roots.withColumnRenamed("u", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))

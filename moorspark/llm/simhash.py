@@ -1,10 +1,4 @@
-"""SimHash near-duplicates by deletion variants.
-
-Fingerprints within two bits agree, in one of two 32-bit segments, up to one bit. So each distinct fingerprint is
-indexed under 64 variants: either segment with one of its 32 bits wildcarded. Equal variants are joined and the whole
-fingerprints verified. A variant that more than ``DENSE`` distinct fingerprints share is not expanded into pairs; there
-each fingerprint and its 64 one-bit neighbours meet at equal points instead: two fingerprints are within two bits if and
-only if they share such a point, and everyone at a point is linked to the least one. Both ways are exact.
+"""SimHash near-duplicates by deletion variants (:mod:`moorspark.llm.variants`), and the pipeline's stage.
 
 Defined cases: a null, empty or blank text has fingerprint 0 and links like any other; repeated rows give repeated
 result rows; a null doc_id keeps its row and never becomes a component's id unless nothing else is there; an empty table
@@ -22,12 +16,11 @@ from pyspark.sql import functions as F
 from moorspark.llm import jaccard, lex
 from moorspark.llm.components import connected_components
 from moorspark.llm.registry import documents, query
+from moorspark.llm.variants import DENSE, fingerprints, links
 from moorspark.session import materialize
 
 SHINGLE = 3
 SEED = 42
-#: distinct fingerprints under one variant up to which they are compared pairwise
-DENSE = 16
 
 _BLANK = bytes(0x20 if i in (0x20, *range(0x09, 0x0E)) else int(lex.lower_bytes(np.array([i], np.uint8))[0]) for i in range(256))
 
@@ -50,24 +43,6 @@ def shingle_hashes(buf: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> tup
     return out, ptr
 
 
-def fingerprints(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    """Per document the bits set in over half its hashes."""
-    out = np.zeros(len(ptr) - 1, np.uint64)
-    n = np.diff(ptr)
-    full = np.flatnonzero(n)
-    step = 1 << 16  # bounds the table of bits
-    ones = np.zeros((len(n), 64), np.int64)
-    for a in range(0, len(hashes), step):
-        part = hashes[a : a + step]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        lo, hi = np.searchsorted(ptr[full + 1], a, "right"), np.searchsorted(ptr[full], a + len(part), "left")
-        own = full[lo:hi]
-        ones[own] += np.add.reduceat(bits, np.maximum(ptr[own] - a, 0), axis=0, dtype=np.int64)
-    if len(full):
-        out[full] = np.packbits(2 * ones[full] > n[full, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
-    return out
-
-
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp`` (signed 64-bit) per row."""
     def run(batches):
@@ -78,29 +53,6 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)[key]}, fp long")
 
 
-def _variants(fps: DataFrame) -> DataFrame:
-    """``fp, seg, bit, rest`` for either segment and each wildcarded bit."""
-    cut = F.explode(F.array(*[F.struct(F.lit(s).alias("seg"), (F.shiftrightunsigned("fp", 32 * s).bitwiseAND(F.lit(0xFFFFFFFF))).alias("value")) for s in (0, 1)]))
-    one = fps.select("fp", cut.alias("s")).select("fp", "s.seg", "s.value", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("bit"))
-    return one.select("fp", F.expr("seg * 32 + bit").cast("byte").alias("slot"), F.expr("value & ~shiftleft(1L, bit)").alias("rest"))
-
-
-def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
-    """``a, b``: links of distinct fingerprints whose components are those of all links within two bits."""
-    # size estimates do not see what explode adds, so the joins of exploded rows name their strategy
-    v = _variants(fps)
-    shared = v.groupBy("slot", "rest").agg(F.count("*").alias("n")).where("n > 1")
-    met = materialize(v.join(shared.hint("merge"), ["slot", "rest"]), "variants")
-    few = met.where(F.col("n") <= dense)
-    pairs = (few.select("slot", "rest", F.col("fp").alias("a")).join(few.select("slot", "rest", F.col("fp").alias("b")), ["slot", "rest"])
-             .where("a < b AND bit_count(a ^ b) <= 2").select("a", "b").distinct())
-    crowd = met.where(F.col("n") > dense).select("fp").distinct()
-    points = crowd.select("fp", F.explode(F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")).alias("point"))
-    least = points.groupBy("point").agg(F.min("fp").alias("m"), F.count("*").alias("n")).where("n > 1").select("point", "m")
-    hubs = points.join(least.hint("merge"), "point").where("fp <> m").select(F.col("m").alias("a"), F.col("fp").alias("b")).distinct()
-    return pairs.unionByName(hubs)
-
-
 def group(prints: DataFrame, dense: int = DENSE) -> DataFrame:
     """``doc_id, fp, component_id`` per row of ``doc_id, fp`` (a stored table: it is read three times)."""
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
@@ -119,7 +71,7 @@ def near_duplicates(docs: DataFrame, dense: int = DENSE, key: str = "doc_id", te
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the least doc_id; of repeated rows with that id one stays.
 
-    Groups are those of :mod:`moorspark.llm.jaccard` (five words, similarity 0.8); op6's contract values bind op6 alone. Rows with a null doc_id cannot be told apart by id and stay.
+    Groups are those of :mod:`moorspark.llm.jaccard` (five words, similarity 0.8, fingerprint links first); op6's contract values bind op6 alone. Rows with a null doc_id cannot be told apart by id and stay.
     """
     found = materialize(jaccard.near_copies(docs), "groups")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()

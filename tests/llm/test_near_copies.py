@@ -75,3 +75,18 @@ def test_sketches_lose_no_pair():
             assert differ <= apart and (apart - differ) % 2 == 0
             told_apart += 9 * differ > len(x) + len(y)
     assert told_apart > len(sets)
+
+
+def test_fingerprint_links_propose_close_copies(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(60):
+        base = rng.choice(VOCABULARY, 800).tolist()
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:400], "edited", *base[401:]]))]
+    docs = spark.createDataFrame([*rows, (500, "")], "doc_id long, text string").repartition(2)
+    sets = {r.s: r for r in jaccard._signatures(docs).collect()}
+    of = {r.doc_id: r for r in sets.values()}
+    alike = {tuple(sorted((of[2 * i].s, of[2 * i + 1].s))) for i in range(60) if ((of[2 * i].fp ^ of[2 * i + 1].fp) & (2**64 - 1)).bit_count() <= 2}
+    got = {(r.a, r.b) for r in jaccard._fingerprint_pairs(spark.createDataFrame(list(sets.values()))).collect()}
+    assert len(alike) > 20 and alike <= got
+    assert not any(of[500].s in pair for pair in got)
