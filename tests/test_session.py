@@ -2,7 +2,8 @@ import os
 
 import pytest
 
-from moorspark.session import materialize, scratch, scratch_path
+import __spark_entry__ as entry
+from moorspark.session import GROWING, materialize, scratch, scratch_path
 
 
 def test_scratch_tables_go_after_use(spark):
@@ -16,3 +17,12 @@ def test_scratch_tables_go_after_use(spark):
             assert os.path.exists(path)
             1 / 0
     assert not os.path.exists(os.path.dirname(path)) and spark.read.parquet(kept).count() == 3
+
+
+def test_tasks_of_series_queries_do_not_grow_with_the_input(spark, monkeypatch):
+    before = {k: spark.conf.get(k, None) for k in GROWING}
+    seen = {}
+    monkeypatch.setattr(entry, "_registered", lambda: ({n: lambda s, sf, n=n: seen.update({n: {k: s.conf.get(k, None) for k in GROWING}}) for n in ("l4_gradients", "pipeline")}, {}))
+    for name in ("l4_gradients", "pipeline"):
+        entry.queries()[name](spark, "")
+    assert seen["l4_gradients"] == GROWING and seen["pipeline"] == {k: before[k] for k in GROWING}
