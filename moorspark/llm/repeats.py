@@ -43,6 +43,8 @@ K = 24
 SHARD = 1 << 20
 BUCKET = 1 << 20
 ARRAY = 1 << 19
+#: bytes of strings under one prefix sum
+PREFIX = 1 << 18
 _LAST = np.iinfo(np.int64).max
 
 
@@ -309,6 +311,24 @@ def _pieces(key: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def hashes(text: np.ndarray, length: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the minimizer at ``place`` and of the whole of strings that stand one behind the other.
+
+    Prefix sums take some 30 times the bytes they cover, so they cover ``PREFIX`` bytes of whole strings at a time.
+    """
+    end = np.cumsum(length)
+    mini, whole = np.empty(len(length), np.uint64), np.empty(len(length), np.uint64)
+    a = base = 0
+    while a < len(length):
+        b = max(a + 1, int(np.searchsorted(end, base + PREFIX, "right")))
+        sums = lex.byte_sums(text[base : end[b - 1]], False)
+        at = end[a:b] - length[a:b] - base
+        mini[a:b] = sums.span(at + place[a:b], at + place[a:b] + K)
+        whole[a:b] = sums.span(at, at + length[a:b])
+        a, base = b, int(end[b - 1])
+    return mini, whole
+
+
 def minima(parts: DataFrame) -> DataFrame:
     """``shard, least``: per shard and bucket the smallest doc_id of the windows of its strings, where it is below one of its documents."""
     def merge(table: pa.Table) -> pa.Table:
@@ -320,9 +340,8 @@ def minima(parts: DataFrame) -> DataFrame:
         windows = windows.astype(np.int64)
         length = windows + SIZE - 1
         at = np.cumsum(length) - length
-        sums = lex.byte_sums(text, False)
-        mini, whole = sums.span(at + place, at + place + K), sums.span(at, at + length)
-        del sums, cols
+        del cols
+        mini, whole = hashes(text, length, place)
         order = np.lexsort((whole, mini))
         a, b = mini[order], whole[order]
         head = np.ones(len(a), bool)

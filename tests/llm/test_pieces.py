@@ -1,9 +1,11 @@
 """Pieces of a bucket's strings for the suffix arrays of operator 1."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from moorspark.llm import repeats
+from moorspark.llm import lex, repeats
 
 
 @pytest.mark.parametrize("n", [1, 2, 50, 500])
@@ -16,3 +18,28 @@ def test_pieces_keep_equal_keys_together(monkeypatch, n):
     assert all(a[1] == b[0] for a, b in zip(out, out[1:], strict=False))
     assert all(key[y - 1] != key[y] for _, y in out[:-1])
     assert all(size[x:y].sum() <= 200 or len(set(key[x:y])) == 1 for x, y in out)
+
+
+@pytest.mark.parametrize("prefix", [1, 60, 1 << 10, 1 << 20])
+def test_hashes_of_strings_do_not_depend_on_the_pieces(monkeypatch, prefix):
+    monkeypatch.setattr(repeats, "PREFIX", prefix)
+    rng = np.random.default_rng(prefix)
+    length = rng.integers(50, 77, 300)
+    text = rng.integers(0, 256, length.sum()).astype(np.uint8)
+    place = rng.integers(0, 27, 300) % (length - repeats.K + 1)
+    at = np.cumsum(length) - length
+    sums = lex.byte_sums(text, False)
+    mini, whole = repeats.hashes(text, length, place)
+    assert (mini == sums.span(at + place, at + place + repeats.K)).all()
+    assert (whole == sums.span(at, at + length)).all()
+
+
+def test_hashes_of_a_large_bucket_take_little_memory():
+    length = np.full(80_000, 60)
+    text = np.zeros(length.sum(), np.uint8)
+    repeats.hashes(text[:6000], length[:100], np.zeros(100, np.int64))  # fills the cache of powers
+    tracemalloc.start()
+    repeats.hashes(text, length, np.zeros(len(length), np.int64))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 4 * len(text)
