@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from moorspark.plans.standin import prof
 from moorspark.session import GROWING, materialize, scratch, scratch_path
 
 
@@ -26,3 +27,11 @@ def test_tasks_of_series_queries_do_not_grow_with_the_input(spark, monkeypatch):
     for name in ("l4_gradients", "pipeline"):
         entry.queries()[name](spark, "")
     assert seen["l4_gradients"] == GROWING and seen["pipeline"] == {k: before[k] for k in GROWING}
+
+
+def test_profiles_are_dealt_by_order_before_they_are_aggregated(spark):
+    plan = prof(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    join = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)
+    assert all("Exchange" not in x for x in lines[:join]) and all("HashAggregate" not in x for x in lines[join:])
