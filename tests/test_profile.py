@@ -1,5 +1,6 @@
 """Vertical gridding against a plain numpy loop."""
 
+import re
 from datetime import datetime
 
 import numpy as np
@@ -148,3 +149,16 @@ def test_concatenation_crosses_the_gap(spark):
 def test_merged_flags(spark):
     d = spark.createDataFrame([(1, 1), (1, 8), (2, 8), (2, 4), (3, 9), (3, 9), (4, 9), (4, 8)], "k long, qc int")
     assert {r.k: r.qc for r in merge.merged_flag(d, ["k"]).collect()} == {1: 8, 2: 4, 3: 9, 4: 8}
+
+
+def test_generated_methods_of_full_profiles_are_short_enough_to_be_compiled(spark, capsys):
+    # HotSpot leaves methods above 8000 bytes to its interpreter
+    df = spark.sql("SELECT 1L AS id, CAST(100 * id AS DOUBLE) AS pres, CAST(id AS DOUBLE) AS temp, 35D AS salt, TIMESTAMP_NTZ '2024-01-02 00:00:00' AS time FROM range(3)")
+    clim = spark.sql("SELECT CAST(m AS INT) AS month, CAST(b AS INT) AS bin, 0.01D AS dtdp, 0.001D AS dsdp FROM (SELECT explode(sequence(1, 12)) AS m) JOIN (SELECT explode(sequence(0, 73)) AS b)")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        profile.full_profiles(df, clim, ["id"], extrapolate=False).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
