@@ -1,4 +1,6 @@
+import itertools
 import os
+import re
 
 import pytest
 
@@ -35,3 +37,16 @@ def test_profiles_are_dealt_by_order_before_they_are_aggregated(spark):
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     join = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)
     assert all("Exchange" not in x for x in lines[:join]) and all("HashAggregate" not in x for x in lines[join:])
+
+
+@pytest.mark.parametrize("name", ["m6_interpolated_flags"])
+def test_tasks_of_a_query_on_profiles_hold_a_part_of_the_orders(spark, name):
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not any("BroadcastHashJoin [l_orderkey" in x for x in plan)
+    joins = [i for i, x in enumerate(plan) if "SortMergeJoin [l_orderkey" in x]
+    assert joins
+    for i in joins:
+        depth = re.search(r"\w", plan[i]).start()
+        below = list(itertools.takewhile(lambda x: re.search(r"\w|$", x).start() > depth, plan[i + 1:]))
+        parts = GROWING["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+        assert sum(f", {parts})" in x for x in below if "Exchange hashpartitioning" in x) == 2 and not any("Aggregate" in x for x in below)
