@@ -39,7 +39,7 @@ def test_profiles_are_dealt_by_order_before_they_are_aggregated(spark):
     assert all("Exchange" not in x for x in lines[:join]) and all("HashAggregate" not in x for x in lines[join:])
 
 
-@pytest.mark.parametrize("name", ["m6_interpolated_flags", "m6_merged_flags", "m2_merge_sites", "n3_absolute_salinity", "f6_rolling_mean"])
+@pytest.mark.parametrize("name", ["m6_interpolated_flags", "m6_merged_flags", "m2_merge_sites", "n3_absolute_salinity", "f6_rolling_mean", "l4_gradients"])
 def test_tasks_of_a_query_on_profiles_hold_a_part_of_the_orders(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("\n")
     assert not any("BroadcastHashJoin [l_orderkey" in x for x in plan)
