@@ -4,19 +4,21 @@ Equal windows have equal minimizers (the least hashed ``K`` bytes inside, the le
 same minimizer occurrence form one string of at most 2 ``SIZE`` - ``K`` bytes. So the suffixes to sort shrink to those
 strings, and the work to the minimizers that more than one document holds:
 
-1. documents are packed into shards of ``SHARD`` bytes, stored once, compressed, in a table bucketed by shard, so that later
-   steps bring their small lists to the shards and never move a text;
-2. every shard sends its sorted minimizers to buckets by their leading bits; the sorted runs of all shards are merged and
-   each run finds the shared ones by binary search;
-3. every shard sends its distinct strings with a shared minimizer to the buckets. A bucket is the shard of the suffix
+1. documents are packed into shards of ``SHARD`` bytes, stored once, compressed, in a table bucketed by unit (some ``UNIT`` bytes
+   of shards), so that later steps bring their lists to the units and never move a text;
+2. every unit sends its sorted minimizers to buckets by their leading bits; the sorted runs of all units are merged, and the
+   shared ones return to the units;
+3. every unit sends its distinct strings with a shared minimizer to the buckets. A bucket is the shard of the suffix
    sort: a suffix array by Larsson-Sadakane refinement (prefixes double, only groups that still tie are sorted again) and
    the common prefixes of neighbours in text order (Kasai) give the classes of equal windows and the smallest doc_id of
    each. A minimizer with a single string needs no sorting;
-4. the minima return to the shards, which mark the bytes and hash what is left.
+4. the minima return to the units, which mark the bytes of their shards and hash what is left.
 
-Nothing is sent per document or per occurrence across shards: repeats within a shard are merged before every exchange, so
-a passage in a third of all documents costs one string per shard. Windows are compared by their bytes in step 3; equal
-strings of different shards are recognised by two 64-bit hashes, of the minimizer and of the string.
+A list is sent per unit and bucket, so lists grow with units times buckets: units are many shards, and the buckets of step 2,
+which hold hashes alone, are larger than those of step 3.
+Nothing is sent per document or per occurrence across units: repeats within a unit are merged before every exchange, so
+a passage in a third of all documents costs one string per unit. Windows are compared by their bytes in step 3; equal
+strings of different units are recognised by two 64-bit hashes, of the minimizer and of the string.
 
 Defined cases: a null text is empty; a null doc_id counts as larger than any other and its rows never remove each other's
 bytes; rows with the same doc_id are one document here, each with a result row; texts below ``SIZE`` bytes lose nothing; an
@@ -26,11 +28,14 @@ empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorspark.llm import lex
@@ -39,11 +44,14 @@ from moorspark.session import materialize, scratch_path
 
 SIZE = 50
 K = 24
-#: bytes of text per shard and per bucket of minimizers, and of strings in one suffix array, which takes about 60 times as much
+#: bytes of text per shard, at most per unit of shards, per bucket of minimizers and per bucket of strings
 SHARD = 1 << 20
-BUCKET = 1 << 20
-ARRAY = 1 << 19
-#: bytes of strings under one prefix sum
+UNIT = 1 << 25
+LISTS = 1 << 23
+BUCKET = 1 << 21
+#: bytes of strings in one suffix array, which takes about 60 times as much
+ARRAY = 1 << 16
+#: bytes of text or strings under one prefix sum, whose arrays then stay in the processor's cache
 PREFIX = 1 << 18
 _LAST = np.iinfo(np.int64).max
 
@@ -65,18 +73,28 @@ def spread(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def shards(docs: DataFrame) -> DataFrame:
-    """One row per shard: random ``shard``, ``ids`` (null: the largest number), ``known``, ``sizes``, compressed ``data``; to be stored."""
+def unit_numbers(spark: SparkSession, n: int, each: int) -> list[int]:
+    """``each`` numbers out of every one of ``n`` hash partitions, so that units are dealt evenly."""
+    part = F.pmod(F.hash("id"), F.lit(n)).alias("part")
+    ids = F.slice(F.sort_array(F.collect_list("id")), 1, each).alias("ids")
+    return sorted(i for r in spark.range(n * (20 + 4 * each)).groupBy(part).agg(ids).collect() for i in r.ids)
+
+
+def shards(docs: DataFrame, units: list[int]) -> DataFrame:
+    """One row per shard: ``unit``, ``shard``, ``ids`` (null: the largest number), ``known``, ``sizes``, compressed ``data``; to be stored."""
     def run(batches):
-        rng = np.random.default_rng()
+        part, number = TaskContext.get().partitionId(), 0
+        first = int(np.random.default_rng(part).integers(len(units)))  # the same if the task runs again
         for batch in batches:
             for rows, buf, off in lex.blocks(batch, limit=SHARD):
                 ids = rows.column("doc_id").cast(pa.int64())
                 known = ids.is_valid().to_numpy(zero_copy_only=False)
-                data = squeeze(ids.fill_null(_LAST).to_numpy(), known.astype(np.uint8), off, buf, level=9)
-                yield pa.RecordBatch.from_arrays([pa.array(rng.integers(0, _LAST, 1)), pa.array([len(buf)], pa.int64()), pa.array([data], pa.binary())], ["shard", "bytes", "data"])
+                data = squeeze(ids.fill_null(_LAST).to_numpy(), known.astype(np.uint8), off, buf, level=5)
+                unit = units[(first + number) % len(units)]
+                yield pa.RecordBatch.from_arrays([pa.array([unit], pa.int64()), pa.array([part << 32 | number], pa.int64()), pa.array([data], pa.binary())], ["unit", "shard", "data"])
+                number += 1
 
-    return docs.select("doc_id", "text").mapInArrow(run, "shard long, bytes long, data binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "unit long, shard long, data binary")
 
 
 def _least(a: np.ndarray, w: int) -> np.ndarray:
@@ -130,6 +148,15 @@ def _shard(data: bytes):
     return ids, known.astype(bool), off, buf
 
 
+def _pieces_of(off: np.ndarray, buf: np.ndarray) -> Iterator[tuple[int, "Strings"]]:
+    """The strings of a shard, ``PREFIX`` bytes of whole documents at a time, with the first document of each piece."""
+    a = 0
+    while a < len(off) - 1:
+        b = max(a + 1, int(np.searchsorted(off, off[a] + PREFIX, "right")) - 1)
+        yield a, Strings(buf[off[a] : off[b]], off[a : b + 1] - off[a])
+        a = b
+
+
 def _by_bucket(h: np.ndarray, bits: int) -> np.ndarray:
     """Bucket of a hash from its leading bits."""
     return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
@@ -141,87 +168,104 @@ def _cuts(key: np.ndarray) -> list[tuple[int, int, int]]:
     return [(int(key[a]), int(a), int(b)) for a, b in zip(edge[:-1], edge[1:], strict=True) if b > a]
 
 
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """True at the first of equal neighbours."""
+    head = np.ones(len(keys[0]), bool)
+    head[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return head
+
+
+def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """True for the values that are in the sorted ``some``."""
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values if len(some) else np.zeros(len(values), bool)
+
+
 def minimizers(stored: DataFrame, bits: int) -> DataFrame:
-    """``bucket, shard, run``: each shard's distinct minimizers (the bucket's bits and 32 more, sorted) and whether two of its documents hold them."""
-    def run(batches):
-        for batch in batches:
-            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data"), strict=True):
-                ids, _, off, buf = _shard(data.as_py())
-                s = Strings(buf, off)
-                key, doc = s.minimizer >> np.uint64(32 - bits), ids[s.doc]
-                order = np.lexsort((doc, key))
-                key, doc = key[order], doc[order]
-                head = np.ones(len(key), bool)
-                head[1:] = key[1:] != key[:-1]
-                begin = np.flatnonzero(head)
-                if not len(begin):
-                    continue
-                end = np.append(begin[1:], len(key)) - 1
-                many = doc[begin] != doc[end]
-                key = key[begin]
-                out = [(b, squeeze((key[x:y] & np.uint64(0xFFFFFFFF)).astype("<u4"), np.packbits(many[x:y]))) for b, x, y in _cuts((key >> np.uint64(32)).astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([shard] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "shard", "run"])
-
-    return stored.select("shard", "data").mapInArrow(run, "bucket int, shard long, run binary")
+    """``bucket, unit, run``: each unit's distinct minimizers (the bucket's bits and 32 more, sorted) and whether two of its documents hold them."""
+    def run(table: pa.Table) -> pa.Table:
+        keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for data in table.column("data"):
+            ids, _, off, buf = _shard(data.as_py())
+            for first, s in _pieces_of(off, buf):
+                keys.append(s.minimizer >> np.uint64(32 - bits))
+                docs.append(ids[first + s.doc])
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        order = np.argsort(key)
+        key, doc = key[order], doc[order]
+        begin = np.flatnonzero(_heads(key))
+        many = np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin) if len(key) else np.zeros(0, bool)
+        key = key[begin]
+        out = [(b, squeeze((key[x:y] & np.uint64(0xFFFFFFFF)).astype("<u4"), np.packbits(many[x:y]))) for b, x, y in _cuts((key >> np.uint64(32)).astype(np.int64))]
+        return pa.table([pa.array([b for b, _ in out], pa.int32()), pa.array([table.column("unit")[0].as_py()] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "unit", "run"])
+
+    return stored.select("unit", "data").groupBy("unit").applyInArrow(run, "bucket int, unit long, run binary")
 
 
 def shared(runs: DataFrame) -> DataFrame:
-    """``shard, found``: per shard and bucket the minimizers that two documents hold, of whatever shards."""
+    """``unit, found``: per unit and bucket the minimizers that two documents hold, of whatever units."""
     def merge(table: pa.Table) -> pa.Table:
         keys, several = [], []
         for data in table.column("run"):
             low, many = spread(data.as_py(), "<u4", "u1")
             keys.append(low)
             several.append(np.unpackbits(many)[: len(low)].astype(bool))
-        every = np.sort(np.concatenate(keys), kind="stable")
-        twice = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *(k[m] for k, m in zip(keys, several, strict=True))]))
-        shard, out = [], []
-        for s, k in zip(table.column("shard").to_pylist(), keys, strict=True):
-            at = np.searchsorted(k, twice)  # the run is sorted: binary search of the shared ones
-            hit = twice[(at < len(k)) & (k[np.minimum(at, len(k) - 1)] == twice)]
-            if len(hit):
-                shard.append(s)
-                out.append(squeeze(np.array([table.column("bucket")[0].as_py()], "<i8"), hit.astype("<u4")))
-        return pa.table([pa.array(shard, pa.int64()), pa.array(out, pa.binary())], ["shard", "found"])
-
-    return runs.groupBy("bucket").applyInArrow(merge, "shard long, found binary")
-
-
-def strings(stored: DataFrame, found: DataFrame, bits: int) -> DataFrame:
-    """``bucket, shard, part``: the distinct strings of each shard with a shared minimizer; under bucket -1 where they stand."""
-    lists = found.groupBy("shard").agg(F.collect_list("found").alias("found"))  # at most the shard's own minimizers
-
-    def run(batches):
-        for batch in batches:
-            for shard, data, lists_ in zip(batch.column("shard").to_pylist(), batch.column("data"), batch.column("found"), strict=True):
-                ids, _, off, buf = _shard(data.as_py())
-                s = Strings(buf, off)
-                pairs = [spread(x, "<i8", "<u4") for x in lists_.as_py()]
-                hot = np.sort(np.concatenate([np.uint64(b[0]) << np.uint64(32) | v.astype(np.uint64) for b, v in pairs]))
-                key = s.minimizer >> np.uint64(32 - bits)
-                keep = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
-                start, windows, mini, at, doc = s.start[keep], s.windows[keep], s.minimizer[keep], s.at[keep], ids[s.doc[keep]]
-                length = windows + SIZE - 1
-                whole = s.sums.span(start, start + length)
-                order = np.lexsort((doc, whole, mini))
-                a, b = mini[order], whole[order]
-                head = np.ones(len(a), bool)
-                head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                begin = np.flatnonzero(head)
-                end = np.append(begin[1:], len(a)) - 1
-                number = np.empty(len(a), np.int64)
-                number[order] = np.cumsum(head) - 1
-                lead = order[begin]
-                rows = [(-1, squeeze(np.diff(start, prepend=0).astype("<u4"), windows.astype("u1"), number.astype("<i4")))]
-                for k, x, y in _cuts(_by_bucket(mini[lead], bits)):
-                    p, n = start[lead[x:y]], length[lead[x:y]]
-                    text = buf[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(p, n)]
-                    low, high = doc[order[begin[x:y]]], doc[order[end[x:y]]]
-                    # hashes are made again from the text, which compresses better
-                    rows.append((k, squeeze(np.array([x], "<i8"), windows[lead[x:y]].astype("u1"), at[lead[x:y]].astype("u1"), low, high - low, text)))
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([shard] * len(rows), pa.int64()), pa.array([x for _, x in rows], pa.binary())], ["bucket", "shard", "part"])
-
-    return stored.join(lists.hint("merge"), "shard").select("shard", "data", "found").mapInArrow(run, "bucket int, shard long, part binary")
+        end = np.cumsum([len(k) for k in keys])
+        key = np.concatenate(keys)
+        every = np.sort(key)
+        hit = np.concatenate(several) | _among(key, np.unique(every[1:][every[1:] == every[:-1]]))
+        # what two documents of one unit hold is shared in the others as well
+        hit = _among(key, np.unique(key[hit]))
+        bucket, names = np.array([table.column("bucket")[0].as_py()], "<i8"), table.column("unit").to_pylist()
+        found = [(unit, squeeze(bucket, k[hit[b - len(k) : b]])) for unit, k, b in zip(names, keys, end.tolist(), strict=True) if hit[b - len(k) : b].any()]
+        return pa.table([pa.array([u for u, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], ["unit", "found"])
+
+    return runs.groupBy("bucket").applyInArrow(merge, "unit long, found binary")
+
+
+def strings(stored: DataFrame, found: DataFrame, list_bits: int, bits: int) -> DataFrame:
+    """``bucket, unit, shard, part``: the distinct strings of each unit with a shared minimizer; under bucket -1 where they stand in a shard."""
+    def run(table: pa.Table, lists: pa.Table) -> pa.Table:
+        pairs = [spread(x.as_py(), "<i8", "<u4") for x in lists.column("found")]
+        hot = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.uint64(b[0]) << np.uint64(32) | v.astype(np.uint64) for b, v in pairs)]))
+        names, texts, columns, held, base = table.column("shard").to_pylist(), [], [[np.zeros(0, np.int64)] * 6], [], 0
+        for data in table.column("data") if len(hot) else []:
+            ids, _, off, buf = _shard(data.as_py())
+            n = 0
+            for first, s in _pieces_of(off, buf):
+                keep = _among(s.minimizer >> np.uint64(32 - list_bits), hot)
+                start, windows = s.start[keep], s.windows[keep]
+                whole = s.sums.span(start, start + windows + SIZE - 1)
+                columns.append([base + off[first] + start, windows, s.at[keep], ids[first + s.doc[keep]], s.minimizer[keep], whole])
+                n += len(start)
+            held.append((base, n))
+            base += len(buf)
+            texts.append(buf)
+        start, windows, at, doc = (np.concatenate([c[i] for c in columns]) for i in range(4))
+        mini, whole = (np.concatenate([c[i].astype(np.uint64) for c in columns]) for i in (4, 5))
+        rows = []
+        if len(start):
+            text, length = np.concatenate(texts), windows + SIZE - 1
+            order = np.lexsort((whole, mini))
+            head = _heads(mini[order], whole[order])
+            begin = np.flatnonzero(head)
+            number = np.empty(len(order), np.int64)
+            number[order] = np.cumsum(head) - 1
+            low, high = np.minimum.reduceat(doc[order], begin), np.maximum.reduceat(doc[order], begin)
+            lead = order[begin]
+            b = 0
+            for name, (base, n) in zip(names, held, strict=True):
+                a, b = b, b + n
+                if n:
+                    rows.append((-1, name, squeeze(np.diff(start[a:b] - base, prepend=0).astype("<u4"), windows[a:b].astype("u1"), number[a:b].astype("<i4"))))
+            for k, x, y in _cuts(_by_bucket(mini[lead], bits)):
+                p, n = start[lead[x:y]], length[lead[x:y]]
+                body = text[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(p, n)]
+                # hashes are made again from the text, which compresses better
+                rows.append((k, None, squeeze(np.array([x], "<i8"), windows[lead[x:y]].astype("u1"), at[lead[x:y]].astype("u1"), low[x:y], high[x:y] - low[x:y], body)))
+        unit = table.column("unit")[0].as_py()
+        return pa.table([pa.array([k for k, _, _ in rows], pa.int32()), pa.array([unit] * len(rows), pa.int64()), pa.array([s for _, s, _ in rows], pa.int64()), pa.array([x for _, _, x in rows], pa.binary())], ["bucket", "unit", "shard", "part"])
+
+    return stored.groupBy("unit").cogroup(found.groupBy("unit")).applyInArrow(run, "bucket int, unit long, shard long, part binary")
 
 
 def suffix_array(text: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -330,7 +374,7 @@ def hashes(text: np.ndarray, length: np.ndarray, place: np.ndarray) -> tuple[np.
 
 
 def minima(parts: DataFrame) -> DataFrame:
-    """``shard, least``: per shard and bucket the smallest doc_id of the windows of its strings, where it is below one of its documents."""
+    """``unit, least``: per unit and bucket the smallest doc_id of the windows of its strings, where it is below one of its documents."""
     def merge(table: pa.Table) -> pa.Table:
         cols = [spread(x.as_py(), "<i8", "u1", "u1", "<i8", "<i8", "u1") for x in table.column("part")]
         size = np.array([len(c[1]) for c in cols])
@@ -373,8 +417,8 @@ def minima(parts: DataFrame) -> DataFrame:
             first = where[multi]
             lo, hi = np.minimum.reduceat(detail, first), np.maximum.reduceat(detail, first)
             least[multi], where[multi] = lo, np.where(lo == hi, -1, first)
-        shard, out = [], []
-        names = table.column("shard").to_pylist()
+        unit, out = [], []
+        names = table.column("unit").to_pylist()
         for i, (x, y) in enumerate(zip(np.cumsum(size) - size, np.cumsum(size), strict=True)):
             k = kind[x:y]
             one = (where[k] < 0) & (least[k] < high[x:y])
@@ -382,39 +426,41 @@ def minima(parts: DataFrame) -> DataFrame:
             w = np.where(many, windows[x:y], 0)
             values = detail[np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(where[k], w)]
             if one.any() or many.any():
-                shard.append(names[i])
+                unit.append(names[i])
                 out.append(squeeze(number[x:y][one], least[k][one], number[x:y][many], w[many].astype("u1"), values))
-        return pa.table([pa.array(shard, pa.int64()), pa.array(out, pa.binary())], ["shard", "least"])
+        return pa.table([pa.array(unit, pa.int64()), pa.array(out, pa.binary())], ["unit", "least"])
+
+    return parts.where("bucket >= 0").groupBy("bucket").applyInArrow(merge, "unit long, least binary")
+
 
-    return parts.where("bucket >= 0").groupBy("bucket").applyInArrow(merge, "shard long, least binary")
+class Minima:
+    """The minima of a unit's strings by their number: one for all windows of a string, or a place in ``detail`` with one for each."""
 
+    def __init__(self, least: list[bytes], top: int):
+        self.whole, self.place, table, at = np.full(top, _LAST), np.full(top, -1, np.int64), [np.zeros(0, np.int64)], 0
+        for data in least:
+            a, v, b, w, values = spread(data, "<i4", "<i8", "<i4", "u1", "<i8")
+            self.whole[a] = v
+            w = w.astype(np.int64)
+            self.place[b] = at + np.cumsum(w) - w
+            at += len(values)
+            table.append(values)
+        self.detail = np.concatenate(table)
 
-def removed(buf: np.ndarray, off: np.ndarray, ids: np.ndarray, start: np.ndarray, windows: np.ndarray, number: np.ndarray, least: list[bytes]) -> np.ndarray:
+
+def removed(buf: np.ndarray, off: np.ndarray, ids: np.ndarray, start: np.ndarray, windows: np.ndarray, number: np.ndarray, least: Minima) -> np.ndarray:
     """Bytes of a shard's documents to remove."""
-    if not len(start) or not least:
-        return np.zeros(len(buf), bool)
     start = np.cumsum(start.astype(np.int64))
     windows = windows.astype(np.int64)
-    top = int(number.max()) + 1
-    whole, place, table = np.full(top, _LAST), np.full(top, -1, np.int64), []
-    at = 0
-    for data in least:
-        a, v, b, w, values = spread(data, "<i4", "<i8", "<i4", "u1", "<i8")
-        whole[a] = v
-        w = w.astype(np.int64)
-        place[b] = at + np.cumsum(w) - w
-        at += len(values)
-        table.append(values)
-    detail = np.concatenate(table)
     doc = ids[np.searchsorted(off, start, "right") - 1]
     change = np.zeros(len(buf) + 1, np.int64)
-    own = whole[number] < doc
+    own = least.whole[number] < doc
     change += np.bincount(start[own], minlength=len(change))
     change -= np.bincount(start[own] + windows[own] + SIZE - 1, minlength=len(change))
-    many = place[number] >= 0
+    many = least.place[number] >= 0
     w, n = windows[many], windows[many].sum()
     step = np.arange(n) - np.repeat(np.cumsum(w) - w, w)
-    hit = detail[step + np.repeat(place[number[many]], w)] < np.repeat(doc[many], w)
+    hit = least.detail[step + np.repeat(least.place[number[many]], w)] < np.repeat(doc[many], w)
     p = (step + np.repeat(start[many], w))[hit]
     change += np.bincount(p, minlength=len(change))
     change -= np.bincount(p + SIZE, minlength=len(change))
@@ -422,7 +468,7 @@ def removed(buf: np.ndarray, off: np.ndarray, ids: np.ndarray, start: np.ndarray
 
 
 class Stored:
-    """The shards as a table bucketed by ``shard`` in the scratch folder, dropped with its files at the end of the block."""
+    """The shards as a table bucketed by ``unit`` in the scratch folder, dropped with its files at the end of the block."""
 
     def __init__(self, made: DataFrame):
         self.made, self.spark = made, made.sparkSession
@@ -432,7 +478,7 @@ class Stored:
     def __enter__(self) -> DataFrame:
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # as the lists' exchanges, so that joins find equal partitions
         # dealt before the write: one file per bucket, however many tasks made the shards
-        self.made.repartition(n, "shard").write.format("parquet").bucketBy(n, "shard").option("path", self.path).saveAsTable(self.name)
+        self.made.repartition(n, "unit").write.format("parquet").bucketBy(n, "unit").option("path", self.path).saveAsTable(self.name)
         return self.spark.table(self.name)
 
     def __exit__(self, *_):
@@ -446,28 +492,34 @@ def clean(docs: DataFrame, texts: bool = False) -> DataFrame:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])]
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
 
-    def finish(batches):
-        for batch in batches:
-            for data, part, low in zip(batch.column("data"), batch.column("part"), batch.column("least"), strict=True):
-                ids, known, off, buf = _shard(data.as_py())
-                gone = removed(buf, off, ids, *spread(part.as_py(), "<u4", "u1", "<i4"), low.as_py()) if part.is_valid and low.is_valid else np.zeros(len(buf), bool)
-                n_removed = lex.per_doc(gone.astype(np.int64), off)
-                first = gone.copy()
-                first[1:] &= ~gone[:-1]
-                head = off[:-1][off[:-1] < len(buf)]
-                first[head] = gone[head]
-                left = [buf[a:b] if not r else buf[a:b][~gone[a:b]] for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), n_removed.tolist(), strict=True)]
-                columns = [pa.array(ids, mask=~known), pa.array(np.diff(off)), pa.array(n_removed), pa.array(lex.per_doc(first.astype(np.int64), off)), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
-                yield pa.RecordBatch.from_arrays([*columns, *([pa.array([x.tobytes() for x in left], pa.binary())] if texts else [])], names)
-
-    with Stored(shards(docs)) as stored:
-        total = stored.agg(F.sum("bytes")).first()[0] or 0
-        bits = max(2, (total // BUCKET).bit_length())
-        parts = materialize(strings(stored, shared(minimizers(stored, bits)), bits), "strings")
-        least = minima(parts).groupBy("shard").agg(F.collect_list("least").alias("least"))
-        where = parts.where("bucket = -1").select("shard", "part")
-        joined = stored.join(where.hint("merge"), "shard", "left").join(least.hint("merge"), "shard", "left")
-        return materialize(joined.select("data", "part", "least").mapInArrow(finish, schema), "repeats")
+    def finish(rows: pa.Table, lists: pa.Table) -> pa.Table:
+        both = list(zip(lists.column("shard").to_pylist(), lists.column("part").to_pylist(), strict=True))
+        places = {shard: spread(x, "<u4", "u1", "<i4") for shard, x in both if shard is not None}
+        least = Minima([x for shard, x in both if shard is None], max((int(p[2].max()) + 1 for p in places.values()), default=0))
+        out = []
+        for shard, data in zip(rows.column("shard").to_pylist(), rows.column("data"), strict=True):
+            ids, known, off, buf = _shard(data.as_py())
+            gone = removed(buf, off, ids, *places[shard], least) if shard in places else np.zeros(len(buf), bool)
+            n_removed = lex.per_doc(gone.astype(np.int64), off)
+            first = gone.copy()
+            first[1:] &= ~gone[:-1]
+            head = off[:-1][off[:-1] < len(buf)]
+            first[head] = gone[head]
+            left = [buf[a:b] if not r else buf[a:b][~gone[a:b]] for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), n_removed.tolist(), strict=True)]
+            columns = [pa.array(ids, mask=~known), pa.array(np.diff(off)), pa.array(n_removed), pa.array(lex.per_doc(first.astype(np.int64), off)), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
+            out.append(pa.table([*columns, *([pa.array([x.tobytes() for x in left], pa.binary())] if texts else [])], names))
+        return pa.concat_tables(out)
+
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    units = unit_numbers(spark, n, math.ceil(total / UNIT / n) or 1)
+    with Stored(shards(docs, units)) as stored:
+        list_bits, bits = (max(2, (total // size).bit_length()) for size in (LISTS, BUCKET))
+        parts = materialize(strings(stored, shared(minimizers(stored, list_bits)), list_bits, bits), "strings")
+        # to one exchange: the places of each shard's strings and, without a shard, the minima of a unit's strings
+        lists = parts.where("bucket = -1").select("unit", "shard", "part").unionByName(minima(parts).select("unit", F.lit(None).cast("long").alias("shard"), F.col("least").alias("part")))
+        return materialize(stored.groupBy("unit").cogroup(lists.groupBy("unit")).applyInArrow(finish, schema), "repeats")
 
 
 @query("op1_suffix_array_repeats")

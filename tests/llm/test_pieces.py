@@ -4,8 +4,10 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from moorspark.llm import lex, repeats
+from moorspark.session import materialize
 
 
 @pytest.mark.parametrize("n", [1, 2, 50, 500])
@@ -43,3 +45,28 @@ def test_hashes_of_a_large_bucket_take_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 4 * len(text)
+
+
+def test_units_are_dealt_evenly(spark):
+    units = spark.createDataFrame([(u,) for u in repeats.unit_numbers(spark, 13, 3)], "unit long")
+    parts = units.repartition(13, "unit").groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert len(parts) == 13 and all(r["count"] == 3 for r in parts)
+
+
+def test_lists_are_sent_by_units_of_many_shards(spark, monkeypatch):
+    """40 shards of the same text lie in as many units as there are shuffle partitions: four lists and strings a bucket."""
+    monkeypatch.setattr(repeats, "SHARD", 1 << 12)
+    seen = {}
+    for step in ("minimizers", "strings"):
+        def counted(*args, real=getattr(repeats, step), step=step):
+            out = materialize(real(*args), step)
+            rows = out.where("bucket >= 0").groupBy("bucket").count()
+            seen[step] = rows.agg(F.max("count")).first()[0]
+            return out
+
+        monkeypatch.setattr(repeats, step, counted)
+    text = "".join(np.random.default_rng(5).choice(list("abcdefgh"), 4000))
+    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string").coalesce(1)
+    out = repeats.clean(docs).collect()
+    assert {(r.doc_id == 0, r.n_removed) for r in out} == {(True, 0), (False, 4000)} and len(out) == 40
+    assert seen == {"minimizers": 4, "strings": 4}
