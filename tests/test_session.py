@@ -1,12 +1,14 @@
 import itertools
 import os
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from moorspark.plans.standin import prof
-from moorspark.session import GROWING, materialize, scratch, scratch_path
+from moorspark.session import CLEANUP, GROWING, materialize, scratch, scratch_path
 
 
 def test_scratch_tables_go_after_use(spark):
@@ -50,3 +52,27 @@ def test_tasks_of_a_query_on_profiles_hold_a_part_of_the_orders(spark, name):
         below = list(itertools.takewhile(lambda x: re.search(r"\w|$", x).start() > depth, plan[i + 1:]))
         parts = GROWING["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
         assert sum(f", {parts})" in x for x in below if "Exchange hashpartitioning" in x) == 2 and not any("Aggregate" in x for x in below)
+
+
+def test_full_profiles_are_dealt_once_for_both_readers(spark):
+    plan = entry.queries()["l10_full_profiles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert len(dealt) == 2 and all(re.search(r"\(profile_id#\d+L, \d+\), REPARTITION_BY_COL", x) for x in dealt)
+    scans = [re.sub(r"#\d+L?", "", x).split("FileScan")[1] for x in plan.split("\n") if "FileScan" in x]
+    assert len(set(scans)) == 1 and "[profile_id,pres,temp,salt,time]" in scans[0]
+
+
+def test_shuffles_of_a_stored_table_are_deleted(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return set(re.findall(r"shuffle_\w+\.data", disk.getAllFiles().mkString(",")))
+
+    before = files()
+    d = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert sorted((r.k, r["count"]) for r in d.collect())[0] == (0, 143) and spark.conf.get(CLEANUP) == "false"
