@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moorspark.llm.registry import documents, query
+from moorspark.session import materialize
 
 TREES = 12
 RATE = 0.5
@@ -41,20 +42,30 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: what must be in a text for a kind's pattern to be tried
-_NEEDS = {"email": "@", "ip": ".", "phone": "+", "address": "@"}
 GENERATORS = {
     "address": r"(?:\G|(?<![^\s@\"'<>()]))[^\s@\"'<>()]++@[^\s@\"'<>()]++",
     "number": r"(?<![0-9A-Za-z])[+(]?[0-9][0-9 ().-]{5,40}+(?<=[0-9])",
     "secret": r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}+",
 }
+#: what must be in a text for a kind's pattern to be tried: a part of every match (of every card that passes its check)
+#: that is cheaper to look for
+_NEEDS = {
+    "email": lambda text: F.contains(text, F.lit("@")),
+    "ip": lambda text: text.rlike("[0-9][.][0-9]"),
+    "card": lambda text: text.rlike(r"[0-9](?:[\x20-]?[0-9]){13}"),
+    "phone": lambda text: F.contains(text, F.lit("+")),
+    "address": lambda text: F.contains(text, F.lit("@")),
+    "number": lambda text: text.rlike("[0-9][0-9 ().-]{5}"),
+    # a token lies between two blanks; few words are that long, so few meet the class
+    "secret": lambda text: F.exists(F.split(text, " "), lambda word: (F.octet_length(word) >= 20) & word.rlike("[A-Za-z0-9_/+-]{20}")),
+}
 _CUE = r"(?i)(?:tel|phone|call|mail|contact|card|iban|ssn|passport|account)\W{0,4}$"
 _ASSIGNED = r"(?i)(?:token|key|secret|passw(?:or)?d|credential)s?\W{1,5}$"
 _SPAN = "array<struct<start:int,ord:int,kind:string,end:int,text:string>>"
 
 
 def _matches(text: Column, kind: str, order: int, pattern: str) -> Column:
-    """Spans of all matches; code points, end exclusive."""
+    """Spans of all matches, or none in a text without what the kind needs; code points, end exclusive."""
     body = F.coalesce(text, F.lit(""))
     both = F.zip_with(F.split(body, pattern, -1), F.regexp_extract_all(body, F.lit(pattern), F.lit(0)), lambda b, m: F.struct(F.length(b).alias("b"), m.alias("m")))
     empty = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS {_SPAN})").alias("out"))
@@ -66,10 +77,7 @@ def _matches(text: Column, kind: str, order: int, pattern: str) -> Column:
         return F.when(x["m"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out")))
 
     found = F.aggregate(both, empty, step, lambda acc: acc["out"])
-    if kind == "secret":  # letters alone may be a credential
-        return found
-    need = F.contains(text, F.lit(_NEEDS[kind])) if kind in _NEEDS else text.rlike("[0-9]")
-    return F.when(need, found).otherwise(F.expr(f"CAST(array() AS {_SPAN})"))
+    return F.when(_NEEDS[kind](text), found).otherwise(F.expr(f"CAST(array() AS {_SPAN})"))
 
 
 def _digits(s: Column) -> Column:
@@ -199,18 +207,33 @@ class Boosted:
         return out
 
 
-def fit(docs: DataFrame, text: str = "text") -> Boosted:
+def searched(docs: DataFrame, text: str, base: str, found: str) -> DataFrame:
+    """Append ``base`` (contract spans) and ``found`` (candidates)."""
+    return docs.withColumns({base: base_spans(F.col(text)), found: candidates(F.col(text))})
+
+
+def train(found: DataFrame, column: str) -> Boosted:
     """Train on all candidates of all documents through bounded counts."""
-    found = docs.select(F.explode(candidates(F.col(text))).alias("c")).groupBy("c.kind", "c.code").agg(F.count("*").alias("n"), F.sum(F.col("c.good").cast("long")).alias("p"))
-    return Boosted([(r["kind"], r["code"], r["n"], r["p"]) for r in found.collect()])
+    counts = found.select(F.explode(column).alias("c")).groupBy("c.kind", "c.code").agg(F.count("*").alias("n"), F.sum(F.col("c.good").cast("long")).alias("p"))
+    return Boosted([(r["kind"], r["code"], r["n"], r["p"]) for r in counts.collect()])
+
+
+def fit(docs: DataFrame, text: str = "text") -> Boosted:
+    """Train on the candidates of the texts."""
+    return train(docs.select(candidates(F.col(text)).alias("found")), "found")
 
 
 def all_spans(docs: DataFrame, model: Boosted, text: str, base: str, spans: str) -> DataFrame:
     """Append ``base`` (contract spans) and ``spans`` (those and the selected ones, in order) to the rows."""
-    found = docs.withColumn(base, base_spans(F.col(text)))
+    held = f"{spans}_found"
+    return with_selected(searched(docs, text, base, held), model, base, held, spans).drop(held)
+
+
+def with_selected(found: DataFrame, model: Boosted, base: str, held: str, spans: str) -> DataFrame:
+    """Append ``spans``: the contract spans ``base`` and the selected ones of the candidates ``held``, in order."""
     if not model.threshold:
         return found.withColumn(spans, F.transform(base, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"))))
-    scored = F.transform(candidates(F.col(text)), lambda c: F.struct(c["start"].alias("start"), c["ord"].alias("ord"), c["kind"].alias("kind"), c["end"].alias("end"),
+    scored = F.transform(held, lambda c: F.struct(c["start"].alias("start"), c["ord"].alias("ord"), c["kind"].alias("kind"), c["end"].alias("end"),
                                                                       c["code"].alias("code"), F.round(model.score(c["code"], c["kind"]), 9).alias("score")))
     chosen = F.filter(scored, lambda c: model.selected(c["code"], c["kind"], c["score"]))
     free = F.filter(chosen, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
@@ -222,8 +245,8 @@ def all_spans(docs: DataFrame, model: Boosted, text: str, base: str, spans: str)
         return F.aggregate(first, none, lambda kept, c: F.when(F.exists(kept, lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"])), kept).otherwise(F.concat(kept, F.array(c))))
 
     plain = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["ord"].alias("ord"), x["kind"].alias("kind"), x["end"].alias("end")))
-    held = f"{spans}_free"
-    return found.withColumn(held, free).withColumn(spans, F.sort_array(F.concat(plain(F.col(base)), plain(best(F.col(held)))))).drop(held)
+    kept = f"{spans}_free"
+    return found.withColumn(kept, free).withColumn(spans, F.sort_array(F.concat(plain(F.col(base)), plain(best(F.col(kept)))))).drop(kept)
 
 
 def _joined(spans: str) -> Column:
@@ -255,9 +278,10 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @query("op8_boosted_pii")
 def op8(spark, sf_dir):
-    """Spans of all documents."""
+    """Spans of all documents: texts are searched once, and what was found is stored for training and selection."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = all_spans(docs, fit(docs), "text", "base", "found")
+    stored = materialize(searched(docs, "text", "base", "candidates").drop("text"), "pii")
+    found = with_selected(stored, train(stored, "candidates"), "base", "candidates", "found")
 
     def of(kind):
         return lambda x: x["kind"] == kind

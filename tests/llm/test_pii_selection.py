@@ -1,5 +1,6 @@
 """Credentials without digits, and chains of overlapping spans."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +53,28 @@ def test_a_beaten_span_suppresses_none(spark):
     finally:
         pii.candidates = real
     assert out == "number:0:12,address:29:32,number:40:50"
+
+
+def test_texts_are_searched_once_for_training_and_selection(spark, monkeypatch):
+    calls = []
+    real = pii.candidates
+    monkeypatch.setattr(pii, "candidates", lambda text: calls.append(text) or real(text))
+    out = pii.op8(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1 and not any("documents.parquet" in x for x in out.inputFiles())
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    twice = pii.all_spans(docs, pii.fit(docs), "text", "base", "found").select("doc_id", pii._joined("found").alias("spans"))
+    assert sorted(map(tuple, out.select("doc_id", "spans").collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_no_text_with_a_match_is_passed_over(spark):
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(list(alphabet), 60)) for alphabet in ("0123456789 -", "01.a ", "ab1+-_/ \n", "a@.b ", "+1 ()-.", "aé_-/\t ", "4 1 ") for _ in range(60)]
+    texts += ["x" * 20, "x" * 19, "é" * 30, "a\n" + "k" * 25 + "\tb", "ü" + "k" * 20, "1.2.3.4", "4111 1111 1111 1111", "(030) 1234", ""]
+    d = spark.createDataFrame([(x,) for x in texts], "text string")
+    for kind, pattern in [*pii.BASE.items(), *pii.GENERATORS.items()]:
+        every = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+        if kind == "card":
+            every = F.filter(every, lambda x: pii._passes("card", x))
+        found = F.transform(F.filter(pii._matches(F.col("text"), kind, 0, pattern), lambda x: (F.lit(kind) != "card") | pii._passes("card", x["text"])), lambda x: x["text"])
+        rows = d.select(every.alias("a"), found.alias("b")).collect()
+        assert all(r.a == r.b for r in rows) and any(r.a for r in rows), kind
